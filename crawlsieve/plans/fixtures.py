@@ -71,3 +71,18 @@ def cdx_lines(pages: DataFrame) -> DataFrame:
 
 def cdx_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdx_lines(read_table(spark, sf_dir, "pages"))
+
+
+def http_separator(page_id) -> "F.Column":
+    """FIXTURES.md `warc`: page_id % 41 = 2 has no separator, % 7 = 3 uses LF LF."""
+    return (F.when(page_id % 41 == 2, F.lit(""))
+             .when(page_id % 7 == 3, F.lit("\n\n"))
+             .otherwise(F.lit("\r\n\r\n")))
+
+
+def http_messages(pages: DataFrame) -> DataFrame:
+    """One HTTP response message per page: head + separator + html."""
+    pid = F.col("page_id")
+    head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
+                    F.octet_length("html").cast("string"))
+    return pages.select(pid, "url", "html", F.concat(head, http_separator(pid), F.col("html")).alias("raw"))

@@ -161,3 +161,89 @@ SELECT crawl, CAST(batch_no AS BIGINT) AS batch_no, CAST(count(*) AS BIGINT) AS
   SELECT crawl, (row_number() OVER (PARTITION BY crawl ORDER BY block_id, line_no) - 1) // 50 AS batch_no FROM kept)
 GROUP BY crawl, batch_no"""),
 }
+
+
+_ENT = [("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\u00a0"), ("copy", "©"),
+        ("reg", "®"), ("middot", "·"), ("apos", "'"), ("amp", "&")]
+
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def sql_decode_entities(x: str) -> str:
+    for name, ch in _ENT:
+        pat = f"&{name};" if name == "apos" else f"&{name};?"
+        x = f"regexp_replace({x}, {_sql_str(pat)}, {_sql_str(ch)}, 'g')"
+    return x
+
+
+def sql_strip(x: str, patterns) -> str:
+    for p in patterns:
+        x = f"regexp_replace({x}, {_sql_str(p)}, '', 'g')"
+    return x
+
+
+_SCRIPT = r"(?is)<script\b[^>]*>.*?(</script\s*>|\z)"
+_STYLE = r"(?is)<style\b[^>]*>.*?(</style\s*>|\z)"
+_COMMENT = r"(?s)<!--.*?(-->|\z)"
+_TAG = r"<(/?[A-Za-z][^>]*|[!?][^>]*)(>|\z)"
+
+
+def sql_flat_text(col: str) -> str:
+    inner = sql_decode_entities(sql_strip(col, [_SCRIPT, _STYLE, _COMMENT, _TAG]))
+    return f"coalesce(trim(regexp_replace({inner}, '{WS}+', ' ', 'g')), '')"
+
+
+_DROP = ("script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form")
+_BLOCK = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "br", "div", "ul", "ol",
+          "blockquote", "pre", "td", "th", "tr", "table", "section", "article", "main",
+          "title", "body", "html", "head", "hr", "dd", "dt", "dl", "figcaption")
+
+
+def sql_main_text(col: str, include_tables: bool = True, lines_only: bool = False) -> str:
+    drops = list(_DROP) + ([] if include_tables else ["table"])
+    art = f"array_to_string(regexp_extract_all({col}, '(?is)<article\\b[^>]*>(.*?)(</article\\s*>|\\z)', 1), '\n')"
+    x = sql_strip(art, [_COMMENT] + [rf"(?is)<{t}\b[^>]*>.*?(</{t}\s*>|\z)" for t in drops])
+    x = f"regexp_replace({x}, '(?i)</?({'|'.join(_BLOCK)})\\b[^>]*>', chr(10), 'g')"
+    x = sql_decode_entities(sql_strip(x, [_TAG]))
+    lines = f"list_filter(list_transform(string_split({x}, chr(10)), lambda l: trim(regexp_replace(l, '{WS}+', ' ', 'g'))), lambda l: l <> '')"
+    if lines_only:
+        return lines
+    return f"nullif(array_to_string({lines}, chr(10)), '')"
+
+
+ORACLE.update({
+    "extract_flat_text": f"SELECT page_id, {sql_flat_text('html')} AS text FROM pages",
+    "filter_nonblank": f"SELECT doc_id FROM documents WHERE coalesce(regexp_matches(text, '[^{WS[1:]}'), false)",
+    "filter_length": "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars FROM documents WHERE length(text) BETWEEN 500 AND 1000000",
+    "extract_main_text": f"SELECT page_id, {sql_main_text('html')} AS text FROM pages",
+    "extract_main_text_strict": f"""
+SELECT page_id, nullif(array_to_string(list_filter(ls, lambda x, i: list_position(ls, x) = i), chr(10)), '') AS text
+FROM (SELECT page_id, {sql_main_text('html', include_tables=False, lines_only=True)} AS ls FROM pages)""",
+})
+
+
+_HTTP_RAW = ("'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) "
+             "|| 'Content-Length: ' || CAST(strlen(html) AS VARCHAR) || "
+             "CASE WHEN page_id % 41 = 2 THEN '' WHEN page_id % 7 = 3 THEN chr(10) || chr(10) "
+             "ELSE chr(13) || chr(10) || chr(13) || chr(10) END || html")
+_HTTP_RE = r"(?s)^(.*?)(\r\n\r\n|\n\n)"
+
+ORACLE.update({
+    "http_body_split": f"""
+SELECT page_id,
+       CASE WHEN m <> '' THEN regexp_extract(raw, '{_HTTP_RE}', 1) END AS head,
+       CASE WHEN m <> '' THEN substr(raw, length(m) + 1) END AS body
+FROM (SELECT page_id, raw, regexp_extract(raw, '{_HTTP_RE}', 0) AS m
+      FROM (SELECT page_id, {_HTTP_RAW} AS raw FROM pages))""",
+    "document_records": with_cdx(f"""
+, docs AS (
+  SELECT k.surt_url, k."timestamp", json_extract_string(k.js, '$.filename') AS filename,
+         {sql_flat_text('p.html')} AS full_text
+  FROM kept k JOIN pages p ON p.url = json_extract_string(k.js, '$.url'))
+SELECT coalesce(surt_url, 'unknown') AS url, coalesce("timestamp", 'unknown') AS "timestamp", full_text,
+       CAST(length(full_text) AS INTEGER) AS char_count, filename
+FROM docs
+WHERE coalesce(regexp_matches(full_text, '[^{WS[1:]}'), false) AND length(full_text) BETWEEN 500 AND 1000000"""),
+})

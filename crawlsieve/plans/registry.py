@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawlsieve.functions import cdx as cdxf
-from crawlsieve.operators import batching, dedup, metrics
+from crawlsieve.functions import text as textf
+from crawlsieve.operators import batching, dedup, extract, metrics
 from crawlsieve.plans import fixtures, index_stage
 from crawlsieve.session import apply_defaults
 
@@ -175,3 +176,71 @@ def q_batch_counts(spark, sf_dir):
 def q_batch_item_stats(spark, sf_dir):
     """B5 (index side): entries per published batch."""
     return batching.batch_stats(_b1(spark, sf_dir)).withColumn("n_items", F.col("n_items").cast("bigint"))
+
+
+# --- text ------------------------------------------------------------------------
+
+def _pages(spark, sf_dir) -> DataFrame:
+    return fixtures.read_table(spark, sf_dir, "pages")
+
+
+def _documents(spark, sf_dir) -> DataFrame:
+    return fixtures.read_table(spark, sf_dir, "documents")
+
+
+@register("extract_flat_text")
+def q_extract_flat_text(spark, sf_dir):
+    """P5: flat text of every page (native regex chain)."""
+    return _pages(spark, sf_dir).select("page_id", textf.flat_text("html").alias("text"))
+
+
+@register("filter_nonblank")
+def q_filter_nonblank(spark, sf_dir):
+    """documents whose text has a non-whitespace character."""
+    return textf.filter_nonblank(_documents(spark, sf_dir), "text").select("doc_id")
+
+
+@register("filter_length")
+def q_filter_length(spark, sf_dir):
+    """F8: documents of 500..1,000,000 code points."""
+    return (textf.filter_length(_documents(spark, sf_dir), "text")
+            .select("doc_id", F.length("text").cast("bigint").alias("n_chars")))
+
+
+@register("extract_main_text")
+def q_extract_main_text(spark, sf_dir):
+    """Main text (default profile) of every page."""
+    return extract.main_text(_pages(spark, sf_dir), ("page_id",), "html", "text")
+
+
+@register("extract_main_text_strict")
+def q_extract_main_text_strict(spark, sf_dir):
+    """Main text, strict profile."""
+    return extract.main_text_strict(_pages(spark, sf_dir), id_cols=("page_id",), html="html", out="text")
+
+
+@register("http_body_split")
+def q_http_body_split(spark, sf_dir):
+    """Head / body of each page's HTTP response message."""
+    msgs = fixtures.http_messages(_pages(spark, sf_dir))
+    head, body = textf.http_split(F.col("raw"))
+    return msgs.select("page_id", head.alias("head"), body.alias("body"))
+
+
+def kept_documents(spark, sf_dir, text_fn=None) -> DataFrame:
+    """Worker chain over kept index entries: the entry's page (joined by
+    URL) -> flat text -> non-blank -> length filter -> record columns."""
+    kept = dedup.dedup_first_seen(_passed(spark, sf_dir))
+    entries = kept.select("surt_url", "timestamp", cdxf.meta("url").alias("url"),
+                          cdxf.meta("filename").alias("filename"))
+    pages = _pages(spark, sf_dir).select("url", "html")
+    docs = entries.join(pages, "url").select("surt_url", "timestamp", "filename",
+                                             (text_fn or textf.flat_text)("html").alias("full_text"))
+    docs = textf.filter_length(textf.filter_nonblank(docs, "full_text"), "full_text")
+    return docs
+
+
+@register("document_records")
+def q_document_records(spark, sf_dir):
+    """Document records (without tokens) of the whole chain."""
+    return textf.document_records(kept_documents(spark, sf_dir), tokens=None)
