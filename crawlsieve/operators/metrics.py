@@ -77,9 +77,10 @@ def errors_by_type(df: DataFrame, error: str = "error") -> DataFrame:
         F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def bytes_by_file(df: DataFrame, file: str, compressed: str, decompressed: str) -> DataFrame:
+def bytes_by_file(df: DataFrame, file: str, compressed: str, decompressed: str, group=()) -> DataFrame:
     """A4: compressed bytes requested and decompressed bytes obtained per file."""
-    return df.groupBy(F.col(file).alias("file")).agg(
+    return df.groupBy(*group, F.col(file).alias("file")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_ranges"),
         F.sum(compressed).cast("bigint").alias("bytes_compressed"),
         F.coalesce(F.sum(decompressed), F.lit(0)).cast("bigint").alias("bytes_decompressed"))
 

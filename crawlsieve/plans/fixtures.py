@@ -86,3 +86,163 @@ def http_messages(pages: DataFrame) -> DataFrame:
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.octet_length("html").cast("string"))
     return pages.select(pid, "url", "html", F.concat(head, http_separator(pid), F.col("html")).alias("raw"))
+
+
+# --- written fixtures: gzip block files + index, archive files -----------------
+
+BLOCKS_PER_FILE = 4096
+INDEX_TEMPLATE = "{base}/index/{crawl}/cluster.idx"
+BLOCK_TEMPLATE = "{base}/blocks/{crawl}/{file}"
+WARC_TEMPLATE = "{base}/{file}"
+
+
+def _local(path: str) -> str:
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+def write_blocks(lines: DataFrame, root: str, with_rejects: bool = False) -> None:
+    """Write the `blocks` fixture: one gzip member per (crawl, block_id),
+    lines in line order, members appended to ``cdx-NNNNN.gz`` files, and a
+    tab-separated index (start key, file, offset, length, id) per crawl.
+
+    Each block file and its index part are written by exactly one task, in
+    block order; a retried task rewrites the same bytes (idempotent).
+
+    ``with_rejects`` adds the `block_rejects` rows after each block row, by
+    block id modulo 4: 1 -> only three fields, 2 -> offset ``x``, 3 -> empty
+    length, 0 -> a valid copy whose start key begins with a double quote.
+    """
+    blocks = (lines.groupBy("crawl", "block_id")
+                   .agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("_l"))
+                   .select("crawl", "block_id",
+                           F.concat(F.array_join(F.transform("_l", lambda x: x["line"]), "\n"),
+                                    F.lit("\n")).alias("text"),
+                           F.get(F.col("_l"), 0)["line"].alias("first_line"),
+                           F.floor(F.col("block_id") / BLOCKS_PER_FILE).cast("int").alias("file_no")))
+    planned = blocks.repartition("crawl", "file_no").sortWithinPartitions("crawl", "file_no", "block_id")
+    base, rejects = root, with_rejects
+
+    def write(batches):
+        import gzip
+        import os
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+
+        def open_out(path):
+            path = _local(path)
+            if "://" in path:
+                fs, p = pafs.FileSystem.from_uri(path)
+                return fs.open_output_stream(p, compression=None)
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            return pafs.LocalFileSystem().open_output_stream(path, compression=None)
+
+        cur, fh, pos, idx = None, None, 0, []
+        done = {"crawl": [], "file": [], "blocks": []}
+
+        def finish():
+            if fh is None:
+                return
+            fh.close()
+            ih = open_out(INDEX_TEMPLATE.format(base=base, crawl=cur[0]) + f"/part-{cur[1]:05d}.tsv")
+            ih.write("".join(idx).encode("utf-8"))
+            ih.close()
+            done["crawl"].append(cur[0])
+            done["file"].append(f"cdx-{cur[1]:05d}.gz")
+            done["blocks"].append(len(idx) // (2 if rejects else 1))
+
+        for b in batches:
+            d = b.to_pydict()
+            for i in range(b.num_rows):
+                key = (d["crawl"][i], d["file_no"][i])
+                if key != cur:
+                    finish()
+                    cur, pos, idx = key, 0, []
+                    fh = open_out(BLOCK_TEMPLATE.format(base=base, crawl=key[0], file=f"cdx-{key[1]:05d}.gz"))
+                member = gzip.compress(d["text"][i].encode("utf-8"), mtime=0)
+                fh.write(member)
+                start = " ".join(d["first_line"][i].split(" ")[:2])
+                fname, bid = f"cdx-{key[1]:05d}.gz", d["block_id"][i] + 1
+                idx.append(f"{start}\t{fname}\t{pos}\t{len(member)}\t{bid}\n")
+                if rejects:
+                    idx.append({1: f"{start}\t{fname}\t{pos}\n",
+                                2: f"{start}\t{fname}\tx\t{len(member)}\t{bid}\n",
+                                3: f"{start}\t{fname}\t{pos}\t\t{bid}\n",
+                                0: f"\"{start}\t{fname}\t{pos}\t{len(member)}\t{bid}\n"}[bid % 4])
+                pos += len(member)
+        finish()
+        yield pa.RecordBatch.from_pydict(done, schema=pa.schema(
+            [("crawl", pa.string()), ("file", pa.string()), ("blocks", pa.int64())]))
+
+    (planned.mapInArrow(write, "crawl string, file string, blocks bigint")
+            .write.mode("overwrite").parquet(f"{root}/blocks_written"))
+
+
+def warc_records(pages: DataFrame) -> DataFrame:
+    """Per page three archive records (request, response, metadata) as text."""
+    pid = F.col("page_id")
+    crlf = "\r\n"
+    msgs = http_messages(pages)
+    path = F.regexp_extract("url", r"^[a-z]+://[^/]+(/.*)$", 1)
+    host = F.regexp_extract("url", r"^[a-z]+://([^/]+)", 1)
+    req = F.concat(F.lit("GET "), path, F.lit(" HTTP/1.1" + crlf + "Host: "), host, F.lit(crlf + crlf))
+    meta = F.concat(F.lit("fetchTimeMs: "), (pid % 997).cast("string"), F.lit(crlf))
+    recs = F.array(
+        F.struct(F.lit(0).alias("record_no"), F.lit("request").alias("warc_type"), req.alias("payload")),
+        F.struct(F.lit(1).alias("record_no"), F.lit("response").alias("warc_type"), F.col("raw").alias("payload")),
+        F.struct(F.lit(2).alias("record_no"), F.lit("metadata").alias("warc_type"), meta.alias("payload")))
+    return (msgs.select(pid, "url", F.concat(F.lit("warc/"), (pid % 8).cast("string"), F.lit(".warc.gz")).alias("filename"),
+                        F.explode(recs).alias("r"))
+                .select("page_id", "url", "filename", "r.record_no", "r.warc_type", "r.payload"))
+
+
+def write_warc(pages: DataFrame, root: str) -> DataFrame:
+    """Write the `warc` fixture; returns the manifest (filename, offset,
+    length, page_id) with one range per page covering its three records."""
+    recs = warc_records(pages).repartition("filename").sortWithinPartitions("filename", "page_id", "record_no")
+    base = root
+
+    def write(batches):
+        import gzip
+        import os
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        fs = pafs.LocalFileSystem() if "://" not in base else pafs.FileSystem.from_uri(base)[0]
+        cur, fh, pos = None, None, 0
+        out = {k: [] for k in ("filename", "page_id", "record_no", "offset", "length")}
+        for b in batches:
+            d = b.to_pydict()
+            for i in range(b.num_rows):
+                fname = d["filename"][i]
+                if fname != cur:
+                    if fh is not None:
+                        fh.close()
+                    path = _local(WARC_TEMPLATE.format(base=base, file=fname))
+                    if "://" not in path:
+                        os.makedirs(os.path.dirname(path), exist_ok=True)
+                    fh = fs.open_output_stream(path if "://" not in path else path.split("://", 1)[1], compression=None)
+                    cur, pos = fname, 0
+                payload = d["payload"][i].encode("utf-8")
+                head = (f"WARC/1.0\r\nWARC-Type: {d['warc_type'][i]}\r\nWARC-Target-URI: {d['url'][i]}\r\n"
+                        f"WARC-Record-ID: <urn:rec:{d['page_id'][i]}:{d['record_no'][i]}>\r\n"
+                        f"Content-Length: {len(payload)}\r\n\r\n").encode("utf-8")
+                member = gzip.compress(head + payload + b"\r\n\r\n", mtime=0)
+                fh.write(member)
+                out["filename"].append(fname)
+                out["page_id"].append(d["page_id"][i])
+                out["record_no"].append(d["record_no"][i])
+                out["offset"].append(pos)
+                out["length"].append(len(member))
+                pos += len(member)
+        if fh is not None:
+            fh.close()
+        if out["filename"]:
+            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
+                ("filename", pa.string()), ("page_id", pa.int64()), ("record_no", pa.int32()),
+                ("offset", pa.int64()), ("length", pa.int64())]))
+
+    members = recs.mapInArrow(write, "filename string, page_id bigint, record_no int, offset bigint, length bigint")
+    manifest_path = f"{root}/warc_manifest"
+    (members.groupBy("filename", "page_id")
+            .agg(F.min("offset").alias("offset"), F.sum("length").alias("length"))
+            .write.mode("overwrite").parquet(manifest_path))
+    return pages.sparkSession.read.parquet(manifest_path)

@@ -247,3 +247,97 @@ SELECT coalesce(surt_url, 'unknown') AS url, coalesce("timestamp", 'unknown') AS
 FROM docs
 WHERE coalesce(regexp_matches(full_text, '[^{WS[1:]}'), false) AND length(full_text) BETWEEN 500 AND 1000000"""),
 })
+
+
+_BLOCKS = """
+, blk AS (
+  SELECT crawl, crawl_rank, CAST(block_id + 1 AS BIGINT) AS bid, line_no, line,
+         'cdx-' || lpad(CAST(block_id // 4096 AS VARCHAR), 5, '0') || '.gz' AS cdx_filename
+  FROM cdx),
+blk_idx AS (
+  SELECT crawl, any_value(crawl_rank) AS crawl_rank, bid, any_value(cdx_filename) AS cdx_filename,
+         split_part(min_by(line, line_no), ' ', 1) AS start_key,
+         split_part(min_by(line, line_no), ' ', 2) AS start_ts
+  FROM blk GROUP BY crawl, bid)
+"""
+
+_HTTP_RAW_P = _HTTP_RAW.replace("html", "p.html").replace("page_id", "p.page_id")
+
+_RECORDS = f"""
+WITH raw AS (
+  SELECT page_id, url, 'warc/' || CAST(page_id % 8 AS VARCHAR) || '.warc.gz' AS filename,
+         {_HTTP_RAW} AS raw,
+         'GET ' || regexp_extract(url, '^[a-z]+://[^/]+(/.*)$', 1) || ' HTTP/1.1' || chr(13) || chr(10) || 'Host: '
+           || regexp_extract(url, '^[a-z]+://([^/]+)', 1) || chr(13) || chr(10) || chr(13) || chr(10) AS req,
+         'fetchTimeMs: ' || CAST(page_id % 997 AS VARCHAR) || chr(13) || chr(10) AS meta
+  FROM pages),
+recs AS (
+  SELECT page_id, url, filename, 0 AS record_no, 'request' AS warc_type, req AS payload FROM raw
+  UNION ALL SELECT page_id, url, filename, 1, 'response', raw FROM raw
+  UNION ALL SELECT page_id, url, filename, 2, 'metadata', meta FROM raw),
+split AS (
+  SELECT *, regexp_extract(payload, '{_HTTP_RE}', 0) AS m FROM recs)
+"""
+
+ORACLE.update({
+    "block_index_scan": with_cdx(_BLOCKS + """
+SELECT crawl, start_key, start_ts, cdx_filename, bid AS block_id FROM blk_idx"""),
+    "block_index_rejects": with_cdx(_BLOCKS + """
+SELECT crawl, CASE bid % 4 WHEN 0 THEN '"' || start_key ELSE start_key END AS start_key,
+       CASE bid % 4 WHEN 1 THEN 'too_few_fields' WHEN 2 THEN 'bad_offset' WHEN 3 THEN 'bad_length'
+            ELSE 'valid_quoted' END AS reason
+FROM blk_idx"""),
+    "multi_crawl_union": with_cdx(_BLOCKS + """
+SELECT crawl, CAST(1 - crawl_rank AS INTEGER) AS crawl_rank, bid AS block_id, start_key FROM blk_idx"""),
+    "cdx_block_scan": with_cdx(_BLOCKS + """
+SELECT crawl, bid AS block_id,
+       CAST(row_number() OVER (PARTITION BY crawl, bid ORDER BY line_no) - 1 AS INTEGER) AS line_no, line
+FROM blk"""),
+    "block_limit": with_cdx(_BLOCKS + """
+SELECT crawl, bid AS block_id,
+       CAST(row_number() OVER (PARTITION BY crawl, bid ORDER BY line_no) - 1 AS INTEGER) AS line_no, line
+FROM blk WHERE bid <= 4"""),
+    "cdx_block_failures": with_cdx(_BLOCKS + """
+SELECT crawl, bid AS block_id,
+       CASE bid % 5 WHEN 1 THEN 'BadGzipFile' WHEN 2 THEN 'FileNotFoundError' ELSE 'EOFError' END AS error
+FROM blk_idx WHERE bid % 5 IN (1, 2, 3)"""),
+    "errors_by_type": with_cdx(_BLOCKS + """
+SELECT CASE bid % 5 WHEN 1 THEN 'BadGzipFile' WHEN 2 THEN 'FileNotFoundError' ELSE 'EOFError' END AS error_type,
+       CAST(count(*) AS BIGINT) AS n
+FROM blk_idx WHERE bid % 5 IN (1, 2, 3) GROUP BY 1"""),
+    "bytes_by_file": with_cdx(_BLOCKS + """
+SELECT crawl, cdx_filename AS file, CAST(count(DISTINCT bid) AS BIGINT) AS n_ranges,
+       CAST(sum(strlen(line) + 1) AS BIGINT) AS bytes_decompressed
+FROM blk GROUP BY crawl, cdx_filename"""),
+    "total_blocks": with_cdx(_BLOCKS + """
+SELECT crawl, CAST(max(bid) AS BIGINT) AS total_blocks FROM blk_idx GROUP BY crawl"""),
+    "batch_message_explode": with_cdx("""
+SELECT crawl, CAST((rn - 1) // 50 AS BIGINT) AS batch_no, CAST((rn - 1) % 50 AS INTEGER) AS item_no,
+       surt_url, "timestamp", json_extract_string(js, '$.url') AS url
+FROM (SELECT *, row_number() OVER (PARTITION BY crawl ORDER BY block_id, line_no) AS rn FROM kept)"""),
+    "warc_record_scan": _RECORDS + """
+SELECT page_id, filename, CAST(record_no AS INTEGER) AS record_no, warc_type, url AS target_uri,
+       CAST(strlen(payload) AS BIGINT) AS content_length,
+       CASE WHEN warc_type = 'response' AND m = '' THEN 'no_body' END AS error
+FROM split""",
+    "filter_warc_response": _RECORDS + """
+SELECT page_id, url AS target_uri, CASE WHEN m <> '' THEN substr(payload, length(m) + 1) END AS body,
+       CASE WHEN m = '' THEN 'no_body' END AS error
+FROM split WHERE warc_type = 'response'""",
+    "funnel_documents": _RECORDS + f"""
+, t AS (
+  SELECT filename, warc_type,
+         CASE WHEN warc_type = 'response' THEN {sql_flat_text("CASE WHEN m <> '' THEN substr(payload, length(m) + 1) END")} END AS text
+  FROM split),
+f AS (
+  SELECT *, coalesce(regexp_matches(text, '[^{WS[1:]}'), false) AS nb,
+         coalesce(length(text) BETWEEN 500 AND 1000000, false) AS kl FROM t)
+SELECT filename,
+       CAST(count(*) AS BIGINT) AS records_total,
+       CAST(count(*) FILTER (WHERE warc_type = 'response') AS BIGINT) AS responses,
+       CAST(count(*) FILTER (WHERE warc_type = 'response') AS BIGINT) AS extractions_attempted,
+       CAST(count(*) FILTER (WHERE warc_type = 'response' AND nb) AS BIGINT) AS extractions_nonblank,
+       CAST(count(*) FILTER (WHERE warc_type = 'response' AND nb AND NOT kl) AS BIGINT) AS filtered_length,
+       CAST(count(*) FILTER (WHERE warc_type = 'response' AND nb AND kl) AS BIGINT) AS extractions_successful
+FROM f GROUP BY filename""",
+})

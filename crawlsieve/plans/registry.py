@@ -16,7 +16,9 @@ from crawlsieve.functions import cdx as cdxf
 from crawlsieve.functions import text as textf
 from crawlsieve.operators import batching, dedup, extract, metrics
 from crawlsieve.plans import fixtures, index_stage
-from crawlsieve.session import apply_defaults
+from crawlsieve.session import apply_defaults, scratch_path
+from crawlsieve.sources import index as ixsrc
+from crawlsieve.sources import ranged
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -244,3 +246,141 @@ def kept_documents(spark, sf_dir, text_fn=None) -> DataFrame:
 def q_document_records(spark, sf_dir):
     """Document records (without tokens) of the whole chain."""
     return textf.document_records(kept_documents(spark, sf_dir), tokens=None)
+
+
+# --- sources: written block index + gzip blocks ------------------------------------
+
+CRAWLS = list(fixtures.CRAWLS)
+
+
+def _blocks_root(spark, sf_dir, with_rejects=False) -> str:
+    """Spark writes the `blocks` fixture derived from `pages` (an action)."""
+    root = scratch_path(spark, "blocks")
+    fixtures.write_blocks(fixtures.cdx_from_dir(spark, sf_dir), root, with_rejects=with_rejects)
+    return root
+
+
+def _index(spark, root, crawls=None, max_blocks=None) -> DataFrame:
+    return ixsrc.read_block_index(spark, crawls or CRAWLS, fixtures.INDEX_TEMPLATE, root, max_blocks)
+
+
+@register("block_index_scan")
+def q_block_index_scan(spark, sf_dir):
+    """Typed rows of the tab-separated block index."""
+    return _index(spark, _blocks_root(spark, sf_dir)).select(
+        "crawl", "start_key", "start_ts", "cdx_filename", "block_id")
+
+
+@register("block_index_rejects")
+def q_block_index_rejects(spark, sf_dir):
+    """Malformed index rows with a reason; quoted start keys stay valid."""
+    root = _blocks_root(spark, sf_dir, with_rejects=True)
+    rej = (ixsrc.block_index_rejects(spark, CRAWLS, fixtures.INDEX_TEMPLATE, root)
+           .select("crawl", F.get(F.split("raw", "[ \t]"), 0).alias("start_key"), "reason"))
+    quoted = (_index(spark, root).where(F.startswith("start_key", F.lit('"')))
+              .select("crawl", "start_key", F.lit("valid_quoted").alias("reason")))
+    return rej.unionByName(quoted)
+
+
+@register("multi_crawl_union")
+def q_multi_crawl_union(spark, sf_dir):
+    """One read over the crawls named by a messy argument list."""
+    spec = " CC-MAIN-2024-33, CC-MAIN-2024-30,, CC-MAIN-2024-33,bogus-2024"
+    return (ixsrc.read_block_index(spark, spec, fixtures.INDEX_TEMPLATE, _blocks_root(spark, sf_dir))
+            .select("crawl", "crawl_rank", "block_id", "start_key"))
+
+
+def _lines(spark, root, max_blocks=None) -> DataFrame:
+    return ranged.block_lines(ranged.read_blocks(_index(spark, root, max_blocks=max_blocks),
+                                                 fixtures.BLOCK_TEMPLATE, root))
+
+
+@register("cdx_block_scan")
+def q_cdx_block_scan(spark, sf_dir):
+    """S3: every index block fetched by byte range, gunzipped, split into lines."""
+    return _lines(spark, _blocks_root(spark, sf_dir))
+
+
+@register("block_limit")
+def q_block_limit(spark, sf_dir):
+    """Only blocks with id <= 4 are fetched."""
+    return _lines(spark, _blocks_root(spark, sf_dir), max_blocks=4)
+
+
+def _damaged_fetch(spark, sf_dir) -> DataFrame:
+    """S4 input: the index with ranges damaged by block id modulo 5
+    (1: offset + 1, 2: missing file, 3: length past the end)."""
+    root = _blocks_root(spark, sf_dir)
+    bid = F.col("block_id")
+    idx = (_index(spark, root)
+           .withColumn("cdx_offset", F.when(bid % 5 == 1, F.col("cdx_offset") + 1).otherwise(F.col("cdx_offset")))
+           .withColumn("cdx_filename", F.when(bid % 5 == 2, F.lit("missing.gz")).otherwise(F.col("cdx_filename")))
+           .withColumn("cdx_length", F.when(bid % 5 == 3, F.col("cdx_length") + 1000000).otherwise(F.col("cdx_length"))))
+    return ranged.read_blocks(idx, fixtures.BLOCK_TEMPLATE, root)
+
+
+@register("cdx_block_failures")
+def q_cdx_block_failures(spark, sf_dir):
+    """Failed blocks are labelled, the others still yield their lines."""
+    blocks = _damaged_fetch(spark, sf_dir)
+    return blocks.where(F.col("error").isNotNull()).select("crawl", "block_id", "error")
+
+
+@register("errors_by_type")
+def q_errors_by_type(spark, sf_dir):
+    """A3: failures per error type."""
+    return metrics.errors_by_type(_damaged_fetch(spark, sf_dir))
+
+
+@register("bytes_by_file")
+def q_bytes_by_file(spark, sf_dir):
+    """A4: ranges and decompressed bytes per index file (compressed kept too)."""
+    root = _blocks_root(spark, sf_dir)
+    blocks = ranged.read_blocks(_index(spark, root), fixtures.BLOCK_TEMPLATE, root)
+    return (metrics.bytes_by_file(blocks, "cdx_filename", "cdx_length", "n_bytes", group=("crawl",))
+            .drop("bytes_compressed"))
+
+
+@register("total_blocks")
+def q_total_blocks(spark, sf_dir):
+    """A5: highest block id per crawl."""
+    return metrics.total_blocks(_index(spark, _blocks_root(spark, sf_dir)))
+
+
+@register("batch_message_explode")
+def q_batch_message_explode(spark, sf_dir):
+    """Batch messages decoded back into one row per entry."""
+    msgs = batching.batch_messages(_b1(spark, sf_dir))
+    return (ixsrc.explode_batch_messages(msgs)
+            .select("crawl", "batch_no", "item_no", "surt_url", "timestamp", cdxf.meta("url").alias("url")))
+
+
+# --- sources: archive records ---------------------------------------------------
+
+def _records(spark, sf_dir) -> DataFrame:
+    root = scratch_path(spark, "warc")
+    manifest = fixtures.write_warc(_pages(spark, sf_dir), root)
+    return ranged.read_archive_records(manifest, fixtures.WARC_TEMPLATE, root, carry=("page_id",))
+
+
+@register("warc_record_scan")
+def q_warc_record_scan(spark, sf_dir):
+    """All records of every fetched range."""
+    return _records(spark, sf_dir).select("page_id", "filename", "record_no", "warc_type", "target_uri",
+                                          "content_length", "error")
+
+
+@register("filter_warc_response")
+def q_filter_warc_response(spark, sf_dir):
+    """F6 + P4: response records with their HTTP body."""
+    return (ranged.filter_warc_response(_records(spark, sf_dir))
+            .select("page_id", "target_uri", "body", "error"))
+
+
+@register("funnel_documents")
+def q_funnel_documents(spark, sf_dir):
+    """A2: per archive file: records, responses, extractions, length drops."""
+    recs = (_records(spark, sf_dir)
+            .withColumn("text", F.when(F.col("warc_type") == "response", textf.flat_text("body")))
+            .withColumn("keep_length", textf.length_ok("text")))
+    return metrics.funnel_documents(recs)
