@@ -341,3 +341,51 @@ SELECT filename,
        CAST(count(*) FILTER (WHERE warc_type = 'response' AND nb AND kl) AS BIGINT) AS extractions_successful
 FROM f GROUP BY filename""",
 })
+
+
+_FOLD = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, doc_id % 4 AS lane, length(text) AS len,
+         row_number() OVER (PARTITION BY doc_id % 4 ORDER BY doc_id) AS rn
+  FROM documents WHERE length(text) BETWEEN 500 AND 1000000),
+f(lane, rn, doc_id, len, batch_no, docs, size) AS (
+  SELECT lane, rn, doc_id, len, 0, 1, len * 1.5 FROM d WHERE rn = 1
+  UNION ALL
+  SELECT d.lane, d.rn, d.doc_id, d.len,
+         CASE WHEN f.docs >= 10 OR f.size >= 40000 THEN f.batch_no + 1 ELSE f.batch_no END,
+         CASE WHEN f.docs >= 10 OR f.size >= 40000 THEN 1 ELSE f.docs + 1 END,
+         CASE WHEN f.docs >= 10 OR f.size >= 40000 THEN d.len * 1.5 ELSE f.size + d.len * 1.5 END
+  FROM f JOIN d ON d.lane = f.lane AND d.rn = f.rn + 1)
+"""
+
+ORACLE.update({
+    "batch_threshold": _FOLD + "SELECT doc_id, lane, CAST(batch_no AS BIGINT) AS upload_batch_no FROM f",
+    "batch_stats": _FOLD + """
+SELECT lane, CAST(batch_no AS BIGINT) AS upload_batch_no, CAST(count(*) AS BIGINT) AS n_items,
+       CAST(sum(len * 1.5) AS DOUBLE) AS est_bytes
+FROM f GROUP BY lane, batch_no""",
+})
+
+
+_DOC_SQL = ORACLE["document_records"]
+
+ORACLE.update({
+    "document_sink_roundtrip": _DOC_SQL.replace(
+        "CAST(length(full_text) AS INTEGER) AS char_count, filename",
+        "CAST(length(full_text) AS INTEGER) AS char_count, filename, substr(\"timestamp\", 1, 4) AS year, "
+        "substr(\"timestamp\", 5, 2) AS month, substr(\"timestamp\", 7, 2) AS day, true AS token_count_ok"),
+    "batch_sink_roundtrip": ORACLE["batch_message_explode"],
+    "resume_pending_blocks": with_cdx(_BLOCKS + """
+SELECT crawl, bid AS block_id FROM blk_idx WHERE bid % 5 IN (1, 2, 3)"""),
+    "crawl_progress": with_cdx(_BLOCKS + """
+SELECT crawl, CAST(count(*) AS BIGINT) AS total_blocks,
+       CAST(count(*) FILTER (WHERE bid % 5 NOT IN (1, 2, 3)) AS BIGINT) AS done_blocks,
+       CAST(round(100.0 * count(*) FILTER (WHERE bid % 5 NOT IN (1, 2, 3)) / count(*), 4) AS DOUBLE) AS progress_percent
+FROM blk_idx GROUP BY crawl"""),
+    "crawl_status": with_cdx(_BLOCKS + """
+SELECT crawl, CASE WHEN any_value(crawl_rank) = 1 THEN 'pending'
+                   WHEN count(*) FILTER (WHERE bid % 5 IN (1, 2, 3)) > 0 THEN 'error' ELSE 'completed' END AS status
+FROM blk_idx GROUP BY crawl"""),
+})
+ORACLE["run_summary"] = ORACLE["crawl_status"].replace(
+    "SELECT crawl, CASE", "SELECT status, CAST(count(*) AS BIGINT) AS n_crawls FROM (SELECT crawl, CASE", 1) + ") GROUP BY status"

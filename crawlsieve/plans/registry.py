@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from crawlsieve.functions import cdx as cdxf
 from crawlsieve.functions import text as textf
-from crawlsieve.operators import batching, dedup, extract, metrics
+from crawlsieve.operators import batching, dedup, extract, ledger, metrics, tokenize
 from crawlsieve.plans import fixtures, index_stage
 from crawlsieve.session import apply_defaults, scratch_path
 from crawlsieve.sources import index as ixsrc
-from crawlsieve.sources import ranged
+from crawlsieve.sources import ranged, sinks
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -307,16 +307,22 @@ def q_block_limit(spark, sf_dir):
     return _lines(spark, _blocks_root(spark, sf_dir), max_blocks=4)
 
 
-def _damaged_fetch(spark, sf_dir) -> DataFrame:
+def _damaged_run(spark, sf_dir):
     """S4 input: the index with ranges damaged by block id modulo 5
-    (1: offset + 1, 2: missing file, 3: length past the end)."""
+    (1: offset + 1, 2: missing file, 3: length past the end).
+    Returns (index, fetched blocks)."""
     root = _blocks_root(spark, sf_dir)
     bid = F.col("block_id")
-    idx = (_index(spark, root)
+    index = _index(spark, root)
+    idx = (index
            .withColumn("cdx_offset", F.when(bid % 5 == 1, F.col("cdx_offset") + 1).otherwise(F.col("cdx_offset")))
            .withColumn("cdx_filename", F.when(bid % 5 == 2, F.lit("missing.gz")).otherwise(F.col("cdx_filename")))
            .withColumn("cdx_length", F.when(bid % 5 == 3, F.col("cdx_length") + 1000000).otherwise(F.col("cdx_length"))))
-    return ranged.read_blocks(idx, fixtures.BLOCK_TEMPLATE, root)
+    return index, ranged.read_blocks(idx, fixtures.BLOCK_TEMPLATE, root)
+
+
+def _damaged_fetch(spark, sf_dir) -> DataFrame:
+    return _damaged_run(spark, sf_dir)[1]
 
 
 @register("cdx_block_failures")
@@ -384,3 +390,111 @@ def q_funnel_documents(spark, sf_dir):
             .withColumn("text", F.when(F.col("warc_type") == "response", textf.flat_text("body")))
             .withColumn("keep_length", textf.length_ok("text")))
     return metrics.funnel_documents(recs)
+
+
+# --- tokens, upload batches -------------------------------------------------------
+
+VOCAB_SIZE = 8000
+
+
+@register("tokenize_documents")
+def q_tokenize_documents(spark, sf_dir):
+    """Documents kept by the length filter, tokenized with a vocabulary
+    fitted on the same table (ids of [CLS] ... [SEP], at most 512)."""
+    docs = textf.filter_length(_documents(spark, sf_dir), "text")
+    vocab = tokenize.fit_vocab(docs, "text", VOCAB_SIZE)
+    toks = tokenize.tokenize(docs.select("doc_id", "text"), vocab, text="text")
+    return toks.select("doc_id", F.size("tokens").cast("int").alias("token_count"),
+                       F.get("tokens", 0).alias("first_id"),
+                       F.element_at("tokens", -1).alias("last_id"))
+
+
+def _lanes(spark, sf_dir) -> DataFrame:
+    """FIXTURES `lanes`: documents kept by F8, lane = doc_id % 4."""
+    docs = textf.filter_length(_documents(spark, sf_dir), "text")
+    return docs.select("doc_id", (F.col("doc_id") % 4).alias("lane"), "text")
+
+
+def _upload_batches(spark, sf_dir) -> DataFrame:
+    return batching.batch_threshold(_lanes(spark, sf_dir), lane="lane", order=("doc_id",), text="text",
+                                    max_docs=10, max_bytes=40000)
+
+
+@register("batch_threshold")
+def q_batch_threshold(spark, sf_dir):
+    """Threshold upload batches (10 docs / 40,000 estimated bytes) per lane."""
+    return _upload_batches(spark, sf_dir).select("doc_id", "lane", "upload_batch_no")
+
+
+@register("batch_stats")
+def q_batch_stats(spark, sf_dir):
+    """Documents and estimated bytes per upload batch."""
+    return (batching.batch_stats(_upload_batches(spark, sf_dir), group=("lane", "upload_batch_no"), text="text")
+            .select("lane", "upload_batch_no", F.col("n_items").cast("bigint"), F.col("est_bytes").cast("double")))
+
+
+# --- sinks and run state ------------------------------------------------------------
+
+def documents_with_tokens(spark, sf_dir) -> DataFrame:
+    """The full worker chain: kept entries -> text -> filters -> tokens -> records."""
+    docs = kept_documents(spark, sf_dir)
+    vocab = tokenize.fit_vocab(docs, "full_text", VOCAB_SIZE)
+    return textf.document_records(tokenize.tokenize(docs, vocab, text="full_text"))
+
+
+@register("document_sink_roundtrip")
+def q_document_sink_roundtrip(spark, sf_dir):
+    """K1: documents written as date-partitioned gzip Parquet and read back."""
+    path = scratch_path(spark, "documents")
+    sinks.write_documents(documents_with_tokens(spark, sf_dir), path, date_from="timestamp", mode="overwrite")
+    back = sinks.read_documents(spark, path)
+    return back.select("url", "timestamp", "full_text", "char_count", "filename", "year", "month", "day",
+                       (F.col("token_count") == F.size("tokens")).alias("token_count_ok"))
+
+
+@register("batch_sink_roundtrip")
+def q_batch_sink_roundtrip(spark, sf_dir):
+    """K2: batch messages written per crawl and decoded again."""
+    path = scratch_path(spark, "batches")
+    sinks.write_batches(batching.batch_messages(_b1(spark, sf_dir)), path, mode="overwrite")
+    return (ixsrc.explode_batch_messages(sinks.read_batches(spark, path))
+            .select("crawl", "batch_no", "item_no", "surt_url", "timestamp", cdxf.meta("url").alias("url")))
+
+
+def _ledger_run(spark, sf_dir):
+    index, blocks = _damaged_run(spark, sf_dir)
+    return index, ledger.block_ledger(blocks, run_id="run-1")
+
+
+@register("resume_pending_blocks")
+def q_resume_pending_blocks(spark, sf_dir):
+    """K3: after a run with failed blocks, the blocks the next run fetches."""
+    index, led = _ledger_run(spark, sf_dir)
+    return ledger.pending_blocks(index, led).select("crawl", "block_id")
+
+
+@register("crawl_progress")
+def q_crawl_progress(spark, sf_dir):
+    """Done / total blocks per crawl."""
+    index, led = _ledger_run(spark, sf_dir)
+    return ledger.crawl_progress(index, led)
+
+
+def _crawl_status(spark, sf_dir) -> DataFrame:
+    index, led = _ledger_run(spark, sf_dir)
+    events = ledger.status_events_from_ledger(led)
+    later = F.lit("2024-01-02 00:00:00")
+    resets = ledger.reset_events(index.where("crawl_rank = 1").select("crawl").distinct(), later)
+    return ledger.current_crawl_status(events.unionByName(resets))
+
+
+@register("crawl_status")
+def q_crawl_status(spark, sf_dir):
+    """K4 + K5: latest status per crawl; the second crawl was reset."""
+    return _crawl_status(spark, sf_dir)
+
+
+@register("run_summary")
+def q_run_summary(spark, sf_dir):
+    """Crawls per status."""
+    return ledger.run_summary(_crawl_status(spark, sf_dir))
