@@ -389,3 +389,21 @@ FROM blk_idx GROUP BY crawl"""),
 })
 ORACLE["run_summary"] = ORACLE["crawl_status"].replace(
     "SELECT crawl, CASE", "SELECT status, CAST(count(*) AS BIGINT) AS n_crawls FROM (SELECT crawl, CASE", 1) + ") GROUP BY status"
+
+
+ORACLE.update({
+    "worker_stream": with_cdx(f"""
+, docs AS (
+  SELECT k.surt_url, k."timestamp", 'warc/' || CAST(p.page_id % 8 AS VARCHAR) || '.warc.gz' AS filename, p.raw,
+         regexp_extract(p.raw, '{_HTTP_RE}', 0) AS m
+  FROM kept k JOIN (SELECT page_id, url, {_HTTP_RAW} AS raw FROM pages) p
+    ON p.url = json_extract_string(k.js, '$.url')),
+txt AS (
+  SELECT surt_url, "timestamp", filename, {sql_flat_text('substr(raw, length(m) + 1)')} AS full_text
+  FROM docs WHERE m <> '')
+SELECT surt_url AS url, "timestamp", full_text, CAST(length(full_text) AS INTEGER) AS char_count, filename,
+       true AS token_count_ok
+FROM txt
+WHERE coalesce(regexp_matches(full_text, '[^{WS[1:]}'), false) AND length(full_text) BETWEEN 500 AND 1000000"""),
+    "stream_dedup": ORACLE["dedup_first_seen"],
+})

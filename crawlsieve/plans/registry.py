@@ -498,3 +498,91 @@ def q_crawl_status(spark, sf_dir):
 def q_run_summary(spark, sf_dir):
     """Crawls per status."""
     return ledger.run_summary(_crawl_status(spark, sf_dir))
+
+
+# --- streaming -----------------------------------------------------------------------
+
+STREAM_TIMEOUT_S = 600
+
+
+def _await(q):
+    try:
+        if not q.awaitTermination(STREAM_TIMEOUT_S):
+            raise TimeoutError(f"stream {q.name} did not finish in {STREAM_TIMEOUT_S}s")
+    finally:
+        if q.isActive:
+            q.stop()
+
+
+def _batches_with_archive_ranges(spark, sf_dir):
+    """K2 input for the worker: kept entries whose metadata points at the
+    archive records Spark wrote for their pages (S5 fixture)."""
+    from crawlsieve.streaming import worker  # noqa: F401
+    warc_root = scratch_path(spark, "warc")
+    manifest = fixtures.write_warc(_pages(spark, sf_dir), warc_root)
+    kept = dedup.dedup_first_seen(_passed(spark, sf_dir)).withColumn("url", cdxf.meta("url"))
+    ranges = (_pages(spark, sf_dir).select("page_id", "url").join(manifest, "page_id")
+              .select("url", "filename", "offset", "length"))
+    moved = ["filename", "offset", "length"]
+    entries = (kept.join(ranges.withColumnRenamed("filename", "_f").withColumnRenamed("offset", "_o")
+                         .withColumnRenamed("length", "_l"), "url")
+               .withColumn("metadata", F.map_concat(
+                   F.map_filter("metadata", lambda k, v: ~k.isin(*moved)),
+                   F.create_map(F.lit("filename"), F.col("_f"), F.lit("offset"), F.col("_o").cast("string"),
+                                F.lit("length"), F.col("_l").cast("string"))))
+               .drop("_f", "_o", "_l", "url"))
+    batches_dir = scratch_path(spark, "batches")
+    sinks.write_batches(batching.batch_messages(batching.batch_fixed_size(entries, 50)), batches_dir,
+                        mode="overwrite")
+    return batches_dir, warc_root
+
+
+def _run_worker(spark, sf_dir):
+    from crawlsieve.streaming import worker
+    batches_dir, warc_root = _batches_with_archive_ranges(spark, sf_dir)
+    vocab = tokenize.fit_vocab(_documents(spark, sf_dir), "text", VOCAB_SIZE)
+    out = scratch_path(spark, "worker_out")
+    q = worker.start_worker(spark, batches_dir, out, scratch_path(spark, "worker_ckpt"),
+                            fixtures.WARC_TEMPLATE, warc_root, vocab, max_files_per_trigger=1)
+    _await(q)
+    return out
+
+
+@register("worker_stream")
+def q_worker_stream(spark, sf_dir):
+    """The streaming worker over the batches folder; read back."""
+    from crawlsieve.streaming import worker
+    out = _run_worker(spark, sf_dir)
+    return (worker.read_worker_output(spark, out)
+            .select("url", "timestamp", "full_text", "char_count", "filename",
+                    (F.col("token_count") == F.size("tokens")).alias("token_count_ok")))
+
+
+@register("sink_audit")
+def q_sink_audit(spark, sf_dir):
+    """A10: micro-batches and rows written by the worker sink, per status."""
+    from crawlsieve.streaming import worker
+    out = _run_worker(spark, sf_dir)
+    return (worker.read_audit(spark, f"{out}_audit").groupBy("status")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("batches"), F.sum("rows").cast("bigint").alias("rows")))
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf_dir):
+    """T5: the index stage as a stream (one file per crawl, in crawl order),
+    deduplicated per micro-batch against the persisted seen keys."""
+    from crawlsieve.streaming import worker
+    lines_dir = scratch_path(spark, "lines")
+    lines = fixtures.cdx_from_dir(spark, sf_dir)
+    for c in fixtures.CRAWLS:  # file arrival order = crawl order (fixture only)
+        lines.where(F.col("crawl") == c).coalesce(1).write.mode("append").parquet(lines_dir)
+    out, seen = scratch_path(spark, "dedup_out"), scratch_path(spark, "seen")
+
+    def parse(df):
+        return (index_stage.parsed_lines(df).where("outcome = 'pass'")
+                .select(*index_stage.LINEAGE, "surt_url", "timestamp", "metadata"))
+
+    q = worker.start_index_dedup(spark, lines_dir, out, seen, scratch_path(spark, "dedup_ckpt"), parse)
+    _await(q)
+    return (spark.read.parquet(out)
+            .select(*KEYS, "crawl_rank", "surt_url", "timestamp", cdxf.meta("url").alias("url")))
