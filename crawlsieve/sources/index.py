@@ -17,14 +17,24 @@ from crawlsieve.schemas import BATCH_MESSAGE, BLOCK_INDEX_RAW
 DEFAULT_INDEX_TEMPLATE = "{base}/cc-index/collections/{crawl}/indexes/cluster.idx"
 
 
-def _read_raw(spark: SparkSession, paths) -> DataFrame:
+def _read_raw(spark: SparkSession, paths, sep: str = "tab") -> DataFrame:
     """Lines split on tab: no quote handling at all, exact field counts
-    (a missing field is NULL, an empty one is ``''``)."""
-    parts = F.split(F.col("value"), "\t")
-    return (spark.read.text(paths)
-            .where(F.col("value") != "")
-            .select(*[F.get(parts, i).alias(f.name) for i, f in enumerate(BLOCK_INDEX_RAW.fields)],
-                    F.size(parts).alias("n_fields"), F.col("_metadata.file_path").alias("_file")))
+    (a missing field is NULL, an empty one is ``''``).  ``sep='whitespace'``
+    reads the blank-separated form (6 tokens: key, timestamp, file, offset,
+    length, id)."""
+    raw = spark.read.text(paths).where(F.col("value") != "")
+    if sep == "tab":
+        parts = F.split(F.col("value"), "\t")
+        cols = [F.get(parts, i) for i in range(5)]
+        n = F.size(parts)
+    elif sep == "whitespace":
+        parts = F.split(F.trim(F.col("value")), "\\s+")
+        cols = [F.concat_ws(" ", F.get(parts, 0), F.get(parts, 1))] + [F.get(parts, i) for i in range(2, 6)]
+        n = F.size(parts) - 1
+    else:
+        raise ValueError(f"sep must be 'tab' or 'whitespace', got {sep!r}")
+    return raw.select(*[c.alias(f.name) for c, f in zip(cols, BLOCK_INDEX_RAW.fields)],
+                      n.alias("n_fields"), F.col("_metadata.file_path").alias("_file"))
 
 
 def _typed(raw: DataFrame) -> DataFrame:
@@ -63,11 +73,11 @@ def crawl_table(spark: SparkSession, crawls) -> DataFrame:
                                  "crawl string, crawl_rank int")
 
 
-def _tagged(spark: SparkSession, crawls, template: str, base: str) -> DataFrame:
+def _tagged(spark: SparkSession, crawls, template: str, base: str, sep: str = "tab") -> DataFrame:
     """One read over every crawl's index, each row tagged (crawl, crawl_rank)."""
     pairs = [(c, i, template.format(base=base, crawl=c)) for i, c in enumerate(crawl_names(crawls))]
     paths = [p for _, _, p in pairs]
-    raw = _read_raw(spark, paths)
+    raw = _read_raw(spark, paths, sep)
     # Map file -> crawl with a tiny broadcast table (one row per crawl named
     # by the caller, so its size is bounded by the argument list).
     prefixes = spark.createDataFrame(
@@ -79,13 +89,13 @@ def _tagged(spark: SparkSession, crawls, template: str, base: str) -> DataFrame:
 
 
 def read_block_index(spark: SparkSession, crawls, template: str = DEFAULT_INDEX_TEMPLATE,
-                     base: str = "", max_blocks: int | None = None) -> DataFrame:
+                     base: str = "", max_blocks: int | None = None, sep: str = "tab") -> DataFrame:
     """S1 + S7 (+ S8): typed index rows of every named crawl.
 
     ``max_blocks`` keeps blocks with id <= n before any fetch (S8); it is a
     predicate on the index, not an unordered ``limit``.
     """
-    typed = _typed(_tagged(spark, crawls, template, base)).where(_valid())
+    typed = _typed(_tagged(spark, crawls, template, base, sep)).where(_valid())
     if max_blocks is not None:
         typed = typed.where(F.col("block_id") <= F.lit(max_blocks))
     return typed.select("crawl", "crawl_rank", "start_key", "start_ts", "cdx_filename",
