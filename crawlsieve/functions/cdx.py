@@ -45,7 +45,10 @@ def parse_cdx_line(df: DataFrame, line: str = "line", squash_spaces: bool = Fals
 
 
 def meta(key: str, metadata: str = "metadata") -> Column:
-    return F.try_element_at(F.col(metadata), F.lit(key))
+    """Value of ``key``; with duplicate JSON keys the last one wins (as a
+    JSON object decoder does), not the first map entry."""
+    vals = F.map_values(F.map_filter(F.col(metadata), lambda k, v: k == F.lit(key)))
+    return F.try_element_at(vals, F.lit(-1))
 
 
 # --- P2: typed metadata projection ---------------------------------------
