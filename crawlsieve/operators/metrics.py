@@ -25,6 +25,8 @@ def funnel_index(with_outcome: DataFrame, group=("crawl",), surt: str = "surt_ur
     is needed, so D1 runs on a narrow (key, order, crawl) projection.
     """
     g = list(group)
+    if dedup and g == ["crawl"] and order[0] == "crawl_rank":
+        return _funnel_by_rank(with_outcome, surt)
     counts = with_outcome.groupBy(*g).agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(F.col("outcome") == o).alias(o) for o in INDEX_OUTCOMES],
@@ -45,6 +47,24 @@ def funnel_index(with_outcome: DataFrame, group=("crawl",), surt: str = "surt_ur
                          F.col("_kept").cast("bigint").alias("kept"))
 
 
+def _funnel_by_rank(with_outcome: DataFrame, surt: str) -> DataFrame:
+    """Fast path when the first-seen order starts with the crawl rank: the
+    winning crawl of a URL is its minimum rank, so D1 for counting is a
+    fixed-width ``min(int)`` hash aggregation (partial, no sort)."""
+    counts = with_outcome.groupBy("crawl", "crawl_rank").agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.col("outcome") == o).alias(o) for o in INDEX_OUTCOMES],
+        F.count_if(F.col("outcome") == "pass").alias("_pass"))
+    winners = (with_outcome.where(F.col("outcome") == "pass")
+               .groupBy(normalize_surt(surt).alias("_k")).agg(F.min("crawl_rank").alias("crawl_rank"))
+               .groupBy("crawl_rank").agg(F.count(F.lit(1)).alias("_kept")))
+    counts = counts.join(winners, "crawl_rank", "left").withColumn("_kept", F.coalesce("_kept", F.lit(0)))
+    return counts.select("crawl", F.col("total").cast("bigint"),
+                         *[F.col(o).cast("bigint") for o in INDEX_OUTCOMES],
+                         (F.col("_pass") - F.col("_kept")).cast("bigint").alias("duplicate"),
+                         F.col("_kept").cast("bigint").alias("kept"))
+
+
 def observe_funnel(with_outcome: DataFrame, name: str = "index_funnel"):
     """Attach live counters to a DataFrame; read ``obs.get`` after an action."""
     obs = Observation(name)

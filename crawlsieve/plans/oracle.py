@@ -407,3 +407,6 @@ FROM txt
 WHERE coalesce(regexp_matches(full_text, '[^{WS[1:]}'), false) AND length(full_text) BETWEEN 500 AND 1000000"""),
     "stream_dedup": ORACLE["dedup_first_seen"],
 })
+
+ORACLE["batcher_job"] = ORACLE["batch_message_explode"]
+ORACLE["worker_job"] = ORACLE["worker_stream"]

@@ -586,3 +586,30 @@ def q_stream_dedup(spark, sf_dir):
     _await(q)
     return (spark.read.parquet(out)
             .select(*KEYS, "crawl_rank", "surt_url", "timestamp", cdxf.meta("url").alias("url")))
+
+
+# --- whole stages as jobs ------------------------------------------------------------
+
+@register("batcher_job")
+def q_batcher_job(spark, sf_dir):
+    """Stage 1 end to end over the written block index and gzip blocks;
+    returns the batches table decoded back into entries."""
+    from crawlsieve.plans import jobs
+    root = _blocks_root(spark, sf_dir)
+    out = scratch_path(spark, "batcher")
+    paths = jobs.run_batcher(spark, CRAWLS, fixtures.INDEX_TEMPLATE, fixtures.BLOCK_TEMPLATE, root, out)
+    return (ixsrc.explode_batch_messages(sinks.read_batches(spark, paths["batches"]))
+            .select("crawl", "batch_no", "item_no", "surt_url", "timestamp", cdxf.meta("url").alias("url")))
+
+
+@register("worker_job")
+def q_worker_job(spark, sf_dir):
+    """Stage 2 end to end (batch form of the streaming worker)."""
+    from crawlsieve.plans import jobs
+    batches_dir, warc_root = _batches_with_archive_ranges(spark, sf_dir)
+    vocab = tokenize.fit_vocab(_documents(spark, sf_dir), "text", VOCAB_SIZE)
+    out = jobs.run_worker(spark, batches_dir, fixtures.WARC_TEMPLATE, warc_root,
+                          scratch_path(spark, "worker_job"), vocab)
+    return (sinks.read_documents(spark, out)
+            .select("url", "timestamp", "full_text", "char_count", "filename",
+                    (F.col("token_count") == F.size("tokens")).alias("token_count_ok")))

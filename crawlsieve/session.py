@@ -26,6 +26,14 @@ SESSION_DEFAULTS = {
 }
 
 
+# Applied only while the setting still has Spark's own default: documents
+# reach 1,000,000 characters, so Arrow batches for the Python-worker jobs
+# (extraction, tokenization, range reads) are kept to a few hundred rows.
+SOFT_DEFAULTS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "256"),
+}
+
+
 def build_session(master: str = "local[8]", app: str = "crawlsieve",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app)
@@ -67,6 +75,9 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
                 spark.conf.set(k, v)
             except Exception:  # static conf on a running session: leave it
                 pass
+    for k, (spark_default, ours) in SOFT_DEFAULTS.items():
+        if spark.conf.get(k, spark_default) == spark_default:
+            spark.conf.set(k, ours)
     ship_package(spark)
     return spark
 
