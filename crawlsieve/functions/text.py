@@ -27,6 +27,11 @@ STYLE_RE = r"(?is)<style\b[^>]*>.*?(</style\s*>|\z)"
 COMMENT_RE = r"(?s)<!--.*?(-->|\z)"
 TAG_RE = r"<(/?[A-Za-z][^>]*|[!?][^>]*)(>|\z)"
 NON_SPACE_RE = "[^" + UNICODE_SPACE_CLASS[1:]
+# The four removals above as one left-to-right pass (leftmost-first
+# alternation, the same in Java regex and RE2): whatever starts first wins,
+# so a tag inside a comment or script goes with its container.
+SCRUB_RE = (r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+            r"|<!--.*?(?:-->|\z)|</?[A-Za-z][^>]*(?:>|\z)|<[!?][^>]*(?:>|\z)")
 
 
 def _c(c) -> Column:
@@ -51,12 +56,21 @@ def collapse_whitespace(c) -> Column:
 
 def flat_text(html) -> Column:
     """P5: drop script/style/comments, concatenate all text, collapse blanks."""
-    h = _c(html)
-    for pat in (SCRIPT_RE, STYLE_RE, COMMENT_RE, TAG_RE):
-        h = F.regexp_replace(h, pat, "")
+    h = F.regexp_replace(_c(html), SCRUB_RE, "")
     return F.coalesce(collapse_whitespace(decode_entities(h)), F.lit(""))
 
 
+def with_computed(df: DataFrame, expr: Column, name: str) -> DataFrame:
+    """Add an expensive column computed exactly once per row.
+
+    Filters on a plain projected column are pushed below the projection
+    with the expression substituted, which would run the extraction chain
+    once per predicate.  Producing the value through a one-element
+    ``explode`` (a Generate node) keeps later predicates above it.
+    """
+    return df.select("*", F.explode(F.array(expr)).alias(name))
+
+
 def is_nonblank(c) -> Column:
     """at least one non-whitespace character (NULL -> false)."""
     return F.coalesce(_c(c).rlike(NON_SPACE_RE), F.lit(False))

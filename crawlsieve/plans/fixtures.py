@@ -21,8 +21,18 @@ CRAWL_STEP = 2592000
 LANG_BY_SEGMENT = {"en": "eng", "fr": "fra", "de": "deu"}  # anything else: "spa"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_for_cpu(df) if spread else df
+
+
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Round-robin repartition only when the scan has fewer splits than the
+    cluster has task slots (e.g. one small single-row-group file), so the
+    CPU-heavy stage that follows uses every core.  On large inputs the scan
+    already has many more splits and this adds nothing."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
 def crawl_table(spark: SparkSession, crawls=CRAWLS) -> DataFrame:
@@ -119,7 +129,9 @@ def write_blocks(lines: DataFrame, root: str, with_rejects: bool = False) -> Non
                                     F.lit("\n")).alias("text"),
                            F.get(F.col("_l"), 0)["line"].alias("first_line"),
                            F.floor(F.col("block_id") / BLOCKS_PER_FILE).cast("int").alias("file_no")))
-    planned = blocks.repartition("crawl", "file_no").sortWithinPartitions("crawl", "file_no", "block_id")
+    from crawlsieve.sources.ranged import work_partitions
+    planned = (blocks.repartitionByRange(work_partitions(lines.sparkSession), "crawl", "file_no")
+                     .sortWithinPartitions("crawl", "file_no", "block_id"))
     base, rejects = root, with_rejects
 
     def write(batches):
@@ -198,7 +210,9 @@ def warc_records(pages: DataFrame) -> DataFrame:
 def write_warc(pages: DataFrame, root: str) -> DataFrame:
     """Write the `warc` fixture; returns the manifest (filename, offset,
     length, page_id) with one range per page covering its three records."""
-    recs = warc_records(pages).repartition("filename").sortWithinPartitions("filename", "page_id", "record_no")
+    from crawlsieve.sources.ranged import work_partitions
+    recs = (warc_records(pages).repartitionByRange(work_partitions(pages.sparkSession), "filename")
+                               .sortWithinPartitions("filename", "page_id", "record_no"))
     base = root
 
     def write(batches):

@@ -100,7 +100,8 @@ def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, arc
         ranged.read_archive_records(manifest, archive_template, archive_base, carry=("surt_url", "timestamp")))
     recs = recs.where(F.col("error").isNull())
     if text_mode == "flat":
-        docs = recs.select("surt_url", "timestamp", "filename", textf.flat_text("body").alias("full_text"))
+        docs = textf.with_computed(recs.select("surt_url", "timestamp", "filename", "body"),
+                                   textf.flat_text("body"), "full_text").drop("body")
     else:
         keyed = recs.select("surt_url", "timestamp", "filename", "offset", "body")
         fn = extract.main_text_strict if text_mode == "strict" else extract.main_text

@@ -190,8 +190,12 @@ _COMMENT = r"(?s)<!--.*?(-->|\z)"
 _TAG = r"<(/?[A-Za-z][^>]*|[!?][^>]*)(>|\z)"
 
 
+_SCRUB = (r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
+          r"|<!--.*?(?:-->|\z)|</?[A-Za-z][^>]*(?:>|\z)|<[!?][^>]*(?:>|\z)")
+
+
 def sql_flat_text(col: str) -> str:
-    inner = sql_decode_entities(sql_strip(col, [_SCRIPT, _STYLE, _COMMENT, _TAG]))
+    inner = sql_decode_entities(sql_strip(col, [_SCRUB]))
     return f"coalesce(trim(regexp_replace({inner}, '{WS}+', ' ', 'g')), '')"
 
 

@@ -170,8 +170,8 @@ def q_batch_messages(spark, sf_dir):
 
 @register("batch_counts")
 def q_batch_counts(spark, sf_dir):
-    """Batches published per crawl."""
-    return metrics.batch_counts(_b1(spark, sf_dir))
+    """Batch messages published per crawl."""
+    return metrics.batch_counts(batching.batch_messages(_b1(spark, sf_dir)))
 
 
 @register("batch_item_stats")
@@ -183,11 +183,12 @@ def q_batch_item_stats(spark, sf_dir):
 # --- text ------------------------------------------------------------------------
 
 def _pages(spark, sf_dir) -> DataFrame:
-    return fixtures.read_table(spark, sf_dir, "pages")
+    """Pages for the text stages (HTML is CPU-heavy: spread small scans)."""
+    return fixtures.read_table(spark, sf_dir, "pages", spread=True)
 
 
 def _documents(spark, sf_dir) -> DataFrame:
-    return fixtures.read_table(spark, sf_dir, "documents")
+    return fixtures.read_table(spark, sf_dir, "documents", spread=True)
 
 
 @register("extract_flat_text")
@@ -236,8 +237,8 @@ def kept_documents(spark, sf_dir, text_fn=None) -> DataFrame:
     entries = kept.select("surt_url", "timestamp", cdxf.meta("url").alias("url"),
                           cdxf.meta("filename").alias("filename"))
     pages = _pages(spark, sf_dir).select("url", "html")
-    docs = entries.join(pages, "url").select("surt_url", "timestamp", "filename",
-                                             (text_fn or textf.flat_text)("html").alias("full_text"))
+    docs = textf.with_computed(entries.join(pages, "url").select("surt_url", "timestamp", "filename", "html"),
+                               (text_fn or textf.flat_text)("html"), "full_text").drop("html")
     docs = textf.filter_length(textf.filter_nonblank(docs, "full_text"), "full_text")
     return docs
 
@@ -386,9 +387,9 @@ def q_filter_warc_response(spark, sf_dir):
 @register("funnel_documents")
 def q_funnel_documents(spark, sf_dir):
     """A2: per archive file: records, responses, extractions, length drops."""
-    recs = (_records(spark, sf_dir)
-            .withColumn("text", F.when(F.col("warc_type") == "response", textf.flat_text("body")))
-            .withColumn("keep_length", textf.length_ok("text")))
+    recs = textf.with_computed(_records(spark, sf_dir),
+                               F.when(F.col("warc_type") == "response", textf.flat_text("body")), "text")
+    recs = recs.withColumn("keep_length", textf.length_ok("text"))
     return metrics.funnel_documents(recs)
 
 
@@ -543,7 +544,7 @@ def _run_worker(spark, sf_dir):
     vocab = tokenize.fit_vocab(_documents(spark, sf_dir), "text", VOCAB_SIZE)
     out = scratch_path(spark, "worker_out")
     q = worker.start_worker(spark, batches_dir, out, scratch_path(spark, "worker_ckpt"),
-                            fixtures.WARC_TEMPLATE, warc_root, vocab, max_files_per_trigger=1)
+                            fixtures.WARC_TEMPLATE, warc_root, vocab)
     _await(q)
     return out
 

@@ -65,9 +65,20 @@ def _error_label(e: BaseException) -> str:
     return type(e).__name__
 
 
+def work_partitions(spark) -> int:
+    """Partition count for manifest-driven jobs.
+
+    A manifest is a few bytes per row but each row is a fetch + gunzip, so
+    byte-based coalescing (AQE) would pack it into one task.  An explicit
+    count is never coalesced; it follows the cluster's shuffle setting.
+    """
+    return max(spark.sparkContext.defaultParallelism,
+               int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def _plan_ranges(manifest: DataFrame, path_col: str, offset_col: str, num_partitions: int | None) -> DataFrame:
-    parts = [num_partitions] if num_partitions else []
-    return manifest.repartitionByRange(*parts, path_col, offset_col).sortWithinPartitions(path_col, offset_col)
+    n = num_partitions or work_partitions(manifest.sparkSession)
+    return manifest.repartitionByRange(n, path_col, offset_col).sortWithinPartitions(path_col, offset_col)
 
 
 # --- S3/S4: index blocks --------------------------------------------------------

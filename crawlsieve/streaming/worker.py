@@ -49,7 +49,8 @@ def worker_documents(entries: DataFrame, archive_template: str, archive_base: st
     recs = ranged.read_archive_records(manifest, archive_template, archive_base,
                                        carry=("surt_url", "timestamp"))
     docs = (ranged.filter_warc_response(recs).where(F.col("error").isNull())
-                  .select("surt_url", "timestamp", "filename", textf.flat_text("body").alias("full_text")))
+                  .select("surt_url", "timestamp", "filename", "body"))
+    docs = textf.with_computed(docs, textf.flat_text("body"), "full_text").drop("body")
     docs = textf.filter_length(textf.filter_nonblank(docs, "full_text"), "full_text", min_chars, max_chars)
     if vocab is None:
         return textf.document_records(docs, tokens=None)
@@ -58,9 +59,15 @@ def worker_documents(entries: DataFrame, archive_template: str, archive_base: st
 
 def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint: str,
                  archive_template: str, archive_base: str, vocab: list[str] | None = None,
-                 max_files_per_trigger: int = 1, trigger: str | None = "availableNow",
+                 max_files_per_trigger: int | None = None, trigger: str | None = "availableNow",
                  audit_dir: str | None = None, query_name: str = "worker"):
-    """Start the worker stream; returns the StreamingQuery."""
+    """Start the worker stream; returns the StreamingQuery.
+
+    T2: at most ``max_files_per_trigger`` batch files per micro-batch
+    (default: one per task slot, i.e. one in-flight message per core).
+    """
+    if max_files_per_trigger is None:
+        max_files_per_trigger = spark.sparkContext.defaultParallelism
     src = (spark.readStream.schema(sinks.BATCH_ROW)
                 .option("maxFilesPerTrigger", max_files_per_trigger)
                 .json(batches_dir))
