@@ -37,9 +37,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def run_batcher(spark: SparkSession, crawls, index_template: str, block_template: str, base: str,
                 out_dir: str, batch_size: int = 50, dedup_urls: bool = True, max_blocks: int | None = None,
-                run_id: str = "run", **filter_kw) -> dict[str, str]:
+                run_id: str = "run", seen_table: str | None = None, seen_buckets: int = 512,
+                **filter_kw) -> dict[str, str]:
     """Stage 1.  Returns the paths written.
 
+    ``seen_table`` names a catalog table bucketed by URL key that holds the
+    keys of all earlier runs (D3 without shuffling it); without it the seen
+    keys are a plain Parquet folder under ``out_dir``.
+
     The ranged fetch runs exactly once: fetched blocks are exploded into
     lines, parsed and labelled, and written as the ``parsed`` table (failed
     blocks keep one row with their error).  Funnel, dedup, batches and
@@ -67,8 +72,11 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
 
     passed = lines.where("outcome = 'pass'").select(*index_stage.LINEAGE, "surt_url", "timestamp", "metadata")
     if dedup_urls:
-        seen = (spark.read.parquet(paths["seen"]).select("url_key") if _exists(spark, paths["seen"])
-                else spark.createDataFrame([], "url_key string"))
+        if seen_table:
+            seen = dedup.read_seen(spark, seen_table)
+        else:
+            seen = (spark.read.parquet(paths["seen"]).select("url_key") if _exists(spark, paths["seen"])
+                    else spark.createDataFrame([], "url_key string"))
         kept = dedup.dedup_incremental(passed, seen)
     else:
         kept = passed
@@ -76,7 +84,9 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
     kept = spark.read.parquet(paths["kept"])           # branches below are pruned scans
 
     sinks.write_batches(batching.batch_messages(batching.batch_fixed_size(kept, batch_size)), paths["batches"])
-    if dedup_urls:
+    if dedup_urls and seen_table:
+        dedup.append_seen_bucketed(kept, seen_table, seen_buckets)
+    elif dedup_urls:
         dedup.seen_keys(kept).write.mode("append").parquet(paths["seen"])
 
     status = (parsed.groupBy("crawl", "block_id").agg(F.max("error").alias("error")))

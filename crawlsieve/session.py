@@ -41,7 +41,11 @@ def build_session(master: str = "local[8]", app: str = "crawlsieve",
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "16g")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
+    extra = dict(extra or {})
+    if master.startswith("local") and "spark.sql.warehouse.dir" not in extra:
+        # local runs only: keep catalog tables out of the working directory
+        extra["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="crawlsieve-warehouse-")
+    for k, v in {**SESSION_DEFAULTS, **extra}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
