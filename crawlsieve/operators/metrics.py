@@ -74,16 +74,21 @@ def observe_funnel(with_outcome: DataFrame, name: str = "index_funnel"):
 
 
 def funnel_documents(records: DataFrame, group=("filename",)) -> DataFrame:
-    """A2: per group: records, responses, extraction attempted / non-empty,
-    length-filtered, successful (after length filter).
+    """A2: per group: ranges fetched, download errors, records, responses,
+    extraction attempted / non-empty, length-filtered, successful (after
+    the length filter).  Tokenized / written counts of the worker job are
+    live observations (``plans.jobs.run_worker``).
 
     ``records`` carries ``warc_type``, ``text`` (extracted, may be null) and
     ``keep_length`` (bool) columns.
     """
     is_resp = F.col("warc_type") == "response"
     nonblank = F.coalesce(F.col("text").rlike("(?U)\\S"), F.lit(False))
+    fetched = F.col("record_no") >= 0
     return records.groupBy(*group).agg(
-        F.count(F.lit(1)).cast("bigint").alias("records_total"),
+        F.count_distinct(F.when(fetched, F.col("offset"))).cast("bigint").alias("ranges_fetched"),
+        F.count_if(F.col("record_no") == -1).cast("bigint").alias("download_errors"),
+        F.count_if(fetched & F.col("warc_type").isNotNull()).cast("bigint").alias("records_total"),
         F.count_if(is_resp).cast("bigint").alias("responses"),
         F.count_if(is_resp).cast("bigint").alias("extractions_attempted"),
         F.count_if(is_resp & nonblank).cast("bigint").alias("extractions_nonblank"),

@@ -18,7 +18,7 @@ recomputes its own stage.  All outputs are appended or written per run.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from crawlsieve.functions import text as textf
@@ -100,15 +100,26 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
 def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, archive_base: str,
                out_dir: str, vocab: list[str] | None, text_mode: str = "flat", lanes: int = 64,
                max_docs: int = 10, max_bytes: float = 1024 * 1024, min_chars: int = 500,
-               max_chars: int = 1_000_000, max_tokens: int = 512) -> str:
-    """Stage 2.  Writes documents to ``out_dir`` (K1) and returns the path."""
+               max_chars: int = 1_000_000, max_tokens: int = 512, metrics_out: dict | None = None) -> str:
+    """Stage 2.  Writes documents to ``out_dir`` (K1) and returns the path.
+
+    When ``metrics_out`` is a dict it receives the worker counters (ranges
+    fetched, download errors, records, responses, extracted, length-filtered,
+    documents written) observed during the single write, with no extra pass.
+    """
     entries = ixsrc.explode_batch_messages(sinks.read_batches(spark, batches_dir))
     manifest = entries.select("surt_url", "timestamp", meta("filename").alias("filename"),
                               meta("offset").try_cast("bigint").alias("offset"),
                               meta("length").try_cast("bigint").alias("length"))
-    recs = ranged.filter_warc_response(
-        ranged.read_archive_records(manifest, archive_template, archive_base, carry=("surt_url", "timestamp")))
-    recs = recs.where(F.col("error").isNull())
+    scanned = ranged.read_archive_records(manifest, archive_template, archive_base, carry=("surt_url", "timestamp"))
+    obs_scan, obs_out = Observation("worker_scan"), Observation("worker_out")
+    scanned = scanned.observe(
+        obs_scan,
+        F.count_if(F.col("record_no") == 0).alias("ranges_fetched"),
+        F.count_if(F.col("record_no") == -1).alias("download_errors"),
+        F.count_if(F.col("warc_type").isNotNull()).alias("records_total"),
+        F.count_if(F.col("warc_type") == "response").alias("responses"))
+    recs = ranged.filter_warc_response(scanned).where(F.col("error").isNull())
     if text_mode == "flat":
         docs = textf.with_computed(recs.select("surt_url", "timestamp", "filename", "body"),
                                    textf.flat_text("body"), "full_text").drop("body")
@@ -126,5 +137,9 @@ def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, arc
     records = records.withColumn("lane", batching.lane_of(F.col("url"), lanes))
     records = batching.batch_threshold(records, lane="lane", order=("url", "timestamp"), text="full_text",
                                        max_docs=max_docs, max_bytes=max_bytes)
+    records = records.observe(obs_out, F.count(F.lit(1)).alias("documents_written"))
     sinks.write_documents(records, out_dir, date_from="timestamp", max_records_per_file=max(max_docs, 1))
+    if metrics_out is not None:
+        metrics_out.update(obs_scan.get)
+        metrics_out.update(obs_out.get)
     return out_dir

@@ -337,6 +337,7 @@ f AS (
   SELECT *, coalesce(regexp_matches(text, '[^{WS[1:]}'), false) AS nb,
          coalesce(length(text) BETWEEN 500 AND 1000000, false) AS kl FROM t)
 SELECT filename,
+       CAST(count(*) // 3 AS BIGINT) AS ranges_fetched, CAST(0 AS BIGINT) AS download_errors,
        CAST(count(*) AS BIGINT) AS records_total,
        CAST(count(*) FILTER (WHERE warc_type = 'response') AS BIGINT) AS responses,
        CAST(count(*) FILTER (WHERE warc_type = 'response') AS BIGINT) AS extractions_attempted,

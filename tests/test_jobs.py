@@ -62,8 +62,11 @@ def test_observe_funnel(spark):
 def test_worker_job_text_modes(spark):
     from crawlsieve.plans.registry import _batches_with_archive_ranges
     batches_dir, warc_root = _batches_with_archive_ranges(spark, SF001)
+    m = {}
     flat = sinks.read_documents(spark, jobs.run_worker(spark, batches_dir, fixtures.WARC_TEMPLATE, warc_root,
-                                                       scratch_path(spark, "w"), None))
+                                                       scratch_path(spark, "w"), None, metrics_out=m))
+    assert m["documents_written"] == flat.count()
+    assert m["records_total"] == 3 * m["ranges_fetched"] and m["download_errors"] == 0
     main = spark.read.parquet(jobs.run_worker(spark, batches_dir, fixtures.WARC_TEMPLATE, warc_root,
                                               scratch_path(spark, "w"), None, text_mode="strict"))
     assert flat.count() > 0 and main.count() > 0
