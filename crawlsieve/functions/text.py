@@ -21,15 +21,12 @@ ENTITIES = [
 ]
 ENTITIES_SEMICOLON_REQUIRED = {"apos"}
 
-# Subtrees removed before text is taken: raw-text elements and comments.
-SCRIPT_RE = r"(?is)<script\b[^>]*>.*?(</script\s*>|\z)"
-STYLE_RE = r"(?is)<style\b[^>]*>.*?(</style\s*>|\z)"
-COMMENT_RE = r"(?s)<!--.*?(-->|\z)"
-TAG_RE = r"<(/?[A-Za-z][^>]*|[!?][^>]*)(>|\z)"
 NON_SPACE_RE = "[^" + UNICODE_SPACE_CLASS[1:]
-# The four removals above as one left-to-right pass (leftmost-first
+# Script and style subtrees, comments, tags and doctype/processing
+# instructions removed in one left-to-right pass (leftmost-first
 # alternation, the same in Java regex and RE2): whatever starts first wins,
-# so a tag inside a comment or script goes with its container.
+# so a tag inside a comment or script goes with its container; an element
+# left open at the end of a truncated page runs to the end.
 SCRUB_RE = (r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
             r"|<!--.*?(?:-->|\z)|</?[A-Za-z][^>]*(?:>|\z)|<[!?][^>]*(?:>|\z)")
 

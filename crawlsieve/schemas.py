@@ -4,17 +4,6 @@ from pyspark.sql import types as T
 
 CRAWL_PREFIX = "CC-MAIN-"
 
-# One row of a sparse block index (cluster.idx), split into typed parts.
-BLOCK_INDEX = T.StructType([
-    T.StructField("crawl", T.StringType()),
-    T.StructField("start_key", T.StringType()),
-    T.StructField("start_ts", T.StringType()),
-    T.StructField("cdx_filename", T.StringType()),
-    T.StructField("cdx_offset", T.LongType()),
-    T.StructField("cdx_length", T.LongType()),
-    T.StructField("block_id", T.LongType()),
-])
-
 # The raw tab-separated columns, read as strings and typed afterwards.
 BLOCK_INDEX_RAW = T.StructType([
     T.StructField("c0", T.StringType()),
@@ -47,16 +36,14 @@ BLOCK_TEXT = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
-# Output of the archive-record scan: one row per record (or one error row).
+# Output of the archive-record scan: one row per record (or one error row);
+# response records carry the HTTP head and the decoded body.
 ARCHIVE_RECORD = T.StructType([
-    T.StructField("filename", T.StringType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("record_no", T.IntegerType()),
-    T.StructField("warc_type", T.StringType()),
-    T.StructField("target_uri", T.StringType()),
-    T.StructField("content_length", T.LongType()),
-    T.StructField("payload", T.BinaryType()),
-    T.StructField("n_bytes", T.LongType()),
+    T.StructField("filename", T.StringType()), T.StructField("offset", T.LongType()),
+    T.StructField("length", T.LongType()), T.StructField("record_no", T.IntegerType()),
+    T.StructField("warc_type", T.StringType()), T.StructField("target_uri", T.StringType()),
+    T.StructField("content_length", T.LongType()), T.StructField("http_head", T.StringType()),
+    T.StructField("body", T.StringType()), T.StructField("n_bytes", T.LongType()),
     T.StructField("error", T.StringType()),
 ])
 
@@ -71,23 +58,3 @@ DOCUMENT = T.StructType([
     T.StructField("filename", T.StringType()),
 ])
 
-# Crawl-status ledger events (append-only).
-LEDGER_EVENT = T.StructType([
-    T.StructField("crawl", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("event_ts", T.TimestampType()),
-    T.StructField("cluster_idx_filename", T.StringType()),
-    T.StructField("total_blocks", T.LongType()),
-    T.StructField("total_batches_sent", T.LongType()),
-])
-
-# Block-level ledger (resume unit).
-BLOCK_LEDGER = T.StructType([
-    T.StructField("crawl", T.StringType()),
-    T.StructField("block_id", T.LongType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("rows_in", T.LongType()),
-    T.StructField("rows_kept", T.LongType()),
-])
-
-CRAWL_STATES = ("pending", "in_progress", "completed", "error")

@@ -118,8 +118,3 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared root."""
     return f"{shared_root(spark)}/crawlsieve/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_local_dir(path: str) -> None:
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawlsieve.schemas import ARCHIVE_RECORD, BLOCK_TEXT
+
 OUT_BATCH_BYTES = 32 * 1024 * 1024
 
 
@@ -96,11 +98,7 @@ def read_blocks(index: DataFrame, path_template: str, base: str = "",
     manifest = index.select("crawl", "block_id", "cdx_filename", "cdx_offset", "cdx_length",
                             path.alias("_path"))
     planned = _plan_ranges(manifest, "_path", "cdx_offset", num_partitions)
-    schema = T.StructType([
-        T.StructField("crawl", T.StringType()), T.StructField("block_id", T.LongType()),
-        T.StructField("cdx_filename", T.StringType()), T.StructField("cdx_offset", T.LongType()),
-        T.StructField("cdx_length", T.LongType()), T.StructField("text", T.StringType()),
-        T.StructField("n_bytes", T.LongType()), T.StructField("error", T.StringType())])
+    schema = BLOCK_TEXT
     names = [f.name for f in schema.fields]
 
     def run(batches):
@@ -110,12 +108,12 @@ def read_blocks(index: DataFrame, path_template: str, base: str = "",
         buf = {n: [] for n in names}
         size = 0
 
+        from pyspark.sql.pandas.types import to_arrow_schema
+        pa_schema = to_arrow_schema(schema)
+
         def flush():
             nonlocal buf, size
-            out = pa.RecordBatch.from_pydict(buf, schema=pa.schema([
-                ("crawl", pa.string()), ("block_id", pa.int64()), ("cdx_filename", pa.string()),
-                ("cdx_offset", pa.int64()), ("cdx_length", pa.int64()), ("text", pa.string()),
-                ("n_bytes", pa.int64()), ("error", pa.string())]))
+            out = pa.RecordBatch.from_pydict(buf, schema=pa_schema)
             buf = {n: [] for n in names}
             size = 0
             return out
@@ -158,13 +156,7 @@ def block_lines(blocks: DataFrame) -> DataFrame:
 
 # --- S5 + P4: archive records ---------------------------------------------------
 
-ARCHIVE_SCHEMA = T.StructType([
-    T.StructField("filename", T.StringType()), T.StructField("offset", T.LongType()),
-    T.StructField("length", T.LongType()), T.StructField("record_no", T.IntegerType()),
-    T.StructField("warc_type", T.StringType()), T.StructField("target_uri", T.StringType()),
-    T.StructField("content_length", T.LongType()), T.StructField("http_head", T.StringType()),
-    T.StructField("body", T.StringType()), T.StructField("n_bytes", T.LongType()),
-    T.StructField("error", T.StringType())])
+ARCHIVE_SCHEMA = ARCHIVE_RECORD
 
 
 def split_http(payload: bytes):

@@ -110,9 +110,6 @@ def batch_times(query) -> list[tuple[int, int]]:
 
 # --- T5 ----------------------------------------------------------------------------
 
-LINE_ROW = T.StructType([T.StructField("value", T.StringType())])
-
-
 def start_index_dedup(spark: SparkSession, lines_dir: str, out_dir: str, seen_dir: str, checkpoint: str,
                       parse_fn, max_files_per_trigger: int = 1, trigger: str | None = "availableNow",
                       query_name: str = "index_dedup"):
