@@ -31,8 +31,12 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     cluster has task slots (e.g. one small single-row-group file), so the
     CPU-heavy stage that follows uses every core.  On large inputs the scan
     already has many more splits and this adds nothing."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no classic SparkContext (e.g. a remote session): leave the plan as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def crawl_table(spark: SparkSession, crawls=CRAWLS) -> DataFrame:
@@ -222,7 +226,7 @@ def write_warc(pages: DataFrame, root: str) -> DataFrame:
         import pyarrow.fs as pafs
         fs = pafs.LocalFileSystem() if "://" not in base else pafs.FileSystem.from_uri(base)[0]
         cur, fh, pos = None, None, 0
-        out = {k: [] for k in ("filename", "page_id", "record_no", "offset", "length")}
+        out = {k: [] for k in ("filename", "page_id", "offset", "length")}
         for b in batches:
             d = b.to_pydict()
             for i in range(b.num_rows):
@@ -233,7 +237,8 @@ def write_warc(pages: DataFrame, root: str) -> DataFrame:
                     path = _local(WARC_TEMPLATE.format(base=base, file=fname))
                     if "://" not in path:
                         os.makedirs(os.path.dirname(path), exist_ok=True)
-                    fh = fs.open_output_stream(path if "://" not in path else path.split("://", 1)[1], compression=None)
+                    fh = fs.open_output_stream(path if "://" not in path else path.split("://", 1)[1],
+                                               compression=None)
                     cur, pos = fname, 0
                 payload = d["payload"][i].encode("utf-8")
                 head = (f"WARC/1.0\r\nWARC-Type: {d['warc_type'][i]}\r\nWARC-Target-URI: {d['url'][i]}\r\n"
@@ -241,22 +246,19 @@ def write_warc(pages: DataFrame, root: str) -> DataFrame:
                         f"Content-Length: {len(payload)}\r\n\r\n").encode("utf-8")
                 member = gzip.compress(head + payload + b"\r\n\r\n", mtime=0)
                 fh.write(member)
-                out["filename"].append(fname)
-                out["page_id"].append(d["page_id"][i])
-                out["record_no"].append(d["record_no"][i])
-                out["offset"].append(pos)
-                out["length"].append(len(member))
+                if d["record_no"][i] == 0:      # a page's range starts at its first record
+                    out["filename"].append(fname)
+                    out["page_id"].append(d["page_id"][i])
+                    out["offset"].append(pos)
+                    out["length"].append(0)
+                out["length"][-1] += len(member)
                 pos += len(member)
         if fh is not None:
             fh.close()
-        if out["filename"]:
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
-                ("filename", pa.string()), ("page_id", pa.int64()), ("record_no", pa.int32()),
-                ("offset", pa.int64()), ("length", pa.int64())]))
+        yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
+            ("filename", pa.string()), ("page_id", pa.int64()), ("offset", pa.int64()), ("length", pa.int64())]))
 
-    members = recs.mapInArrow(write, "filename string, page_id bigint, record_no int, offset bigint, length bigint")
     manifest_path = f"{root}/warc_manifest"
-    (members.groupBy("filename", "page_id")
-            .agg(F.min("offset").alias("offset"), F.sum("length").alias("length"))
-            .write.mode("overwrite").parquet(manifest_path))
+    (recs.mapInArrow(write, "filename string, page_id bigint, offset bigint, length bigint")
+         .write.mode("overwrite").parquet(manifest_path))
     return pages.sparkSession.read.parquet(manifest_path)

@@ -58,7 +58,10 @@ _SHIPPED: set[int] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (once per context)."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: ship the package with the deployment instead
+        return
     if id(sc) in _SHIPPED:
         return
     import shutil

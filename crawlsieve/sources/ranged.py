@@ -74,8 +74,11 @@ def work_partitions(spark) -> int:
     byte-based coalescing (AQE) would pack it into one task.  An explicit
     count is never coalesced; it follows the cluster's shuffle setting.
     """
-    return max(spark.sparkContext.defaultParallelism,
-               int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        return max(spark.sparkContext.defaultParallelism, shuffle)
+    except Exception:
+        return shuffle
 
 
 def _plan_ranges(manifest: DataFrame, path_col: str, offset_col: str, num_partitions: int | None) -> DataFrame:
