@@ -140,10 +140,14 @@ def parse_crawl_versions(spec: str) -> list[str]:
     Duplicates are collapsed (first position wins); an empty result is an
     error.  This is argument handling on the driver, not data work.
     """
+    import warnings
+
     out: list[str] = []
     for v in (spec or "").split(","):
         v = v.strip()
-        if v and v.startswith(CRAWL_PREFIX) and v not in out:
+        if v and not v.startswith(CRAWL_PREFIX):
+            warnings.warn(f"ignoring crawl version without the {CRAWL_PREFIX} prefix: {v!r}")
+        elif v and v not in out:
             out.append(v)
     if not out:
         raise ValueError(f"no valid crawl versions in {spec!r}")

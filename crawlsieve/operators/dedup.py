@@ -37,12 +37,13 @@ def dedup_first_seen(df: DataFrame, surt: str = "surt_url", order=ORDER_FIRST_SE
 
 def dedup_latest(df: DataFrame, surt: str = "surt_url", ts: str = "timestamp",
                  key: str = "url_key") -> DataFrame:
-    """Per URL key keep the most recent capture (timestamp, then crawl rank)."""
+    """Per URL key keep the most recent capture (timestamp, then crawl
+    rank, then position in the index, all descending: fully deterministic)."""
     cols = [c for c in df.columns]
     keyed = with_dedup_key(df, surt, key)
+    order = [F.col(c) for c in (ts, "crawl_rank", "block_id", "line_no") if c in cols]
     return (keyed.groupBy(key)
-                 .agg(F.max_by(F.struct(*[F.col(c) for c in cols]),
-                               F.struct(F.col(ts), F.col("crawl_rank"))).alias("_w"))
+                 .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*order)).alias("_w"))
                  .select("_w.*"))
 
 

@@ -60,13 +60,23 @@ def crawl_progress(index: DataFrame, ledger: DataFrame, batches: DataFrame | Non
     return out
 
 
-def status_events_from_ledger(ledger: DataFrame, start_ts: str = "2024-01-01 00:00:00") -> DataFrame:
-    """K4 events a run appends: ``in_progress`` at start, then
-    ``completed`` if no block failed, else ``error``."""
+def status_events_from_ledger(ledger: DataFrame, start_ts: str = "2024-01-01 00:00:00",
+                              pending: DataFrame | None = None) -> DataFrame:
+    """K4 events a run appends: ``in_progress`` at start, then ``error`` if
+    a block failed, else ``completed`` when no index block is left pending
+    (``pending``: index rows still to fetch), else it stays ``in_progress``."""
     t0 = F.to_timestamp(F.lit(start_ts))
     per = ledger.groupBy("crawl").agg(F.count_if(F.col("status") == BLOCK_FAILED).alias("_failed"))
+    if pending is not None:
+        left = pending.groupBy("crawl").agg(F.count(F.lit(1)).alias("_left"))
+        per = per.join(left, "crawl", "left").withColumn("_left", F.coalesce("_left", F.lit(0)))
+    else:
+        per = per.withColumn("_left", F.lit(0))
     start = per.select("crawl", F.lit("in_progress").alias("status"), t0.alias("event_ts"))
-    end = per.select("crawl", F.when(F.col("_failed") == 0, F.lit("completed")).otherwise(F.lit("error")).alias("status"),
+    end = per.select("crawl",
+                     F.when(F.col("_failed") > 0, F.lit("error"))
+                      .when(F.col("_left") > 0, F.lit("in_progress"))
+                      .otherwise(F.lit("completed")).alias("status"),
                      (t0 + F.expr("INTERVAL 1 HOUR")).alias("event_ts"))
     return start.unionByName(end)
 
@@ -89,7 +99,8 @@ def current_crawl_status(events: DataFrame, crawls: DataFrame | None = None) ->
 
 
 def crawls_to_run(crawls: DataFrame, events: DataFrame) -> DataFrame:
-    """Skip completed crawls (anti join on the current status)."""
+    """Skip completed crawls (anti join on the current status); ``crawls``
+    is any DataFrame with a ``crawl`` column (a crawl list or index rows)."""
     done = current_crawl_status(events).where(F.col("status") == "completed").select("crawl")
     return crawls.join(done, "crawl", "left_anti")
 

@@ -53,7 +53,9 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
     paths = {k: f"{out_dir}/{k}" for k in
              ("parsed", "kept", "batches", "ledger", "seen", "funnel", "status")}
     index = ixsrc.read_block_index(spark, crawls, index_template, base, max_blocks)
-    if _exists(spark, paths["ledger"]):
+    if _exists(spark, paths["status"]):                # K4: completed crawls are skipped
+        index = ledger.crawls_to_run(index, spark.read.parquet(paths["status"]))
+    if _exists(spark, paths["ledger"]):                # K3: done blocks are skipped
         index = ledger.pending_blocks(index, spark.read.parquet(paths["ledger"]))
     blocks = ranged.read_blocks(index, block_template, base)
     ranks = ixsrc.crawl_table(spark, crawls)          # one row per named crawl
@@ -92,8 +94,12 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
     status = (parsed.groupBy("crawl", "block_id").agg(F.max("error").alias("error")))
     led = ledger.block_ledger(status, lines=lines, kept=kept, run_id=run_id)
     led.write.mode("append").parquet(paths["ledger"])
-    led = spark.read.parquet(paths["ledger"]).where(F.col("run_id") == run_id)
-    ledger.status_events_from_ledger(led).write.mode("append").parquet(paths["status"])
+    all_led = spark.read.parquet(paths["ledger"])
+    led = all_led.where(F.col("run_id") == run_id)
+    full_index = ixsrc.read_block_index(spark, crawls, index_template, base)
+    remaining = ledger.pending_blocks(full_index, all_led)
+    (ledger.status_events_from_ledger(led, pending=remaining)
+           .write.mode("append").parquet(paths["status"]))
     return paths
 
 

@@ -130,7 +130,7 @@ SELECT CAST(count(*) AS BIGINT) AS processed, CAST(count(DISTINCT surt_url) AS B
        CAST(count(*) - count(DISTINCT surt_url) AS BIGINT) AS skipped FROM passed"""),
     "dedup_latest": with_cdx("""
 SELECT crawl, block_id, line_no, crawl_rank, surt_url, "timestamp" FROM (
-  SELECT *, row_number() OVER (PARTITION BY surt_url ORDER BY "timestamp" DESC, crawl_rank DESC) AS rn FROM passed)
+  SELECT *, row_number() OVER (PARTITION BY surt_url ORDER BY "timestamp" DESC, crawl_rank DESC, block_id DESC, line_no DESC) AS rn FROM passed)
 WHERE rn = 1"""),
     "dedup_incremental": with_cdx("""
 SELECT crawl, block_id, line_no, surt_url, "timestamp" FROM (

@@ -72,3 +72,25 @@ def test_worker_job_text_modes(spark):
     assert flat.count() > 0 and main.count() > 0
     assert main.where(F.col("full_text").contains("<")).count() == 0
     assert "upload_batch_no" in main.columns
+
+
+def test_completed_crawls_are_skipped(spark):
+    root = scratch_path(spark, "blocks")
+    fixtures.write_blocks(fixtures.cdx_from_dir(spark, SF001), root)
+    out = scratch_path(spark, "batcher")
+    args = (spark, list(fixtures.CRAWLS), fixtures.INDEX_TEMPLATE, fixtures.BLOCK_TEMPLATE, root, out)
+    jobs.run_batcher(*args, run_id="r1")
+    from crawlsieve.operators import ledger
+    status = ledger.current_crawl_status(spark.read.parquet(f"{out}/status"))
+    assert {r.status for r in status.collect()} == {"completed"}
+    p2 = jobs.run_batcher(*args, run_id="r2")
+    assert spark.read.parquet(p2["parsed"]).count() == 0
+
+
+def test_crawl_version_warning():
+    import warnings
+    from crawlsieve.functions.cdx import parse_crawl_versions
+    with warnings.catch_warnings(record=True) as w:
+        warnings.simplefilter("always")
+        assert parse_crawl_versions(" CC-MAIN-2024-33,bad,, CC-MAIN-2024-33") == ["CC-MAIN-2024-33"]
+    assert any("bad" in str(x.message) for x in w)
