@@ -38,19 +38,20 @@ def batch_fixed_size(df: DataFrame, batch_size: int = 50, group=("crawl",), bloc
     """B1: cut rows (in block, line order) every ``batch_size`` rows per group.
 
     The last partial batch is kept.  ``batch_no`` is 0-based.
+
+    ``df`` is read by two branches (rows, and per-block counts), so pass a
+    written table (as ``plans.jobs.run_batcher`` does): the count branch is
+    then a scan of three columns with a map-side partial count, and only one
+    row per block and map task crosses its shuffle.
     """
     g = list(group)
-    # One shuffle by (group, block): the row number and the block size come
-    # from the same window partitioning, and the per-block counts are taken
-    # from that output, so the upstream plan is computed once.
     w_block = Window.partitionBy(*g, block).orderBy(order)
-    rows = (df.withColumn("_rn", F.row_number().over(w_block))
-              .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*g, block))))
-    counts = rows.where(F.col("_rn") == 1).select(*g, block, "_n")
+    rows = df.withColumn("_rn", F.row_number().over(w_block))
+    counts = df.groupBy(*g, block).agg(F.count(F.lit(1)).alias("_n"))
     offs = _block_offsets(counts, g, block, "_n")
     return (rows.join(offs, [*g, block])
                 .withColumn(out, F.floor((F.col("_off") + F.col("_rn") - 1) / batch_size).cast("bigint"))
-                .drop("_rn", "_off", "_n"))
+                .drop("_rn", "_off"))
 
 
 def batch_per_block(df: DataFrame, batch_size: int = 1000, group=("crawl",), block: str = "block_id",

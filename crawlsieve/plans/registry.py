@@ -146,8 +146,17 @@ def q_dedup_incremental(spark, sf_dir):
 
 # --- batching --------------------------------------------------------------------
 
+def _kept_table(spark, sf_dir) -> DataFrame:
+    """D1 winners written once to the shared folder and read back, so the
+    branches of B1 (rows, block counts, offsets) are pruned scans instead of
+    three evaluations of the dedup aggregation (same as ``jobs.run_batcher``)."""
+    path = scratch_path(spark, "kept")
+    dedup.dedup_first_seen(_passed(spark, sf_dir)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _b1(spark, sf_dir, size=50):
-    return batching.batch_fixed_size(dedup.dedup_first_seen(_passed(spark, sf_dir)), size)
+    return batching.batch_fixed_size(_kept_table(spark, sf_dir), size)
 
 
 @register("batch_fixed_size")
