@@ -84,18 +84,19 @@ def batch_stats(df: DataFrame, group=("crawl", "batch_no"), text: str | None = N
     return df.groupBy(*group).agg(*aggs)
 
 
-def _fold_lane_batches(lane: str, length: str, max_docs: int, max_bytes: float, out: str):
+def _fold_lane_batches(lane: str, length: str, max_docs: int, max_bytes: float, out: str, keep: list[str]):
     def fold(batches):
         import numpy as np
+        import pyarrow as pa
         cur_lane = object()
         docs = 0
         size = 0.0
         batch = 0
-        for pdf in batches:
-            lanes = pdf[lane].to_numpy()
-            lens = pdf[length].to_numpy()
-            res = np.empty(len(pdf), dtype=np.int64)
-            for i in range(len(pdf)):
+        for b in batches:
+            lanes = b.column(lane).to_numpy(zero_copy_only=False)
+            lens = b.column(length).to_numpy(zero_copy_only=False)
+            res = np.empty(b.num_rows, dtype=np.int64)
+            for i in range(b.num_rows):
                 if lanes[i] != cur_lane:
                     cur_lane = lanes[i]
                     docs, size, batch = 0, 0.0, 0
@@ -105,8 +106,8 @@ def _fold_lane_batches(lane: str, length: str, max_docs: int, max_bytes: float,
                 if docs >= max_docs or size >= max_bytes:
                     batch += 1
                     docs, size = 0, 0.0
-            pdf[out] = res
-            yield pdf.drop(columns=[length])
+            cols = [b.column(c) for c in keep] + [pa.array(res, type=pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*keep, out])
     return fold
 
 
@@ -119,14 +120,16 @@ def batch_threshold(df: DataFrame, lane: str = "lane", order=("doc_id",), text:
     documents or its estimated size (chars * 1.5) reaches ``max_bytes``;
     the closing document belongs to the closed batch.  The fold is
     sequential per lane, so lanes are hash-spread over partitions and each
-    partition is streamed in (lane, order) with O(1) state.
+    partition is streamed in (lane, order) with O(1) state; Arrow columns
+    pass through untouched (only lane and length are read in Python).
     """
     parts = [num_partitions] if num_partitions else []
     prepared = (df.withColumn("_len", F.length(text))
                   .repartition(*parts, lane)
                   .sortWithinPartitions(lane, *order))
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.LongType())])
-    return prepared.mapInPandas(_fold_lane_batches(lane, "_len", max_docs, float(max_bytes), out), schema)
+    return prepared.mapInArrow(
+        _fold_lane_batches(lane, "_len", max_docs, float(max_bytes), out, list(df.columns)), schema)
 
 
 def lane_of(key, lanes: int) -> "F.Column":

@@ -79,7 +79,12 @@ def tokenize(df: DataFrame, vocab: list[str], text: str = "full_text", out: str
     schema = T.StructType(fields)
 
     def run(batches):
+        import os
+
         import pyarrow as pa
+        # Spark already runs one task per core: keep the library's own
+        # thread pool off so workers do not oversubscribe the executor.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         tok = build_tokenizer(bvocab.value, max_tokens)
         for b in batches:
             texts = b.column(text).to_pylist()

@@ -579,21 +579,22 @@ def q_sink_audit(spark, sf_dir):
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    """T5: the index stage as a stream (one file per crawl, in crawl order),
-    deduplicated per micro-batch against the persisted seen keys."""
+    """T5: the index stage as a stream over files that arrive per crawl
+    (crawl 30 first, then crawl 33, the stream restarted on its checkpoint
+    in between), deduplicated per micro-batch against the seen keys."""
     from crawlsieve.streaming import worker
     lines_dir = scratch_path(spark, "lines")
     lines = fixtures.cdx_from_dir(spark, sf_dir)
-    for c in fixtures.CRAWLS:  # file arrival order = crawl order (fixture only)
-        lines.where(F.col("crawl") == c).coalesce(1).write.mode("append").parquet(lines_dir)
-    out, seen = scratch_path(spark, "dedup_out"), scratch_path(spark, "seen")
+    out, seen, ckpt = scratch_path(spark, "dedup_out"), scratch_path(spark, "seen"), scratch_path(spark, "dedup_ckpt")
 
     def parse(df):
         return (index_stage.parsed_lines(df).where("outcome = 'pass'")
                 .select(*index_stage.LINEAGE, "surt_url", "timestamp", "metadata"))
 
-    q = worker.start_index_dedup(spark, lines_dir, out, seen, scratch_path(spark, "dedup_ckpt"), parse)
-    _await(q)
+    for c in fixtures.CRAWLS:  # arrival order = crawl order
+        lines.where(F.col("crawl") == c).write.mode("append").parquet(lines_dir)
+        q = worker.start_index_dedup(spark, lines_dir, out, seen, ckpt, parse, max_files_per_trigger=None)
+        _await(q)
     return (spark.read.parquet(out)
             .select(*KEYS, "crawl_rank", "surt_url", "timestamp", cdxf.meta("url").alias("url")))
 

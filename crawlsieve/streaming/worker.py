@@ -111,12 +111,14 @@ def batch_times(query) -> list[tuple[int, int]]:
 # --- T5 ----------------------------------------------------------------------------
 
 def start_index_dedup(spark: SparkSession, lines_dir: str, out_dir: str, seen_dir: str, checkpoint: str,
-                      parse_fn, max_files_per_trigger: int = 1, trigger: str | None = "availableNow",
+                      parse_fn, max_files_per_trigger: int | None = None, trigger: str | None = "availableNow",
                       query_name: str = "index_dedup"):
     """T5: stream of index lines -> parse/filter (``parse_fn``) -> per
     micro-batch D3 against the seen-key table -> append winners and keys."""
-    src = (spark.readStream.schema(spark.read.parquet(lines_dir).schema)
-                .option("maxFilesPerTrigger", max_files_per_trigger).parquet(lines_dir))
+    reader = spark.readStream.schema(spark.read.parquet(lines_dir).schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.parquet(lines_dir)
     passed = parse_fn(src)
 
     def sink(batch: DataFrame, batch_id: int):
