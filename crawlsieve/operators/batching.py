@@ -111,7 +111,7 @@ def _fold_lane_batches(lane: str, length: str, max_docs: int, max_bytes: float,
     return fold
 
 
-def batch_threshold(df: DataFrame, lane: str = "lane", order=("doc_id",), text: str = "full_text",
+def batch_threshold(df: DataFrame, lane: str | None = "lane", order=("doc_id",), text: str = "full_text",
                     max_docs: int = 10, max_bytes: float = 1024 * 1024, out: str = "upload_batch_no",
                     num_partitions: int | None = None) -> DataFrame:
     """Threshold upload batches per lane.
@@ -122,11 +122,19 @@ def batch_threshold(df: DataFrame, lane: str = "lane", order=("doc_id",), text:
     sequential per lane, so lanes are hash-spread over partitions and each
     partition is streamed in (lane, order) with O(1) state; Arrow columns
     pass through untouched (only lane and length are read in Python).
+    ``lane=None`` uses the partition as the lane (adds a ``lane`` column).
     """
-    parts = [num_partitions] if num_partitions else []
-    prepared = (df.withColumn("_len", F.length(text))
-                  .repartition(*parts, lane)
-                  .sortWithinPartitions(lane, *order))
+    if lane is None:
+        # Each partition is a lane (the reference's lane is the worker that
+        # received the work): no shuffle, only a sort inside each partition.
+        df = df.withColumn("lane", F.spark_partition_id())
+        prepared = df.withColumn("_len", F.length(text)).sortWithinPartitions(*order)
+        lane = "lane"
+    else:
+        parts = [num_partitions] if num_partitions else []
+        prepared = (df.withColumn("_len", F.length(text))
+                      .repartition(*parts, lane)
+                      .sortWithinPartitions(lane, *order))
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.LongType())])
     return prepared.mapInArrow(
         _fold_lane_batches(lane, "_len", max_docs, float(max_bytes), out, list(df.columns)), schema)

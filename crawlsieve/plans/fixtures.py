@@ -193,6 +193,18 @@ def write_blocks(lines: DataFrame, root: str, with_rejects: bool = False) -> Non
             .write.mode("overwrite").parquet(f"{root}/blocks_written"))
 
 
+PAGES_PER_ARCHIVE_FILE = 4096
+
+
+def warc_filename(page_id) -> "F.Column":
+    """``warc/<page_id % 8>/<page_id div 4096>.warc.gz``: the eight archive
+    groups of the fixture, each split into files of at most 4,096 pages so
+    that no writer task receives an unbounded share of the pages."""
+    return F.concat(F.lit("warc/"), (page_id % 8).cast("string"), F.lit("/"),
+                    F.lpad(F.floor(page_id / PAGES_PER_ARCHIVE_FILE).cast("string"), 5, "0"),
+                    F.lit(".warc.gz"))
+
+
 def warc_records(pages: DataFrame) -> DataFrame:
     """Per page three archive records (request, response, metadata) as text."""
     pid = F.col("page_id")
@@ -206,7 +218,7 @@ def warc_records(pages: DataFrame) -> DataFrame:
         F.struct(F.lit(0).alias("record_no"), F.lit("request").alias("warc_type"), req.alias("payload")),
         F.struct(F.lit(1).alias("record_no"), F.lit("response").alias("warc_type"), F.col("raw").alias("payload")),
         F.struct(F.lit(2).alias("record_no"), F.lit("metadata").alias("warc_type"), meta.alias("payload")))
-    return (msgs.select(pid, "url", F.concat(F.lit("warc/"), (pid % 8).cast("string"), F.lit(".warc.gz")).alias("filename"),
+    return (msgs.select(pid, "url", warc_filename(pid).alias("filename"),
                         F.explode(recs).alias("r"))
                 .select("page_id", "url", "filename", "r.record_no", "r.warc_type", "r.payload"))
 

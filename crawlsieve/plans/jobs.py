@@ -104,7 +104,7 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
 
 
 def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, archive_base: str,
-               out_dir: str, vocab: list[str] | None, text_mode: str = "flat", lanes: int = 64,
+               out_dir: str, vocab: list[str] | None, text_mode: str = "flat", lanes: int | None = None,
                max_docs: int = 10, max_bytes: float = 1024 * 1024, min_chars: int = 500,
                max_chars: int = 1_000_000, max_tokens: int = 512, metrics_out: dict | None = None) -> str:
     """Stage 2.  Writes documents to ``out_dir`` (K1) and returns the path.
@@ -140,9 +140,13 @@ def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, arc
         records = textf.document_records(docs)
     else:
         records = textf.document_records(docs, tokens=None)
-    records = records.withColumn("lane", batching.lane_of(F.col("url"), lanes))
-    records = batching.batch_threshold(records, lane="lane", order=("url", "timestamp"), text="full_text",
-                                       max_docs=max_docs, max_bytes=max_bytes)
+    if lanes:   # explicit hash lanes (a shuffle of the documents)
+        records = records.withColumn("lane", batching.lane_of(F.col("url"), lanes))
+        records = batching.batch_threshold(records, lane="lane", order=("url", "timestamp"), text="full_text",
+                                           max_docs=max_docs, max_bytes=max_bytes)
+    else:       # default: each partition is a lane, no shuffle
+        records = batching.batch_threshold(records, lane=None, order=("url", "timestamp"), text="full_text",
+                                           max_docs=max_docs, max_bytes=max_bytes)
     records = records.observe(obs_out, F.count(F.lit(1)).alias("documents_written"))
     sinks.write_documents(records, out_dir, date_from="timestamp", max_records_per_file=max(max_docs, 1))
     if metrics_out is not None:

@@ -269,7 +269,7 @@ _HTTP_RAW_P = _HTTP_RAW.replace("html", "p.html").replace("page_id", "p.page_id"
 
 _RECORDS = f"""
 WITH raw AS (
-  SELECT page_id, url, 'warc/' || CAST(page_id % 8 AS VARCHAR) || '.warc.gz' AS filename,
+  SELECT page_id, url, 'warc/' || CAST(page_id % 8 AS VARCHAR) || '/' || lpad(CAST(page_id // 4096 AS VARCHAR), 5, '0') || '.warc.gz' AS filename,
          {_HTTP_RAW} AS raw,
          'GET ' || regexp_extract(url, '^[a-z]+://[^/]+(/.*)$', 1) || ' HTTP/1.1' || chr(13) || chr(10) || 'Host: '
            || regexp_extract(url, '^[a-z]+://([^/]+)', 1) || chr(13) || chr(10) || chr(13) || chr(10) AS req,
@@ -399,7 +399,7 @@ ORACLE["run_summary"] = ORACLE["crawl_status"].replace(
 ORACLE.update({
     "worker_stream": with_cdx(f"""
 , docs AS (
-  SELECT k.surt_url, k."timestamp", 'warc/' || CAST(p.page_id % 8 AS VARCHAR) || '.warc.gz' AS filename, p.raw,
+  SELECT k.surt_url, k."timestamp", 'warc/' || CAST(p.page_id % 8 AS VARCHAR) || '/' || lpad(CAST(p.page_id // 4096 AS VARCHAR), 5, '0') || '.warc.gz' AS filename, p.raw,
          regexp_extract(p.raw, '{_HTTP_RE}', 0) AS m
   FROM kept k JOIN (SELECT page_id, url, {_HTTP_RAW} AS raw FROM pages) p
     ON p.url = json_extract_string(k.js, '$.url')),
