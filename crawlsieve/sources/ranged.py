@@ -173,6 +173,54 @@ def split_http(payload: bytes):
     return payload[:b], payload[b + 2:]
 
 
+def _dechunk(body: bytes) -> bytes:
+    out, pos = [], 0
+    while True:
+        eol = body.find(b"\r\n", pos)
+        if eol < 0:
+            break
+        try:
+            size = int(body[pos:eol].split(b";")[0].strip() or b"0", 16)
+        except ValueError:
+            return body                      # not really chunked: keep as is
+        if size == 0:
+            break
+        out.append(body[eol + 2:eol + 2 + size])
+        pos = eol + 2 + size + 2
+    return b"".join(out)
+
+
+def decode_http_body(head: bytes, body: bytes) -> str:
+    """Body bytes -> text: undo chunked transfer and gzip/deflate content
+    encoding when the head declares them, then decode with the declared
+    charset (UTF-8 otherwise), replacing undecodable bytes."""
+    import codecs
+    import re
+    import zlib
+
+    h = head.decode("latin-1").lower()
+    if re.search(r"^transfer-encoding:\s*chunked", h, re.M):
+        body = _dechunk(body)
+    enc = re.search(r"^content-encoding:\s*([a-z0-9-]+)", h, re.M)
+    if enc and enc.group(1) in ("gzip", "x-gzip", "deflate"):
+        try:
+            wbits = 47 if enc.group(1) != "deflate" else zlib.MAX_WBITS
+            body = zlib.decompress(body, wbits)
+        except zlib.error:
+            try:
+                body = zlib.decompress(body, -zlib.MAX_WBITS)
+            except zlib.error:
+                pass
+    cs = re.search(r"^content-type:.*?charset=[\"']?([a-z0-9_.:-]+)", h, re.M)
+    charset = "utf-8"
+    if cs:
+        try:
+            charset = codecs.lookup(cs.group(1)).name
+        except LookupError:
+            pass
+    return body.decode(charset, errors="replace")
+
+
 def parse_warc(data: bytes):
     """Yield (warc_type, target_uri, content_length, payload) per record;
     raises ValueError on malformed record data."""
@@ -206,7 +254,8 @@ def read_archive_records(manifest: DataFrame, path_template: str = "{file}", bas
     """Fetch each manifest range, gunzip, emit one row per archive record.
 
     Response records also get ``http_head`` / ``body`` (P4; ``error`` is
-    ``no_body`` when the head has no blank line).  A failed fetch yields
+    ``no_body`` when the head has no blank line); the body is de-chunked,
+    inflated and decoded per its declared encodings and charset.  A failed fetch yields
     one row with ``record_no = -1`` and the error label; malformed record
     data ends that item after the records already read.
     """
@@ -262,7 +311,7 @@ def read_archive_records(manifest: DataFrame, path_template: str = "{file}", bas
                                 err = "no_body"
                             else:
                                 head = h.decode("utf-8", errors="replace")
-                                body = bd.decode("utf-8", errors="replace")
+                                body = decode_http_body(h, bd)
                         add(**key, record_no=rec_no, warc_type=wtype, target_uri=uri, content_length=clen,
                             http_head=head, body=body, n_bytes=len(data) if rec_no == 0 else 0, error=err)
                         rec_no += 1

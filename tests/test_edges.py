@@ -124,3 +124,14 @@ def test_warc_malformed_record_stops_item(spark, tmp_path):
     assert ("a.warc.gz", 1, None, None, "bad_record") in kinds
     assert ("a.warc.gz", -1, None, None, "EOFError") in kinds
     assert ("missing.warc.gz", -1, None, None, "FileNotFoundError") in kinds
+
+
+def test_http_body_decoding():
+    import gzip as _gz
+    head = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1"
+    assert ranged.decode_http_body(head, "café".encode("latin-1")) == "café"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked"
+    assert ranged.decode_http_body(chunked, b"4\r\nWiki\r\n5\r\npedia\r\n0\r\n\r\n") == "Wikipedia"
+    zipped = b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\nContent-Type: text/html; charset=utf-8"
+    assert ranged.decode_http_body(zipped, _gz.compress("ünï".encode())) == "ünï"
+    assert ranged.decode_http_body(b"HTTP/1.1 200 OK", b"\xff ok") == "\ufffd ok"
