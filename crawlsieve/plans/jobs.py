@@ -105,10 +105,13 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
 
 def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, archive_base: str,
                out_dir: str, vocab: list[str] | None, text_mode: str = "flat", lanes: int | None = None,
-               max_docs: int = 10, max_bytes: float = 1024 * 1024, min_chars: int = 500,
+               max_docs: int = 10_000, max_bytes: float = 256 * 1024 * 1024, min_chars: int = 500,
                max_chars: int = 1_000_000, max_tokens: int = 512, metrics_out: dict | None = None) -> str:
     """Stage 2.  Writes documents to ``out_dir`` (K1) and returns the path.
 
+    Upload batches default to the reference's class defaults (10,000
+    documents or 256 MB estimated); a file holds at most one batch's count.
+
     When ``metrics_out`` is a dict it receives the worker counters (ranges
     fetched, download errors, records, responses, extracted, length-filtered,
     documents written) observed during the single write, with no extra pass.

@@ -34,6 +34,23 @@ SOFT_DEFAULTS = {
 }
 
 
+# Suggested settings for a large cluster (e.g. ~1000 executors reading
+# ~100 TB).  Shuffle partitions follow the data (about 256 MB each after
+# AQE), input splits stay at 256 MB, AQE splits skewed join partitions, and
+# speculative copies are off because the fixture writers own their files.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    "spark.task.maxFailures": "8",
+    "spark.speculation": "false",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def build_session(master: str = "local[8]", app: str = "crawlsieve",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app)
