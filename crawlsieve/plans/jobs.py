@@ -103,6 +103,42 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
     return paths
 
 
+def documents_from_entries(entries: DataFrame, archive_template: str, archive_base: str,
+                           vocab: list[str] | None, text_mode: str = "flat", min_chars: int = 500,
+                           max_chars: int = 1_000_000, max_tokens: int = 512,
+                           scan_observation: Observation | None = None) -> DataFrame:
+    """Entries (surt_url, timestamp, metadata) -> document records:
+    archive records by range (S5, P4), responses (F6), text (P5, or P6/P7
+    with ``text_mode`` 'main' / 'strict'), non-blank and length filters
+    (F7, F8), tokens (P8) and the record columns (P9)."""
+    manifest = entries.select("surt_url", "timestamp", meta("filename").alias("filename"),
+                              meta("offset").try_cast("bigint").alias("offset"),
+                              meta("length").try_cast("bigint").alias("length"))
+    scanned = ranged.read_archive_records(manifest, archive_template, archive_base, carry=("surt_url", "timestamp"))
+    if scan_observation is not None:
+        scanned = scanned.observe(
+            scan_observation,
+            F.count_if(F.col("record_no") == 0).alias("ranges_fetched"),
+            F.count_if(F.col("record_no") == -1).alias("download_errors"),
+            F.count_if(F.col("warc_type").isNotNull()).alias("records_total"),
+            F.count_if(F.col("warc_type") == "response").alias("responses"))
+    recs = ranged.filter_warc_response(scanned).where(F.col("error").isNull())
+    if text_mode == "flat":
+        docs = textf.with_computed(recs.select("surt_url", "timestamp", "filename", "body"),
+                                   textf.flat_text("body"), "full_text").drop("body")
+    elif text_mode in ("main", "strict"):
+        keyed = recs.select("surt_url", "timestamp", "filename", "offset", "body")
+        fn = extract.main_text_strict if text_mode == "strict" else extract.main_text
+        docs = fn(keyed, id_cols=("surt_url", "timestamp", "filename", "offset"), html="body",
+                  out="full_text").drop("offset")
+    else:
+        raise ValueError(f"text_mode must be 'flat', 'main' or 'strict', got {text_mode!r}")
+    docs = textf.filter_length(textf.filter_nonblank(docs, "full_text"), "full_text", min_chars, max_chars)
+    if vocab is None:
+        return textf.document_records(docs, tokens=None)
+    return textf.document_records(tokenize.tokenize(docs, vocab, text="full_text", max_tokens=max_tokens))
+
+
 def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, archive_base: str,
                out_dir: str, vocab: list[str] | None, text_mode: str = "flat", lanes: int | None = None,
                max_docs: int = 10_000, max_bytes: float = 256 * 1024 * 1024, min_chars: int = 500,
@@ -117,32 +153,9 @@ def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, arc
     documents written) observed during the single write, with no extra pass.
     """
     entries = ixsrc.explode_batch_messages(sinks.read_batches(spark, batches_dir))
-    manifest = entries.select("surt_url", "timestamp", meta("filename").alias("filename"),
-                              meta("offset").try_cast("bigint").alias("offset"),
-                              meta("length").try_cast("bigint").alias("length"))
-    scanned = ranged.read_archive_records(manifest, archive_template, archive_base, carry=("surt_url", "timestamp"))
     obs_scan, obs_out = Observation("worker_scan"), Observation("worker_out")
-    scanned = scanned.observe(
-        obs_scan,
-        F.count_if(F.col("record_no") == 0).alias("ranges_fetched"),
-        F.count_if(F.col("record_no") == -1).alias("download_errors"),
-        F.count_if(F.col("warc_type").isNotNull()).alias("records_total"),
-        F.count_if(F.col("warc_type") == "response").alias("responses"))
-    recs = ranged.filter_warc_response(scanned).where(F.col("error").isNull())
-    if text_mode == "flat":
-        docs = textf.with_computed(recs.select("surt_url", "timestamp", "filename", "body"),
-                                   textf.flat_text("body"), "full_text").drop("body")
-    else:
-        keyed = recs.select("surt_url", "timestamp", "filename", "offset", "body")
-        fn = extract.main_text_strict if text_mode == "strict" else extract.main_text
-        docs = fn(keyed, id_cols=("surt_url", "timestamp", "filename", "offset"), html="body",
-                  out="full_text").drop("offset")
-    docs = textf.filter_length(textf.filter_nonblank(docs, "full_text"), "full_text", min_chars, max_chars)
-    if vocab is not None:
-        docs = tokenize.tokenize(docs, vocab, text="full_text", max_tokens=max_tokens)
-        records = textf.document_records(docs)
-    else:
-        records = textf.document_records(docs, tokens=None)
+    records = documents_from_entries(entries, archive_template, archive_base, vocab, text_mode,
+                                     min_chars, max_chars, max_tokens, scan_observation=obs_scan)
     if lanes:   # explicit hash lanes (a shuffle of the documents)
         records = records.withColumn("lane", batching.lane_of(F.col("url"), lanes))
         records = batching.batch_threshold(records, lane="lane", order=("url", "timestamp"), text="full_text",

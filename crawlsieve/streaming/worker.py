@@ -22,11 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlsieve.functions import text as textf
-from crawlsieve.functions.cdx import meta
-from crawlsieve.operators import dedup, tokenize
+from crawlsieve.operators import dedup
 from crawlsieve.sources import index as ixsrc
-from crawlsieve.sources import ranged, sinks
+from crawlsieve.sources import sinks
 
 AUDIT = T.StructType([
     T.StructField("query", T.StringType()), T.StructField("batch_id", T.LongType()),
@@ -41,26 +39,19 @@ def _start(writer, trigger: str | None):
 
 
 def worker_documents(entries: DataFrame, archive_template: str, archive_base: str,
-                     vocab: list[str] | None, min_chars: int = 500, max_chars: int = 1_000_000) -> DataFrame:
-    """Entries (surt_url, timestamp, metadata) -> document records."""
-    manifest = entries.select("surt_url", "timestamp", meta("filename").alias("filename"),
-                              meta("offset").try_cast("bigint").alias("offset"),
-                              meta("length").try_cast("bigint").alias("length"))
-    recs = ranged.read_archive_records(manifest, archive_template, archive_base,
-                                       carry=("surt_url", "timestamp"))
-    docs = (ranged.filter_warc_response(recs).where(F.col("error").isNull())
-                  .select("surt_url", "timestamp", "filename", "body"))
-    docs = textf.with_computed(docs, textf.flat_text("body"), "full_text").drop("body")
-    docs = textf.filter_length(textf.filter_nonblank(docs, "full_text"), "full_text", min_chars, max_chars)
-    if vocab is None:
-        return textf.document_records(docs, tokens=None)
-    return textf.document_records(tokenize.tokenize(docs, vocab, text="full_text"))
+                     vocab: list[str] | None, text_mode: str = "flat", min_chars: int = 500,
+                     max_chars: int = 1_000_000) -> DataFrame:
+    """Entries (surt_url, timestamp, metadata) -> document records (the
+    same chain as the batch worker)."""
+    from crawlsieve.plans.jobs import documents_from_entries
+    return documents_from_entries(entries, archive_template, archive_base, vocab, text_mode,
+                                  min_chars, max_chars)
 
 
 def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint: str,
                  archive_template: str, archive_base: str, vocab: list[str] | None = None,
                  max_files_per_trigger: int | None = None, trigger: str | None = "availableNow",
-                 audit_dir: str | None = None, query_name: str = "worker"):
+                 audit_dir: str | None = None, query_name: str = "worker", text_mode: str = "flat"):
     """Start the worker stream; returns the StreamingQuery.
 
     T2: at most ``max_files_per_trigger`` batch files per micro-batch
@@ -75,7 +66,7 @@ def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint
     audit_dir = audit_dir or f"{out_dir}_audit"
 
     def sink(batch: DataFrame, batch_id: int):
-        docs = worker_documents(batch, archive_template, archive_base, vocab).persist()
+        docs = worker_documents(batch, archive_template, archive_base, vocab, text_mode).persist()
         try:
             sinks.write_documents(docs, f"{out_dir}/run={batch_id}", mode="overwrite")
             n = docs.count()
