@@ -14,12 +14,24 @@ from crawlsieve.functions.cdx import UNICODE_SPACE_CLASS
 
 # Named character references decoded by the flat-text chain.
 # Each may appear without the trailing ';' (HTML legacy form) except apos.
-# "amp" must be decoded last so "&amp;lt;" yields "&lt;" and not "<".
 ENTITIES = [
     ("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\u00a0"), ("copy", "©"),
     ("reg", "®"), ("middot", "·"), ("apos", "'"), ("amp", "&"),
 ]
 ENTITIES_SEMICOLON_REQUIRED = {"apos"}
+# Numeric references to C1 controls 0x80-0x9F that HTML
+# decodes as the Windows-1252 character instead (code point -> code point).
+C1_REMAP = {
+    0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x86: 0x2020,
+    0x87: 0x2021, 0x88: 0x02C6, 0x89: 0x2030, 0x8A: 0x0160, 0x8B: 0x2039, 0x8C: 0x0152,
+    0x8E: 0x017D, 0x91: 0x2018, 0x92: 0x2019, 0x93: 0x201C, 0x94: 0x201D, 0x95: 0x2022,
+    0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
+    0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178,
+}
+_LEGACY = "|".join(n for n, _ in ENTITIES if n not in ENTITIES_SEMICOLON_REQUIRED)
+_STRICT = "|".join(n for n, _ in ENTITIES if n in ENTITIES_SEMICOLON_REQUIRED)
+# One pattern for every reference; group 1 is the body with its optional ';'.
+ENTITY_RE = (r"&(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|(?:" + _LEGACY + r");?|(?:" + _STRICT + r");)")
 
 NON_SPACE_RE = "[^" + UNICODE_SPACE_CLASS[1:]
 # Script and style subtrees, comments, tags and doctype/processing
@@ -35,15 +47,37 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def entity_pattern(name: str) -> str:
-    return f"&{name};" if name in ENTITIES_SEMICOLON_REQUIRED else f"&{name};?"
+def _reference_char(ref: Column) -> Column:
+    """Character of one matched reference body (``#39;``, ``#x2019``, ``amp;``)."""
+    body = F.regexp_replace(ref, ";$", "")
+    is_hex = F.startswith(F.lower(body), F.lit("#x"))
+    num = F.when(is_hex, F.conv(F.substring(body, 3, 16), 16, 10)).otherwise(F.substring(body, 2, 16))
+    n = num.try_cast("long")
+    remap = F.create_map(*[F.lit(x) for kv in C1_REMAP.items() for x in kv])
+    n = F.coalesce(F.try_element_at(remap, n), n)
+    valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+    cp = F.when(valid, n).otherwise(F.lit(0xFFFD))
+    numeric = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
+    named = F.lit(None).cast("string")
+    for name, ch in ENTITIES:
+        named = F.when(body == name, F.lit(ch)).otherwise(named)
+    return F.when(F.startswith(body, F.lit("#")), numeric).otherwise(named)
 
 
 def decode_entities(c) -> Column:
-    out = _c(c)
-    for name, ch in ENTITIES:
-        out = F.regexp_replace(out, entity_pattern(name), ch.replace("\\", "\\\\").replace("$", "\\$"))
-    return out
+    """Decode named and numeric character references in one left-to-right
+    pass (each reference once: ``&amp;#39;`` stays ``&#39;``).
+
+    The text is split on the reference pattern, every match is mapped to
+    its character, and the pieces are zipped back together; all native.
+    """
+    c = _c(c)
+    pieces = F.split(c, ENTITY_RE)
+    chars = F.transform(F.regexp_extract_all(c, F.lit(ENTITY_RE), 1), _reference_char)
+    joined = F.array_join(
+        F.zip_with(pieces, F.concat(chars, F.array(F.lit(""))),
+                   lambda p, ch: F.concat(F.coalesce(p, F.lit("")), F.coalesce(ch, F.lit("")))), "")
+    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
 
 
 def collapse_whitespace(c) -> Column:

@@ -171,11 +171,31 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+_C1 = {0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x86: 0x2020,
+       0x87: 0x2021, 0x88: 0x02C6, 0x89: 0x2030, 0x8A: 0x0160, 0x8B: 0x2039, 0x8C: 0x0152,
+       0x8E: 0x017D, 0x91: 0x2018, 0x92: 0x2019, 0x93: 0x201C, 0x94: 0x201D, 0x95: 0x2022,
+       0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
+       0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178}
+_ENT_RE = (r"&(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|(?:quot|lt|gt|nbsp|copy|reg|middot|amp);?|(?:apos);)")
+
+
+def _sql_ref_char(r: str) -> str:
+    body = f"regexp_replace({r}, ';$', '')"
+    num = (f"TRY_CAST(CASE WHEN lower({body}) LIKE '#x%' THEN '0x' || substr({body}, 3) "
+           f"ELSE substr({body}, 2) END AS BIGINT)")
+    c1 = " ".join(f"WHEN {k} THEN {v}" for k, v in _C1.items())
+    n = f"(CASE {num} {c1} ELSE {num} END)"
+    cp = f"(CASE WHEN {n} > 0 AND {n} <= 1114111 AND NOT ({n} BETWEEN 55296 AND 57343) THEN {n} ELSE 65533 END)"
+    named = "CASE " + " ".join(f"WHEN {body} = {_sql_str(k)} THEN {_sql_str(v)}" for k, v in _ENT) + " END"
+    return f"CASE WHEN starts_with({body}, '#') THEN chr(CAST({cp} AS INTEGER)) ELSE {named} END"
+
+
 def sql_decode_entities(x: str) -> str:
-    for name, ch in _ENT:
-        pat = f"&{name};" if name == "apos" else f"&{name};?"
-        x = f"regexp_replace({x}, {_sql_str(pat)}, {_sql_str(ch)}, 'g')"
-    return x
+    pieces = f"regexp_split_to_array({x}, {_sql_str(_ENT_RE)})"
+    chars = f"list_transform(regexp_extract_all({x}, {_sql_str(_ENT_RE)}, 1), lambda r: {_sql_ref_char('r')})"
+    joined = (f"array_to_string(list_transform(list_zip({pieces}, list_concat({chars}, [''])), "
+              f"lambda z: coalesce(z[1], '') || coalesce(z[2], '')), '')")
+    return f"CASE WHEN contains({x}, '&') THEN {joined} ELSE {x} END"
 
 
 def sql_strip(x: str, patterns) -> str:

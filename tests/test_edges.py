@@ -135,3 +135,12 @@ def test_http_body_decoding():
     zipped = b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\nContent-Type: text/html; charset=utf-8"
     assert ranged.decode_http_body(zipped, _gz.compress("ünï".encode())) == "ünï"
     assert ranged.decode_http_body(b"HTTP/1.1 200 OK", b"\xff ok") == "\ufffd ok"
+
+
+def test_entity_decoding_single_pass(spark):
+    import html as _html
+    cases = ["a&#39;b&#x2019;c", "&amp;#39; stays", "&#38;amp; stays", "&#150;&#0;&#xD800;&#128512;",
+             "&copy 2024 &middot; &am &amp", "&apos;x&apos", "no refs"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, t string")
+    got = [r.d for r in df.select("i", textf.decode_entities("t").alias("d")).orderBy("i").collect()]
+    assert got == [_html.unescape(c) for c in cases]
