@@ -38,9 +38,14 @@ NON_SPACE_RE = "[^" + UNICODE_SPACE_CLASS[1:]
 # instructions removed in one left-to-right pass (leftmost-first
 # alternation, the same in Java regex and RE2): whatever starts first wins,
 # so a tag inside a comment or script goes with its container; an element
-# left open at the end of a truncated page runs to the end.
+# left open at the end of a truncated page runs to the end.  A tag ends at
+# the first '>' outside quoted attribute values; the possessive quantifiers
+# never backtrack (RE2 gives the same matches without them, because each
+# alternative starts with a different character).
 SCRUB_RE = (r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-            r"|<!--.*?(?:-->|\z)|</?[A-Za-z][^>]*(?:>|\z)|<[!?][^>]*(?:>|\z)")
+            r"|<!--.*?(?:-->|\z)"
+            r"|</?[A-Za-z](?:[^>\"']++|\"[^\"]*+(?:\"|\z)|'[^']*+(?:'|\z))*+(?:>|\z)"
+            r"|<[!?][^>]*(?:>|\z)")
 
 
 def _c(c) -> Column:

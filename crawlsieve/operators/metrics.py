@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from crawlsieve.functions.cdx import normalize_surt
+from crawlsieve.functions.text import is_nonblank
 from crawlsieve.operators.dedup import ORDER_FIRST_SEEN
 
 INDEX_OUTCOMES = ("parse_error", "language", "status")
@@ -83,7 +84,7 @@ def funnel_documents(records: DataFrame, group=("filename",)) -> DataFrame:
     ``keep_length`` (bool) columns.
     """
     is_resp = F.col("warc_type") == "response"
-    nonblank = F.coalesce(F.col("text").rlike("(?U)\\S"), F.lit(False))
+    nonblank = is_nonblank("text")
     fetched = F.col("record_no") >= 0
     return records.groupBy(*group).agg(
         F.count_distinct(F.when(fetched, F.col("offset"))).cast("bigint").alias("ranges_fetched"),

@@ -211,7 +211,9 @@ _TAG = r"<(/?[A-Za-z][^>]*|[!?][^>]*)(>|\z)"
 
 
 _SCRUB = (r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-          r"|<!--.*?(?:-->|\z)|</?[A-Za-z][^>]*(?:>|\z)|<[!?][^>]*(?:>|\z)")
+          r"|<!--.*?(?:-->|\z)"
+          r"|</?[A-Za-z](?:[^>\"']+|\"[^\"]*(?:\"|\z)|'[^']*(?:'|\z))*(?:>|\z)"
+          r"|<[!?][^>]*(?:>|\z)")
 
 
 def sql_flat_text(col: str) -> str:

@@ -144,3 +144,11 @@ def test_entity_decoding_single_pass(spark):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, t string")
     got = [r.d for r in df.select("i", textf.decode_entities("t").alias("d")).orderBy("i").collect()]
     assert got == [_html.unescape(c) for c in cases]
+
+
+def test_tag_with_gt_in_quoted_attribute(spark):
+    big = "x" * 200000
+    cases = ['<a onclick="if(a>b){}">t</a> u', "<p title='1>0'>v</p>", f'<img src="{big}">w', '<a title="open>x']
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, h string")
+    got = [r.t for r in df.select("i", textf.flat_text("h").alias("t")).orderBy("i").collect()]
+    assert got == ["t u", "v", "w", ""]
