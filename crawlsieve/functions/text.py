@@ -12,13 +12,32 @@ from pyspark.sql import functions as F
 
 from crawlsieve.functions.cdx import UNICODE_SPACE_CLASS
 
-# Named character references decoded by the flat-text chain.
-# Each may appear without the trailing ';' (HTML legacy form) except apos.
-ENTITIES = [
-    ("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\u00a0"), ("copy", "©"),
-    ("reg", "®"), ("middot", "·"), ("apos", "'"), ("amp", "&"),
+# Named character references decoded by the flat-text chain.
+# The basic markup names and their legacy upper-case forms,
+# which, like every Latin-1 name below, may appear without the trailing ';'.
+BASIC_ENTITIES = [
+    ("quot", '"'), ("amp", "&"), ("lt", "<"), ("gt", ">"),
+    ("QUOT", '"'), ("AMP", "&"), ("LT", "<"), ("GT", ">"), ("COPY", "©"), ("REG", "®"),
 ]
-ENTITIES_SEMICOLON_REQUIRED = {"apos"}
+# Names that are decoded only with their ';'.
+SEMICOLON_ENTITIES = [
+    ("apos", "'"), ("ndash", "–"), ("mdash", "—"), ("lsquo", "‘"), ("rsquo", "’"),
+    ("sbquo", "‚"), ("ldquo", "“"), ("rdquo", "”"), ("bdquo", "„"), ("hellip", "…"),
+    ("bull", "•"), ("trade", "™"), ("euro", "€"), ("prime", "′"), ("dagger", "†"),
+    ("Dagger", "‡"), ("permil", "‰"), ("lsaquo", "‹"), ("rsaquo", "›"), ("thinsp", "\u2009"),
+    ("ensp", "\u2002"), ("emsp", "\u2003"), ("zwnj", "\u200c"), ("zwj", "\u200d"),
+]
+
+
+def _latin1_entities() -> list[tuple[str, str]]:
+    """Rule: the standard names of U+00A0..U+00FF (from the Python standard
+    library's HTML entity table)."""
+    from html.entities import codepoint2name
+    return [(codepoint2name[cp], chr(cp)) for cp in range(0xA0, 0x100) if cp in codepoint2name]
+
+
+ENTITIES = BASIC_ENTITIES + _latin1_entities() + SEMICOLON_ENTITIES
+ENTITIES_SEMICOLON_REQUIRED = {n for n, _ in SEMICOLON_ENTITIES}
 # Numeric references to C1 controls 0x80-0x9F that HTML
 # decodes as the Windows-1252 character instead (code point -> code point).
 C1_REMAP = {
@@ -28,8 +47,9 @@ C1_REMAP = {
     0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
     0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178,
 }
-_LEGACY = "|".join(n for n, _ in ENTITIES if n not in ENTITIES_SEMICOLON_REQUIRED)
-_STRICT = "|".join(n for n, _ in ENTITIES if n in ENTITIES_SEMICOLON_REQUIRED)
+# longest names first, so an alternation never stops at a shorter prefix
+_LEGACY = "|".join(sorted((n for n, _ in ENTITIES if n not in ENTITIES_SEMICOLON_REQUIRED), key=lambda n: (-len(n), n)))
+_STRICT = "|".join(sorted(ENTITIES_SEMICOLON_REQUIRED, key=lambda n: (-len(n), n)))
 # One pattern for every reference; group 1 is the body with its optional ';'.
 ENTITY_RE = (r"&(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|(?:" + _LEGACY + r");?|(?:" + _STRICT + r");)")
 
@@ -52,6 +72,10 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _named_map():
+    return F.create_map(*[F.lit(x) for kv in ENTITIES for x in kv])
+
+
 def _reference_char(ref: Column) -> Column:
     """Character of one matched reference body (``#39;``, ``#x2019``, ``amp;``)."""
     body = F.regexp_replace(ref, ";$", "")
@@ -63,9 +87,7 @@ def _reference_char(ref: Column) -> Column:
     valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
     cp = F.when(valid, n).otherwise(F.lit(0xFFFD))
     numeric = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
-    named = F.lit(None).cast("string")
-    for name, ch in ENTITIES:
-        named = F.when(body == name, F.lit(ch)).otherwise(named)
+    named = F.try_element_at(_named_map(), body)
     return F.when(F.startswith(body, F.lit("#")), numeric).otherwise(named)
 
 

@@ -163,8 +163,12 @@ GROUP BY crawl, batch_no"""),
 }
 
 
-_ENT = [("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\u00a0"), ("copy", "©"),
-        ("reg", "®"), ("middot", "·"), ("apos", "'"), ("amp", "&")]
+def _entities():
+    from crawlsieve.functions.text import ENTITIES
+    return ENTITIES
+
+
+_ENT = _entities()
 
 
 def _sql_str(s: str) -> str:
@@ -176,7 +180,12 @@ _C1 = {0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x8
        0x8E: 0x017D, 0x91: 0x2018, 0x92: 0x2019, 0x93: 0x201C, 0x94: 0x201D, 0x95: 0x2022,
        0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
        0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178}
-_ENT_RE = (r"&(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|(?:quot|lt|gt|nbsp|copy|reg|middot|amp);?|(?:apos);)")
+def _ent_re() -> str:
+    from crawlsieve.functions.text import ENTITY_RE
+    return ENTITY_RE
+
+
+_ENT_RE = _ent_re()
 
 
 def _sql_ref_char(r: str) -> str:
@@ -186,7 +195,7 @@ def _sql_ref_char(r: str) -> str:
     c1 = " ".join(f"WHEN {k} THEN {v}" for k, v in _C1.items())
     n = f"(CASE {num} {c1} ELSE {num} END)"
     cp = f"(CASE WHEN {n} > 0 AND {n} <= 1114111 AND NOT ({n} BETWEEN 55296 AND 57343) THEN {n} ELSE 65533 END)"
-    named = "CASE " + " ".join(f"WHEN {body} = {_sql_str(k)} THEN {_sql_str(v)}" for k, v in _ENT) + " END"
+    named = "CASE " + " ".join(f"WHEN {body} = {_sql_str(k)} THEN {_sql_str(v)}" for k, v in _ENT) + " END"  # noqa: E501
     return f"CASE WHEN starts_with({body}, '#') THEN chr(CAST({cp} AS INTEGER)) ELSE {named} END"
 
 

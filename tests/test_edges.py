@@ -152,3 +152,12 @@ def test_tag_with_gt_in_quoted_attribute(spark):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, h string")
     got = [r.t for r in df.select("i", textf.flat_text("h").alias("t")).orderBy("i").collect()]
     assert got == ["t u", "v", "w", ""]
+
+
+def test_latin1_and_typographic_entities(spark):
+    import html as _html
+    cases = ["caf&eacute; &uuml;ber ni&ntilde;o &rsquo;q&rdquo; &mdash; &hellip; &euro;5 &frac12;",
+             "&eacuteclat &copyright &AMP; &Eacute;", "&rsquo no semicolon stays"]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, t string")
+    got = [r.d for r in df.select("i", textf.decode_entities("t").alias("d")).orderBy("i").collect()]
+    assert got == [_html.unescape(cases[0]), _html.unescape(cases[1]), cases[2]]
