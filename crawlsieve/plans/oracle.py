@@ -446,3 +446,6 @@ WHERE coalesce(regexp_matches(full_text, '[^{WS[1:]}'), false) AND length(full_t
 
 ORACLE["batcher_job"] = ORACLE["batch_message_explode"]
 ORACLE["worker_job"] = ORACLE["worker_stream"]
+
+ORACLE["sink_audit"] = ("SELECT 'ok' AS status, true AS has_batches, CAST(count(*) AS BIGINT) AS rows FROM ("
+                        + ORACLE["worker_stream"] + ")")

@@ -573,8 +573,10 @@ def q_sink_audit(spark, sf_dir):
     """A10: micro-batches and rows written by the worker sink, per status."""
     from crawlsieve.streaming import worker
     out = _run_worker(spark, sf_dir)
+    # the number of micro-batches depends on the file layout, so only its
+    # presence is reported; the rows must equal the documents written
     return (worker.read_audit(spark, f"{out}_audit").groupBy("status")
-            .agg(F.count(F.lit(1)).cast("bigint").alias("batches"), F.sum("rows").cast("bigint").alias("rows")))
+            .agg((F.count(F.lit(1)) >= 1).alias("has_batches"), F.sum("rows").cast("bigint").alias("rows")))
 
 
 @register("stream_dedup")
