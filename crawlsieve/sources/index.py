@@ -73,19 +73,35 @@ def crawl_table(spark: SparkSession, crawls) -> DataFrame:
                                  "crawl string, crawl_rank int")
 
 
+_SCHEME_AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/]*)?"
+
+
+def _bare_prefix(path: str) -> str:
+    import re
+    for i, ch in enumerate(path):
+        if ch in "*?[{":
+            path = path[:i]
+            break
+    return re.sub(_SCHEME_AUTHORITY, "", path)
+
+
 def _tagged(spark: SparkSession, crawls, template: str, base: str, sep: str = "tab") -> DataFrame:
     """One read over every crawl's index, each row tagged (crawl, crawl_rank)."""
     pairs = [(c, i, template.format(base=base, crawl=c)) for i, c in enumerate(crawl_names(crawls))]
     paths = [p for _, _, p in pairs]
     raw = _read_raw(spark, paths, sep)
     # Map file -> crawl with a tiny broadcast table (one row per crawl named
-    # by the caller, so its size is bounded by the argument list).
+    # by the caller, so its size is bounded by the argument list).  Both
+    # sides are compared as bare paths (no scheme, no authority), and a
+    # template prefix ends at its first glob character.
     prefixes = spark.createDataFrame(
-        [(c, r, "/" + p.split("://", 1)[-1].lstrip("/").rstrip("/")) for c, r, p in pairs],
-        "crawl string, crawl_rank int, _prefix string")
-    norm = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace("_file", "^[a-zA-Z]+:", ""), "^/+", ""))
-    return (raw.join(F.broadcast(prefixes), F.startswith(norm, F.col("_prefix")))
-               .drop("_file", "_prefix"))
+        [(c, r, _bare_prefix(p).rstrip("/"), not any(ch in p for ch in "*?[{")) for c, r, p in pairs],
+        "crawl string, crawl_rank int, _prefix string, _whole boolean")
+    bare = F.regexp_replace(F.col("_file"), _SCHEME_AUTHORITY, "")
+    at_boundary = ((F.length(bare) == F.length("_prefix"))
+                   | (F.substring(bare, F.length("_prefix") + 1, 1) == F.lit("/")))
+    cond = F.startswith(bare, F.col("_prefix")) & (~F.col("_whole") | at_boundary)
+    return raw.join(F.broadcast(prefixes), cond).drop("_file", "_prefix", "_whole")
 
 
 def read_block_index(spark: SparkSession, crawls, template: str = DEFAULT_INDEX_TEMPLATE,

@@ -85,3 +85,11 @@ def test_parse_blank_separated_block_rows(spark, tmp_path):
                                 sep="whitespace")
     assert df.count() == 4
     assert {r.cdx_length for r in df.collect()} == {188224, 178351, 178055}
+
+
+def test_crawl_paths_that_share_a_prefix(spark, tmp_path):
+    for crawl in ("CC-MAIN-2024-3", "CC-MAIN-2024-30"):
+        (tmp_path / crawl).mkdir()
+        (tmp_path / crawl / "cluster.idx").write_text("\t".join(ROWS[0]) + "\n")
+    df = ixsrc.read_block_index(spark, "CC-MAIN-2024-3,CC-MAIN-2024-30", "{base}/{crawl}", str(tmp_path))
+    assert sorted((r.crawl, r.crawl_rank) for r in df.collect()) == [("CC-MAIN-2024-3", 0), ("CC-MAIN-2024-30", 1)]
