@@ -448,7 +448,7 @@ def q_batch_stats(spark, sf_dir):
 def documents_with_tokens(spark, sf_dir) -> DataFrame:
     """The full worker chain: kept entries -> text -> filters -> tokens -> records."""
     docs = kept_documents(spark, sf_dir)
-    vocab = tokenize.fit_vocab(docs, "full_text", VOCAB_SIZE)
+    vocab = tokenize.fit_vocab(_documents(spark, sf_dir), "text", VOCAB_SIZE)  # caller-side vocabulary
     return textf.document_records(tokenize.tokenize(docs, vocab, text="full_text"))
 
 
