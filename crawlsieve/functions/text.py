@@ -76,19 +76,31 @@ def _named_map():
     return F.create_map(*[F.lit(x) for kv in ENTITIES for x in kv])
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element
+    ``transform``): an expression may then use it several times without
+    re-evaluating it, whatever operator the expression lands in."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _reference_char(ref: Column) -> Column:
     """Character of one matched reference body (``#39;``, ``#x2019``, ``amp;``)."""
-    body = F.regexp_replace(ref, ";$", "")
-    is_hex = F.startswith(F.lower(body), F.lit("#x"))
-    num = F.when(is_hex, F.conv(F.substring(body, 3, 16), 16, 10)).otherwise(F.substring(body, 2, 16))
-    n = num.try_cast("long")
     remap = F.create_map(*[F.lit(x) for kv in C1_REMAP.items() for x in kv])
-    n = F.coalesce(F.try_element_at(remap, n), n)
-    valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
-    cp = F.when(valid, n).otherwise(F.lit(0xFFFD))
-    numeric = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
-    named = F.try_element_at(_named_map(), body)
-    return F.when(F.startswith(body, F.lit("#")), numeric).otherwise(named)
+
+    def from_body(body):
+        is_hex = F.startswith(F.lower(body), F.lit("#x"))
+        num = F.when(is_hex, F.conv(F.substring(body, 3, 16), 16, 10)).otherwise(F.substring(body, 2, 16))
+
+        def to_char(n):
+            valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+            cp = F.when(valid, n).otherwise(F.lit(0xFFFD))
+            return F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
+
+        numeric = _let(F.coalesce(F.try_element_at(remap, num.try_cast("long")), num.try_cast("long")), to_char)
+        named = F.try_element_at(_named_map(), body)
+        return F.when(F.startswith(body, F.lit("#")), numeric).otherwise(named)
+
+    return _let(F.regexp_replace(ref, ";$", ""), from_body)
 
 
 def decode_entities(c) -> Column:
@@ -97,14 +109,18 @@ def decode_entities(c) -> Column:
 
     The text is split on the reference pattern, every match is mapped to
     its character, and the pieces are zipped back together; all native.
+    The input is bound once (``_let``), so an expensive input expression
+    is evaluated once per row.
     """
-    c = _c(c)
-    pieces = F.split(c, ENTITY_RE)
-    chars = F.transform(F.regexp_extract_all(c, F.lit(ENTITY_RE), 1), _reference_char)
-    joined = F.array_join(
-        F.zip_with(pieces, F.concat(chars, F.array(F.lit(""))),
-                   lambda p, ch: F.concat(F.coalesce(p, F.lit("")), F.coalesce(ch, F.lit("")))), "")
-    return F.when(F.contains(c, F.lit("&")), joined).otherwise(c)
+    def decode(x):
+        pieces = F.split(x, ENTITY_RE)
+        chars = F.transform(F.regexp_extract_all(x, F.lit(ENTITY_RE), 1), _reference_char)
+        joined = F.array_join(
+            F.zip_with(pieces, F.concat(chars, F.array(F.lit(""))),
+                       lambda p, ch: F.concat(F.coalesce(p, F.lit("")), F.coalesce(ch, F.lit("")))), "")
+        return F.when(F.contains(x, F.lit("&")), joined).otherwise(x)
+
+    return _let(_c(c), decode)
 
 
 def collapse_whitespace(c) -> Column:
