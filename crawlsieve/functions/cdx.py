@@ -39,9 +39,11 @@ def parse_cdx_line(df: DataFrame, line: str = "line", squash_spaces: bool = Fals
     js = F.get(parts, 2)
     if squash_spaces:
         js = F.replace(js, F.lit(" "), F.lit(""))
-    return (df.withColumn("surt_url", F.get(parts, 0))
-              .withColumn("timestamp", F.get(parts, 1))
-              .withColumn("metadata", F.from_json(js, METADATA_MAP, _JSON_OPTIONS)))
+    out = df.withColumn("surt_url", F.get(parts, 0)).withColumn("timestamp", F.get(parts, 1))
+    # The map is produced by a one-element explode so that the outcome
+    # predicates (pushed below a plain projection they would each re-run
+    # from_json) read the decoded map instead: JSON is parsed once per line.
+    return out.select("*", F.explode(F.array(F.from_json(js, METADATA_MAP, _JSON_OPTIONS))).alias("metadata"))
 
 
 def meta(key: str, metadata: str = "metadata") -> Column:
