@@ -52,3 +52,8 @@ def test_worker_upload_batches_do_not_shuffle_documents(spark):
     p = batching.batch_threshold(docs, lane=None, order=("doc_id",), text="text")
     plan = p._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_cdx_json_parsed_once_per_line(spark):
+    for name in ("dedup_first_seen", "filter_status", "cdx_parse"):
+        assert _plan(spark, name).count("from_json(") == 1, name
