@@ -52,12 +52,19 @@ CLUSTER_SETTINGS = {
 
 
 def build_session(master: str = "local[8]", app: str = "crawlsieve",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
+                  shuffle_partitions: int = 8, extra: dict | None = None,
+                  profile: str = "local") -> SparkSession:
+    """A session with the package defaults.  ``profile='cluster'`` applies
+    ``CLUSTER_SETTINGS`` (then ``shuffle_partitions`` is ignored)."""
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", "16g")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+               .config("spark.ui.showConsoleProgress", "false"))
+    if profile == "cluster":
+        for k, v in CLUSTER_SETTINGS.items():
+            builder = builder.config(k, v)
+    else:
+        builder = (builder.config("spark.driver.memory", "16g")
+                          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     extra = dict(extra or {})
     if master.startswith("local") and "spark.sql.warehouse.dir" not in extra:
         # local runs only: keep catalog tables out of the working directory
