@@ -161,3 +161,20 @@ def test_latin1_and_typographic_entities(spark):
     df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, t string")
     got = [r.d for r in df.select("i", textf.decode_entities("t").alias("d")).orderBy("i").collect()]
     assert got == [_html.unescape(cases[0]), _html.unescape(cases[1]), cases[2]]
+
+
+def test_document_funnel_counts_failures(spark, tmp_path):
+    from crawlsieve.operators import metrics
+    page = b"H: 1\r\n\r\n<p>" + b"word " * 200 + b"</p>"
+    rec = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % len(page) + page + b"\r\n\r\n"
+    data = gzip.compress(rec, mtime=0)
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    man = spark.createDataFrame([("a.warc.gz", 0, len(data)), ("a.warc.gz", 0, len(data) + 9),
+                                 ("gone.warc.gz", 0, 5)], "filename string, offset long, length long")
+    recs = ranged.read_archive_records(man, "{base}/{file}", str(tmp_path))
+    recs = textf.with_computed(recs, F.when(F.col("warc_type") == "response", textf.flat_text("body")), "text")
+    recs = recs.withColumn("keep_length", textf.length_ok("text"))
+    got = {r.filename: r for r in metrics.funnel_documents(recs).collect()}
+    a, gone = got["a.warc.gz"], got["gone.warc.gz"]
+    assert (a.ranges_fetched, a.download_errors, a.records_total, a.extractions_successful) == (1, 1, 1, 1)
+    assert (gone.ranges_fetched, gone.download_errors, gone.records_total) == (0, 1, 0)
