@@ -29,10 +29,13 @@ from crawlsieve.sources import index as ixsrc
 from crawlsieve.sources import ranged, sinks
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """A written table, or None when nothing has been written there yet."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
 
 
 def run_batcher(spark: SparkSession, crawls, index_template: str, block_template: str, base: str,
@@ -53,10 +56,12 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
     paths = {k: f"{out_dir}/{k}" for k in
              ("parsed", "kept", "batches", "ledger", "seen", "funnel", "status")}
     index = ixsrc.read_block_index(spark, crawls, index_template, base, max_blocks)
-    if _exists(spark, paths["status"]):                # K4: completed crawls are skipped
-        index = ledger.crawls_to_run(index, spark.read.parquet(paths["status"]))
-    if _exists(spark, paths["ledger"]):                # K3: done blocks are skipped
-        index = ledger.pending_blocks(index, spark.read.parquet(paths["ledger"]))
+    status = _read_if_exists(spark, paths["status"])
+    if status is not None:                              # K4: completed crawls are skipped
+        index = ledger.crawls_to_run(index, status)
+    done = _read_if_exists(spark, paths["ledger"])
+    if done is not None:                                # K3: done blocks are skipped
+        index = ledger.pending_blocks(index, done)
     blocks = ranged.read_blocks(index, block_template, base)
     ranks = ixsrc.crawl_table(spark, crawls)          # one row per named crawl
     exploded = (blocks.select("crawl", "block_id", "error",
@@ -77,8 +82,8 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
         if seen_table:
             seen = dedup.read_seen(spark, seen_table)
         else:
-            seen = (spark.read.parquet(paths["seen"]).select("url_key") if _exists(spark, paths["seen"])
-                    else spark.createDataFrame([], "url_key string"))
+            seen = _read_if_exists(spark, paths["seen"])
+            seen = seen.select("url_key") if seen is not None else spark.createDataFrame([], "url_key string")
         kept = dedup.dedup_incremental(passed, seen)
     else:
         kept = passed
