@@ -28,7 +28,8 @@ from crawlsieve.sources import sinks
 
 AUDIT = T.StructType([
     T.StructField("query", T.StringType()), T.StructField("batch_id", T.LongType()),
-    T.StructField("rows", T.LongType()), T.StructField("status", T.StringType()),
+    T.StructField("rows", T.LongType()), T.StructField("files", T.LongType()),
+    T.StructField("status", T.StringType()),
 ])
 
 
@@ -67,13 +68,14 @@ def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint
 
     def sink(batch: DataFrame, batch_id: int):
         docs = worker_documents(batch, archive_template, archive_base, vocab, text_mode).persist()
+        target = f"{out_dir}/run={batch_id}"
         try:
-            sinks.write_documents(docs, f"{out_dir}/run={batch_id}", mode="overwrite")
+            sinks.write_documents(docs, target, mode="overwrite")
             n = docs.count()
-            status = "ok"
         finally:
             docs.unpersist()
-        (spark.createDataFrame([(query_name, int(batch_id), int(n), status)], AUDIT)
+        files = len(sinks.read_documents(spark, target).inputFiles()) if n else 0
+        (spark.createDataFrame([(query_name, int(batch_id), int(n), files, "ok")], AUDIT)
               .write.mode("overwrite").parquet(f"{audit_dir}/batch_id={batch_id}"))
 
     writer = (entries.writeStream.queryName(query_name)

@@ -74,4 +74,5 @@ def test_worker_stream_processing_time_trigger(spark):
     assert n > 0
     audit = worker.read_audit(spark, f"{out}_audit")
     assert audit.groupBy().sum("rows").first()[0] == n
+    assert audit.where("rows > 0 AND files < 1").count() == 0
     assert docs.select("url").distinct().count() == n     # no duplicates across micro-batches
