@@ -95,6 +95,47 @@ def read_audit(spark: SparkSession, audit_dir: str) -> DataFrame:
                                           + [T.StructField("batch_id", T.LongType())])).parquet(audit_dir)
 
 
+class BatchTimeListener:
+    """Records (query name, batch id, triggerExecution ms, input rows)
+    for every micro-batch of every stream of the session.  Register with
+    ``listener = BatchTimeListener.register(spark)``; ``listener.table(spark)``
+    returns the records as a DataFrame."""
+
+    def __init__(self):
+        self.rows: list[tuple] = []
+
+    @classmethod
+    def register(cls, spark: SparkSession) -> "BatchTimeListener":
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        rec = cls()
+
+        class _L(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                p = event.progress
+                rec.rows.append((p.name, int(p.batchId), int(p.durationMs.get("triggerExecution", 0)),
+                                 int(p.numInputRows)))
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        rec._listener = _L()
+        spark.streams.addListener(rec._listener)
+        return rec
+
+    def unregister(self, spark: SparkSession) -> None:
+        spark.streams.removeListener(self._listener)
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(self.rows), "query string, batch_id long, trigger_ms long, input_rows long")
+
+
 def batch_times(query) -> list[tuple[int, int]]:
     """(batch_id, triggerExecution ms) of every finished micro-batch."""
     return [(p["batchId"], p.get("durationMs", {}).get("triggerExecution", 0))

@@ -63,12 +63,18 @@ def test_worker_stream_processing_time_trigger(spark):
     from crawlsieve.plans.registry import _batches_with_archive_ranges
     batches_dir, warc_root = _batches_with_archive_ranges(spark, SF001)
     out, ckpt = scratch_path(spark, "wo"), scratch_path(spark, "wc")
+    listener = worker.BatchTimeListener.register(spark)
     q = worker.start_worker(spark, batches_dir, out, ckpt, fixtures.WARC_TEMPLATE, warc_root, None,
                             trigger="1 second", max_files_per_trigger=1)
     try:
         q.processAllAvailable()
     finally:
         q.stop()
+        listener.unregister(spark)
+    import time
+    time.sleep(1)   # progress events are delivered asynchronously
+    times = listener.table(spark).where("query = 'worker' AND input_rows > 0")
+    assert times.count() >= 1 and times.where("trigger_ms <= 0").count() == 0
     docs = worker.read_worker_output(spark, out)
     n = docs.count()
     assert n > 0
