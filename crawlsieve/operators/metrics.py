@@ -70,7 +70,8 @@ def observe_funnel(with_outcome: DataFrame, name: str = "index_funnel"):
     """Attach live counters to a DataFrame; read ``obs.get`` after an action."""
     obs = Observation(name)
     df = with_outcome.observe(obs, F.count(F.lit(1)).alias("total"),
-                              *[F.count_if(F.col("outcome") == o).alias(o) for o in (*INDEX_OUTCOMES, "pass")])
+                              *[F.count_if(F.col("outcome") == o).alias(o)
+                                for o in (*INDEX_OUTCOMES, "pass", "fetch_error")])
     return df, obs
 
 

@@ -41,9 +41,12 @@ def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 def run_batcher(spark: SparkSession, crawls, index_template: str, block_template: str, base: str,
                 out_dir: str, batch_size: int = 50, dedup_urls: bool = True, max_blocks: int | None = None,
                 run_id: str = "run", seen_table: str | None = None, seen_buckets: int = 512,
-                **filter_kw) -> dict[str, str]:
+                metrics_out: dict | None = None, **filter_kw) -> dict[str, str]:
     """Stage 1.  Returns the paths written.
 
+    ``metrics_out`` (a dict) receives the live line counters observed while
+    the parsed table is written: total, per outcome, and fetch errors.
+
     ``seen_table`` names a catalog table bucketed by URL key that holds the
     keys of all earlier runs (D3 without shuffling it); without it the seen
     keys are a plain Parquet folder under ``out_dir``.
@@ -69,8 +72,12 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
                       .where(F.col("error").isNotNull() | (F.col("line") != ""))
                       .join(F.broadcast(ranks), "crawl"))
     parsed = index_stage.parsed_lines(exploded.withColumn("line", F.coalesce("line", F.lit(""))), **filter_kw)
-    (parsed.withColumn("outcome", F.when(F.col("error").isNotNull(), F.lit("fetch_error")).otherwise(F.col("outcome")))
-           .drop("line").write.mode("overwrite").parquet(paths["parsed"]))
+    labelled = parsed.withColumn("outcome", F.when(F.col("error").isNotNull(), F.lit("fetch_error"))
+                                            .otherwise(F.col("outcome")))
+    labelled, obs = metrics.observe_funnel(labelled, name=f"batcher_{run_id}")
+    labelled.drop("line").write.mode("overwrite").parquet(paths["parsed"])
+    if metrics_out is not None:
+        metrics_out.update(obs.get)
     parsed = spark.read.parquet(paths["parsed"])       # lineage cut: the fetch never reruns
     lines = parsed.where(F.col("error").isNull())
 

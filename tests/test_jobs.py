@@ -79,7 +79,9 @@ def test_completed_crawls_are_skipped(spark):
     fixtures.write_blocks(fixtures.cdx_from_dir(spark, SF001), root)
     out = scratch_path(spark, "batcher")
     args = (spark, list(fixtures.CRAWLS), fixtures.INDEX_TEMPLATE, fixtures.BLOCK_TEMPLATE, root, out)
-    jobs.run_batcher(*args, run_id="r1")
+    live = {}
+    jobs.run_batcher(*args, run_id="r1", metrics_out=live)
+    assert live["total"] == 67 and live["pass"] == 23 and live["fetch_error"] == 0
     from crawlsieve.operators import ledger
     status = ledger.current_crawl_status(spark.read.parquet(f"{out}/status"))
     assert {r.status for r in status.collect()} == {"completed"}
