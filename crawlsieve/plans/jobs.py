@@ -18,6 +18,8 @@ recomputes its own stage.  All outputs are appended or written per run.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,7 +76,7 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
     parsed = index_stage.parsed_lines(exploded.withColumn("line", F.coalesce("line", F.lit(""))), **filter_kw)
     labelled = parsed.withColumn("outcome", F.when(F.col("error").isNotNull(), F.lit("fetch_error"))
                                             .otherwise(F.col("outcome")))
-    labelled, obs = metrics.observe_funnel(labelled, name=f"batcher_{run_id}")
+    labelled, obs = metrics.observe_funnel(labelled, name=f"batcher_{run_id}_{uuid.uuid4().hex[:8]}")
     labelled.drop("line").write.mode("overwrite").parquet(paths["parsed"])
     if metrics_out is not None:
         metrics_out.update(obs.get)
@@ -165,7 +167,8 @@ def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, arc
     documents written) observed during the single write, with no extra pass.
     """
     entries = ixsrc.explode_batch_messages(sinks.read_batches(spark, batches_dir))
-    obs_scan, obs_out = Observation("worker_scan"), Observation("worker_out")
+    tag = uuid.uuid4().hex[:8]
+    obs_scan, obs_out = Observation(f"worker_scan_{tag}"), Observation(f"worker_out_{tag}")
     records = documents_from_entries(entries, archive_template, archive_base, vocab, text_mode,
                                      min_chars, max_chars, max_tokens, scan_observation=obs_scan)
     if lanes:   # explicit hash lanes (a shuffle of the documents)
