@@ -527,7 +527,6 @@ def _await(q):
 def _batches_with_archive_ranges(spark, sf_dir):
     """K2 input for the worker: kept entries whose metadata points at the
     archive records Spark wrote for their pages (S5 fixture)."""
-    from crawlsieve.streaming import worker  # noqa: F401
     warc_root = scratch_path(spark, "warc")
     manifest = fixtures.write_warc(_pages(spark, sf_dir), warc_root)
     kept = dedup.dedup_first_seen(_passed(spark, sf_dir)).withColumn("url", cdxf.meta("url"))
