@@ -178,3 +178,42 @@ def test_document_funnel_counts_failures(spark, tmp_path):
     a, gone = got["a.warc.gz"], got["gone.warc.gz"]
     assert (a.ranges_fetched, a.download_errors, a.records_total, a.extractions_successful) == (1, 1, 1, 1)
     assert (gone.ranges_fetched, gone.download_errors, gone.records_total) == (0, 1, 0)
+
+
+def _parser_flat_text(html: str) -> str:
+    """Independent rule: text nodes outside script/style, concatenated, then
+    Unicode whitespace runs collapsed and trimmed (stdlib HTML parser)."""
+    import re as _re
+    from html.parser import HTMLParser
+
+    class P(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.skip, self.out = 0, []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("script", "style"):
+                self.skip += 1
+
+        def handle_endtag(self, tag):
+            if tag in ("script", "style") and self.skip:
+                self.skip -= 1
+
+        def handle_data(self, data):
+            if not self.skip:
+                self.out.append(data)
+
+    p = P()
+    p.feed(html)
+    p.close()
+    ws = "[\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+    return _re.sub(ws, " ", "".join(p.out)).strip()
+
+
+def test_flat_text_matches_stdlib_parser_on_pages(spark):
+    from conftest import SF01
+    from crawlsieve.plans import fixtures
+    pages = fixtures.read_table(spark, SF01, "pages").select("page_id", "html", textf.flat_text("html").alias("t"))
+    rows = pages.collect()
+    bad = [r.page_id for r in rows if r.t != _parser_flat_text(r.html)]
+    assert len(rows) == 250 and bad == []
