@@ -57,3 +57,24 @@ def test_worker_upload_batches_do_not_shuffle_documents(spark):
 def test_cdx_json_parsed_once_per_line(spark):
     for name in ("dedup_first_seen", "filter_status", "cdx_parse"):
         assert _plan(spark, name).count("from_json(") == 1, name
+
+
+def test_bucketed_seen_table_is_not_shuffled(spark):
+    from crawlsieve.operators import dedup
+    from crawlsieve.plans import fixtures, index_stage
+    from crawlsieve.session import scratch_path
+    passed = index_stage.kept_entries(fixtures.cdx_from_dir(spark, SF001), dedup=False)
+    name = "seen_plan_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
+    dedup.append_seen_bucketed(passed.where("crawl_rank = 0"), name, 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = dedup.dedup_incremental(passed.where("crawl_rank = 1"), dedup.read_seen(spark, name))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    seen_scan = [l for l in plan.split("\n") if name in l and "FileScan" in l]
+    assert seen_scan and "Bucketed: true" in seen_scan[0]
+    # the line directly above the bucketed scan is the join input, not an exchange
+    lines = plan.split("\n")
+    i = lines.index(seen_scan[0])
+    assert "Exchange" not in lines[i - 1]
