@@ -45,6 +45,21 @@ def fit_vocab(df: DataFrame, text: str = "text", size: int = 8000) -> list[str]:
     return vocab_from_words([r.w for r in words.collect()])
 
 
+def load_vocab(spark, vocab) -> list[str]:
+    """Vocabulary as a token list (id = position) from a list, a dict
+    ``token -> id``, or a path to a one-token-per-line file on any Hadoop
+    file system (read whole, so line order is kept; bounded by its size)."""
+    if isinstance(vocab, (list, tuple)):
+        return list(vocab)
+    if isinstance(vocab, dict):
+        ordered = sorted(vocab.items(), key=lambda kv: kv[1])
+        if [i for _, i in ordered] != list(range(len(ordered))):
+            raise ValueError("vocabulary ids must be 0..n-1")
+        return [t for t, _ in ordered]
+    text = spark.read.text(str(vocab), wholetext=True).first()[0]
+    return [line.rstrip("\r") for line in text.split("\n") if line.strip()]
+
+
 def _digest(vocab: list[str]) -> str:
     return hashlib.sha1("\n".join(vocab).encode("utf-8")).hexdigest()
 
@@ -67,11 +82,12 @@ def build_tokenizer(vocab: list[str], max_tokens: int = 512):
     return tok
 
 
-def tokenize(df: DataFrame, vocab: list[str], text: str = "full_text", out: str = "tokens",
+def tokenize(df: DataFrame, vocab, text: str = "full_text", out: str = "tokens",
              max_tokens: int = 512, keep_errors: bool = False) -> DataFrame:
     """Add ``tokens array<int>``; rows whose text cannot be tokenized are
     dropped (or kept with NULL tokens and ``token_error`` set when
-    ``keep_errors``)."""
+    ``keep_errors``).  ``vocab``: list, dict or file path (``load_vocab``)."""
+    vocab = load_vocab(df.sparkSession, vocab)
     bvocab = df.sparkSession.sparkContext.broadcast(vocab)
     fields = list(df.schema.fields) + [T.StructField(out, T.ArrayType(T.IntegerType()))]
     if keep_errors:

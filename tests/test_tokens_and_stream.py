@@ -82,3 +82,15 @@ def test_worker_stream_processing_time_trigger(spark):
     assert audit.groupBy().sum("rows").first()[0] == n
     assert audit.where("rows > 0 AND files < 1").count() == 0
     assert docs.select("url").distinct().count() == n     # no duplicates across micro-batches
+
+
+def test_vocab_from_file_and_dict(spark, tmp_path):
+    words = tokenize.vocab_from_words(["hello", "world"])
+    path = tmp_path / "vocab.txt"
+    path.write_text("\n".join(words) + "\n")
+    assert tokenize.load_vocab(spark, str(path)) == words
+    assert tokenize.load_vocab(spark, {t: i for i, t in enumerate(words)}) == words
+    df = spark.createDataFrame([(1, "Hello world")], "id int, t string")
+    a = tokenize.tokenize(df, str(path), text="t").first().tokens
+    b = tokenize.tokenize(df, words, text="t").first().tokens
+    assert a == b == [2, words.index("hello"), words.index("world"), 3]
