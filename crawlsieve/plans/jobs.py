@@ -43,7 +43,8 @@ def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
 def run_batcher(spark: SparkSession, crawls, index_template: str, block_template: str, base: str,
                 out_dir: str, batch_size: int = 50, dedup_urls: bool = True, max_blocks: int | None = None,
                 run_id: str = "run", seen_table: str | None = None, seen_buckets: int = 512,
-                metrics_out: dict | None = None, **filter_kw) -> dict[str, str]:
+                metrics_out: dict | None = None, batches_format: str = "json",
+                **filter_kw) -> dict[str, str]:
     """Stage 1.  Returns the paths written.
 
     ``metrics_out`` (a dict) receives the live line counters observed while
@@ -99,7 +100,8 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
     kept.write.mode("overwrite").parquet(paths["kept"])
     kept = spark.read.parquet(paths["kept"])           # branches below are pruned scans
 
-    sinks.write_batches(batching.batch_messages(batching.batch_fixed_size(kept, batch_size)), paths["batches"])
+    sinks.write_batches(batching.batch_messages(batching.batch_fixed_size(kept, batch_size)), paths["batches"],
+                        fmt=batches_format)
     if dedup_urls and seen_table:
         dedup.append_seen_bucketed(kept, seen_table, seen_buckets)
     elif dedup_urls:
@@ -156,7 +158,8 @@ def documents_from_entries(entries: DataFrame, archive_template: str, archive_ba
 def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, archive_base: str,
                out_dir: str, vocab: list[str] | None, text_mode: str = "flat", lanes: int | None = None,
                max_docs: int = 10_000, max_bytes: float = 256 * 1024 * 1024, min_chars: int = 500,
-               max_chars: int = 1_000_000, max_tokens: int = 512, metrics_out: dict | None = None) -> str:
+               max_chars: int = 1_000_000, max_tokens: int = 512, metrics_out: dict | None = None,
+               batches_format: str = "json") -> str:
     """Stage 2.  Writes documents to ``out_dir`` (K1) and returns the path.
 
     Upload batches default to the reference's class defaults (10,000
@@ -166,7 +169,7 @@ def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, arc
     fetched, download errors, records, responses, extracted, length-filtered,
     documents written) observed during the single write, with no extra pass.
     """
-    entries = ixsrc.explode_batch_messages(sinks.read_batches(spark, batches_dir))
+    entries = ixsrc.explode_batch_messages(sinks.read_batches(spark, batches_dir, batches_format))
     tag = uuid.uuid4().hex[:8]
     obs_scan, obs_out = Observation(f"worker_scan_{tag}"), Observation(f"worker_out_{tag}")
     records = documents_from_entries(entries, archive_template, archive_base, vocab, text_mode,

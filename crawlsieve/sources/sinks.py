@@ -55,10 +55,11 @@ BATCH_ROW = T.StructType([
 ])
 
 
-def write_batches(messages: DataFrame, path: str, mode: str = "append") -> None:
-    """K2: one JSON row per batch message, partitioned by crawl."""
-    messages.select("crawl", "batch_no", "n", "body").write.mode(mode).partitionBy("crawl").json(path)
+def write_batches(messages: DataFrame, path: str, mode: str = "append", fmt: str = "json") -> None:
+    """K2: one row per batch message (JSON lines or Parquet), partitioned by crawl."""
+    (messages.select("crawl", "batch_no", "n", "body").write.mode(mode).partitionBy("crawl")
+             .format(fmt).save(path))
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BATCH_ROW).json(path)
+def read_batches(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+    return spark.read.schema(BATCH_ROW).format(fmt).load(path)

@@ -52,7 +52,8 @@ def worker_documents(entries: DataFrame, archive_template: str, archive_base: st
 def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint: str,
                  archive_template: str, archive_base: str, vocab: list[str] | None = None,
                  max_files_per_trigger: int | None = None, trigger: str | None = "availableNow",
-                 audit_dir: str | None = None, query_name: str = "worker", text_mode: str = "flat"):
+                 audit_dir: str | None = None, query_name: str = "worker", text_mode: str = "flat",
+                 batches_format: str = "json"):
     """Start the worker stream; returns the StreamingQuery.
 
     T2: at most ``max_files_per_trigger`` batch files per micro-batch
@@ -62,7 +63,7 @@ def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint
         max_files_per_trigger = spark.sparkContext.defaultParallelism
     src = (spark.readStream.schema(sinks.BATCH_ROW)
                 .option("maxFilesPerTrigger", max_files_per_trigger)
-                .json(batches_dir))
+                .format(batches_format).load(batches_dir))
     entries = ixsrc.explode_batch_messages(src)
     audit_dir = audit_dir or f"{out_dir}_audit"
 

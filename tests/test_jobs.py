@@ -96,3 +96,14 @@ def test_crawl_version_warning():
         warnings.simplefilter("always")
         assert parse_crawl_versions(" CC-MAIN-2024-33,bad,, CC-MAIN-2024-33") == ["CC-MAIN-2024-33"]
     assert any("bad" in str(x.message) for x in w)
+
+
+def test_parquet_batches_table_round_trip(spark):
+    from crawlsieve.operators import batching
+    from crawlsieve.sources import index as ixsrc
+    kept = index_stage.kept_entries(fixtures.cdx_from_dir(spark, SF001))
+    msgs = batching.batch_messages(batching.batch_fixed_size(kept, 7))
+    path = scratch_path(spark, "batches_pq")
+    sinks.write_batches(msgs, path, mode="overwrite", fmt="parquet")
+    back = ixsrc.explode_batch_messages(sinks.read_batches(spark, path, fmt="parquet"))
+    assert back.count() == kept.count() == 20
