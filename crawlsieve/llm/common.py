@@ -1,5 +1,5 @@
-"""What the operators of this subpackage share: shared-folder tables, row
-ids, bounded Arrow slices, query registration."""
+"""What the operators of this subpackage share: shared-folder tables, bounded
+Arrow slices, query registration."""
 
 from __future__ import annotations
 
@@ -8,10 +8,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import RecordBatch
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from crawlsieve.session import apply_defaults
 
@@ -69,7 +68,7 @@ def slices(batches: Iterator[RecordBatch], column: int, most: int = SLICE_BYTES)
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
         ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < batch.num_rows:
@@ -78,12 +77,3 @@ def slices(batches: Iterator[RecordBatch], column: int, most: int = SLICE_BYTES)
             yield batch.slice(at, to - at)
             at = to
 
-
-def first_row_id() -> int:
-    """Row ids of a task: partition number in the upper bits, so that they
-    are unique and the same when a lost task of a file scan is run again."""
-    return TaskContext.get().partitionId() << 40
-
-
-def blank_null(column: str):
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))

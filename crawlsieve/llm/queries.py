@@ -2,5 +2,6 @@
 
 from __future__ import annotations
 
-from crawlsieve.llm import packing, token_planes, url_filter  # noqa: F401 - registers
+from crawlsieve.llm import (  # noqa: F401 - registers
+    exact_dedup, minhash, ngram_join, packing, token_planes, toxicity, url_filter)
 from crawlsieve.llm.common import ORACLE, QUERIES  # noqa: F401
