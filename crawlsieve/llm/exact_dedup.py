@@ -242,6 +242,11 @@ FROM n WINDOW w AS (PARTITION BY t ORDER BY n_chars DESC, doc_id)
 """
 
 
+def exact_copies(docs: DataFrame, row: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row numbers of all but one document of each group."""
+    return exact_groups(docs, key, text, row).where("not kept").select(F.col("row").alias(row))
+
+
 @register("op4_exact_dedup", ORACLE)
 def op4_exact_dedup(spark, sf_dir):
     """Every row of `documents` with the row of its group that stays."""

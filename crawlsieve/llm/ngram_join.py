@@ -207,7 +207,7 @@ class _Join:
                              .select("set_id", F.coalesce("component", "set_id").alias("component")), "labels")
         return True
 
-    def star(self, nth: int) -> tuple[DataFrame, bool]:
+    def star(self, nth: int) -> bool:
         """One hub per list: the member of its largest component with the least
         hash of this round, against all groups of other components."""
         members, entities = self._entities()
@@ -221,12 +221,12 @@ class _Join:
                               (F.col("all") * F.col("all") - F.col("within")).alias("cross")), "hubs")
         cost = of.agg(F.sum("cross")).first()[0] or 0
         if cost <= 2 * PAIRS_PER_POSTING * entities.count() or nth >= STAR_ROUNDS:
-            return members, False
+            return False
         met = (entities.alias("e").join(of.alias("h"), "token").where("e.component <> h.component")
                .where(self._fits("e", "h")).select("prefix_id", "e.component", F.col("h.one").alias("u")).distinct())
         pairs = members.join(met, ["prefix_id", "component"]).select("u", F.col("set_id").alias("v")).distinct()
         self._add(self._verify(pairs))
-        return members, True
+        return True
 
     def rest(self) -> None:
         """All remaining pairs between different components of a list."""
@@ -243,31 +243,48 @@ class _Join:
         self._add(self._verify(met.join(one, ["p", "left"]).join(other, ["q", "right"]).select("u", "v").distinct()))
 
     def result(self) -> DataFrame:
-        """doc_id, row, n_shingles, component_id per row."""
-        named = self.nodes.join(self.labels, "set_id")
-        least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-        of = named.join(least, "component").select("set_id", "component_id")
-        linked = self.rows.where("n > 0").join(of, "set_id").select("doc_id", "row", F.col("n").alias("n_shingles"),
-                                                                    "component_id")
-        alone = self.rows.where("n = 0").select("doc_id", "row", F.col("n").alias("n_shingles"),
-                                                F.col("doc_id").alias("component_id"))
+        """doc_id, row, n_shingles, component_id, component per row; component is null
+        for empty sets."""
+        named = stored(self.nodes.join(self.labels, "set_id").select("set_id", "component", "doc_id"), "named")
+        least = stored(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
+        of = stored(named.join(least, "component").select("set_id", "component", "component_id"), "components")
+        linked = self.rows.where("n > 0").join(of, "set_id").select(
+            "doc_id", "row", F.col("n").alias("n_shingles"), "component_id", "component")
+        alone = self.rows.where("n = 0").select(
+            "doc_id", "row", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+            F.lit(None).cast("binary").alias("component"))
         return linked.unionByName(alone)
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", row: str | None = None,
-                       k: int = 3, percent: int = 90, bits: int = SKETCH_BITS) -> DataFrame:
-    """doc_id, n_shingles, component_id and row per row of `docs`; `row` names a
-    column of unique numbers, else rows are numbered here."""
+def _components(docs: DataFrame, key: str, text: str, row: str | None, k: int, percent: int, bits: int) -> DataFrame:
     if not 1 <= percent <= 100:
         raise ValueError("percent lies in 1..100")
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
                        (F.col(row).cast("long") if row else F.monotonically_increasing_id()).alias("row"))
-    join, nth, more = _Join(rows, k, percent, bits), 0, True
-    while more:
-        _, more = join.star(nth)
+    join, nth = _Join(rows, k, percent, bits), 0
+    while join.star(nth):
         nth += 1
     join.rest()
-    return join.result().select(F.col("doc_id").alias(key), "n_shingles", "component_id", "row")
+    return join.result()
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", row: str | None = None,
+                       k: int = 3, percent: int = 90, bits: int = SKETCH_BITS) -> DataFrame:
+    """doc_id, n_shingles, component_id and row per row of `docs`; `row` names a
+    column of unique numbers, else rows are numbered here."""
+    return _components(docs, key, text, row, k, percent, bits).select(
+        F.col("doc_id").alias(key), "n_shingles", "component_id", "row")
+
+
+def near_copies(docs: DataFrame, row: str, key: str = "doc_id", text: str = "text", k: int = 3, percent: int = 90,
+                bits: int = SKETCH_BITS) -> DataFrame:
+    """The row numbers of all but one document of each component (the least id, then
+    the least row number, stays; documents with empty sets all stay)."""
+    found = stored(_components(docs, key, text, row, k, percent, bits).where("component is not null")
+                   .select("component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("at")), "members")
+    stay = stored(found.groupBy("component").agg(F.min("at").alias("stay"))
+                  .select("component", F.col("stay.row").alias("stay")), "stay")
+    return found.join(stay, "component").where("at.row <> stay").select(F.col("at.row").alias(row))
 
 
 @register("op5_ngram_join")
