@@ -151,7 +151,7 @@ def test_probabilities_of_one_step_sum_to_one(spark):
 
 
 def test_better_than_the_base_on_held_out_texts(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
     r = lm.score_texts(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert r["s"] > r["b"]
 
