@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyarrow import RecordBatch
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,10 +59,19 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """`df` written to the shared folder and read back: cuts the lineage
     with files that survive lost executors, and is computed once."""
     path = f"{shared_folder(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def squeeze(counts: np.ndarray) -> bytes:
+    """A mostly empty array of numbers as compressed bytes."""
+    return zstandard.ZstdCompressor(level=1).compress(counts.tobytes())
+
+
+def unsqueeze(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
 def slices(batches: Iterator[RecordBatch], column: int, most: int = SLICE_BYTES) -> Iterator[RecordBatch]:
     """The batches, cut so that the values of one string or binary column stay
     near `most` bytes (a single larger value is passed on alone)."""
