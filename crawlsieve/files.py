@@ -51,9 +51,9 @@ def write_whole(uri: str, write) -> None:
     if isinstance(system, fs.LocalFileSystem) or system.type_name == "hdfs":
         system.create_dir(path.rpartition("/")[0], recursive=True)
         part = f"{path}.{uuid.uuid4().hex}.part"
-        with system.open_output_stream(part) as out:
+        with system.open_output_stream(part, compression=None) as out:
             write(out)
         system.move(part, path)
     else:  # object stores show a file only when its upload is complete
-        with system.open_output_stream(path) as out:
+        with system.open_output_stream(path, compression=None) as out:
             write(out)

@@ -72,15 +72,16 @@ def seen_keys(df: DataFrame, surt: str = "surt_url") -> DataFrame:
     return df.select(normalize_surt(surt).alias("url_key")).distinct()
 
 
-def append_seen_bucketed(kept: DataFrame, table: str, buckets: int, surt: str = "surt_url") -> None:
-    """Append this run's keys to a table bucketed (and sorted) by ``url_key``.
+def append_seen_bucketed(kept: DataFrame, table: str, buckets: int, run_id: str = "", surt: str = "surt_url") -> None:
+    """Append this run's keys (url_key, crawl, run_id) to a table bucketed (and
+    sorted) by ``url_key``.
 
     With the seen table bucketed, the D3 anti join shuffles only the new
     entries into the same buckets; the ever-growing seen table is read in
     place, never shuffled.
     """
     spark = kept.sparkSession
-    keys = seen_keys(kept, surt)
+    keys = kept.select(normalize_surt(surt).alias("url_key"), "crawl").distinct().withColumn("run_id", F.lit(run_id))
     writer = keys.write.bucketBy(buckets, "url_key").sortBy("url_key").format("parquet")
     if spark.catalog.tableExists(table):
         writer.mode("append").saveAsTable(table)
@@ -91,5 +92,5 @@ def append_seen_bucketed(kept: DataFrame, table: str, buckets: int, surt: str =
 def read_seen(spark, table: str) -> DataFrame:
     """The bucketed seen-key table, or an empty one before the first run."""
     if spark.catalog.tableExists(table):
-        return spark.table(table).select("url_key")
-    return spark.createDataFrame([], "url_key string")
+        return spark.table(table)
+    return spark.createDataFrame([], "url_key string, crawl string, run_id string")

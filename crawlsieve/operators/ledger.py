@@ -42,6 +42,12 @@ def pending_blocks(index: DataFrame, ledger: DataFrame) -> DataFrame:
     return index.join(done, ["crawl", "block_id"], "left_anti")
 
 
+def batch_key(batches: DataFrame, batch: str = "batch_no"):
+    """What tells batches apart: numbers restart in every run."""
+    run = F.coalesce("run_id", F.lit("")) if "run_id" in batches.columns else F.lit("")
+    return F.struct(run.alias("run"), F.col(batch).alias("no"))
+
+
 def crawl_progress(index: DataFrame, ledger: DataFrame, batches: DataFrame | None = None) -> DataFrame:
     """Per crawl: total blocks, done blocks, percent (same unit both
     sides), and batches published when a batches table is given."""
@@ -54,43 +60,51 @@ def crawl_progress(index: DataFrame, ledger: DataFrame, batches: DataFrame | Non
                             F.when(F.col("total_blocks") > 0,
                                    F.round(F.lit(100.0) * F.col("done_blocks") / F.col("total_blocks"), 4))))
     if batches is not None:
-        b = batches.groupBy("crawl").agg(F.count_distinct("batch_no").cast("bigint").alias("batches_published"))
+        b = batches.groupBy("crawl").agg(F.count_distinct(batch_key(batches)).cast("bigint").alias("batches_published"))
         out = out.join(b, "crawl", "left").withColumn("batches_published",
                                                        F.coalesce("batches_published", F.lit(0)).cast("bigint"))
     return out
 
 
-def status_events_from_ledger(ledger: DataFrame, start_ts: str = "2024-01-01 00:00:00",
-                              pending: DataFrame | None = None) -> DataFrame:
-    """K4 events a run appends: ``in_progress`` at start, then ``error`` if
-    a block failed, else ``completed`` when no index block is left pending
-    (``pending``: index rows still to fetch), else it stays ``in_progress``."""
-    t0 = F.to_timestamp(F.lit(start_ts))
+def status_events_from_ledger(ledger: DataFrame, start_ts=None, pending: DataFrame | None = None,
+                              end_ts=None) -> DataFrame:
+    """K4 events a run appends: ``in_progress`` at start (step 0), then (step 1)
+    ``error`` if a block failed, else ``completed`` when no index block is left
+    pending (``pending``: index rows still to fetch), else it stays
+    ``in_progress``.  Times default to now."""
+    t0 = F.current_timestamp() if start_ts is None else F.lit(start_ts).cast("timestamp")
+    t1 = F.current_timestamp() if end_ts is None else F.lit(end_ts).cast("timestamp")
     per = ledger.groupBy("crawl").agg(F.count_if(F.col("status") == BLOCK_FAILED).alias("_failed"))
     if pending is not None:
         left = pending.groupBy("crawl").agg(F.count(F.lit(1)).alias("_left"))
         per = per.join(left, "crawl", "left").withColumn("_left", F.coalesce("_left", F.lit(0)))
     else:
         per = per.withColumn("_left", F.lit(0))
-    start = per.select("crawl", F.lit("in_progress").alias("status"), t0.alias("event_ts"))
-    end = per.select("crawl",
-                     F.when(F.col("_failed") > 0, F.lit("error"))
-                      .when(F.col("_left") > 0, F.lit("in_progress"))
-                      .otherwise(F.lit("completed")).alias("status"),
-                     (t0 + F.expr("INTERVAL 1 HOUR")).alias("event_ts"))
-    return start.unionByName(end)
+    end = (F.when(F.col("_failed") > 0, F.lit("error")).when(F.col("_left") > 0, F.lit("in_progress"))
+            .otherwise(F.lit("completed")))
+    return per.select("crawl", F.explode(F.array(
+        F.struct(F.lit("in_progress").alias("status"), t0.alias("event_ts"), F.lit(0).alias("step")),
+        F.struct(end.alias("status"), t1.alias("event_ts"), F.lit(1).alias("step")))).alias("e")).select("crawl", "e.*")
 
 
-def reset_events(crawls: DataFrame, ts) -> DataFrame:
+def reset_events(crawls: DataFrame, ts=None) -> DataFrame:
     """K5: a ``reset`` event per given crawl (fresh start)."""
-    return crawls.select("crawl", F.lit("reset").alias("status"), F.lit(ts).cast("timestamp").alias("event_ts"))
+    at = F.current_timestamp() if ts is None else F.lit(ts).cast("timestamp")
+    return crawls.select("crawl", F.lit("reset").alias("status"), at.alias("event_ts"), F.lit(0).alias("step"))
+
+
+def latest_resets(events: DataFrame) -> DataFrame:
+    """(crawl, reset_seq) of the crawls that were ever reset."""
+    return events.where(F.col("status") == "reset").groupBy("crawl").agg(F.max("seq").alias("reset_seq"))
 
 
 def current_crawl_status(events: DataFrame, crawls: DataFrame | None = None) -> DataFrame:
-    """K4: latest event per crawl; ``reset`` -> ``pending``; crawls with no
-    event (missing or unreadable state) are ``pending``."""
+    """K4: latest event per crawl by (seq, step) - run sequence and place in the
+    run - then time; ``reset`` -> ``pending``; crawls with no event (missing or
+    unreadable state) are ``pending``."""
+    order = [F.col(c) for c in ("seq", "step", "event_ts") if c in events.columns]
     latest = (events.groupBy("crawl")
-                    .agg(F.max_by("status", F.struct("event_ts", "status")).alias("status"))
+                    .agg(F.max_by("status", F.struct(*order)).alias("status"))
                     .withColumn("status", F.when(F.col("status") == "reset", F.lit("pending")).otherwise(F.col("status"))))
     if crawls is not None:
         latest = (crawls.select("crawl").join(latest, "crawl", "left")

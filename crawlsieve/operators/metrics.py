@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from crawlsieve.functions.cdx import normalize_surt
 from crawlsieve.functions.text import is_nonblank
 from crawlsieve.operators.dedup import ORDER_FIRST_SEEN
+from crawlsieve.operators.ledger import batch_key
 
 INDEX_OUTCOMES = ("parse_error", "language", "status")
 
@@ -71,7 +72,7 @@ def observe_funnel(with_outcome: DataFrame, name: str = "index_funnel"):
     obs = Observation(name)
     df = with_outcome.observe(obs, F.count(F.lit(1)).alias("total"),
                               *[F.count_if(F.col("outcome") == o).alias(o)
-                                for o in (*INDEX_OUTCOMES, "pass", "fetch_error")])
+                                for o in (*INDEX_OUTCOMES, "pass", "fetch_error", "blank")])
     return df, obs
 
 
@@ -118,5 +119,5 @@ def total_blocks(index: DataFrame) -> DataFrame:
 
 
 def batch_counts(batches: DataFrame, group=("crawl",), batch: str = "batch_no") -> DataFrame:
-    """Batches published per crawl."""
-    return batches.groupBy(*group).agg(F.count_distinct(batch).cast("bigint").alias("batches"))
+    """Batches published per crawl, over all runs."""
+    return batches.groupBy(*group).agg(F.count_distinct(batch_key(batches, batch)).cast("bigint").alias("batches"))

@@ -13,7 +13,8 @@ filters (F7, F8) -> tokens (P8) -> records (P9) -> upload batch numbers
 
 Every intermediate that more than one branch reads is a written table in
 the shared folder, so lineage is cut there and a lost executor only
-recomputes its own stage.  All outputs are appended or written per run.
+recomputes its own stage.  Outputs are written per run and become visible
+with one commit row (``plans.runs``).
 """
 
 from __future__ import annotations
@@ -27,96 +28,122 @@ from crawlsieve.functions import text as textf
 from crawlsieve.functions.cdx import meta
 from crawlsieve.operators import batching, dedup, extract, ledger, metrics, tokenize
 from crawlsieve.plans import index_stage
+from crawlsieve.plans.runs import RunStore, since_reset
 from crawlsieve.sources import index as ixsrc
 from crawlsieve.sources import ranged, sinks
 
 
-def _read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    """A written table, or None when nothing has been written there yet."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+STATUS = "crawl string, status string, event_ts timestamp, step int"
+LEDGER = ("crawl string, block_id long, status string, error string, rows_in long, parse_error long, language long, "
+          "status_code long, passed long, rows_kept long")
+SEEN = "url_key string, crawl string"
 
 
 def run_batcher(spark: SparkSession, crawls, index_template: str, block_template: str, base: str,
                 out_dir: str, batch_size: int = 50, dedup_urls: bool = True, max_blocks: int | None = None,
-                run_id: str = "run", seen_table: str | None = None, seen_buckets: int = 512,
+                run_id: str | None = None, seen_table: str | None = None, seen_buckets: int = 512,
                 metrics_out: dict | None = None, batches_format: str = "json",
                 **filter_kw) -> dict[str, str]:
-    """Stage 1.  Returns the paths written.
+    """Stage 1.  Returns the paths written: this run's own folders (``parsed``,
+    ``kept``, ``funnel``) and the tables of all runs.
+
+    A run may follow any other run, finished or not: it takes the blocks that no
+    committed run has done since the crawl's latest reset, drops the URLs those
+    runs kept, writes everything to its own folders and becomes visible with
+    one commit row at the end (``plans.runs``).  ``run_id`` defaults to a new id;
+    a run that died is repeated under its id.
 
     ``metrics_out`` (a dict) receives the live line counters observed while
     the parsed table is written: total, per outcome, and fetch errors.
 
     ``seen_table`` names a catalog table bucketed by URL key that holds the
     keys of all earlier runs (D3 without shuffling it); without it the seen
-    keys are a plain Parquet folder under ``out_dir``.
+    keys are a Parquet table under ``out_dir``.
 
     The ranged fetch runs exactly once: fetched blocks are exploded into
-    lines, parsed and labelled, and written as the ``parsed`` table (failed
-    blocks keep one row with their error).  Funnel, dedup, batches and
-    ledger then read that table with only the columns they need.
+    lines, parsed and labelled, and written as the ``parsed`` table (a failed
+    block keeps one row with its error, a block without lines one ``blank``
+    row).  One aggregation of that table per block gives ledger and funnel.
     """
-    paths = {k: f"{out_dir}/{k}" for k in
-             ("parsed", "kept", "batches", "ledger", "seen", "funnel", "status")}
-    index = ixsrc.read_block_index(spark, crawls, index_template, base, max_blocks)
-    status = _read_if_exists(spark, paths["status"])
-    if status is not None:                              # K4: completed crawls are skipped
-        index = ledger.crawls_to_run(index, status)
-    done = _read_if_exists(spark, paths["ledger"])
-    if done is not None:                                # K3: done blocks are skipped
-        index = ledger.pending_blocks(index, done)
+    store = RunStore(spark, out_dir, run_id)
+    events = store.rows("status", STATUS)
+    resets = ledger.latest_resets(events)
+    earlier = since_reset(store.rows("ledger", LEDGER), resets)
+    named = ixsrc.read_block_index(spark, crawls, index_template, base)
+    index = named if max_blocks is None else named.where(F.col("block_id") <= max_blocks)
+    index = ledger.pending_blocks(ledger.crawls_to_run(index, events), earlier)      # K4, K3
     blocks = ranged.read_blocks(index, block_template, base)
     ranks = ixsrc.crawl_table(spark, crawls)          # one row per named crawl
+    line = F.coalesce("line", F.lit(""))
     exploded = (blocks.select("crawl", "block_id", "error",
                               F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
-                      .where(F.col("error").isNotNull() | (F.col("line") != ""))
+                      .where(F.col("error").isNotNull() | (line != "") | (F.col("line_no") == 0))
                       .join(F.broadcast(ranks), "crawl"))
-    parsed = index_stage.parsed_lines(exploded.withColumn("line", F.coalesce("line", F.lit(""))), **filter_kw)
+    parsed = index_stage.parsed_lines(exploded.withColumn("line", line), **filter_kw)
     labelled = parsed.withColumn("outcome", F.when(F.col("error").isNotNull(), F.lit("fetch_error"))
+                                            .when(F.col("line") == "", F.lit("blank"))
                                             .otherwise(F.col("outcome")))
-    labelled, obs = metrics.observe_funnel(labelled, name=f"batcher_{run_id}_{uuid.uuid4().hex[:8]}")
-    labelled.drop("line").write.mode("overwrite").parquet(paths["parsed"])
+    labelled, obs = metrics.observe_funnel(labelled, name=f"batcher_{store.run_id}_{uuid.uuid4().hex[:8]}")
+    parsed = store.write("parsed", labelled.drop("line"))     # lineage cut: the fetch never reruns
     if metrics_out is not None:
         metrics_out.update(obs.get)
-    parsed = spark.read.parquet(paths["parsed"])       # lineage cut: the fetch never reruns
-    lines = parsed.where(F.col("error").isNull())
-
-    metrics.funnel_index(lines, dedup=dedup_urls).withColumn("run_id", F.lit(run_id)) \
-        .write.mode("append").parquet(paths["funnel"])
 
-    passed = lines.where("outcome = 'pass'").select(*index_stage.LINEAGE, "surt_url", "timestamp", "metadata")
+    passed = parsed.where("outcome = 'pass'").select(*index_stage.LINEAGE, "surt_url", "timestamp", "metadata")
+    kept = passed
     if dedup_urls:
-        if seen_table:
-            seen = dedup.read_seen(spark, seen_table)
-        else:
-            seen = _read_if_exists(spark, paths["seen"])
-            seen = seen.select("url_key") if seen is not None else spark.createDataFrame([], "url_key string")
-        kept = dedup.dedup_incremental(passed, seen)
-    else:
-        kept = passed
-    kept.write.mode("overwrite").parquet(paths["kept"])
-    kept = spark.read.parquet(paths["kept"])           # branches below are pruned scans
-
-    sinks.write_batches(batching.batch_messages(batching.batch_fixed_size(kept, batch_size)), paths["batches"],
-                        fmt=batches_format)
+        seen = store.committed(dedup.read_seen(spark, seen_table)) if seen_table else store.rows("seen", SEEN)
+        kept = dedup.dedup_incremental(passed, since_reset(seen, resets).select("url_key"))
+    kept = store.write("kept", kept)                  # branches below are pruned scans
+
+    def outcome(name: str):
+        return F.count_if(F.col("outcome") == name).cast("bigint")
+
+    per_block = parsed.groupBy("crawl", "block_id").agg(
+        F.max("error").alias("error"), F.count_if(~F.col("outcome").isin("fetch_error", "blank")).cast("bigint").alias("rows_in"),
+        *[outcome(o).alias(c) for o, c in (("parse_error", "parse_error"), ("language", "language"),
+                                           ("status", "status_code"), ("pass", "passed"))])
+    kept_rows = kept.groupBy("crawl", "block_id").agg(F.count(F.lit(1)).cast("bigint").alias("rows_kept"))
+    led = (per_block.join(kept_rows, ["crawl", "block_id"], "left")
+           .withColumn("rows_kept", F.coalesce("rows_kept", F.lit(0)).cast("bigint"))
+           .withColumn("status", F.when(F.col("error").isNull(), F.lit(ledger.BLOCK_DONE))
+                                  .otherwise(F.lit(ledger.BLOCK_FAILED))))
+    led = store.write("ledger", led.select("crawl", F.col("block_id").cast("bigint").alias("block_id"), "status", "error",
+                                           "rows_in", "parse_error", "language", "status_code", "passed", "rows_kept"))
+    store.write("funnel", led.groupBy("crawl").agg(
+        F.sum("rows_in").alias("total"), F.sum("parse_error").alias("parse_error"), F.sum("language").alias("language"),
+        F.sum("status_code").alias("status"), (F.sum("passed") - F.sum("rows_kept")).alias("duplicate"),
+        F.sum("rows_kept").alias("kept")))
     if dedup_urls and seen_table:
-        dedup.append_seen_bucketed(kept, seen_table, seen_buckets)
+        dedup.append_seen_bucketed(kept, seen_table, seen_buckets, store.run_id)
     elif dedup_urls:
-        dedup.seen_keys(kept).write.mode("append").parquet(paths["seen"])
-
-    status = (parsed.groupBy("crawl", "block_id").agg(F.max("error").alias("error")))
-    led = ledger.block_ledger(status, lines=lines, kept=kept, run_id=run_id)
-    led.write.mode("append").parquet(paths["ledger"])
-    all_led = spark.read.parquet(paths["ledger"])
-    led = all_led.where(F.col("run_id") == run_id)
-    full_index = ixsrc.read_block_index(spark, crawls, index_template, base)
-    remaining = ledger.pending_blocks(full_index, all_led)
-    (ledger.status_events_from_ledger(led, pending=remaining)
-           .write.mode("append").parquet(paths["status"]))
-    return paths
+        store.write("seen", kept.select(dedup.normalize_surt("surt_url").alias("url_key"), "crawl").distinct())
+    done = earlier.select("crawl", "block_id", "status").unionByName(led.select("crawl", "block_id", "status"))
+    store.write("status", ledger.status_events_from_ledger(led, pending=ledger.pending_blocks(named, done)))
+    sinks.write_batches(batching.batch_messages(batching.batch_fixed_size(kept, batch_size)), store.path("batches"),
+                        mode="overwrite", fmt=batches_format)
+    store.commit()
+    own = {k: store.path(k) for k in ("parsed", "kept", "funnel")}
+    return {**own, **{k: f"{store.root}/{k}" for k in ("batches", "ledger", "seen", "status")}, "root": store.root}
+
+
+def reset_crawls(spark: SparkSession, out_dir: str, crawls) -> None:
+    """K5: the named crawls start over: their ledger rows, seen keys and batches
+    of earlier runs no longer count."""
+    store = RunStore(spark, out_dir)
+    store.write("status", ledger.reset_events(ixsrc.crawl_table(spark, crawls)))
+    store.commit("reset")
+
+
+def crawl_status(spark: SparkSession, out_dir: str) -> DataFrame:
+    """K4: current status of every crawl that any committed run or reset named."""
+    return ledger.current_crawl_status(RunStore(spark, out_dir).rows("status", STATUS))
+
+
+def published_batches(spark: SparkSession, out_dir: str, fmt: str = "json") -> DataFrame:
+    """Batch messages of committed runs since each crawl's latest reset."""
+    store = RunStore(spark, out_dir)
+    batches = store.committed(sinks.read_batches(spark, f"{store.root}/batches", fmt))
+    return since_reset(batches, ledger.latest_resets(store.rows("status", STATUS)))
 
 
 def documents_from_entries(entries: DataFrame, archive_template: str, archive_base: str,

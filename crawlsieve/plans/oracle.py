@@ -446,6 +446,28 @@ WHERE coalesce(regexp_matches(full_text, '[^{WS[1:]}'), false) AND length(full_t
 
 ORACLE["batcher_job"] = ORACLE["batch_message_explode"]
 ORACLE["worker_job"] = ORACLE["worker_stream"]
+ORACLE["batcher_two_runs"] = ORACLE["batch_message_explode"]
+ORACLE["funnel_incremental"] = ORACLE["funnel_index"] + " HAVING any_value(o.crawl_rank) = 1"
+ORACLE.update({
+    # block 1 of the index is the first block of a crawl; each run numbers its batches from 0
+    "batch_counts_two_runs": with_cdx("""
+, b AS (SELECT crawl, crawl_rank, block_id, dense_rank() OVER (PARTITION BY crawl ORDER BY block_id) AS id
+        FROM (SELECT DISTINCT crawl, crawl_rank, block_id FROM cdx)),
+two AS (SELECT p.*, CASE WHEN b.id = 1 THEN 1 ELSE 2 END AS run
+        FROM passed p JOIN b ON b.crawl = p.crawl AND b.block_id = p.block_id),
+won AS (SELECT *, row_number() OVER (PARTITION BY surt_url ORDER BY run, crawl_rank, block_id, line_no) AS rn FROM two)
+SELECT crawl, CAST(sum(n) AS BIGINT) AS batches FROM (
+  SELECT crawl, run, ceil(count(*) / 50.0) AS n FROM won WHERE rn = 1 GROUP BY crawl, run) GROUP BY crawl"""),
+    "status_after_repair": with_cdx("""
+SELECT DISTINCT crawl, 'error' AS status, 1 AS run FROM cdx
+UNION ALL SELECT DISTINCT crawl, 'completed' AS status, 2 AS run FROM cdx"""),
+    # after the reset the second crawl runs alone against the first one's seen keys
+    "reset_reruns_blocks": with_cdx("""
+, n AS (SELECT crawl, count(*) AS items FROM kept GROUP BY crawl)
+SELECT o.crawl, 'completed' AS status, CAST(any_value(n.items) AS BIGINT) AS items,
+       CAST(CASE WHEN any_value(o.crawl_rank) = 1 THEN count(*) ELSE 0 END AS BIGINT) AS lines_again
+FROM cdx_outcome o LEFT JOIN n ON n.crawl = o.crawl GROUP BY o.crawl"""),
+})
 
 ORACLE["sink_audit"] = ("SELECT 'ok' AS status, true AS has_batches, CAST(count(*) AS BIGINT) AS rows FROM ("
                         + ORACLE["worker_stream"] + ")")

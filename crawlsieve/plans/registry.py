@@ -493,9 +493,8 @@ def q_crawl_progress(spark, sf_dir):
 def _crawl_status(spark, sf_dir) -> DataFrame:
     index, led = _ledger_run(spark, sf_dir)
     events = ledger.status_events_from_ledger(led)
-    later = F.lit("2024-01-02 00:00:00")
-    resets = ledger.reset_events(index.where("crawl_rank = 1").select("crawl").distinct(), later)
-    return ledger.current_crawl_status(events.unionByName(resets))
+    resets = ledger.reset_events(index.where("crawl_rank = 1").select("crawl").distinct())
+    return ledger.current_crawl_status(events.withColumn("seq", F.lit(1)).unionByName(resets.withColumn("seq", F.lit(2))))
 
 
 @register("crawl_status")
@@ -610,10 +609,78 @@ def q_batcher_job(spark, sf_dir):
     root = _blocks_root(spark, sf_dir)
     out = scratch_path(spark, "batcher")
     paths = jobs.run_batcher(spark, CRAWLS, fixtures.INDEX_TEMPLATE, fixtures.BLOCK_TEMPLATE, root, out)
-    return (ixsrc.explode_batch_messages(sinks.read_batches(spark, paths["batches"]))
+    return (ixsrc.explode_batch_messages(jobs.published_batches(spark, paths["root"]))
             .select("crawl", "batch_no", "item_no", "surt_url", "timestamp", cdxf.meta("url").alias("url")))
 
 
+def _batcher(spark, root, out, crawls=None, blocks=fixtures.BLOCK_TEMPLATE, **kw):
+    from crawlsieve.plans import jobs
+    return jobs.run_batcher(spark, crawls or CRAWLS, fixtures.INDEX_TEMPLATE, blocks, root, out, **kw)
+
+
+def _two_runs(spark, sf_dir):
+    """The first crawl, then both: the second run takes only what is left."""
+    root, out = _blocks_root(spark, sf_dir), scratch_path(spark, "batcher")
+    first = _batcher(spark, root, out, CRAWLS[:1])
+    return out, first, _batcher(spark, root, out)
+
+
+@register("batcher_two_runs")
+def q_batcher_two_runs(spark, sf_dir):
+    """Stage 1 in two runs publishes every kept URL exactly once."""
+    from crawlsieve.plans import jobs
+    out, _, _ = _two_runs(spark, sf_dir)
+    return (ixsrc.explode_batch_messages(jobs.published_batches(spark, out))
+            .select("crawl", "batch_no", "item_no", "surt_url", "timestamp", cdxf.meta("url").alias("url")))
+
+
+@register("batch_counts_two_runs")
+def q_batch_counts_two_runs(spark, sf_dir):
+    """A8 over runs that number their batches from 0: two runs by block."""
+    from crawlsieve.plans import jobs
+    root, out = _blocks_root(spark, sf_dir), scratch_path(spark, "batcher")
+    _batcher(spark, root, out, max_blocks=1)
+    _batcher(spark, root, out)
+    return metrics.batch_counts(jobs.published_batches(spark, out))
+
+
+@register("funnel_incremental")
+def q_funnel_incremental(spark, sf_dir):
+    """A1 of the second of two runs: URLs that the first has kept are duplicates."""
+    _, _, second = _two_runs(spark, sf_dir)
+    return spark.read.parquet(second["funnel"])
+
+
+@register("status_after_repair")
+def q_status_after_repair(spark, sf_dir):
+    """K4: a run whose block files are missing, then a run after the repair."""
+    from crawlsieve.plans import jobs
+    root, out = _blocks_root(spark, sf_dir), scratch_path(spark, "batcher")
+    parts = []
+    for run, blocks in ((1, "{base}/lost/{crawl}/{file}"), (2, fixtures.BLOCK_TEMPLATE)):
+        _batcher(spark, root, out, blocks=blocks)
+        path = scratch_path(spark, "status")       # as it stands after this run
+        jobs.crawl_status(spark, out).withColumn("run", F.lit(run)).write.parquet(path)
+        parts.append(spark.read.parquet(path))
+    return parts[0].unionByName(parts[1])
+
+
+@register("reset_reruns_blocks")
+def q_reset_reruns_blocks(spark, sf_dir):
+    """K5: after a reset the crawl's blocks run again, and only its new batches
+    count; the other crawl's stay."""
+    from crawlsieve.plans import jobs
+    root, out = _blocks_root(spark, sf_dir), scratch_path(spark, "batcher")
+    _batcher(spark, root, out)
+    jobs.reset_crawls(spark, out, CRAWLS[1:])
+    again = _batcher(spark, root, out)
+    lines = spark.read.parquet(again["parsed"]).groupBy("crawl").agg(F.count(F.lit(1)).cast("bigint").alias("lines_again"))
+    items = (ixsrc.explode_batch_messages(jobs.published_batches(spark, out)).groupBy("crawl")
+             .agg(F.count(F.lit(1)).cast("bigint").alias("items")))
+    return (jobs.crawl_status(spark, out).join(items, "crawl", "left").join(lines, "crawl", "left")
+            .select("crawl", "status", "items", F.coalesce("lines_again", F.lit(0)).alias("lines_again")))
+
+
 @register("worker_job")
 def q_worker_job(spark, sf_dir):
     """Stage 2 end to end (batch form of the streaming worker)."""

@@ -130,7 +130,7 @@ def block_index_rejects(spark: SparkSession, crawls, template: str = DEFAULT_IND
 # --- S6 ------------------------------------------------------------------------------
 
 def explode_batch_messages(messages: DataFrame, body: str = "body",
-                           keep=("crawl", "batch_no")) -> DataFrame:
+                           keep=("run_id", "crawl", "batch_no")) -> DataFrame:
     """One row per entry of each JSON-array batch message."""
     keep = [c for c in keep if c in messages.columns]
     arr = F.from_json(F.col(body), BATCH_MESSAGE)

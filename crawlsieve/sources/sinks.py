@@ -52,6 +52,7 @@ BATCH_ROW = T.StructType([
     T.StructField("n", T.LongType()),
     T.StructField("body", T.StringType()),
     T.StructField("crawl", T.StringType()),
+    T.StructField("run_id", T.StringType()),   # partition folder of a stage-1 run; null elsewhere
 ])
 
 

@@ -30,8 +30,13 @@ def test_batcher_rerun_resumes_and_skips_seen(spark):
     expect = {r.surt_url for r in dedup.dedup_first_seen(
         index_stage.kept_entries(fixtures.cdx_from_dir(spark, SF001), dedup=False)).collect()}
     assert first | second == expect
-    funnel = spark.read.parquet(p2["funnel"]).groupBy().sum("kept").first()[0]
-    assert funnel >= len(expect)  # per-run counts (run 2 dedups within its own lines)
+    for p, keys in ((p1, first), (p2, second)):
+        f = spark.read.parquet(p["funnel"])
+        assert f.groupBy().sum("kept").first()[0] == len(keys)
+        assert f.where("total <> parse_error + language + status + duplicate + kept").count() == 0
+    assert {r.status for r in jobs.crawl_status(spark, out).collect()} == {"completed"}
+    counts = {r.crawl: r.batches for r in metrics.batch_counts(jobs.published_batches(spark, out)).collect()}
+    assert sum(counts.values()) == sinks.read_batches(spark, p2["batches"]).count()
 
 
 def test_bucketed_seen_table(spark):
@@ -42,11 +47,11 @@ def test_bucketed_seen_table(spark):
     args = (spark, list(fixtures.CRAWLS), fixtures.INDEX_TEMPLATE, fixtures.BLOCK_TEMPLATE, root, out)
     p1 = jobs.run_batcher(*args, run_id="r1", seen_table=name, seen_buckets=4)
     assert spark.table(name).count() == 20
-    # a second full run over a fresh ledger finds every URL already seen
-    out2 = scratch_path(spark, "batcher")
-    p2 = jobs.run_batcher(spark, list(fixtures.CRAWLS), fixtures.INDEX_TEMPLATE, fixtures.BLOCK_TEMPLATE,
-                          root, out2, run_id="r2", seen_table=name, seen_buckets=4)
-    assert spark.read.parquet(p2["kept"]).count() == 0
+    # after a reset the first crawl's keys are free again, the second one's stay taken
+    jobs.reset_crawls(spark, out, list(fixtures.CRAWLS)[:1])
+    p2 = jobs.run_batcher(*args, run_id="r2", seen_table=name, seen_buckets=4)
+    again = spark.read.parquet(p2["kept"]).groupBy("crawl").count().collect()
+    assert {r["crawl"]: r["count"] for r in again} == {fixtures.CRAWLS[0]: 17}
     plan = dedup.dedup_incremental(spark.read.parquet(p1["kept"]), dedup.read_seen(spark, name))
     assert plan.count() == 0
 
@@ -82,13 +87,50 @@ def test_completed_crawls_are_skipped(spark):
     live = {}
     jobs.run_batcher(*args, run_id="r1", metrics_out=live)
     assert live["total"] == 67 and live["pass"] == 23 and live["fetch_error"] == 0
-    from crawlsieve.operators import ledger
-    status = ledger.current_crawl_status(spark.read.parquet(f"{out}/status"))
+    status = jobs.crawl_status(spark, out)
     assert {r.status for r in status.collect()} == {"completed"}
     p2 = jobs.run_batcher(*args, run_id="r2")
     assert spark.read.parquet(p2["parsed"]).count() == 0
 
 
+def test_a_run_without_commit_does_not_count(spark):
+    root = scratch_path(spark, "blocks")
+    fixtures.write_blocks(fixtures.cdx_from_dir(spark, SF001), root)
+    out = scratch_path(spark, "batcher")
+    args = (spark, list(fixtures.CRAWLS), fixtures.INDEX_TEMPLATE, fixtures.BLOCK_TEMPLATE, root, out)
+    import pytest
+    from crawlsieve.plans import runs
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(runs.RunStore, "commit", lambda self, kind="run": 1 / 0)   # dies at the very end
+        with pytest.raises(ZeroDivisionError):
+            jobs.run_batcher(*args, run_id="r1")
+    jobs.run_batcher(*args, run_id="r1")                                     # the same id, again
+    assert metrics.batch_counts(jobs.published_batches(spark, out)).groupBy().sum("batches").first()[0] == 2
+    with pytest.raises(ValueError):
+        runs.RunStore(spark, out, "r1").commit()
+
+
+def test_blocks_without_lines_become_done(spark):
+    import gzip
+    root = scratch_path(spark, "blocks")
+    fixtures.write_blocks(fixtures.cdx_from_dir(spark, SF001), root)
+    index = fixtures.INDEX_TEMPLATE.format(base=root, crawl=fixtures.CRAWLS[0])
+    rows = [r.value for r in spark.read.text(index).collect()]
+    from pyarrow import fs
+    local = fs.LocalFileSystem()
+    empty = gzip.compress(b"\n\n")
+    with local.open_output_stream(fixtures.BLOCK_TEMPLATE.format(base=root, crawl=fixtures.CRAWLS[0], file="void.gz"), compression=None) as f:
+        f.write(empty)
+    extra = f"{root}/extra/{fixtures.CRAWLS[0]}"
+    local.create_dir(extra, recursive=True)
+    with local.open_output_stream(f"{extra}/cluster.idx") as f:
+        f.write(("\n".join([*rows, f"zz 2024\tvoid.gz\t0\t{len(empty)}\t99"]) + "\n").encode())
+    out = scratch_path(spark, "batcher")
+    jobs.run_batcher(spark, [fixtures.CRAWLS[0]], "{base}/extra/{crawl}/cluster.idx", fixtures.BLOCK_TEMPLATE, root, out)
+    assert spark.read.parquet(f"{out}/ledger").where("error is not null").select("block_id", "error").collect() == []
+    assert [r.status for r in jobs.crawl_status(spark, out).collect()] == ["completed"]
+
+
 def test_crawl_version_warning():
     import warnings
     from crawlsieve.functions.cdx import parse_crawl_versions
