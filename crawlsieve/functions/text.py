@@ -1,8 +1,8 @@
 """Text functions: flat text from HTML (P5), HTTP body split (P4 column
 form), non-blank (F7) and length (F8) filters, document records (P9).
 
-P5 is a chain of native ``regexp_replace`` calls, so extraction stays in
-whole-stage codegen and never leaves the JVM.
+P5 is a chain of native expressions, so extraction never leaves the JVM (the
+lambdas of reference decoding run outside whole-stage codegen).
 """
 
 from __future__ import annotations
@@ -12,32 +12,16 @@ from pyspark.sql import functions as F
 
 from crawlsieve.functions.cdx import UNICODE_SPACE_CLASS
 
-# Named character references decoded by the flat-text chain.
-# The basic markup names and their legacy upper-case forms,
-# which, like every Latin-1 name below, may appear without the trailing ';'.
-BASIC_ENTITIES = [
-    ("quot", '"'), ("amp", "&"), ("lt", "<"), ("gt", ">"),
-    ("QUOT", '"'), ("AMP", "&"), ("LT", "<"), ("GT", ">"), ("COPY", "©"), ("REG", "®"),
-]
-# Names that are decoded only with their ';'.
-SEMICOLON_ENTITIES = [
-    ("apos", "'"), ("ndash", "–"), ("mdash", "—"), ("lsquo", "‘"), ("rsquo", "’"),
-    ("sbquo", "‚"), ("ldquo", "“"), ("rdquo", "”"), ("bdquo", "„"), ("hellip", "…"),
-    ("bull", "•"), ("trade", "™"), ("euro", "€"), ("prime", "′"), ("dagger", "†"),
-    ("Dagger", "‡"), ("permil", "‰"), ("lsaquo", "‹"), ("rsaquo", "›"), ("thinsp", "\u2009"),
-    ("ensp", "\u2002"), ("emsp", "\u2003"), ("zwnj", "\u200c"), ("zwj", "\u200d"),
-]
-
-
-def _latin1_entities() -> list[tuple[str, str]]:
-    """Rule: the standard names of U+00A0..U+00FF (from the Python standard
-    library's HTML entity table)."""
-    from html.entities import codepoint2name
-    return [(codepoint2name[cp], chr(cp)) for cp in range(0xA0, 0x100) if cp in codepoint2name]
-
-
-ENTITIES = BASIC_ENTITIES + _latin1_entities() + SEMICOLON_ENTITIES
-ENTITIES_SEMICOLON_REQUIRED = {n for n, _ in SEMICOLON_ENTITIES}
+def _references() -> dict[str, str]:
+    """Rule: every named character reference of HTML (from the Python standard
+    library's table), with its ';' where it has one."""
+    from html.entities import html5
+    return dict(html5)
+
+
+REFERENCES = _references()
+# names that count without their ';', even as the beginning of a longer word
+LEGACY = sorted((n for n in REFERENCES if not n.endswith(";")), key=lambda n: (-len(n), n))
 # Numeric references to C1 controls 0x80-0x9F that HTML
 # decodes as the Windows-1252 character instead (code point -> code point).
 C1_REMAP = {
@@ -47,33 +31,46 @@ C1_REMAP = {
     0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
     0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178,
 }
-# longest names first, so an alternation never stops at a shorter prefix
-_LEGACY = "|".join(sorted((n for n, _ in ENTITIES if n not in ENTITIES_SEMICOLON_REQUIRED), key=lambda n: (-len(n), n)))
-_STRICT = "|".join(sorted(ENTITIES_SEMICOLON_REQUIRED, key=lambda n: (-len(n), n)))
 # One pattern for every reference; group 1 is the body with its optional ';'.
-ENTITY_RE = (r"&(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|(?:" + _LEGACY + r");?|(?:" + _STRICT + r");)")
+REFERENCE_RE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+_LEGACY_RE = "^(?:" + "|".join(LEGACY) + ")"
 
 NON_SPACE_RE = "[^" + UNICODE_SPACE_CLASS[1:]
-# Script and style subtrees, comments, tags and doctype/processing
-# instructions removed in one left-to-right pass (leftmost-first
-# alternation, the same in Java regex and RE2): whatever starts first wins,
-# so a tag inside a comment or script goes with its container; an element
-# left open at the end of a truncated page runs to the end.  A tag ends at
-# the first '>' outside quoted attribute values; the possessive quantifiers
-# never backtrack (RE2 gives the same matches without them, because each
-# alternative starts with a different character).
-SCRUB_RE = (r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-            r"|<!--.*?(?:-->|\z)"
-            r"|</?[A-Za-z](?:[^>\"']++|\"[^\"]*+(?:\"|\z)|'[^']*+(?:'|\z))*+(?:>|\z)"
-            r"|<[!?][^>]*(?:>|\z)")
+# The rest of a tag after its name: attributes, whose quotes count only as the
+# start of a value, up to the first '>' outside them; a value that is never closed
+# runs to the end of the page, as in HTML.  Possessive, so nothing is tried twice.
+_TAG_REST = r"""(?:[\s/](?:[\s/]++|[^\s>/=]++(?:\s*+=\s*+(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^\s>"'][^\s>]*+))?+|[^>])*+)?(?:>|\z)"""
+
+
+def _element(name: str, content: str) -> str:
+    """An element whose content is not markup, up to its own end tag."""
+    return rf"<{name}{_TAG_REST}{content}(?:</{name}(?:[\s/][^>]*+)?(?:>|\z)|\z)"
+
+
+# Script and style subtrees, comments, tags and doctype/processing instructions
+# removed in one left-to-right pass: whatever starts first wins, so a tag inside a
+# comment or script goes with its container; an element left open at the end of a
+# truncated page runs to the end.  Element names end at a blank, '/' or '>', so
+# <script-box> is an ordinary tag.  The contents of <textarea> and <title> are text,
+# tags included (groups 1 and 2).
+SCRUB_RE = ("(?is)" + "|".join([
+    _element("script", ".*?"), _element("style", ".*?"), _element("textarea", "(.*?)"), _element("title", "(.*?)"),
+    r"<!--(?:-?>|.*?(?:--!?>|\z))",
+    r"</?[a-z][^\s/>]*+" + _TAG_REST,
+    r"<[!?][^>]*+(?:>|\z)", r"</[^a-z>][^>]*+(?:>|\z)"]))
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _named_map():
-    return F.create_map(*[F.lit(x) for kv in ENTITIES for x in kv])
+def _named(body: Column) -> Column:
+    """Characters of a name; the table is looked up by first letter, then name."""
+    by_first: dict[str, list[Column]] = {}
+    for name, chars in sorted(REFERENCES.items()):
+        by_first.setdefault(name[0], []).extend([F.lit(name), F.lit(chars)])
+    table = F.create_map(*[x for first, pairs in by_first.items() for x in (F.lit(first), F.create_map(*pairs))])
+    return F.try_element_at(F.try_element_at(table, F.substring(body, 1, 1)), body)
 
 
 def _let(value: Column, body) -> Column:
@@ -84,23 +81,30 @@ def _let(value: Column, body) -> Column:
 
 
 def _reference_char(ref: Column) -> Column:
-    """Character of one matched reference body (``#39;``, ``#x2019``, ``amp;``)."""
+    """Text of one matched reference body (``#39;``, ``#x2019``, ``amp;``): a
+    character, a legacy name's character and what follows it, or itself."""
     remap = F.create_map(*[F.lit(x) for kv in C1_REMAP.items() for x in kv])
 
-    def from_body(body):
+    def numeric(body):
         is_hex = F.startswith(F.lower(body), F.lit("#x"))
-        num = F.when(is_hex, F.conv(F.substring(body, 3, 16), 16, 10)).otherwise(F.substring(body, 2, 16))
+        digits = F.regexp_replace(F.regexp_replace(body, "^#[xX]?0*", ""), ";$", "")
+        small = F.when(is_hex, F.conv(F.substring(digits, 1, 8), 16, 10)).otherwise(F.substring(digits, 1, 8)).try_cast("long")
+        # more than 7 digits without leading zeros is no code point in either base
+        n = F.when(F.length(digits) <= 7, F.coalesce(small, F.lit(0).cast("long"))).otherwise(F.lit(-1).cast("long"))
 
         def to_char(n):
             valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
             cp = F.when(valid, n).otherwise(F.lit(0xFFFD))
             return F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
 
-        numeric = _let(F.coalesce(F.try_element_at(remap, num.try_cast("long")), num.try_cast("long")), to_char)
-        named = F.try_element_at(_named_map(), body)
-        return F.when(F.startswith(body, F.lit("#")), numeric).otherwise(named)
+        return _let(F.coalesce(F.try_element_at(remap, n), n), to_char)
+
+    def legacy(body):
+        name = F.regexp_extract(body, _LEGACY_RE, 0)
+        return F.when(name != "", F.concat(_named(name), F.substring(body, F.length(name) + 1, F.lit(2147483647)))) \
+                .otherwise(F.concat(F.lit("&"), body))
 
-    return _let(F.regexp_replace(ref, ";$", ""), from_body)
+    return F.when(F.startswith(ref, F.lit("#")), numeric(ref)).otherwise(F.coalesce(_named(ref), legacy(ref)))
 
 
 def decode_entities(c) -> Column:
@@ -113,8 +117,8 @@ def decode_entities(c) -> Column:
     is evaluated once per row.
     """
     def decode(x):
-        pieces = F.split(x, ENTITY_RE)
-        chars = F.transform(F.regexp_extract_all(x, F.lit(ENTITY_RE), 1), _reference_char)
+        pieces = F.split(x, REFERENCE_RE)
+        chars = F.transform(F.regexp_extract_all(x, F.lit(REFERENCE_RE), 1), _reference_char)
         joined = F.array_join(
             F.zip_with(pieces, F.concat(chars, F.array(F.lit(""))),
                        lambda p, ch: F.concat(F.coalesce(p, F.lit("")), F.coalesce(ch, F.lit("")))), "")
@@ -130,7 +134,7 @@ def collapse_whitespace(c) -> Column:
 
 def flat_text(html) -> Column:
     """P5: drop script/style/comments, concatenate all text, collapse blanks."""
-    h = F.regexp_replace(_c(html), SCRUB_RE, "")
+    h = F.regexp_replace(_c(html), SCRUB_RE, "$1$2")
     return F.coalesce(collapse_whitespace(decode_entities(h)), F.lit(""))
 
 

@@ -21,9 +21,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crawlsieve.files import exists
 from crawlsieve.functions import text as textf
 from crawlsieve.functions.cdx import meta
 from crawlsieve.operators import batching, dedup, extract, ledger, metrics, tokenize
@@ -70,7 +71,7 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
     resets = ledger.latest_resets(events)
     earlier = since_reset(store.rows("ledger", LEDGER), resets)
     named = ixsrc.read_block_index(spark, crawls, index_template, base)
-    index = named if max_blocks is None else named.where(F.col("block_id") <= max_blocks)
+    index = named if max_blocks is None else named.where(F.col("block_id").between(0, max_blocks))
     index = ledger.pending_blocks(ledger.crawls_to_run(index, events), earlier)      # K4, K3
     blocks = ranged.read_blocks(index, block_template, base)
     ranks = ixsrc.crawl_table(spark, crawls)          # one row per named crawl
@@ -146,71 +147,129 @@ def published_batches(spark: SparkSession, out_dir: str, fmt: str = "json") -> D
     return since_reset(batches, ledger.latest_resets(store.rows("status", STATUS)))
 
 
-def documents_from_entries(entries: DataFrame, archive_template: str, archive_base: str,
-                           vocab: list[str] | None, text_mode: str = "flat", min_chars: int = 500,
-                           max_chars: int = 1_000_000, max_tokens: int = 512,
-                           scan_observation: Observation | None = None) -> DataFrame:
-    """Entries (surt_url, timestamp, metadata) -> document records:
-    archive records by range (S5, P4), responses (F6), text (P5, or P6/P7
-    with ``text_mode`` 'main' / 'strict'), non-blank and length filters
-    (F7, F8), tokens (P8) and the record columns (P9)."""
+RECORD = ("surt_url string, timestamp string, filename string, offset long, length long, record_no int, "
+          "warc_type string, error string, full_text string")
+CONSUMED = "source_run string, crawl string, batch_no long"
+REJECT = "surt_url string, timestamp string, filename string, offset long, length long, error string"
+
+
+def records_from_entries(entries: DataFrame, archive_template: str, archive_base: str, text_mode: str = "flat") -> DataFrame:
+    """Entries (surt_url, timestamp, metadata) -> archive records by range (S5,
+    P4), one row per record with the text of responses (P5, or P6/P7 with
+    ``text_mode`` 'main' / 'strict') and the error of what failed."""
     manifest = entries.select("surt_url", "timestamp", meta("filename").alias("filename"),
                               meta("offset").try_cast("bigint").alias("offset"),
                               meta("length").try_cast("bigint").alias("length"))
     scanned = ranged.read_archive_records(manifest, archive_template, archive_base, carry=("surt_url", "timestamp"))
-    if scan_observation is not None:
-        scanned = scanned.observe(
-            scan_observation,
-            F.count_if(F.col("record_no") == 0).alias("ranges_fetched"),
-            F.count_if(F.col("record_no") == -1).alias("download_errors"),
-            F.count_if(F.col("warc_type").isNotNull()).alias("records_total"),
-            F.count_if(F.col("warc_type") == "response").alias("responses"))
-    recs = ranged.filter_warc_response(scanned).where(F.col("error").isNull())
+    key = ["surt_url", "timestamp", "filename", "offset", "length", "record_no", "warc_type", "error"]
+    good = (F.col("warc_type") == "response") & F.col("error").isNull()
     if text_mode == "flat":
-        docs = textf.with_computed(recs.select("surt_url", "timestamp", "filename", "body"),
-                                   textf.flat_text("body"), "full_text").drop("body")
-    elif text_mode in ("main", "strict"):
-        keyed = recs.select("surt_url", "timestamp", "filename", "offset", "body")
+        body = F.when(good, textf.flat_text("body"))
+        return textf.with_computed(scanned.select(*key, "body"), body, "full_text").drop("body")
+    if text_mode in ("main", "strict"):
         fn = extract.main_text_strict if text_mode == "strict" else extract.main_text
-        docs = fn(keyed, id_cols=("surt_url", "timestamp", "filename", "offset"), html="body",
-                  out="full_text").drop("offset")
-    else:
-        raise ValueError(f"text_mode must be 'flat', 'main' or 'strict', got {text_mode!r}")
+        held = scanned.select(*key, F.when(good, F.col("body")).alias("body"))
+        return fn(held, id_cols=key, html="body", out="full_text")
+    raise ValueError(f"text_mode must be 'flat', 'main' or 'strict', got {text_mode!r}")
+
+
+def rejects_of(records: DataFrame) -> DataFrame:
+    """Entries that failed, with the reason."""
+    return records.where(F.col("error").isNotNull()).select("surt_url", "timestamp", "filename", "offset", "length", "error")
+
+
+def documents_of(records: DataFrame, vocab: list[str] | None, min_chars: int = 500, max_chars: int = 1_000_000,
+                 max_tokens: int = 512) -> DataFrame:
+    """Responses (F6) with text -> non-blank and length filters (F7, F8), tokens
+    (P8) and the record columns (P9)."""
+    docs = records.where((F.col("warc_type") == "response") & F.col("error").isNull()).select(
+        "surt_url", "timestamp", "filename", "full_text")
     docs = textf.filter_length(textf.filter_nonblank(docs, "full_text"), "full_text", min_chars, max_chars)
     if vocab is None:
         return textf.document_records(docs, tokens=None)
     return textf.document_records(tokenize.tokenize(docs, vocab, text="full_text", max_tokens=max_tokens))
 
 
+def documents_from_entries(entries: DataFrame, archive_template: str, archive_base: str, vocab: list[str] | None,
+                           text_mode: str = "flat", min_chars: int = 500, max_chars: int = 1_000_000,
+                           max_tokens: int = 512) -> DataFrame:
+    """Both steps above as one plan."""
+    records = records_from_entries(entries, archive_template, archive_base, text_mode)
+    return documents_of(records, vocab, min_chars, max_chars, max_tokens)
+
+
+def worker_counters(records: DataFrame, min_chars: int, max_chars: int) -> DataFrame:
+    """Stage-2 counters over the written records, in one aggregation."""
+    response = (F.col("warc_type") == "response") & F.col("error").isNull()
+    text = response & textf.is_nonblank("full_text")
+
+    def n(condition) -> F.Column:
+        return F.count_if(condition).cast("bigint")
+
+    return records.agg(
+        n(F.col("record_no") == 0).alias("ranges_fetched"), n(F.col("record_no") == -1).alias("download_errors"),
+        n(F.col("warc_type").isNotNull()).alias("records_total"), n(F.col("warc_type") == "response").alias("responses"),
+        n(F.col("error").isNotNull() & (F.col("record_no") >= 0)).alias("record_errors"),
+        n(response).alias("extractions_attempted"), n(text).alias("extractions_nonblank"),
+        n(text & ~textf.length_ok("full_text", min_chars, max_chars)).alias("filtered_length"),
+        n(text & textf.length_ok("full_text", min_chars, max_chars)).alias("documents"))
+
+
 def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, archive_base: str,
                out_dir: str, vocab: list[str] | None, text_mode: str = "flat", lanes: int | None = None,
                max_docs: int = 10_000, max_bytes: float = 256 * 1024 * 1024, min_chars: int = 500,
                max_chars: int = 1_000_000, max_tokens: int = 512, metrics_out: dict | None = None,
-               batches_format: str = "json") -> str:
-    """Stage 2.  Writes documents to ``out_dir`` (K1) and returns the path.
+               batches_format: str = "json", run_id: str | None = None, date_from: str | None = "timestamp") -> str:
+    """Stage 2.  Writes documents below ``out_dir`` (K1) and returns it.
+
+    A run takes the batches that no committed run has consumed (and, where the
+    batches folder belongs to stage-1 runs, only committed ones), writes every
+    fetched record with its text or error once, and from that table the
+    documents, the rejects and the counters; one commit row ends it.  The
+    state lies in ``<out_dir>_state``; ``worker_documents`` reads what is committed.
 
     Upload batches default to the reference's class defaults (10,000
-    documents or 256 MB estimated); a file holds at most one batch's count.
+    documents or 256 MB estimated); documents are brought together by day
+    before they are numbered, so a file holds one day and at most one batch's count.
+    ``date_from=None`` lays files out by processing date.
 
-    When ``metrics_out`` is a dict it receives the worker counters (ranges
-    fetched, download errors, records, responses, extracted, length-filtered,
-    documents written) observed during the single write, with no extra pass.
+    ``metrics_out`` (a dict) receives the worker counters.
     """
-    entries = ixsrc.explode_batch_messages(sinks.read_batches(spark, batches_dir, batches_format))
-    tag = uuid.uuid4().hex[:8]
-    obs_scan, obs_out = Observation(f"worker_scan_{tag}"), Observation(f"worker_out_{tag}")
-    records = documents_from_entries(entries, archive_template, archive_base, vocab, text_mode,
-                                     min_chars, max_chars, max_tokens, scan_observation=obs_scan)
+    store = RunStore(spark, f"{out_dir}_state", run_id)
+    messages = sinks.read_batches(spark, batches_dir, batches_format)
+    source = batches_dir.rstrip("/").rpartition("/")[0]
+    if exists(spark, f"{source}/commits"):
+        messages = published_batches(spark, source, batches_format)
+    done = store.rows("consumed", CONSUMED).select("source_run", F.col("crawl").alias("_c"), F.col("batch_no").alias("_b"))
+    messages = messages.join(done, F.col("run_id").eqNullSafe(F.col("source_run")) & (F.col("crawl") == F.col("_c"))
+                             & (F.col("batch_no") == F.col("_b")), "left_anti")
+    taken = store.write("consumed", messages.select(F.col("run_id").alias("source_run"), "crawl", "batch_no", "n", "body"))
+    entries = ixsrc.explode_batch_messages(taken)
+    records = store.write("records", records_from_entries(entries, archive_template, archive_base, text_mode))
+    store.write("rejects", rejects_of(records))
+    counters = store.write("counters", worker_counters(records, min_chars, max_chars))
+    documents = documents_of(records, vocab, min_chars, max_chars, max_tokens)
+    documents = sinks.by_day(documents, date_from)
+    lane = None
     if lanes:   # explicit hash lanes (a shuffle of the documents)
-        records = records.withColumn("lane", batching.lane_of(F.col("url"), lanes))
-        records = batching.batch_threshold(records, lane="lane", order=("url", "timestamp"), text="full_text",
-                                           max_docs=max_docs, max_bytes=max_bytes)
-    else:       # default: each partition is a lane, no shuffle
-        records = batching.batch_threshold(records, lane=None, order=("url", "timestamp"), text="full_text",
-                                           max_docs=max_docs, max_bytes=max_bytes)
-    records = records.observe(obs_out, F.count(F.lit(1)).alias("documents_written"))
-    sinks.write_documents(records, out_dir, date_from="timestamp", max_records_per_file=max(max_docs, 1))
+        lane, documents = "lane", documents.withColumn("lane", batching.lane_of(F.col("url"), lanes))
+    documents = batching.batch_threshold(documents, lane=lane, order=("url", "timestamp"), text="full_text",
+                                         max_docs=max_docs, max_bytes=max_bytes)
+    sinks.write_documents(documents, f"{out_dir}/run_id={store.run_id}", date_from=date_from,
+                          max_records_per_file=max(max_docs, 1), mode="overwrite")
     if metrics_out is not None:
-        metrics_out.update(obs_scan.get)
-        metrics_out.update(obs_out.get)
+        metrics_out.update(counters.first().asDict())
+        metrics_out["documents_written"] = metrics_out.pop("documents")
+    store.commit()
     return out_dir
+
+
+def worker_documents(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Documents of committed runs."""
+    ids = [r["run_id"] for r in RunStore(spark, f"{out_dir}_state").commits().select("run_id").collect()]
+    return sinks.read_documents(spark, out_dir, runs=True).where(F.col("run_id").isin(ids))
+
+
+def worker_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
+    """What committed runs could not fetch or read, with the reason."""
+    return RunStore(spark, f"{out_dir}_state").rows("rejects", REJECT)

@@ -6,6 +6,8 @@ plain SQL over the pre-registered views (``pages``, ``documents``, ...).
 
 from __future__ import annotations
 
+from html.entities import html5
+
 # Whitespace class shared with the Spark side (RE2 syntax).
 WS = r"[\t\n\x{0B}\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
@@ -163,14 +165,6 @@ GROUP BY crawl, batch_no"""),
 }
 
 
-def _entities():
-    from crawlsieve.functions.text import ENTITIES
-    return ENTITIES
-
-
-_ENT = _entities()
-
-
 def _sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -180,28 +174,33 @@ _C1 = {0x80: 0x20AC, 0x82: 0x201A, 0x83: 0x0192, 0x84: 0x201E, 0x85: 0x2026, 0x8
        0x8E: 0x017D, 0x91: 0x2018, 0x92: 0x2019, 0x93: 0x201C, 0x94: 0x201D, 0x95: 0x2022,
        0x96: 0x2013, 0x97: 0x2014, 0x98: 0x02DC, 0x99: 0x2122, 0x9A: 0x0161, 0x9B: 0x203A,
        0x9C: 0x0153, 0x9E: 0x017E, 0x9F: 0x0178}
-def _ent_re() -> str:
-    from crawlsieve.functions.text import ENTITY_RE
-    return ENTITY_RE
 
 
-_ENT_RE = _ent_re()
+# Named references from the standard library's table, looked up in a DuckDB map.
+_NAMES = dict(sorted(html5.items()))
+_SHORT = "|".join(sorted((n for n in _NAMES if not n.endswith(";")), key=len, reverse=True))
+_MAP = "MAP {" + ", ".join(f"{k!r}: chr({ord(v)})" if len(v) == 1 else f"{k!r}: chr({ord(v[0])}) || chr({ord(v[1])})"
+                           for k, v in _NAMES.items()) + "}"
+_ENT_RE = "&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
 
 
 def _sql_ref_char(r: str) -> str:
     body = f"regexp_replace({r}, ';$', '')"
-    num = (f"TRY_CAST(CASE WHEN lower({body}) LIKE '#x%' THEN '0x' || substr({body}, 3) "
-           f"ELSE substr({body}, 2) END AS BIGINT)")
+    digits = f"regexp_replace({body}, '^#[xX]?0*', '')"
+    num = (f"(CASE WHEN length({digits}) > 7 THEN -1 WHEN lower({body}) LIKE '#x%' THEN coalesce(TRY_CAST('0x' || {digits} AS BIGINT), 0) "
+           f"ELSE coalesce(TRY_CAST({digits} AS BIGINT), 0) END)")
     c1 = " ".join(f"WHEN {k} THEN {v}" for k, v in _C1.items())
     n = f"(CASE {num} {c1} ELSE {num} END)"
     cp = f"(CASE WHEN {n} > 0 AND {n} <= 1114111 AND NOT ({n} BETWEEN 55296 AND 57343) THEN {n} ELSE 65533 END)"
-    named = "CASE " + " ".join(f"WHEN {body} = {_sql_str(k)} THEN {_sql_str(v)}" for k, v in _ENT) + " END"
-    return f"CASE WHEN starts_with({body}, '#') THEN chr(CAST({cp} AS INTEGER)) ELSE {named} END"
+    short = f"regexp_extract({r}, '^({_SHORT})')"
+    named = (f"coalesce(names[{r}], CASE WHEN {short} <> '' THEN names[{short}] || substr({r}, length({short}) + 1) ELSE '&' || {r} END)")
+    return f"CASE WHEN starts_with({r}, '#') THEN chr(CAST({cp} AS INTEGER)) ELSE {named} END"
 
 
 def sql_decode_entities(x: str) -> str:
     pieces = f"regexp_split_to_array({x}, {_sql_str(_ENT_RE)})"
     chars = f"list_transform(regexp_extract_all({x}, {_sql_str(_ENT_RE)}, 1), lambda r: {_sql_ref_char('r')})"
+    chars = f"(SELECT {chars} FROM (SELECT {_MAP} AS names))"
     joined = (f"array_to_string(list_transform(list_zip({pieces}, list_concat({chars}, [''])), "
               f"lambda z: coalesce(z[1], '') || coalesce(z[2], '')), '')")
     return f"CASE WHEN contains({x}, '&') THEN {joined} ELSE {x} END"
@@ -219,14 +218,16 @@ _COMMENT = r"(?s)<!--.*?(-->|\z)"
 _TAG = r"<(/?[A-Za-z][^>]*|[!?][^>]*)(>|\z)"
 
 
-_SCRUB = (r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-          r"|<!--.*?(?:-->|\z)"
-          r"|</?[A-Za-z](?:[^>\"']+|\"[^\"]*(?:\"|\z)|'[^']*(?:'|\z))*(?:>|\z)"
-          r"|<[!?][^>]*(?:>|\z)")
+# One tag: attributes with quotes only around whole values, else any character but '>'.
+_ATTRS = r"""(?:[\s/](?:[\s/]+|[^\s>/=]+(?:\s*=\s*(?:"[^"]*(?:"|\z)|'[^']*(?:'|\z)|[^\s>"'][^\s>]*))?|[^>])*)?(?:>|\z)"""
+_SCRUB = "(?is)" + "|".join(
+    [rf"<{e}{_ATTRS}{c}(?:</{e}(?:[\s/][^>]*)?(?:>|\z)|\z)" for e, c in
+     (("script", ".*?"), ("style", ".*?"), ("textarea", "(.*?)"), ("title", "(.*?)"))]
+    + [r"<!--(?:-?>|.*?(?:--!?>|\z))", r"</?[a-z][^\s/>]*" + _ATTRS, r"<[!?][^>]*(?:>|\z)", r"</[^a-z>][^>]*(?:>|\z)"])
 
 
 def sql_flat_text(col: str) -> str:
-    inner = sql_decode_entities(sql_strip(col, [_SCRUB]))
+    inner = sql_decode_entities(f"regexp_replace({col}, {_sql_str(_SCRUB)}, '\\1\\2', 'g')")
     return f"coalesce(trim(regexp_replace({inner}, '{WS}+', ' ', 'g')), '')"
 
 
@@ -259,6 +260,13 @@ FROM (SELECT page_id, {sql_main_text('html', include_tables=False, lines_only=Tr
 })
 
 
+# Markup that is easy to get wrong, per page; the text is put together from the
+# parts, not taken from the markup.
+ORACLE["extract_flat_text_markup"] = """
+SELECT page_id, 'hello ' || page_id || ' more text kept' || page_id || ' tail → α ⋅ ¬in ∉ ✓ ' || chr(39) || 'x a<b>c' || page_id
+       || ' T & T©2024 &nosuch; &am <3 1 < 2 end' || CASE WHEN page_id % 3 = 0 THEN '' ELSE ' cut' END AS text
+FROM pages"""
+
 _HTTP_RAW = ("'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) "
              "|| 'Content-Length: ' || CAST(strlen(html) AS VARCHAR) || "
              "CASE WHEN page_id % 41 = 2 THEN '' WHEN page_id % 7 = 3 THEN chr(10) || chr(10) "
@@ -469,5 +477,12 @@ SELECT o.crawl, 'completed' AS status, CAST(any_value(n.items) AS BIGINT) AS ite
 FROM cdx_outcome o LEFT JOIN n ON n.crawl = o.crawl GROUP BY o.crawl"""),
 })
 
-ORACLE["sink_audit"] = ("SELECT 'ok' AS status, true AS has_batches, CAST(count(*) AS BIGINT) AS rows FROM ("
-                        + ORACLE["worker_stream"] + ")")
+ORACLE["sink_audit"] = ("SELECT status, true AS has_batches, CAST(CASE status WHEN 'ok' THEN n ELSE 0 END AS BIGINT) AS rows "
+                        "FROM (SELECT count(*) AS n FROM (" + ORACLE["worker_stream"] + ")), (VALUES ('attempt'), ('ok')) v(status)")
+ORACLE["worker_job_twice"] = ("SELECT url, \"timestamp\", full_text, char_count, filename FROM (" + ORACLE["worker_stream"] + ")")
+ORACLE["worker_rejects"] = with_cdx("""
+SELECT outcome, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT CASE length(p.url) % 5 WHEN 1 THEN 'EOFError' WHEN 2 THEN 'FileNotFoundError'
+              ELSE CASE WHEN p.page_id % 41 = 2 THEN 'no_body' ELSE 'ok' END END AS outcome
+  FROM kept k JOIN pages p ON p.url = json_extract_string(k.js, '$.url')) GROUP BY outcome""")
+ORACLE["batch_times"] = "SELECT true AS has_batches, true AS all_timed, true AS one_each"

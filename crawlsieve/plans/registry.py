@@ -192,12 +192,11 @@ def q_batch_item_stats(spark, sf_dir):
 # --- text ------------------------------------------------------------------------
 
 def _pages(spark, sf_dir) -> DataFrame:
-    """Pages for the text stages (HTML is CPU-heavy: spread small scans)."""
-    return fixtures.read_table(spark, sf_dir, "pages", spread=True)
+    return fixtures.read_table(spark, sf_dir, "pages")
 
 
 def _documents(spark, sf_dir) -> DataFrame:
-    return fixtures.read_table(spark, sf_dir, "documents", spread=True)
+    return fixtures.read_table(spark, sf_dir, "documents")
 
 
 @register("extract_flat_text")
@@ -206,6 +205,20 @@ def q_extract_flat_text(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", textf.flat_text("html").alias("text"))
 
 
+@register("extract_flat_text_markup")
+def q_extract_flat_text_markup(spark, sf_dir):
+    """P5 on markup that a careless scan gets wrong: stray quotes, custom
+    elements, rare and long references, text elements, comments, open ends."""
+    i = F.col("page_id").cast("string")
+    parts = ['<p title=it"s>hello ', i, '</p> <p class=x data-y=don\'t>more</p> text <script-box a=">">kept', i,
+             '</script-box> <style-x>tail</style-x><script a=\'>\'>lost</script x> &rarr; &alpha; &sdot; &notin &notin; &check; '
+             '&#000000039;x<style>lost</style > <textarea>a<b>c', i, '</textarea><!-- <p>lost --><!--> <title>T &amp T</title>&copy2024 '
+             '&nosuch; &am <3 1 < 2<a href="x>y" b=\'>\' c = "d>e" > end</a><br/>']
+    html = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts],
+                    F.when(F.col("page_id") % 3 == 0, "<script>lost").otherwise(' cut<p title="no end'))
+    return _pages(spark, sf_dir).select("page_id", textf.flat_text(html).alias("text"))
+
+
 @register("filter_nonblank")
 def q_filter_nonblank(spark, sf_dir):
     """documents whose text has a non-whitespace character."""
@@ -511,13 +524,10 @@ def q_run_summary(spark, sf_dir):
 
 # --- streaming -----------------------------------------------------------------------
 
-STREAM_TIMEOUT_S = 600
-
-
 def _await(q):
+    """Until the stream has taken all that was there when it started."""
     try:
-        if not q.awaitTermination(STREAM_TIMEOUT_S):
-            raise TimeoutError(f"stream {q.name} did not finish in {STREAM_TIMEOUT_S}s")
+        q.awaitTermination()
     finally:
         if q.isActive:
             q.stop()
@@ -577,6 +587,57 @@ def q_sink_audit(spark, sf_dir):
             .agg((F.count(F.lit(1)) >= 1).alias("has_batches"), F.sum("rows").cast("bigint").alias("rows")))
 
 
+def _damaged_batches(spark, sf_dir):
+    """Stage-2 input whose ranges are damaged by the length of the URL modulo 5
+    (1: range past the end of the file, 2: missing file)."""
+    batches_dir, root = _batches_with_archive_ranges(spark, sf_dir)
+    entries = ixsrc.explode_batch_messages(sinks.read_batches(spark, batches_dir))
+    kind = F.length(cdxf.meta("url")) % 5
+    past = F.when(kind == 1, F.lit("1000000000")).otherwise(cdxf.meta("length"))
+    lost = F.when(kind == 2, F.lit("lost.warc.gz")).otherwise(cdxf.meta("filename"))
+    entries = entries.withColumn("metadata", F.map_concat(
+        F.map_filter("metadata", lambda k, v: ~k.isin("filename", "length")),
+        F.create_map(F.lit("filename"), lost, F.lit("length"), past)))
+    out = scratch_path(spark, "batches")
+    rows = entries.withColumn("crawl_rank", F.lit(0)).withColumn("block_id", F.col("batch_no")).withColumn("line_no", F.col("item_no"))
+    sinks.write_batches(batching.batch_messages(batching.batch_per_block(rows, 50)), out, mode="overwrite")
+    return out, root
+
+
+@register("worker_rejects")
+def q_worker_rejects(spark, sf_dir):
+    """Stage 2 on damaged ranges: every entry ends as a document, a filtered text
+    or a reject with its reason."""
+    from crawlsieve.plans import jobs
+    batches_dir, root = _damaged_batches(spark, sf_dir)
+    out = jobs.run_worker(spark, batches_dir, fixtures.WARC_TEMPLATE, root, scratch_path(spark, "worker"), None)
+    rejects = jobs.worker_rejects(spark, out)
+    return (ixsrc.explode_batch_messages(sinks.read_batches(spark, batches_dir))
+            .select("surt_url", "timestamp").join(rejects.select("surt_url", "timestamp", "error"), ["surt_url", "timestamp"], "left")
+            .withColumn("outcome", F.coalesce("error", F.lit("ok"))).groupBy("outcome").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
+@register("worker_job_twice")
+def q_worker_job_twice(spark, sf_dir):
+    """Stage 2 run twice on the same batches: the second run finds them consumed."""
+    from crawlsieve.plans import jobs
+    batches_dir, root = _batches_with_archive_ranges(spark, sf_dir)
+    out = scratch_path(spark, "worker_job")
+    for _ in range(2):
+        jobs.run_worker(spark, batches_dir, fixtures.WARC_TEMPLATE, root, out, None)
+    return jobs.worker_documents(spark, out).select("url", "timestamp", "full_text", "char_count", "filename")
+
+
+@register("batch_times")
+def q_batch_times(spark, sf_dir):
+    """Every micro-batch of the worker stream has its time in the audit table."""
+    from crawlsieve.streaming import worker
+    out = _run_worker(spark, sf_dir)
+    return worker.batch_times(spark, f"{out}_audit").agg(
+        (F.count(F.lit(1)) >= 1).alias("has_batches"), (F.min("ms") >= 0).alias("all_timed"),
+        (F.count(F.lit(1)) == F.count_distinct("batch_id")).alias("one_each"))
+
+
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
     """T5: the index stage as a stream over files that arrive per crawl

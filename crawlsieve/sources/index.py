@@ -45,18 +45,24 @@ def _typed(raw: DataFrame) -> DataFrame:
         F.col("c1").alias("cdx_filename"),
         F.col("c2").try_cast("bigint").alias("cdx_offset"),
         F.col("c3").try_cast("bigint").alias("cdx_length"),
-        F.col("c4").try_cast("bigint").alias("block_id"))
+        F.when(F.col("n_fields") >= 5, F.col("c4").try_cast("bigint")).otherwise(_place_id()).alias("block_id"))
+
+
+def _place_id() -> "F.Column":
+    """Block number of a row without an id: from its file and offset, below zero,
+    so that it never meets a given id."""
+    return -1 - F.shiftrightunsigned(F.xxhash64("c1", "c2"), 1)
 
 
 def _valid() -> "F.Column":
-    return ((F.col("n_fields") >= 5) & F.col("cdx_filename").isNotNull() & (F.col("cdx_filename") != "")
+    return ((F.col("n_fields") >= 4) & F.col("cdx_filename").isNotNull() & (F.col("cdx_filename") != "")
             & F.col("cdx_offset").isNotNull() & (F.col("cdx_offset") >= 0)
             & F.col("cdx_length").isNotNull() & (F.col("cdx_length") > 0)
             & F.col("block_id").isNotNull())
 
 
 def _reject_reason() -> "F.Column":
-    return (F.when(F.col("n_fields") < 5, F.lit("too_few_fields"))
+    return (F.when(F.col("n_fields") < 4, F.lit("too_few_fields"))
              .when(F.col("cdx_offset").isNull() | (F.col("cdx_offset") < 0), F.lit("bad_offset"))
              .when(F.col("cdx_length").isNull() | (F.col("cdx_length") <= 0), F.lit("bad_length"))
              .when(F.col("block_id").isNull(), F.lit("bad_id"))
@@ -109,11 +115,12 @@ def read_block_index(spark: SparkSession, crawls, template: str = DEFAULT_INDEX_
     """S1 + S7 (+ S8): typed index rows of every named crawl.
 
     ``max_blocks`` keeps blocks with id <= n before any fetch (S8); it is a
-    predicate on the index, not an unordered ``limit``.
+    predicate on the index, not an unordered ``limit``; rows without an id
+    have no place in that order and are left out.
     """
     typed = _typed(_tagged(spark, crawls, template, base, sep)).where(_valid())
     if max_blocks is not None:
-        typed = typed.where(F.col("block_id") <= F.lit(max_blocks))
+        typed = typed.where(F.col("block_id").between(0, F.lit(max_blocks)))
     return typed.select("crawl", "crawl_rank", "start_key", "start_ts", "cdx_filename",
                         "cdx_offset", "cdx_length", "block_id")
 

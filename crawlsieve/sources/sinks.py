@@ -33,6 +33,12 @@ def with_date_parts(df: DataFrame, ts: str | None = "timestamp") -> DataFrame:
               .withColumn("day", F.substring(d, 7, 2)))
 
 
+def by_day(df: DataFrame, date_from: str | None = "timestamp") -> DataFrame:
+    """Rows brought together by partition day; Spark splits the large days, so
+    a day is few files and no file is unbounded."""
+    return with_date_parts(df, date_from).hint("rebalance", *DATE_PARTS).drop(*DATE_PARTS)
+
+
 def write_documents(df: DataFrame, path: str, date_from: str | None = "timestamp",
                     max_records_per_file: int = 10000, mode: str = "append") -> None:
     """K1: gzip Parquet, partitioned by date; empty input writes nothing."""
@@ -42,8 +48,10 @@ def write_documents(df: DataFrame, path: str, date_from: str | None = "timestamp
         .parquet(path))
 
 
-def read_documents(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT) -> DataFrame:
-    full = T.StructType(list(schema.fields) + [T.StructField(c, T.StringType()) for c in DATE_PARTS])
+def read_documents(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT, runs: bool = False) -> DataFrame:
+    """Documents below a folder; ``runs``: with the run folder they lie in."""
+    parts = ("run_id", *DATE_PARTS) if runs else DATE_PARTS
+    full = T.StructType(list(schema.fields) + [T.StructField(c, T.StringType()) for c in parts])
     return spark.read.schema(full).parquet(path)
 
 

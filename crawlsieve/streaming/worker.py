@@ -18,10 +18,11 @@ appends one audit row (A10).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawlsieve.files import exists
 from crawlsieve.operators import dedup
 from crawlsieve.sources import index as ixsrc
 from crawlsieve.sources import sinks
@@ -29,7 +30,8 @@ from crawlsieve.sources import sinks
 AUDIT = T.StructType([
     T.StructField("query", T.StringType()), T.StructField("batch_id", T.LongType()),
     T.StructField("rows", T.LongType()), T.StructField("files", T.LongType()),
-    T.StructField("status", T.StringType()),
+    T.StructField("status", T.StringType()), T.StructField("attempt", T.StringType()),
+    T.StructField("ms", T.LongType()),
 ])
 
 
@@ -39,16 +41,6 @@ def _start(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger).start()
 
 
-def worker_documents(entries: DataFrame, archive_template: str, archive_base: str,
-                     vocab: list[str] | None, text_mode: str = "flat", min_chars: int = 500,
-                     max_chars: int = 1_000_000) -> DataFrame:
-    """Entries (surt_url, timestamp, metadata) -> document records (the
-    same chain as the batch worker)."""
-    from crawlsieve.plans.jobs import documents_from_entries
-    return documents_from_entries(entries, archive_template, archive_base, vocab, text_mode,
-                                  min_chars, max_chars)
-
-
 def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint: str,
                  archive_template: str, archive_base: str, vocab: list[str] | None = None,
                  max_files_per_trigger: int | None = None, trigger: str | None = "availableNow",
@@ -67,17 +59,32 @@ def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint
     entries = ixsrc.explode_batch_messages(src)
     audit_dir = audit_dir or f"{out_dir}_audit"
 
+    def note(batch_id: int, attempt: str, status: str, rows: int = 0, files: int = 0, ms: int = 0):
+        (spark.createDataFrame([(query_name, int(batch_id), rows, files, status, attempt, ms)], AUDIT).coalesce(1)
+              .write.mode("append").parquet(audit_dir))
+
     def sink(batch: DataFrame, batch_id: int):
-        docs = worker_documents(batch, archive_template, archive_base, vocab, text_mode).persist()
-        target = f"{out_dir}/run={batch_id}"
+        import time
+        import uuid
+        from crawlsieve.plans import jobs
+        attempt, began = uuid.uuid4().hex, time.monotonic()
+        note(batch_id, attempt, "attempt")
         try:
-            sinks.write_documents(docs, target, mode="overwrite")
-            n = docs.count()
-        finally:
-            docs.unpersist()
-        files = len(sinks.read_documents(spark, target).inputFiles()) if n else 0
-        (spark.createDataFrame([(query_name, int(batch_id), int(n), files, "ok")], AUDIT)
-              .write.mode("overwrite").parquet(f"{audit_dir}/batch_id={batch_id}"))
+            records_dir, target = f"{out_dir}_state/records/batch={batch_id}", f"{out_dir}/run={batch_id}"
+            (jobs.records_from_entries(batch, archive_template, archive_base, text_mode)
+                 .write.mode("overwrite").parquet(records_dir))
+            records = spark.read.schema(jobs.RECORD).parquet(records_dir)
+            jobs.rejects_of(records).write.mode("overwrite").parquet(f"{out_dir}_state/rejects/batch={batch_id}")
+            written = Observation(f"{query_name}_{batch_id}_{attempt[:8]}")
+            docs = jobs.documents_of(records, vocab).observe(written, F.count(F.lit(1)).alias("rows"))
+            sinks.write_documents(sinks.by_day(docs), target, mode="overwrite")
+            n = int(written.get["rows"])
+            files = (sinks.read_documents(spark, target).select(F.input_file_name().alias("f"))
+                          .agg(F.count_distinct("f")).first()[0]) if n else 0
+        except Exception:
+            note(batch_id, attempt, "failed", ms=round(1000 * (time.monotonic() - began)))
+            raise
+        note(batch_id, attempt, "ok", n, int(files), round(1000 * (time.monotonic() - began)))
 
     writer = (entries.writeStream.queryName(query_name)
                      .option("checkpointLocation", checkpoint)
@@ -91,56 +98,22 @@ def read_worker_output(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.schema(full).option("basePath", out_dir).parquet(out_dir)
 
 
-def read_audit(spark: SparkSession, audit_dir: str) -> DataFrame:
-    return spark.read.schema(T.StructType([f for f in AUDIT.fields if f.name != "batch_id"]
-                                          + [T.StructField("batch_id", T.LongType())])).parquet(audit_dir)
-
-
-class BatchTimeListener:
-    """Records (query name, batch id, triggerExecution ms, input rows)
-    for every micro-batch of every stream of the session.  Register with
-    ``listener = BatchTimeListener.register(spark)``; ``listener.table(spark)``
-    returns the records as a DataFrame."""
-
-    def __init__(self):
-        self.rows: list[tuple] = []
-
-    @classmethod
-    def register(cls, spark: SparkSession) -> "BatchTimeListener":
-        from pyspark.sql.streaming import StreamingQueryListener
+def read_rejects(spark: SparkSession, out_dir: str) -> DataFrame:
+    """What the stream could not fetch or read, with the reason."""
+    from crawlsieve.plans import jobs
+    return spark.read.schema(jobs.REJECT).parquet(f"{out_dir}_state/rejects")
 
-        rec = cls()
 
-        class _L(StreamingQueryListener):
-            def onQueryStarted(self, event):
-                pass
-
-            def onQueryProgress(self, event):
-                p = event.progress
-                rec.rows.append((p.name, int(p.batchId), int(p.durationMs.get("triggerExecution", 0)),
-                                 int(p.numInputRows)))
-
-            def onQueryIdle(self, event):
-                pass
-
-            def onQueryTerminated(self, event):
-                pass
-
-        rec._listener = _L()
-        spark.streams.addListener(rec._listener)
-        return rec
-
-    def unregister(self, spark: SparkSession) -> None:
-        spark.streams.removeListener(self._listener)
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.rows), "query string, batch_id long, trigger_ms long, input_rows long")
+def read_audit(spark: SparkSession, audit_dir: str) -> DataFrame:
+    """One row per event: every try of a micro-batch writes ``attempt``, then
+    ``ok`` or ``failed`` (a try that was killed has only the first)."""
+    return spark.read.schema(AUDIT).parquet(audit_dir)
 
 
-def batch_times(query) -> list[tuple[int, int]]:
-    """(batch_id, triggerExecution ms) of every finished micro-batch."""
-    return [(p["batchId"], p.get("durationMs", {}).get("triggerExecution", 0))
-            for p in query.recentProgress]
+def batch_times(spark: SparkSession, audit_dir: str) -> DataFrame:
+    """Time of every finished micro-batch, from the audit table."""
+    return read_audit(spark, audit_dir).where("status = 'ok'").groupBy("query", "batch_id").agg(
+        F.max("ms").alias("ms"), F.max("rows").alias("rows"))
 
 
 # --- T5 ----------------------------------------------------------------------------
@@ -157,10 +130,9 @@ def start_index_dedup(spark: SparkSession, lines_dir: str, out_dir: str, seen_di
     passed = parse_fn(src)
 
     def sink(batch: DataFrame, batch_id: int):
-        try:
-            # keys of earlier micro-batches only, so a replayed batch is idempotent
-            seen = spark.read.parquet(seen_dir).where(F.col("batch_id") < batch_id)
-        except Exception:  # first batch: no seen table yet
+        if exists(spark, seen_dir):   # keys of earlier micro-batches only, so a replayed batch is idempotent
+            seen = spark.read.schema("url_key string, batch_id long").parquet(seen_dir).where(F.col("batch_id") < batch_id)
+        else:
             seen = spark.createDataFrame([], "url_key string")
         winners = dedup.dedup_incremental(batch, seen).persist()
         try:

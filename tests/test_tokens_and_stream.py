@@ -1,5 +1,6 @@
 """Tokenizer invariants (P8), batch times (A9) and stream replay (T4/T5)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -47,7 +48,7 @@ def test_stream_dedup_replay_is_idempotent(spark):
         lines.where(F.col("crawl") == c).write.mode("append").parquet(lines_dir)
         q = worker.start_index_dedup(spark, lines_dir, out, seen, ckpt, parse)
         assert q.awaitTermination(300)
-        n_batches += len(worker.batch_times(q))
+        n_batches += len(q.recentProgress)
     assert n_batches >= 2
     first = sorted(tuple(r) for r in spark.read.parquet(out).select("crawl", "block_id", "line_no").collect())
     # restart on the same checkpoint: nothing new, nothing duplicated
@@ -63,27 +64,43 @@ def test_worker_stream_processing_time_trigger(spark):
     from crawlsieve.plans.registry import _batches_with_archive_ranges
     batches_dir, warc_root = _batches_with_archive_ranges(spark, SF001)
     out, ckpt = scratch_path(spark, "wo"), scratch_path(spark, "wc")
-    listener = worker.BatchTimeListener.register(spark)
     q = worker.start_worker(spark, batches_dir, out, ckpt, fixtures.WARC_TEMPLATE, warc_root, None,
                             trigger="1 second", max_files_per_trigger=1)
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-        listener.unregister(spark)
-    import time
-    time.sleep(1)   # progress events are delivered asynchronously
-    times = listener.table(spark).where("query = 'worker' AND input_rows > 0")
-    assert times.count() >= 1 and times.where("trigger_ms <= 0").count() == 0
+    times = worker.batch_times(spark, f"{out}_audit")
+    assert times.count() >= 1 and times.where("ms <= 0").count() == 0
     docs = worker.read_worker_output(spark, out)
     n = docs.count()
     assert n > 0
     audit = worker.read_audit(spark, f"{out}_audit")
     assert audit.groupBy().sum("rows").first()[0] == n
     assert audit.where("rows > 0 AND files < 1").count() == 0
+    assert audit.where("status = 'attempt'").count() == audit.where("status = 'ok'").count() == times.count()
+    assert worker.read_rejects(spark, out).where("error <> 'no_body'").count() == 0
     assert docs.select("url").distinct().count() == n     # no duplicates across micro-batches
 
 
+def test_failed_micro_batch_is_in_the_audit(spark, monkeypatch):
+    from crawlsieve.plans import jobs
+    from crawlsieve.plans.registry import _batches_with_archive_ranges
+    batches_dir, warc_root = _batches_with_archive_ranges(spark, SF001)
+    out, ckpt = scratch_path(spark, "wo"), scratch_path(spark, "wc")
+
+    def start():
+        return worker.start_worker(spark, batches_dir, out, ckpt, fixtures.WARC_TEMPLATE, warc_root, None)
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "documents_of", lambda *a, **k: 1 / 0)
+        with pytest.raises(Exception):
+            start().awaitTermination()
+    start().awaitTermination()
+    events = [r.status for r in worker.read_audit(spark, f"{out}_audit").where("batch_id = 0").collect()]
+    assert sorted(events) == ["attempt", "attempt", "failed", "ok"]
+
+
 def test_vocab_from_file_and_dict(spark, tmp_path):
     words = tokenize.vocab_from_words(["hello", "world"])
     path = tmp_path / "vocab.txt"
