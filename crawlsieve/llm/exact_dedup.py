@@ -226,7 +226,8 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", row:
     groups = (members.groupBy("fingerprint", "variant").agg(F.count("*").alias("group_size"), best.alias("best"))
               .select("fingerprint", "variant", "group_size", F.bitwise_not("best.id").alias("keep_id"),
                       F.bitwise_not("best.at").alias("keep_row")))
-    return members.join(groups, ["fingerprint", "variant"]).select(
+    # written first: a join of two plain tables is one whose hot keys Spark splits
+    return members.join(stored(groups, "groups"), ["fingerprint", "variant"]).select(
         F.col("doc_id").alias(key), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
         "text_sha256", "row")
 
