@@ -7,7 +7,8 @@ to Spark.  Paths are qualified on the driver and opened in tasks through
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 # Spark's names of object-store schemes -> pyarrow's
 SCHEMES = {"s3a": "s3", "s3n": "s3"}
@@ -27,16 +28,32 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
 
 
+def qualified(spark: SparkSession, path: Column) -> Column:
+    """A column of paths, qualified as `qualify` does."""
+    root, here = qualify(spark, "/").rstrip("/"), qualify(spark, ".").rstrip("/")
+    return (F.when(path.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), path)
+             .when(F.startswith(path, F.lit("/")), F.concat(F.lit(root), path))
+             .otherwise(F.concat(F.lit(f"{here}/"), path)))
+
+
+class UnknownStore(ValueError):
+    """A path that no file system here can open: the job fails, whatever the row."""
+
+
 def open_path(uri: str):
     """(pyarrow file system, path in it) of a qualified path."""
+    import pyarrow as pa
     from pyarrow import fs
 
     scheme, sep, rest = uri.partition(":")
     if not sep or "/" in scheme:
-        raise ValueError(f"path without a scheme reached a task: {uri!r}")
+        raise UnknownStore(f"path without a scheme reached a task: {uri!r}")
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/")
-    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
+    try:
+        return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, ImportError) as e:
+        raise UnknownStore(f"no file system for {uri!r}: {e}") from e
 
 
 def write_whole(uri: str, write) -> None:

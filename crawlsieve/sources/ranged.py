@@ -7,9 +7,10 @@ task) and a big file can still spread over several tasks.  Each task
 streams Arrow batches through ``mapInArrow``; output batches are capped
 by bytes so a task never holds more than a few MB of decoded text.
 
-Files are opened through ``pyarrow.fs`` so any URI it understands (local,
-HDFS, S3, GCS) works; a failed range becomes an ``error`` value on its
-row and the rest of the partition continues.
+Paths are qualified by the session's default file system, as Spark does, and
+opened through ``pyarrow.fs`` (local, HDFS, S3 also as ``s3a``, GCS); a failed
+range becomes an ``error`` value on its row and the rest of the partition
+continues, but a scheme that nothing can open fails the job.
 """
 
 from __future__ import annotations
@@ -18,21 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawlsieve.files import UnknownStore, open_path, qualified
 from crawlsieve.schemas import ARCHIVE_RECORD, BLOCK_TEXT
 
 OUT_BATCH_BYTES = 32 * 1024 * 1024
 
 
-def _open_fs(path: str):
-    import pyarrow.fs as pafs
-    if "://" in path and not path.startswith("file://"):
-        return pafs.FileSystem.from_uri(path)
-    p = path[len("file://"):] if path.startswith("file://") else path
-    if p.startswith("file:"):
-        p = p[len("file:"):]
-    return pafs.LocalFileSystem(), p
-
-
 class RangeReader:
     """Keeps the last opened file per task; reads inclusive byte ranges."""
 
@@ -43,7 +35,7 @@ class RangeReader:
     def read(self, path: str, offset: int, length: int) -> bytes:
         if path != self._path:
             self.close()
-            fs, p = _open_fs(path)
+            fs, p = open_path(path)
             self._fh = fs.open_input_file(p)
             self._path = path
         if offset < 0 or length <= 0:
@@ -99,7 +91,7 @@ def read_blocks(index: DataFrame, path_template: str, base: str = "",
                            .replace("{crawl}", "%1$s").replace("{file}", "%2$s"),
                            F.col("crawl"), F.col("cdx_filename"))
     manifest = index.select("crawl", "block_id", "cdx_filename", "cdx_offset", "cdx_length",
-                            path.alias("_path"))
+                            qualified(index.sparkSession, path).alias("_path"))
     planned = _plan_ranges(manifest, "_path", "cdx_offset", num_partitions)
     schema = BLOCK_TEXT
     names = [f.name for f in schema.fields]
@@ -128,6 +120,8 @@ def read_blocks(index: DataFrame, path_template: str, base: str = "",
                 try:
                     raw = reader.read(d["_path"][i], int(d["cdx_offset"][i]), int(d["cdx_length"][i]))
                     text = gzip.decompress(raw).decode("utf-8", errors="replace")
+                except UnknownStore:
+                    raise
                 except Exception as e:  # noqa: BLE001 - one failed block never fails the task
                     err = _error_label(e)
                     reader.close()
@@ -263,7 +257,8 @@ def read_archive_records(manifest: DataFrame, path_template: str = "{file}", bas
                            F.col(filename))
     carry = list(carry)
     m = manifest.select(*carry, F.col(filename).alias("filename"), F.col(offset).cast("bigint").alias("offset"),
-                        F.col(length).cast("bigint").alias("length"), path.alias("_path"))
+                        F.col(length).cast("bigint").alias("length"),
+                        qualified(manifest.sparkSession, path).alias("_path"))
     planned = _plan_ranges(m, "_path", "offset", num_partitions)
     schema = T.StructType([m.schema[c] for c in carry] + ARCHIVE_SCHEMA.fields)
     names = [f.name for f in schema.fields]
@@ -297,6 +292,8 @@ def read_archive_records(manifest: DataFrame, path_template: str = "{file}", bas
                 key.update(filename=d["filename"][i], offset=d["offset"][i], length=d["length"][i])
                 try:
                     data = gzip.decompress(reader.read(d["_path"][i], int(key["offset"]), int(key["length"])))
+                except UnknownStore:
+                    raise
                 except Exception as e:  # noqa: BLE001
                     reader.close()
                     add(**key, record_no=-1, error=_error_label(e))

@@ -2,6 +2,7 @@
 
 import gzip
 
+import pytest
 from pyspark.sql import functions as F
 
 from crawlsieve.functions import cdx as cdxf
@@ -217,3 +218,21 @@ def test_flat_text_matches_stdlib_parser_on_pages(spark):
     rows = pages.collect()
     bad = [r.page_id for r in rows if r.t != _parser_flat_text(r.html)]
     assert len(rows) == 250 and bad == []
+
+
+def test_unknown_scheme_fails_the_job(spark):
+    from crawlsieve.sources import ranged
+    one = spark.createDataFrame([("nowhere://host/x.gz", 0, 10)], "filename string, offset long, length long")
+    with pytest.raises(Exception, match="no file system for"):
+        ranged.read_archive_records(one).collect()
+
+
+def test_paths_are_qualified_like_sparks(spark):
+    from pyspark.sql import functions as F
+    from crawlsieve import files
+    got = [r.p for r in spark.createDataFrame([("/a/b",), ("s3a://b/k",), ("x/y",)], "p string")
+           .select(files.qualified(spark, F.col("p")).alias("p")).collect()]
+    assert got[0] == files.qualify(spark, "/a/b") == "file:/a/b" and got[1] == "s3a://b/k" and got[2] == files.qualify(spark, "x/y")
+    assert files.open_path(got[0])[1] == "/a/b"
+    with pytest.raises(files.UnknownStore):
+        files.open_path("/a/b")
