@@ -94,8 +94,8 @@ def test_mixer_learns_and_merges():
     chance = rng.random(50)
     bit = (rng.random(200_000) < chance[context.astype(int)]).astype(np.int64)
     m = BitMixer(2, 1, slot_bits=12)
-    node, gate = np.zeros(len(bit), np.int64), np.zeros(len(bit), np.int64)
-    slots = [m.slots(np.zeros(len(bit), np.uint64), node), m.slots(context, node)]
+    node, gate = np.zeros(len(bit), np.uint32), np.zeros(len(bit), np.int64)
+    slots = [m.slots(np.zeros(len(bit), np.uint32), node), m.slots(context.astype(np.uint32), node)]
     for a in range(0, len(bit), 20_000):
         m.learn([s[a:a + 20_000] for s in slots], gate[a:a + 20_000], bit[a:a + 20_000])
     p = m.probability(slots, gate)
@@ -143,7 +143,7 @@ def test_probabilities_of_one_step_sum_to_one(spark):
     df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").withColumn("train", F.lit(True))
     counts = lm.word_counts(df).cache()
     code = lm.make_code(counts, head=0)
-    mixer = lm.train_spelling(counts.where(F.col("word") != lm.END))
+    mixer = lm.train_spelling(counts.where(F.col("word") != lm.END), code)
     got = {r["word"]: 10 ** r["own"] for r in lm.rare_words(counts.where(F.col("word") != lm.END), code, mixer).collect()}
     kinds = dict(zip(["aa", "ab", "ac", "ba"], lm.HeadBits(code).classes(pa.array(["aa", "ab", "ac", "ba"]))))
     for kind in set(kinds.values()):
