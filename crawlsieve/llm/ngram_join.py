@@ -11,13 +11,16 @@ the component of links each document belongs to.
    `n - ceil(t * n) + 1` shingles of a set are its prefix; linked sets share a
    prefix shingle.  Nodes with identical prefix and size form one *group*, and
    only groups are posted under the prefix shingles.
-3. Group pairs pass the size and position filters, then are expanded to members,
-   and the pairs of members are verified on their whole sets.
+3. Group pairs pass the size and position filters and are expanded to members.  A
+   pair of members passes the bitmap filter (1,024-bit signatures differ in no more
+   bits than the sets in shingles) and is verified on the whole sets.
 4. Only components are asked for, so pairs that are connected already need no
-   look.  Before all remaining pairs are listed, a few star rounds link every
-   list's groups with one hub each; then pairs are drawn only between *different*
-   components of a list.  A group of thousands of near copies thus costs rows in
-   proportion to its size, and no link between different components is lost.
+   look.  First every group of a list meets the list's `HUBS` hubs (its first groups
+   by hash), which covers short lists whole.  Longer lists get one more hub outside
+   their largest component; then pairs are drawn only between *different*
+   components, what lies outside the largest one against the list.  A group of thousands of near copies
+   thus costs rows in proportion to its size, and no link between different
+   components is lost.  Sets too small to link with any other set are not posted.
 
 Written tables in the shared folder cut the lineage between steps.  Nothing but
 counts and the sketch (4 MB) reaches the driver.
@@ -34,19 +37,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crawlsieve.llm.common import register, slices, stored, table
+from crawlsieve.llm.common import register, slices, squeeze, stored, table, unsqueeze
 from crawlsieve.llm.components import components
 from crawlsieve.llm.words import distinct_shingles, mix64, split_words
 
 SKETCH_BITS = 20
 PAGE = 4096
-STAR_ROUNDS = 3
-PAIRS_PER_POSTING = 4     # star rounds go on while listing would cost more
+HUBS = 3
 SALT = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))   # two streams of a 128-bit set id
 SLICE = 4 << 20
+SIGNATURE = 16            # 64-bit words of a set's bitmap
+BROADCAST_ROWS = 1 << 20  # ids that may be broadcast (8 MB); beyond, a shuffle join
 
 
 def _buckets(h: np.ndarray, bits: int) -> np.ndarray:
@@ -65,13 +69,13 @@ def count_sketch(texts: DataFrame, k: int, bits: int = SKETCH_BITS) -> np.ndarra
             counts += np.bincount(_buckets(h, bits), minlength=1 << bits)
         for p in np.flatnonzero(counts.reshape(-1, page).any(axis=1)).tolist():
             part = np.minimum(counts[p * page:(p + 1) * page], 0xFFFFFFFF).astype("<u4")
-            yield pa.RecordBatch.from_pydict({"page": [p], "counts": [part.tobytes()]})
+            yield pa.RecordBatch.from_pydict({"page": [p], "counts": [squeeze(part)]})
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pages: dict[int, np.ndarray] = {}
         for batch in batches:
             for p, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                pages[p] = pages.get(p, 0) + np.frombuffer(raw, "<u4").astype(np.int64)
+                pages[p] = pages.get(p, 0) + unsqueeze(raw, "<u4").astype(np.int64)
         for p, c in pages.items():
             yield pa.RecordBatch.from_pydict({"page": [p], "counts": [c.astype("<i8").tobytes()]})
 
@@ -90,16 +94,24 @@ def _set_ids(h: np.ndarray, starts: np.ndarray) -> list[bytes]:
     return [a.tobytes() + b.tobytes() for a, b in zip(*parts)]
 
 
+def _signatures(h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """One bit per shingle in SIGNATURE * 64 bits, as n x SIGNATURE numbers."""
+    bits = np.zeros((n, SIGNATURE * 64), bool)
+    bits[doc, (mix64(h ^ SALT[0]) % np.uint64(SIGNATURE * 64)).astype(np.int64)] = True
+    return np.packbits(bits, axis=1).view("<i8")
+
+
 def prefix_length(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
 def nodes(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
-    """doc_id, row, n, set_id, prefix_id, prefix per row of (doc_id, text, row)."""
+    """doc_id, row, n, set_id, prefix_id, prefix, signature per row of (doc_id, text, row)."""
     sent = docs.sparkSession.sparkContext.broadcast(counts)   # 2^bits counters
     bits = int(len(counts)).bit_length() - 1
     schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("set_id", pa.binary()),
-                        ("prefix_id", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+                        ("prefix_id", pa.binary()), ("prefix", pa.list_(pa.int64())),
+                        ("signature", pa.list_(pa.int64()))])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = sent.value
@@ -129,14 +141,17 @@ def nodes(docs: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFram
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(n.astype(np.int64)),
                  pa.array(sets, pa.binary()), pa.array(groups, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(bounds), pa.array(prefix.view(np.int64)))], schema=schema)
+                 pa.ListArray.from_arrays(pa.array(bounds), pa.array(prefix.view(np.int64))),
+                 pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * SIGNATURE),
+                                          pa.array(_signatures(h, doc, batch.num_rows).ravel()))], schema=schema)
 
-    return docs.mapInArrow(make, "doc_id long, row long, n long, set_id binary, prefix_id binary, prefix array<long>")
+    return docs.mapInArrow(make, "doc_id long, row long, n long, set_id binary, prefix_id binary, prefix array<long>, "
+                                 "signature array<long>")
 
 
 def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
-    """set_id, shingles of the distinct sets of the one-column table `texts`."""
-    schema = pa.schema([("set_id", pa.binary()), ("shingles", pa.list_(pa.int64()))])
+    """(id, shingles) of rows (text, id, set_id) whose text has that set."""
+    schema = pa.schema([("id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0, SLICE):
@@ -145,114 +160,145 @@ def shingle_sets(texts: DataFrame, k: int) -> DataFrame:
                 continue
             starts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
             bounds = np.concatenate([starts, [len(h)]]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_set_ids(h, starts), pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(bounds), pa.array(h.view(np.int64)))], schema=schema)
+            asked = batch.take(pa.array(doc[starts]))
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(h.view(np.int64)))
+            own = pa.array([a == b for a, b in zip(_set_ids(h, starts), asked.column(2).to_pylist())])
+            yield pa.RecordBatch.from_arrays([asked.column(1).filter(own), lists.filter(own)], schema=schema)
 
-    return texts.mapInArrow(make, "set_id binary, shingles array<long>")
+    return texts.mapInArrow(make, "id long, shingles array<long>")
 
 
 class _Join:
-    """The steps over one input; `percent` is the least similarity."""
+    """The steps over one input; `percent` is the least similarity.  A node (distinct
+    set) is named by the least number of its rows, a group by that of its nodes."""
 
     def __init__(self, docs: DataFrame, k: int, percent: int, bits: int):
-        self.percent = percent
+        self.docs, self.k, self.percent = docs, k, percent
         counts = count_sketch(docs.select("text"), k, bits)
         self.rows = stored(nodes(docs, k, percent, counts), "rows")
         found = self.rows.where("n > 0")
-        self.nodes = stored(found.groupBy("set_id").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix_id").alias("prefix_id")), "nodes")
-        groups = (found.groupBy("prefix_id").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-                  .join(self.nodes.groupBy("prefix_id").agg(F.count("*").alias("size")), "prefix_id"))
-        posted = stored(groups.select("prefix_id", "n", "size", F.posexplode("prefix").alias("pos", "token")), "postings")
-        shared = posted.groupBy("token").agg(F.sum("size").alias("all")).where("all > 1").select("token")
-        self.postings = stored(posted.join(shared, "token").select("token", "prefix_id", "n", "pos"), "shared")
-        busy = self.nodes.join(self.postings.select("prefix_id").distinct(), "prefix_id", "left_semi")
-        # the texts of nodes with any partner; a repeated id may bring other texts along, the set id tells them
-        texts = docs.join(busy.select("doc_id").distinct().withColumnRenamed("doc_id", "of"),
-                          F.col("doc_id").eqNullSafe(F.col("of")), "left_semi").select("text")
-        self.sets = stored(shingle_sets(texts, k).join(busy.select("set_id"), "set_id", "left_semi"), "sets")
+        sets = found.groupBy("set_id").agg(
+            F.min("row").alias("id"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+            F.first("prefix_id").alias("prefix_id"), F.first("signature").alias("signature"))
+        sets = stored(sets, "sets")
+        groups = sets.groupBy("prefix_id").agg(F.min("id").alias("group"), F.count("*").alias("size"))
+        self.nodes = stored(sets.join(groups, "prefix_id").select("id", "set_id", "doc_id", "n", "signature", "group", "size"),
+                            "nodes")
+        # a group's number is that of one of its rows, which has the group's prefix
+        first = self.nodes.where("id = group").select("id", "size")
+        posted = (found.select(F.col("row").alias("group"), "n", "prefix").join(first, F.col("group") == F.col("id"))
+                  .select("group", "n", "size", F.posexplode("prefix").alias("pos", "token")))
+        # a set with one shingle more or less than n must be able to link
+        posted = posted.where(f"100 * n >= {percent} * (n + 1) or 100 * (n - 1) >= {percent} * n")
+        here = Window.partitionBy("token")
+        whole = (here.orderBy(F.xxhash64("group"), "group")
+                 .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        one = F.struct("group", "n", "pos")
+        self.postings = stored(
+            posted.withColumn("all", F.sum("size").over(here)).withColumn("most", F.max("size").over(here)).where("all > 1")
+            .withColumn("hubs", F.array(*(F.nth_value(one, i + 1).over(whole) for i in range(HUBS))))
+            .select("token", "group", "n", "pos", "size", "hubs",
+                    ((F.col("all") > HUBS + 1) | (F.col("most") > 1)).alias("open")), "postings")
         self.links = None
-        self.labels = self.nodes.select("set_id", F.col("set_id").alias("component"))
+        self.labels = self.nodes.select("id", F.col("id").alias("component"))
 
     def _fits(self, a: str, b: str):
         """Size and position filters of two posted groups."""
         p, q = self.percent, 100 + self.percent
-        return F.expr(f"100 * least({a}.n, {b}.n) >= {p} * greatest({a}.n, {b}.n) and "
-                      f"{q} * (1 + least({a}.n - {a}.pos - 1, {b}.n - {b}.pos - 1)) >= {p} * ({a}.n + {b}.n)")
-
-    def _entities(self) -> tuple[DataFrame, DataFrame]:
-        """Members (set, group, component), and postings per (group, component)."""
-        members = stored(self.nodes.join(self.labels, "set_id").select("set_id", "prefix_id", "component"), "members")
-        per = members.groupBy("prefix_id", "component").agg(F.count("*").alias("size"), F.min("set_id").alias("one"))
-        return members, stored(self.postings.join(per, "prefix_id"), "entities")
+        return F.expr(f"100 * least({a}n, {b}n) >= {p} * greatest({a}n, {b}n) and "
+                      f"{q} * (1 + least({a}n - {a}pos - 1, {b}n - {b}pos - 1)) >= {p} * ({a}n + {b}n)")
 
     def _verify(self, pairs: DataFrame) -> DataFrame:
-        """(u, v) of the pairs of sets that link."""
-        one = self.sets.select(F.col("set_id").alias("u"), F.col("shingles").alias("a"))
-        other = self.sets.select(F.col("set_id").alias("v"), F.col("shingles").alias("b"))
+        """(u, v) of the pairs of nodes that link."""
         p, q = self.percent, 100 + self.percent
-        both = pairs.join(one, "u").join(other, "v").select(
-            "u", "v", F.size("a").alias("x"), F.size("b").alias("y"), F.size(F.array_intersect("a", "b")).alias("i"))
-        return both.where(f"{q} * i >= {p} * (x + y)").select("u", "v")
-
-    def _add(self, links: DataFrame) -> bool:
-        """Adds links and relabels; false if there were none."""
+        one, other = (self.nodes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(s),
+                                        F.struct("id", "set_id", F.col("doc_id").alias("of")).alias(f"at_{x}"))
+                      for x, s in (("u", "s"), ("v", "t")))
+        differ = F.expr("aggregate(zip_with(s, t, (a, b) -> bit_count(a ^ b)), 0, (a, b) -> a + b)")
+        # q * |a and b| >= p * (x + y), and 2 * |a and b| = x + y - |a xor b|
+        total = F.col("n_u") + F.col("n_v")
+        close = stored(pairs.join(one, "u").join(other, "v").where(q * (total - differ) >= 2 * p * total)
+                       .select("u", "v", total.alias("total"), "at_u", "at_v"), "close")
+        asked = stored(close.select("at_u.*").unionByName(close.select("at_v.*")).distinct(), "asked")
+        if asked.count() <= BROADCAST_ROWS:
+            asked = F.broadcast(asked)
+        # a repeated id may bring other texts along; the set id tells them
+        texts = self.docs.select("doc_id", "text").join(asked, F.col("doc_id").eqNullSafe(F.col("of"))).select("text", "id", "set_id")
+        sets = stored(shingle_sets(texts, self.k), "shingles")
+        both = (close.select("u", "v", "total").join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u")
+                .join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v"))
+        return both.where(q * F.size(F.array_intersect("a", "b")) >= p * F.col("total")).select("u", "v")
+
+    def _add(self, links: DataFrame) -> None:
+        """Adds links and relabels."""
         new = stored(links, "links")
         if new.isEmpty():
-            return False
+            return
         self.links = new if self.links is None else stored(self.links.unionByName(new), "links")
-        joined = components(self.links)
-        self.labels = stored(self.nodes.select("set_id").join(joined.withColumnRenamed("id", "set_id"), "set_id", "left")
-                             .select("set_id", F.coalesce("component", "set_id").alias("component")), "labels")
-        return True
-
-    def star(self, nth: int) -> bool:
-        """One hub per list: the member of its largest component with the least
-        hash of this round, against all groups of other components."""
+        self.labels = stored(self.nodes.select("id").join(components(self.links), "id", "left")
+                             .select("id", F.coalesce("component", "id").alias("component")), "labels")
+
+    def star(self) -> None:
+        """All groups of a list against its hubs, and all members of a group
+        against its first one."""
+        hub = F.explode("hubs").alias("h")
+        met = (self.postings.select("group", "n", "pos", hub).where("h is not null and group <> h.group")
+               .select("group", "n", "pos", F.col("h.group").alias("u"), F.struct("h.n", "h.pos").alias("h"))
+               .where(self._fits("", "h.")).select("group", "u"))
+        own = self.nodes.where("size > 1 and id <> group").select(F.col("group").alias("u"), F.col("id").alias("v"))
+        members = self.nodes.select("group", F.col("id").alias("v"))
+        pairs = met.distinct().join(members, "group").select("u", "v").unionByName(own)
+        self._add(self._verify(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
+
+    def _entities(self) -> tuple[DataFrame, DataFrame]:
+        """Members (id, group, component); postings of long lists per (group,
+        component), with whether it is the list's largest component, for lists that
+        still hold more than one."""
+        members = stored(self.nodes.select("id", "group").join(self.labels, "id").select("id", "group", "component"), "members")
+        of = members.groupBy("group", "component").agg(F.min("id").alias("first"))
+        entities = self.postings.where("open").select("token", "group", "n", "pos").join(of, "group")
+        sizes = entities.groupBy("token", "component").agg(F.count("*").alias("k"))
+        lists = (sizes.groupBy("token").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts"))
+                 .where("parts > 1").select("token", F.col("top.component").alias("top")))
+        return members, stored(entities.join(lists, "token").withColumn("main", F.col("component") == F.col("top")).drop("top"),
+                               "entities")
+
+    def peel(self) -> None:
+        """As `star`, with hubs outside each list's largest component: what the first
+        hubs have joined is left aside, and the next cluster joins around its own."""
         members, entities = self._entities()
-        of = (entities.groupBy("token", "component").agg(
-            F.sum("size").alias("weight"),
-            F.min(F.struct(F.xxhash64("one", F.lit(nth)).alias("h"), "one", "n", "pos")).alias("hub"))
-            .groupBy("token").agg(F.max(F.struct("weight", "component", "hub")).alias("top"),
-                                  F.sum("weight").alias("all"), F.sum(F.col("weight") * F.col("weight")).alias("within"))
-            .where("all > top.weight"))
-        of = stored(of.select("token", F.col("top.component").alias("component"), "top.hub.one", "top.hub.n", "top.hub.pos",
-                              (F.col("all") * F.col("all") - F.col("within")).alias("cross")), "hubs")
-        cost = of.agg(F.sum("cross")).first()[0] or 0
-        if cost <= 2 * PAIRS_PER_POSTING * entities.count() or nth >= STAR_ROUNDS:
-            return False
-        met = (entities.alias("e").join(of.alias("h"), "token").where("e.component <> h.component")
-               .where(self._fits("e", "h")).select("prefix_id", "e.component", F.col("h.one").alias("u")).distinct())
-        pairs = members.join(met, ["prefix_id", "component"]).select("u", F.col("set_id").alias("v")).distinct()
-        self._add(self._verify(pairs))
-        return True
+        outside = entities.where("not main")
+        hubs = (outside.groupBy("token").agg(F.min(F.struct(F.xxhash64("first").alias("h"), "first", "component", "n", "pos")).alias("hub"))
+                .select("token", "hub.*"))
+        met = (outside.alias("e").join(hubs.alias("h"), "token").where("e.component <> h.component")
+               .where(self._fits("e.", "h.")).select("group", "e.component", F.col("h.first").alias("u")).distinct())
+        pairs = members.join(met, ["group", "component"]).select(F.least("u", "id").alias("u"), F.greatest("u", "id").alias("v"))
+        self._add(self._verify(pairs.distinct()))
 
     def rest(self) -> None:
-        """All remaining pairs between different components of a list."""
+        """All remaining pairs between different components of a long list: what lies
+        outside the largest component against all of the list."""
         members, entities = self._entities()
-        classes = stored(entities.select("token", "component").distinct(), "classes")
-        apart = (classes.alias("a").join(classes.alias("b"), "token").where("a.component < b.component")
-                 .select("token", F.col("a.component").alias("left"), F.col("b.component").alias("right")))
-        a = entities.select("token", F.col("component").alias("left"), "prefix_id", "n", "pos").alias("a")
-        b = entities.select("token", F.col("component").alias("right"), "prefix_id", "n", "pos").alias("b")
-        met = (apart.join(a, ["token", "left"]).join(b, ["token", "right"]).where(self._fits("a", "b"))
-               .select("left", "right", F.col("a.prefix_id").alias("p"), F.col("b.prefix_id").alias("q")).distinct())
-        one = members.select(F.col("set_id").alias("u"), F.col("prefix_id").alias("p"), F.col("component").alias("left"))
-        other = members.select(F.col("set_id").alias("v"), F.col("prefix_id").alias("q"), F.col("component").alias("right"))
-        self._add(self._verify(met.join(one, ["p", "left"]).join(other, ["q", "right"]).select("u", "v").distinct()))
+        met = (entities.where("not main").alias("a").join(entities.alias("b"), "token")
+               .where("a.component <> b.component and (b.main or a.component < b.component)").where(self._fits("a.", "b."))
+               .select(F.col("a.group").alias("p"), F.col("a.component").alias("left"),
+                       F.col("b.group").alias("q"), F.col("b.component").alias("right")).distinct())
+        one = members.select(F.col("id").alias("u"), F.col("group").alias("p"), F.col("component").alias("left"))
+        other = members.select(F.col("id").alias("v"), F.col("group").alias("q"), F.col("component").alias("right"))
+        self._add(self._verify(met.join(one, ["p", "left"]).join(other, ["q", "right"])
+                               .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
 
     def result(self) -> DataFrame:
         """doc_id, row, n_shingles, component_id, component per row; component is null
         for empty sets."""
-        named = stored(self.nodes.join(self.labels, "set_id").select("set_id", "component", "doc_id"), "named")
+        named = stored(self.nodes.join(self.labels, "id").select("set_id", "component", "doc_id"), "named")
         least = stored(named.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
         of = stored(named.join(least, "component").select("set_id", "component", "component_id"), "components")
         linked = self.rows.where("n > 0").join(of, "set_id").select(
             "doc_id", "row", F.col("n").alias("n_shingles"), "component_id", "component")
         alone = self.rows.where("n = 0").select(
             "doc_id", "row", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
-            F.lit(None).cast("binary").alias("component"))
+            F.lit(None).cast("long").alias("component"))
         return linked.unionByName(alone)
 
 
@@ -261,9 +307,9 @@ def _components(docs: DataFrame, key: str, text: str, row: str | None, k: int, p
         raise ValueError("percent lies in 1..100")
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
                        (F.col(row).cast("long") if row else F.monotonically_increasing_id()).alias("row"))
-    join, nth = _Join(rows, k, percent, bits), 0
-    while join.star(nth):
-        nth += 1
+    join = _Join(rows, k, percent, bits)
+    join.star()
+    join.peel()
     join.rest()
     return join.result()
 

@@ -98,10 +98,10 @@ def test_join_empty_table(empty):
     assert nj.jaccard_components(empty, bits=8).collect() == []
 
 
-@pytest.mark.parametrize("per_posting", [0, 4])
-def test_many_near_copies_of_one_text(spark, monkeypatch, per_posting):
-    """A list that all copies share: with and without star rounds."""
-    monkeypatch.setattr(nj, "PAIRS_PER_POSTING", per_posting)
+@pytest.mark.parametrize("hubs", [1, 3])
+def test_many_near_copies_of_one_text(spark, monkeypatch, hubs):
+    """Lists that all copies share, and links that no hub has."""
+    monkeypatch.setattr(nj, "HUBS", hubs)
     rng = random.Random(9)
     base = [f"w{i}" for i in range(80)]
     rows = []
