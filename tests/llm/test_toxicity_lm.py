@@ -111,6 +111,27 @@ def test_mixer_learns_and_merges():
     assert (twice.counts == 2 * m.counts).all() and np.allclose(twice.weights, m.weights)
 
 
+def small_code(words):
+    counts = [1, 4, *range(len(words) + 1, 1, -1)]
+    return lm.Code(words, [], np.array(counts), np.ones(len(counts), np.int64), *lm.huffman(counts), sum(counts), len(counts), 0.5)
+
+
+def test_predictors_of_the_lowest_order():
+    """A predictor without context in the head, one of a single letter in spelling."""
+    code = small_code(["a", "b", "c", "d"])
+    head = lm.HeadBits(code)
+    symbol, text, _, tail = head.symbols(split_words(pa.array(["a b c d", "d c b a", "b b a"])))
+    slots, _, _, token = head.bits(symbol, text, tail, BitMixer(lm.HeadBits.CONTEXTS, lm.HeadBits.GATES))
+    node = code.nodes[lm.gather(code.bounds, symbol)[1]]
+    assert len(slots) == lm.HeadBits.CONTEXTS
+    of_node = [len(set(zip(node, s))) for s in slots]
+    assert of_node[0] == len(set(node)) and all(n > len(set(node)) for n in of_node[1:])
+    slots, _, _, word, nth = lm.Spelling(code).bits([b"xa", b"ya"], BitMixer(lm.Spelling.CONTEXTS, lm.Spelling.GATES))
+    assert len(slots) == lm.Spelling.CONTEXTS
+    same = [np.array_equal(s[(word == 0) & (nth == 2)], s[(word == 1) & (nth == 2)]) for s in slots]
+    assert same == [True, False, False, False]
+
+
 def base_scores(rows):
     tokens = [[*plain.words(r[1]), None] for r in rows]
     held = [plain.fold(r[0], 7) == 2 for r in rows]
