@@ -132,6 +132,21 @@ def test_predictors_of_the_lowest_order():
     assert same == [True, False, False, False]
 
 
+def test_slots_follow_the_contexts_of_the_corpus(spark):
+    """More contexts than the least number of slots get more slots; others do not."""
+    rng = np.random.default_rng(2)
+    drawn = [rng.integers(0, 1 << 32, n) for n in (100, 1_000_000)]
+    rows = spark.range(4).repartition(2)
+    assert lm.slot_bits(rows, lambda batches: (drawn for _ in batches), 3) == (18, 20, 18)
+    m = BitMixer(2, 1, (18, 20))
+    a, b = (m.slots(np.arange(1 << 19, dtype=np.uint32), np.zeros(1 << 19, np.uint32), i) for i in range(2))
+    assert len(set(a)) < 1 << 18 and len(set(b)) > 1 << 18
+    m.learn([a, b], np.zeros(1 << 19, np.int64), np.ones(1 << 19, np.int64))
+    assert m.counts[:1 << 18].sum() == m.counts[1 << 18:].sum() == 1 << 19
+    twice = BitMixer(2, 1, (18, 20)).load({p: BitMixer.add(p, raw, None) for p, raw in m.rows()})
+    assert (twice.counts == m.counts).all() and np.allclose(twice.stretched, m.stretched)
+
+
 def base_scores(rows):
     tokens = [[*plain.words(r[1]), None] for r in rows]
     held = [plain.fold(r[0], 7) == 2 for r in rows]
