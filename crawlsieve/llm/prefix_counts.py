@@ -40,7 +40,7 @@ from crawlsieve.llm.encode import tokenizer_file
 
 FILE = "byte_bpe_50k.json"
 LIMIT = 1024
-MEMO_UNITS = 400_000
+MEMO_UNITS = 800_000
 MEMO_PAIRS = 2_000_000
 LONG_UNIT = 64          # longer units are not remembered
 SHARED = (9, 6, 4)      # lengths at which the states of a piece are remembered
