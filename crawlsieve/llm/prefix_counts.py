@@ -9,6 +9,8 @@ leaves, may stand before t.  Then count(prefix) = count(prefix without t) + 1.
 A text is cut into units at places where the tokenizer always cuts; the counts of a
 prefix are the tokens of the units before it plus the count inside its unit, so
 the dynamic programme runs once per distinct unit of a Python worker (bounded memo).
+Short units that are one piece are taken together, a byte of all of them at a time, with
+numpy (`Lockstep`); the others one by one.
 What a longer text changes inside a unit is set right per prefix: a prefix that ends
 with a run of blanks holds that run as one piece, a cut contraction is two pieces, a
 cut special token is ordinary text.
@@ -43,6 +45,8 @@ LIMIT = 1024
 MEMO_UNITS = 800_000
 MEMO_PAIRS = 2_000_000
 LONG_UNIT = 64          # longer units are not remembered
+# fixed values: odd 64-bit multipliers (golden ratio, splitmix64's mixers)
+MULTIPLIERS = tuple(np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 SHARED = (9, 6, 4)      # lengths at which the states of a piece are remembered
 MEMO_STATES = 200_000
 SLICE = 4 << 20
@@ -63,6 +67,96 @@ BYTE_LETTERS = dict(zip([b for b in range(256) if not (33 <= b < 127 or 161 <= b
 CONTRACTIONS = ("'re", "'ve", "'ll")    # fixed values: those that a prefix can cut
 
 
+class Lockstep:
+    """The dynamic programme over many pieces of at most `WIDTH` bytes at a time.
+
+    Tokens lie in a hash table keyed by their bytes, as two 64-bit words and a length."""
+
+    WIDTH, BITS = 16, 18
+
+    def __init__(self, token_bytes: list[tuple[int, bytes]], meet):
+        self.meet = meet                        # (a, b) -> whether token b may follow token a
+        size = 1 << self.BITS
+        self.low, self.high = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
+        self.length, self.token = np.zeros(size, np.uint8), np.full(size, -1, np.int64)
+        for token, data in token_bytes:
+            if len(data) <= self.WIDTH:
+                low, high = int.from_bytes(data[-8:], "big"), int.from_bytes(data[:-8], "big")
+                at = int(self._slot(np.array([low], np.uint64), np.array([high], np.uint64), len(data))[0])
+                while self.length[at]:
+                    at = (at + 1) % size
+                self.low[at], self.high[at], self.length[at], self.token[at] = low, high, len(data), token
+        self.known = [np.zeros(0, np.int64), np.zeros(0, np.int64)]     # sorted 2 * pair + answer: old, of this call
+
+    def _slot(self, low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
+        h = (low + np.uint64(length)) * MULTIPLIERS[0] ^ high * MULTIPLIERS[1]
+        return ((h ^ (h >> np.uint64(29))) * MULTIPLIERS[2] >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray, length: int) -> np.ndarray:
+        """Token of these bytes; -1 where there is none."""
+        out, rows = np.full(len(low), -1, np.int64), np.arange(len(low))
+        at = self._slot(low, high, length)
+        while len(rows):
+            hit = (self.length[at] == length) & (self.low[at] == low) & (self.high[at] == high)
+            out[rows[hit]] = self.token[at[hit]]
+            on = ~hit & (self.length[at] != 0)
+            rows, low, high, at = rows[on], low[on], high[on], (at[on] + 1) & ((1 << self.BITS) - 1)
+        return out
+
+    def follows(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = (a << 17 | b) << 1
+        out, unknown = np.zeros(len(pair), bool), np.ones(len(pair), bool)
+        for known in self.known:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, pair), len(known) - 1)
+                hit = known[at] >> 1 == pair >> 1
+                out[hit] = known[at[hit]] & 1
+                unknown &= ~hit
+        if unknown.any():
+            fresh, where = np.unique(pair[unknown], return_inverse=True)
+            answer = np.fromiter((self.meet(p >> 18, p >> 1 & 0x1FFFF) for p in fresh.tolist()), np.int64, len(fresh))
+            out[unknown] = answer[where]
+            self.known[1] = np.sort(np.concatenate([self.known[1], fresh | answer]))
+        return out
+
+    def counts(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(pieces x (longest + 1)) counts after each byte, and which of those places are
+        ends of characters."""
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        order = np.argsort(-lengths, kind="stable")
+        lengths, n, width = lengths[order], len(pieces), int(lengths.max())
+        letters = np.zeros((n, width), np.uint8)
+        letters[np.arange(width) < lengths[:, None]] = np.frombuffer(b"".join([pieces[i] for i in order]), np.uint8)
+        count, last = np.zeros((n, width + 1), np.int16), np.full((n, width + 1), -1, np.int64)
+        low, high = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+        for end in range(1, width + 1):
+            rows = np.arange(int(np.searchsorted(-lengths, -end, side="right")))
+            high = (high << np.uint64(8)) | (low >> np.uint64(56))
+            low = (low << np.uint64(8)) | letters[:, end - 1]
+            for length in range(1, end + 1):
+                mask = [np.uint64((1 << 8 * min(max(length - k, 0), 8)) - 1) for k in (0, 8)]
+                token = self.find(low[rows] & mask[0], high[rows] & mask[1], length)
+                fits = token >= 0
+                if length < end:
+                    some = np.flatnonzero(fits)
+                    fits[some] = self.follows(last[rows[some], end - length], token[some])
+                done = rows[fits]
+                count[done, end] = count[done, end - length] + 1
+                last[done, end] = token[fits]
+                rows = rows[~fits]
+                if not len(rows):
+                    break
+            else:
+                raise ValueError(f"no token of the vocabulary ends at byte {end} of {pieces[order[rows[0]]]!r}")
+        self.known = [np.sort(np.concatenate(self.known)), np.zeros(0, np.int64)]
+        if len(self.known[0]) > MEMO_PAIRS:
+            self.known[0] = np.zeros(0, np.int64)
+        ends = np.arange(width + 1) <= lengths[:, None]
+        ends[:, 1:width] &= (letters[:, 1:] & 0xC0) != 0x80
+        back = np.argsort(order)
+        return count[back], ends[back]
+
+
 class PrefixCounter:
     """Counts of all prefixes, for one byte-level tokenizer file."""
 
@@ -83,6 +177,8 @@ class PrefixCounter:
             raise ValueError("a token of more than 128 bytes: differences no longer fit a byte")
         self.pairs: dict[tuple[int, int], bool] = {}
         self.states: dict[str, tuple[tuple, tuple]] = {}
+        letter_byte = {c: b for b, c in enumerate(bytes(range(256)).decode("latin-1").translate(BYTE_LETTERS))}
+        self.lockstep = Lockstep([(i, bytes(letter_byte[c] for c in t)) for t, i in self.vocab.items()], self._follows)
         self.most = memo_units
         self._forget()
 
@@ -98,10 +194,13 @@ class PrefixCounter:
         if known is None:
             if len(self.pairs) >= MEMO_PAIRS:
                 self.pairs.clear()
-            known = [t.id for t in self.model.tokenize(self.name[a] + self.name[b])] == [a, b]
+            known = self._follows(a, b)
             self.pairs[a, b] = known
         return known
 
+    def _follows(self, a: int, b: int) -> bool:
+        return [t.id for t in self.model.tokenize(self.name[a] + self.name[b])] == [a, b]
+
     def piece(self, piece: str) -> list[int]:
         """Counts of the prefixes (in byte letters) of one piece, the empty one first."""
         vocab, met = self.vocab.get, self.pairs.get
@@ -152,11 +251,26 @@ class PrefixCounter:
         return out
 
     def _fresh(self, units: list[str]) -> None:
-        counts = [self.unit(u) for u in units]
-        for k, u in enumerate(units, len(self.sizes)):
-            self.place[u] = k
-        upto = np.fromiter(map(len, counts), np.int64, len(counts))
-        diffs = np.diff(np.fromiter(chain.from_iterable(counts), np.int64, int(upto.sum())), append=0)
+        short, other, data = [], [], []
+        for u in units:
+            b = u.encode()
+            if len(b) <= Lockstep.WIDTH and ONE_PIECE.fullmatch(u):
+                short.append(u)
+                data.append(b)
+            else:
+                other.append(u)
+        if short:
+            counts, ends = self.lockstep.counts(data)
+            self._add(short, counts[ends].astype(np.int64), ends.sum(axis=1))
+        if other:
+            counts = [self.unit(u) for u in other]
+            upto = np.fromiter(map(len, counts), np.int64, len(counts))
+            self._add(other, np.fromiter(chain.from_iterable(counts), np.int64, int(upto.sum())), upto)
+
+    def _add(self, units: list[str], counts: np.ndarray, upto: np.ndarray) -> None:
+        """Remember units by their counts, one after another, `upto` of each."""
+        self.place.update(zip(units, range(len(self.sizes), len(self.sizes) + len(units))))
+        diffs = np.diff(counts, append=0)
         keep = np.ones(len(diffs), bool)
         keep[np.cumsum(upto) - 1] = False       # from the end of a unit to the start of the next
         sizes = upto - 1
@@ -167,36 +281,43 @@ class PrefixCounter:
     def _ordinary(self, texts: list[str]) -> list[np.ndarray]:
         """Differences of the counts, of texts without special tokens."""
         cut = [(UNITS if PLAIN.fullmatch(t) else ANY_UNITS).findall(t) for t in texts]
-        if max((len(u) for us in cut for u in us), default=0) > LONG_UNIT:
+        enc = pa.array(chain.from_iterable(cut), pa.string()).dictionary_encode()
+        units, codes = enc.dictionary.to_pylist(), enc.indices.to_numpy(zero_copy_only=False)
+        bounds = np.cumsum([0, *map(len, cut)])
+        if max(map(len, units), default=0) > LONG_UNIT:
             return [self._with_long(us) for us in cut]
-        return self._remembered(cut)
+        all_, upto = self._remembered(units, codes)
+        return [all_[a:b] for a, b in zip(upto[bounds[:-1]], upto[bounds[1:]])]
 
     def _with_long(self, units: list[str]) -> np.ndarray:
         parts, held = [], []
-        for u in units:
-            if len(u) <= LONG_UNIT:
+        for u in [*units, None]:
+            if u is not None and len(u) <= LONG_UNIT:
                 held.append(u)
                 continue
-            parts += [*self._remembered([held]), np.diff(self.unit(u)).astype(np.int8)]
+            names = list(dict.fromkeys(held))
+            place = {h: i for i, h in enumerate(names)}
+            parts.append(self._remembered(names, np.array([place[h] for h in held], np.int64))[0])
             held = []
-        return np.concatenate([*parts, *self._remembered([held])])
-
-    def _remembered(self, cut: list[list[str]]) -> list[np.ndarray]:
-        flat = list(chain.from_iterable(cut))
-        if not flat:
-            return [np.zeros(0, np.int8) for _ in cut]
-        fresh = [u for u in dict.fromkeys(flat) if u not in self.place]
-        if len(self.place) + len(fresh) > self.most:
-            self._forget()                      # the memo stays bounded
-            fresh = list(dict.fromkeys(flat))
+            if u is not None:
+                parts.append(np.diff(self.unit(u)).astype(np.int8))
+        return np.concatenate(parts)
+
+    def _remembered(self, units: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Differences of distinct units as they follow one another, and where each begins and ends."""
+        found = list(map(self.place.get, units))
+        fresh = [u for u, f in zip(units, found) if f is None]
         if fresh:
+            if len(self.place) + len(fresh) > self.most:
+                self._forget()                      # the memo stays bounded
+                fresh = units
             self._fresh(fresh)
-        rows = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+            found = list(map(self.place.__getitem__, units))
+        rows = np.array(found, np.int64)[codes]
         n = self.sizes[rows]
         ends = np.cumsum(n)
-        all_ = self.pool[np.repeat(self.starts[rows] - (ends - n), n) + np.arange(int(ends[-1]))]
-        upto = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])]
-        return [all_[a:b] for a, b in zip(upto, upto[1:])]
+        all_ = self.pool[np.repeat(self.starts[rows] - (ends - n), n) + np.arange(int(n.sum()))]
+        return all_, np.concatenate([[0], ends])
 
     def _with_special(self, text: str) -> np.ndarray:
         parts, out = self.split.split(text), []
