@@ -44,7 +44,7 @@ FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"
 SEGMENT_LINKS = 3_000_000       # links of a segment; a single document may hold more
 SEGMENT_DOCS = 1 << 16          # positions are 16-bit
-MEMO_UNITS = 300_000
+MEMO_UNITS = 600_000
 MEMO_LINKS = 8_000_000
 SLICE = 4 << 20
 MERGE_BYTES = 16 << 20          # bitmaps merged at a time
@@ -74,6 +74,11 @@ class Aligner:
                         for i, p in enumerate(pieces)]
         if max(len(self.bytes_b), max(self.bytes_a) + 1) > 1 << ID_BITS:
             raise ValueError("ids need more than 16 bits")
+        self.length_a = np.zeros(max(self.bytes_a) + 1, np.int64)
+        self.length_a[list(self.bytes_a)] = [len(t) for t in self.bytes_a.values()]
+        self.length_b = np.array([len(t) for t in self.bytes_b], np.int64)
+        self.signs_of = [f"{i}{sign}" for n, signs in ((len(self.length_a), ",|"), (len(self.length_b), ",;"))
+                         for i in range(n) for sign in signs]
         side_by_side = {(x, y) for i, p in enumerate(pieces) if self.b.is_byte(i) is False for x, y in zip(p, p[1:])}
         if any(y == SPACE != x for x, y in side_by_side):
             raise ValueError("a piece crosses from a word to a space")
@@ -100,66 +105,68 @@ class Aligner:
         ids = self.b.encode([u[1:] if s else "a" + u for u, s in zip(units, lead)], num_threads=1)
         return [[self.space] if u == " " else i if s else i[1:] for u, i, s in zip(units, ids, lead)]
 
-    def links(self, text: bytes, a: list[int], b: list[int]) -> tuple[int, str, list[int]] | None:
-        """Groups, their text, and the linked pairs; None if the bytes are not given back."""
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(parts_a) != text or b"".join(parts_b) != text:
-            return None
-        groups, pairs, i, j, n_a, n_b = [], [], 0, 0, len(a), len(b)
-        while i < n_a:
-            from_i, from_j, end_a, end_b = i, j, len(parts_a[i]), len(parts_b[j])
-            while True:
-                pairs.append(a[i] << ID_BITS | b[j])
-                if end_a == end_b:
-                    i, j = i + 1, j + 1
-                    break
-                if end_a < end_b:
-                    i += 1
-                    end_a += len(parts_a[i])
-                else:
-                    j += 1
-                    end_b += len(parts_b[j])
-            groups.append(",".join(map(str, a[from_i:i])) + "|" + ",".join(map(str, b[from_j:j])))
-        return len(groups), ";".join(groups), pairs
-
-    def _found(self, units: list[str]) -> list[tuple[list[int], str, list[int]]]:
-        out = []
-        for u, a, b in zip(units, (e.ids for e in self.a.encode_batch(units, add_special_tokens=False)), self.ids_b(units)):
-            link = self.links(u.encode(), a, b)
-            out.append(([len(a), len(b), link[0], len(link[2]), 1], link[1], link[2]) if link else ([0] * 5, "", []))
-        return out
+    def links(self, texts: list[bytes], a: list[list[int]], b: list[list[int]]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Of texts with their ids: (n_a, n_b, n_groups, n_links, bytes given back) each, the
+        texts of their groups, and the linked pairs one text after another."""
+        whole = np.fromiter((b"".join(map(self.bytes_a.__getitem__, i)) == t and b"".join(map(self.bytes_b.__getitem__, j)) == t
+                             for t, i, j in zip(texts, a, b)), bool, len(texts))
+        a, b = ([i if ok else [] for i, ok in zip(ids, whole)] for ids in (a, b))
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a, b))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in ((a, n_a), (b, n_b)))
+        # all texts lie one after another: tokens are spans of one line of bytes
+        end_a, end_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
+        first = np.searchsorted(end_b, end_a - self.length_a[ids_a], side="right")
+        last = np.searchsorted(end_b, end_a, side="left")
+        n = last - first + 1
+        per_text = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(n_a)])]
+        pairs = np.repeat(ids_a, n) << ID_BITS | ids_b[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        cut_a, cut_b = end_b[last] == end_a, end_a[np.searchsorted(end_a, end_b)] == end_b
+        # ids of A, then of B, of each group, each with the sign that follows it
+        group_a, group_b = np.cumsum(cut_a) - cut_a, np.cumsum(cut_b) - cut_b
+        tokens_b = np.bincount(group_b, minlength=int(cut_a.sum()))
+        tokens_a = np.bincount(group_a, minlength=int(cut_a.sum()))
+        place_a = np.arange(len(ids_a)) + (np.cumsum(tokens_b) - tokens_b)[group_a]
+        place_b = np.arange(len(ids_b)) + np.cumsum(tokens_a)[group_b]
+        sign = np.empty(len(ids_a) + len(ids_b), np.int64)
+        sign[place_a], sign[place_b] = 2 * ids_a + cut_a, 2 * (len(self.length_a) + ids_b) + cut_b
+        written = list(map(self.signs_of.__getitem__, sign.tolist()))
+        upto = np.cumsum([0, *(n_a + n_b)]).tolist()
+        groups = ["".join(written[x:y])[:-1] for x, y in zip(upto, upto[1:])]
+        n_groups = np.diff(np.concatenate([[0], np.cumsum(cut_a)])[np.concatenate([[0], np.cumsum(n_a)])])
+        return np.stack([n_a, n_b, n_groups, np.diff(per_text), whole], axis=1), groups, pairs
 
     def _remember(self, units: list[str]) -> None:
-        found = self._found(units)
-        for k, u in enumerate(units, len(self.groups)):
-            self.place[u] = k
-        self.groups += [g for _, g, _ in found]
-        numbers = np.array([n for n, _, _ in found], np.int64).reshape(-1, 5)
+        ids_a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        numbers, groups, pairs = self.links([u.encode() for u in units], ids_a, self.ids_b(units))
+        self.place.update(zip(units, range(len(self.groups), len(self.groups) + len(units))))
+        self.groups += groups
         sizes = numbers[:, 3]
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
-        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(p for _, _, p in found), np.int64, int(sizes.sum()))])
+        self.pool = np.concatenate([self.pool, pairs])
         self.numbers = np.concatenate([self.numbers, numbers])
 
     def align(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """Per text (n_a, n_b, n_groups, n_links) and the hash of its groups; then the
         pair of every link and the text it is in."""
         cut = [self.units.findall(" " + t) if t else [] for t in texts]
-        flat = list(chain.from_iterable(cut))
-        fresh = [u for u in dict.fromkeys(flat) if u not in self.place]
+        enc = pa.array(chain.from_iterable(cut), pa.string()).dictionary_encode()
+        names = enc.dictionary.to_pylist()
+        fresh = [u for u in names if u not in self.place]
         if len(self.place) + len(fresh) > self.most:
             self._forget()                  # the memo stays bounded
-            fresh = list(dict.fromkeys(flat))
+            fresh = names
         if fresh:
             self._remember(fresh)
-        rows = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+        rows = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))[enc.indices.to_numpy(zero_copy_only=False)]
         text_of = np.repeat(np.arange(len(texts)), [len(u) for u in cut])
         numbers = np.zeros((len(texts), 5), np.int64)
         np.add.at(numbers, text_of, self.numbers[rows])
         whole = (numbers[:, 4] == [len(u) for u in cut]) & np.array([bool(t) for t in texts], bool)
         numbers[~whole] = 0
         digests, at = [], 0
+        order = rows.tolist()
         for ok, units in zip(whole, cut):
-            joined = ";".join([self.groups[r] for r in rows[at:at + len(units)]]) if ok else ""
+            joined = ";".join([self.groups[r] for r in order[at:at + len(units)]]) if ok else ""
             digests.append(hashlib.sha256(joined.encode()).hexdigest() if ok else "")
             at += len(units)
         n = np.where(whole[text_of], self.numbers[rows, 3], 0) if len(rows) else np.zeros(0, np.int64)

@@ -131,8 +131,8 @@ def test_query(spark):
         n_a, n_b, groups, found = plain(r["text"]) if r["doc_id"] in short else (None, None, None, None)
         if found is None:
             a, b = A.encode(" " + r["text"], add_special_tokens=False).ids, B.encode(r["text"])
-            walked = ALIGNER.links((" " + r["text"]).encode(), a, b)
-            n_a, n_b, groups, found = len(a), len(b), walked[1], [(x >> 16, x & 65535) for x in walked[2]]
+            _, walked, pairs = ALIGNER.links([(" " + r["text"]).encode()], [a], [b])
+            n_a, n_b, groups, found = len(a), len(b), walked[0], [(x >> 16, x & 65535) for x in pairs.tolist()]
         links[r["doc_id"]] = n_a, n_b, groups, found
         count.update(set(found))
     most = defaultdict(int)
