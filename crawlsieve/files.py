@@ -28,6 +28,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
 
 
+def claim(spark: SparkSession, path: str, owner: str) -> bool:
+    """Create a file that must not exist; False where another owner has it.  One
+    creator wins on file systems whose create is atomic (HDFS, local disks)."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    system = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    if system.exists(p):
+        return False
+    try:
+        out = system.create(p, False)
+    except Exception as e:
+        if system.exists(p):
+            return False
+        raise e
+    out.write(bytearray(owner.encode()))
+    out.close()
+    return True
+
+
 def qualified(spark: SparkSession, path: Column) -> Column:
     """A column of paths, qualified as `qualify` does."""
     root, here = qualify(spark, "/").rstrip("/"), qualify(spark, ".").rstrip("/")

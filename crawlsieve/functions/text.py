@@ -189,12 +189,12 @@ def http_split(raw) -> tuple[Column, Column]:
 
 def document_records(df: DataFrame, surt: str = "surt_url", ts: str = "timestamp",
                      text: str = "full_text", tokens: str | None = "tokens",
-                     filename: str = "filename") -> DataFrame:
-    """The 7-column document record (or 6 without tokens)."""
+                     filename: str = "filename", keep=()) -> DataFrame:
+    """The 7-column document record (or 6 without tokens), then the columns to keep."""
     cols = [F.coalesce(F.col(surt), F.lit("unknown")).alias("url"),
             F.coalesce(F.col(ts), F.lit("unknown")).alias("timestamp"),
             F.col(text).alias("full_text")]
     if tokens:
         cols += [F.col(tokens).alias("tokens"), F.size(tokens).cast("int").alias("token_count")]
     cols += [F.length(text).cast("int").alias("char_count"), F.col(filename).alias("filename")]
-    return df.select(*cols)
+    return df.select(*cols, *keep)

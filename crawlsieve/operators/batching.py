@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawlsieve.session import written
+
 SUPER_BLOCK = 1024  # blocks per prefix-sum group; bounds every window
 
 
@@ -113,31 +115,39 @@ def _fold_lane_batches(lane: str, length: str, max_docs: int, max_bytes: float,
 
 def batch_threshold(df: DataFrame, lane: str | None = "lane", order=("doc_id",), text: str = "full_text",
                     max_docs: int = 10, max_bytes: float = 1024 * 1024, out: str = "upload_batch_no",
-                    num_partitions: int | None = None) -> DataFrame:
+                    block_rows: int | None = None, **options) -> DataFrame:
     """Threshold upload batches per lane.
 
     A document is added, then the batch closes when it holds ``max_docs``
     documents or its estimated size (chars * 1.5) reaches ``max_bytes``;
-    the closing document belongs to the closed batch.  The fold is
-    sequential per lane, so lanes are hash-spread over partitions and each
-    partition is streamed in (lane, order) with O(1) state; Arrow columns
-    pass through untouched (only lane and length are read in Python).
-    ``lane=None`` uses the partition as the lane (adds a ``lane`` column).
+    the closing document belongs to the closed batch.  Lanes are cut in
+    parallel (``operators.threshold``), so one lane may hold all rows; only
+    lanes, order keys and lengths are read for it, never texts.  The rows are
+    written once with an id, to which the numbers are joined.  Rows of a lane
+    with equal order keys go by length.
+
+    ``lane=None`` uses the partition as the lane (adds a ``lane`` column): no
+    shuffle, a sort inside each partition and a fold over lane and length.
     """
-    if lane is None:
-        # Each partition is a lane (the reference's lane is the worker that
-        # received the work): no shuffle, only a sort inside each partition.
-        df = df.withColumn("lane", F.spark_partition_id())
-        prepared = df.withColumn("_len", F.length(text)).sortWithinPartitions(*order)
-        lane = "lane"
-    else:
-        parts = [num_partitions] if num_partitions else []
-        prepared = (df.withColumn("_len", F.length(text))
-                      .repartition(*parts, lane)
-                      .sortWithinPartitions(lane, *order))
+    if lane is not None:
+        from crawlsieve.operators import threshold
+        row = unused("_row", df.columns)
+        rows = written(df.withColumn(row, F.monotonically_increasing_id()), "documents")
+        numbers = threshold.batch_numbers(rows, lane, order, F.length(text), max_docs, max_bytes, row, block_rows, **options)
+        return (rows.join(numbers.withColumnRenamed("id", row).withColumnRenamed("number", out), row)
+                    .select(*df.columns, out))
+    df = df.withColumn("lane", F.spark_partition_id())
+    prepared = df.withColumn("_len", F.length(text)).sortWithinPartitions(*order)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.LongType())])
     return prepared.mapInArrow(
-        _fold_lane_batches(lane, "_len", max_docs, float(max_bytes), out, list(df.columns)), schema)
+        _fold_lane_batches("lane", "_len", max_docs, float(max_bytes), out, list(df.columns)), schema)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """`name`, or the first longer one that no column has."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
 
 
 def lane_of(key, lanes: int) -> "F.Column":

@@ -21,8 +21,12 @@ calls is not available):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawlsieve.operators.batching import unused
+from crawlsieve.session import written
+
 # Fixed values of the extraction rules.
 DROP_TAGS = ("script", "style", "noscript", "template", "nav", "header", "footer", "aside", "form")
 BLOCK_TAGS = ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "br", "div", "ul", "ol",
@@ -151,3 +155,36 @@ def main_text_strict(df: DataFrame, **kw) -> DataFrame:
     kw.setdefault("include_comments", False)
     kw.setdefault("dedup_blocks", True)
     return main_text(df, **kw)
+
+
+# Fixed values of the duplicate rule: blocks of so many characters count, and
+# those on more pages than this are dropped.
+LEAST_BLOCK_CHARS = 100
+MOST_PAGES = 2
+
+
+def drop_repeated_blocks(texts: DataFrame, text: str = "text", least_chars: int = LEAST_BLOCK_CHARS,
+                         most_pages: int = MOST_PAGES) -> DataFrame:
+    """Blocks (lines of the text) repeated across pages are dropped from all of them.
+
+    A block counts once a page.  Hashes of blocks are counted with a map-side partial
+    step; the frequent ones leave by an anti join, and the rest is put together again in
+    order.  Short blocks are never dropped; a text without any block left is NULL.
+    """
+    row, at, block, h = (unused(n, texts.columns) for n in ("_row", "_at", "_block", "_hash"))
+    rows = written(texts.withColumn(row, F.monotonically_increasing_id()), "texts")
+    blocks = (rows.where(F.col(text).isNotNull()).select(row, F.posexplode(F.split(text, "\n")).alias(at, block))
+              .withColumn(h, F.when(F.length(block) >= least_chars, F.sha2(block, 256))))
+    frequent = (blocks.where(F.col(h).isNotNull()).select(row, h).distinct().groupBy(h).agg(F.count(F.lit(1)).alias("_n"))
+                .where(F.col("_n") > most_pages).select(h))
+    kept = (blocks.join(frequent, h, "left_anti").groupBy(row)
+            .agg(F.sort_array(F.collect_list(F.struct(at, block))).alias("_b"))           # the blocks of one page
+            .select(F.col(row).alias("_r"), F.array_join(F.transform("_b", lambda b: b[block]), "\n").alias("_kept")))
+    return (rows.join(kept, F.col(row) == F.col("_r"), "left")
+            .select(*[F.col("_kept").alias(c) if c == text else F.col(c) for c in texts.columns]))
+
+
+def main_text_unique(df: DataFrame, **kw) -> DataFrame:
+    """P7 over a corpus: strict main text without the blocks that pages share."""
+    out = kw.get("out", "text")
+    return drop_repeated_blocks(main_text_strict(df, **kw), text=out)

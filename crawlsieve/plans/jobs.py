@@ -9,7 +9,8 @@ block ledger, seen keys, funnel counts and crawl-status events.
 Stage 2 (``run_worker``): batches table -> entries (S6) -> archive records
 (S5, P4) -> responses (F6) -> text (P5 or P6/P7) -> non-blank and length
 filters (F7, F8) -> tokens (P8) -> records (P9) -> upload batch numbers
-(B3) -> date-partitioned Parquet (K1).
+(B3) -> date-partitioned Parquet, a file per upload batch (K1).  A document knows
+the stage-1 run and crawl it came from, so a reset of the crawl reaches it.
 
 Every intermediate that more than one branch reads is a written table in
 the shared folder, so lineage is cut there and a lost executor only
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from crawlsieve.files import exists
 from crawlsieve.functions import text as textf
 from crawlsieve.functions.cdx import meta
-from crawlsieve.operators import batching, dedup, extract, ledger, metrics, tokenize
+from crawlsieve.operators import batching, dedup, extract, ledger, metrics, threshold, tokenize
 from crawlsieve.plans import index_stage
 from crawlsieve.plans.runs import RunStore, since_reset
 from crawlsieve.sources import index as ixsrc
@@ -108,8 +109,10 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
            .withColumn("rows_kept", F.coalesce("rows_kept", F.lit(0)).cast("bigint"))
            .withColumn("status", F.when(F.col("error").isNull(), F.lit(ledger.BLOCK_DONE))
                                   .otherwise(F.lit(ledger.BLOCK_FAILED))))
-    led = store.write("ledger", led.select("crawl", F.col("block_id").cast("bigint").alias("block_id"), "status", "error",
-                                           "rows_in", "parse_error", "language", "status_code", "passed", "rows_kept"))
+    led = led.select("crawl", F.col("block_id").cast("bigint").alias("block_id"), "status", "error",
+                     "rows_in", "parse_error", "language", "status_code", "passed", "rows_kept")
+    store.audited("ledger", led, lambda df: store.write("ledger", df))
+    led = spark.read.schema(LEDGER).parquet(store.path("ledger"))
     store.write("funnel", led.groupBy("crawl").agg(
         F.sum("rows_in").alias("total"), F.sum("parse_error").alias("parse_error"), F.sum("language").alias("language"),
         F.sum("status_code").alias("status"), (F.sum("passed") - F.sum("rows_kept")).alias("duplicate"),
@@ -120,8 +123,8 @@ def run_batcher(spark: SparkSession, crawls, index_template: str, block_template
         store.write("seen", kept.select(dedup.normalize_surt("surt_url").alias("url_key"), "crawl").distinct())
     done = earlier.select("crawl", "block_id", "status").unionByName(led.select("crawl", "block_id", "status"))
     store.write("status", ledger.status_events_from_ledger(led, pending=ledger.pending_blocks(named, done)))
-    sinks.write_batches(batching.batch_messages(batching.batch_fixed_size(kept, batch_size)), store.path("batches"),
-                        mode="overwrite", fmt=batches_format)
+    store.audited("batches", batching.batch_messages(batching.batch_fixed_size(kept, batch_size)),
+                  lambda df: sinks.write_batches(df, store.path("batches"), mode="overwrite", fmt=batches_format))
     store.commit()
     own = {k: store.path(k) for k in ("parsed", "kept", "funnel")}
     return {**own, **{k: f"{store.root}/{k}" for k in ("batches", "ledger", "seen", "status")}, "root": store.root}
@@ -147,8 +150,8 @@ def published_batches(spark: SparkSession, out_dir: str, fmt: str = "json") -> D
     return since_reset(batches, ledger.latest_resets(store.rows("status", STATUS)))
 
 
-RECORD = ("surt_url string, timestamp string, filename string, offset long, length long, record_no int, "
-          "warc_type string, error string, full_text string")
+RECORD = ("surt_url string, timestamp string, source_run string, crawl string, filename string, offset long, length long, "
+          "record_no int, warc_type string, error string, full_text string, record_id long")
 CONSUMED = "source_run string, crawl string, batch_no long"
 REJECT = "surt_url string, timestamp string, filename string, offset long, length long, error string"
 
@@ -157,11 +160,12 @@ def records_from_entries(entries: DataFrame, archive_template: str, archive_base
     """Entries (surt_url, timestamp, metadata) -> archive records by range (S5,
     P4), one row per record with the text of responses (P5, or P6/P7 with
     ``text_mode`` 'main' / 'strict') and the error of what failed."""
-    manifest = entries.select("surt_url", "timestamp", meta("filename").alias("filename"),
+    carry = ["surt_url", "timestamp", *sinks.ORIGIN]
+    manifest = with_origin(entries).select(*carry, meta("filename").alias("filename"),
                               meta("offset").try_cast("bigint").alias("offset"),
                               meta("length").try_cast("bigint").alias("length"))
-    scanned = ranged.read_archive_records(manifest, archive_template, archive_base, carry=("surt_url", "timestamp"))
-    key = ["surt_url", "timestamp", "filename", "offset", "length", "record_no", "warc_type", "error"]
+    scanned = ranged.read_archive_records(manifest, archive_template, archive_base, carry=carry)
+    key = [*carry, "filename", "offset", "length", "record_no", "warc_type", "error"]
     good = (F.col("warc_type") == "response") & F.col("error").isNull()
     if text_mode == "flat":
         body = F.when(good, textf.flat_text("body"))
@@ -173,21 +177,34 @@ def records_from_entries(entries: DataFrame, archive_template: str, archive_base
     raise ValueError(f"text_mode must be 'flat', 'main' or 'strict', got {text_mode!r}")
 
 
+def with_origin(entries: DataFrame) -> DataFrame:
+    """Entries with ``source_run`` and ``crawl``; null where the batches do not name them."""
+    if "source_run" not in entries.columns:
+        entries = entries.withColumn("source_run", F.col("run_id") if "run_id" in entries.columns else F.lit(None).cast("string"))
+    return entries if "crawl" in entries.columns else entries.withColumn("crawl", F.lit(None).cast("string"))
+
+
+def write_records(records: DataFrame, path: str) -> DataFrame:
+    """The written records, each with an id: the fetch never reruns."""
+    records.withColumn("record_id", F.monotonically_increasing_id()).write.mode("overwrite").parquet(path)
+    return records.sparkSession.read.schema(RECORD).parquet(path)
+
+
 def rejects_of(records: DataFrame) -> DataFrame:
     """Entries that failed, with the reason."""
     return records.where(F.col("error").isNotNull()).select("surt_url", "timestamp", "filename", "offset", "length", "error")
 
 
 def documents_of(records: DataFrame, vocab: list[str] | None, min_chars: int = 500, max_chars: int = 1_000_000,
-                 max_tokens: int = 512) -> DataFrame:
+                 max_tokens: int = 512, keep=()) -> DataFrame:
     """Responses (F6) with text -> non-blank and length filters (F7, F8), tokens
-    (P8) and the record columns (P9)."""
+    (P8) and the record columns (P9), then the columns of the records to keep."""
     docs = records.where((F.col("warc_type") == "response") & F.col("error").isNull()).select(
-        "surt_url", "timestamp", "filename", "full_text")
+        *dict.fromkeys(("surt_url", "timestamp", "filename", "full_text", *keep)))
     docs = textf.filter_length(textf.filter_nonblank(docs, "full_text"), "full_text", min_chars, max_chars)
     if vocab is None:
-        return textf.document_records(docs, tokens=None)
-    return textf.document_records(tokenize.tokenize(docs, vocab, text="full_text", max_tokens=max_tokens))
+        return textf.document_records(docs, tokens=None, keep=keep)
+    return textf.document_records(tokenize.tokenize(docs, vocab, text="full_text", max_tokens=max_tokens), keep=keep)
 
 
 def documents_from_entries(entries: DataFrame, archive_template: str, archive_base: str, vocab: list[str] | None,
@@ -226,37 +243,49 @@ def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, arc
     batches folder belongs to stage-1 runs, only committed ones), writes every
     fetched record with its text or error once, and from that table the
     documents, the rejects and the counters; one commit row ends it.  The
-    state lies in ``<out_dir>_state``; ``worker_documents`` reads what is committed.
+    state lies in ``<out_dir>_state``; ``worker_documents`` reads what is committed
+    and no older than its crawl's latest reset.
 
-    Upload batches default to the reference's class defaults (10,000
-    documents or 256 MB estimated); documents are brought together by day
-    before they are numbered, so a file holds one day and at most one batch's count.
-    ``date_from=None`` lays files out by processing date.
+    Upload batches close at ``max_docs`` documents or ``max_bytes`` estimated bytes
+    (B3).  Their lanes are (stage-1 run, crawl, day), with ``lanes`` also a hash of
+    the URL; a batch is one file (K1).  Numbers are found from lengths alone
+    and joined to the documents by record id.  ``date_from=None`` lays files out by
+    processing date.
 
     ``metrics_out`` (a dict) receives the worker counters.
     """
     store = RunStore(spark, f"{out_dir}_state", run_id)
     messages = sinks.read_batches(spark, batches_dir, batches_format)
-    source = batches_dir.rstrip("/").rpartition("/")[0]
-    if exists(spark, f"{source}/commits"):
+    source = stage_one_root(spark, batches_dir)
+    if source:
         messages = published_batches(spark, source, batches_format)
+    known = {r["root"] for r in store.rows("source", "root string").collect()}     # one row per committed run
+    if known - {source or ""}:
+        raise ValueError(f"{out_dir!r} holds documents of other batches: {sorted(known)}")
+    store.write("source", spark.createDataFrame([(source or "",)], "root string"))
     done = store.rows("consumed", CONSUMED).select("source_run", F.col("crawl").alias("_c"), F.col("batch_no").alias("_b"))
     messages = messages.join(done, F.col("run_id").eqNullSafe(F.col("source_run")) & (F.col("crawl") == F.col("_c"))
                              & (F.col("batch_no") == F.col("_b")), "left_anti")
     taken = store.write("consumed", messages.select(F.col("run_id").alias("source_run"), "crawl", "batch_no", "n", "body"))
-    entries = ixsrc.explode_batch_messages(taken)
-    records = store.write("records", records_from_entries(entries, archive_template, archive_base, text_mode))
+    entries = ixsrc.explode_batch_messages(taken, keep=("source_run", "crawl", "batch_no"))
+    records = write_records(records_from_entries(entries, archive_template, archive_base, text_mode), store.path("records"))
     store.write("rejects", rejects_of(records))
     counters = store.write("counters", worker_counters(records, min_chars, max_chars))
-    documents = documents_of(records, vocab, min_chars, max_chars, max_tokens)
-    documents = sinks.by_day(documents, date_from)
-    lane = None
-    if lanes:   # explicit hash lanes (a shuffle of the documents)
-        lane, documents = "lane", documents.withColumn("lane", batching.lane_of(F.col("url"), lanes))
-    documents = batching.batch_threshold(documents, lane=lane, order=("url", "timestamp"), text="full_text",
-                                         max_docs=max_docs, max_bytes=max_bytes)
-    sinks.write_documents(documents, f"{out_dir}/run_id={store.run_id}", date_from=date_from,
-                          max_records_per_file=max(max_docs, 1), mode="overwrite")
+    folders = [*sinks.ORIGIN] + (["lane"] if lanes else [])
+
+    def placed(docs: DataFrame) -> DataFrame:
+        docs = sinks.with_date_parts(docs, date_from)
+        return docs.withColumn("lane", batching.lane_of(F.col("url"), lanes)) if lanes else docs
+
+    keep = (*sinks.ORIGIN, "record_id")
+    lane = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (*folders, *sinks.DATE_PARTS)])
+    narrow = placed(documents_of(records, None, min_chars, max_chars, keep=keep)).select(
+        lane.alias("_lane"), "url", "timestamp", "char_count", "record_id")
+    numbers = threshold.batch_numbers(narrow, "_lane", ("url", "timestamp"), F.col("char_count"), max_docs, max_bytes, "record_id")
+    numbers = numbers.select(F.col("id").alias("record_id"), F.col("number").alias("upload_batch_no"))
+    documents = placed(documents_of(records, vocab, min_chars, max_chars, max_tokens, keep=keep))
+    store.audited("documents", documents.join(numbers, "record_id").drop("record_id"),
+                  lambda df: sinks.write_uploads(df, f"{out_dir}/run_id={store.run_id}", above=folders, mode="overwrite"))
     if metrics_out is not None:
         metrics_out.update(counters.first().asDict())
         metrics_out["documents_written"] = metrics_out.pop("documents")
@@ -264,10 +293,29 @@ def run_worker(spark: SparkSession, batches_dir: str, archive_template: str, arc
     return out_dir
 
 
+def stage_one_root(spark: SparkSession, batches_dir: str) -> str | None:
+    """The folder of the stage-1 runs that write these batches, if they are such."""
+    root = batches_dir.rstrip("/").rpartition("/")[0]
+    return root if exists(spark, f"{root}/commits") else None
+
+
+def still_valid(spark: SparkSession, docs: DataFrame, source: str | None) -> DataFrame:
+    """Documents of stage-1 runs that are newer than their crawl's latest reset."""
+    if not source:
+        return docs
+    store = RunStore(spark, source)
+    runs = store.commits().where("kind = 'run'").select(F.col("run_id").alias("source_run"), "seq")
+    fresh = since_reset(docs.join(runs, "source_run"), ledger.latest_resets(store.rows("status", STATUS)))
+    return fresh.select(docs.columns)
+
+
 def worker_documents(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Documents of committed runs."""
-    ids = [r["run_id"] for r in RunStore(spark, f"{out_dir}_state").commits().select("run_id").collect()]
-    return sinks.read_documents(spark, out_dir, runs=True).where(F.col("run_id").isin(ids))
+    """Documents of committed runs; those from before a reset of their crawl do not count."""
+    store = RunStore(spark, f"{out_dir}_state")
+    ids = [r["run_id"] for r in store.commits().select("run_id").collect()]
+    docs = sinks.read_documents(spark, out_dir, runs=True).where(F.col("run_id").isin(ids))
+    sources = [r["root"] for r in store.rows("source", "root string").select("root").distinct().collect()]
+    return still_valid(spark, docs, sources[0] if sources else None)
 
 
 def worker_rejects(spark: SparkSession, out_dir: str) -> DataFrame:

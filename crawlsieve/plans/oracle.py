@@ -424,7 +424,8 @@ SELECT crawl, bid AS block_id FROM blk_idx WHERE bid % 5 IN (1, 2, 3)"""),
     "crawl_progress": with_cdx(_BLOCKS + """
 SELECT crawl, CAST(count(*) AS BIGINT) AS total_blocks,
        CAST(count(*) FILTER (WHERE bid % 5 NOT IN (1, 2, 3)) AS BIGINT) AS done_blocks,
-       CAST(round(100.0 * count(*) FILTER (WHERE bid % 5 NOT IN (1, 2, 3)) / count(*), 4) AS DOUBLE) AS progress_percent
+       CAST(round(100.0 * count(*) FILTER (WHERE bid % 5 NOT IN (1, 2, 3)) / count(*), 4) AS DOUBLE) AS progress_percent,
+       (SELECT CAST(ceil(count(*) / 50.0) AS BIGINT) FROM kept WHERE kept.crawl = blk_idx.crawl) AS batches_published
 FROM blk_idx GROUP BY crawl"""),
     "crawl_status": with_cdx(_BLOCKS + """
 SELECT crawl, CASE WHEN any_value(crawl_rank) = 1 THEN 'pending'
@@ -486,3 +487,54 @@ SELECT outcome, CAST(count(*) AS BIGINT) AS n FROM (
               ELSE CASE WHEN p.page_id % 41 = 2 THEN 'no_body' ELSE 'ok' END END AS outcome
   FROM kept k JOIN pages p ON p.url = json_extract_string(k.js, '$.url')) GROUP BY outcome""")
 ORACLE["batch_times"] = "SELECT true AS has_batches, true AS all_timed, true AS one_each"
+
+
+ORACLE["extract_strict_dedup"] = "WITH t AS (" + ORACLE["extract_main_text_strict"] + """),
+b AS (SELECT page_id, unnest(string_split(text, chr(10))) AS block, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+      FROM t WHERE text IS NOT NULL),
+f AS (SELECT block FROM b WHERE length(block) >= 20 GROUP BY block HAVING count(DISTINCT page_id) > 2)
+SELECT t.page_id, k.text FROM t LEFT JOIN (
+  SELECT page_id, string_agg(block, chr(10) ORDER BY pos) AS text FROM b WHERE block NOT IN (SELECT block FROM f) GROUP BY page_id) k
+  ON k.page_id = t.page_id"""
+
+# --- whole runs ---------------------------------------------------------------------
+
+ORACLE["worker_stream_commits"] = ORACLE["worker_after_reset"] = ORACLE["worker_job_twice"]
+
+# documents as run_worker lays them out: lanes are (crawl, day), in order of (url, timestamp)
+_UPLOADS = """
+WITH RECURSIVE w AS (SELECT * FROM (""" + ORACLE["worker_job_twice"] + """)),
+o AS (SELECT w.*, k.crawl, length(full_text) AS len,
+        row_number() OVER (PARTITION BY k.crawl, substr(w."timestamp", 1, 8) ORDER BY w.url, w."timestamp") AS rn
+      FROM w JOIN (""" + with_cdx("SELECT crawl, surt_url, \"timestamp\" FROM kept") + """) k
+        ON k.surt_url = w.url AND k."timestamp" = w."timestamp"),
+f(crawl, day, rn, url, len, batch_no, docs, size) AS (
+  SELECT crawl, substr("timestamp", 1, 8), rn, url, len, 0, 1, len * 1.5 FROM o WHERE rn = 1
+  UNION ALL
+  SELECT o.crawl, f.day, o.rn, o.url, o.len,
+         CASE WHEN f.docs >= 10 OR f.size >= 40000 THEN f.batch_no + 1 ELSE f.batch_no END,
+         CASE WHEN f.docs >= 10 OR f.size >= 40000 THEN 1 ELSE f.docs + 1 END,
+         CASE WHEN f.docs >= 10 OR f.size >= 40000 THEN o.len * 1.5 ELSE f.size + o.len * 1.5 END
+  FROM f JOIN o ON o.crawl = f.crawl AND substr(o."timestamp", 1, 8) = f.day AND o.rn = f.rn + 1)
+"""
+ORACLE["worker_upload_files"] = _UPLOADS + """
+SELECT crawl, substr(day, 1, 4) AS year, substr(day, 5, 2) AS month, substr(day, 7, 2) AS day, CAST(count(*) AS BIGINT) AS docs,
+       CAST(sum(len * 1.5) AS DOUBLE) AS est_bytes, min(url) AS first_url
+FROM f GROUP BY crawl, f.day, batch_no"""
+
+ORACLE["sink_outcomes"] = with_cdx("""
+, n AS (SELECT crawl, ceil(count(*) / 50.0) AS n FROM kept GROUP BY crawl)
+SELECT * FROM (
+  SELECT 'stage-one' AS run_id, 'batches' AS sink, CAST(2 AS BIGINT) AS attempts, CAST(1 AS BIGINT) AS retries,
+         CAST(1 AS BIGINT) AS ok, CAST(1 AS BIGINT) AS failed, CAST(0 AS BIGINT) AS lost, CAST(sum(n) AS BIGINT) AS rows FROM n
+  UNION ALL
+  SELECT 'stage-one', 'ledger', 2, 1, 2, 0, 0, CAST(2 * count(*) AS BIGINT) FROM (SELECT DISTINCT crawl, block_id FROM cdx)
+  UNION ALL
+  SELECT 'stage-two', 'documents', 1, 0, 1, 0, 0, (SELECT count(*) FROM (""" + ORACLE["worker_job_twice"] + """)))""")
+
+# the same fold as batch_threshold; a batch says by its own rows why it closed
+ORACLE["worker_stream_batches"] = _FOLD + """
+SELECT lane, CAST(batch_no AS BIGINT) AS upload_batch_no,
+       CASE WHEN count(*) >= 10 THEN 'count' WHEN sum(len * 1.5) >= 40000 THEN 'bytes' ELSE 'flush' END AS reason,
+       CAST(count(*) AS BIGINT) AS docs, CAST(sum(len * 1.5) AS DOUBLE) AS est_bytes
+FROM f GROUP BY lane, batch_no"""

@@ -16,7 +16,7 @@ from crawlsieve.functions import cdx as cdxf
 from crawlsieve.functions import text as textf
 from crawlsieve.operators import batching, dedup, extract, ledger, metrics, tokenize
 from crawlsieve.plans import fixtures, index_stage
-from crawlsieve.session import apply_defaults, scratch_path
+from crawlsieve.session import apply_defaults, scratch_path, written
 from crawlsieve.sources import index as ixsrc
 from crawlsieve.sources import ranged, sinks
 
@@ -117,7 +117,7 @@ def q_funnel_index(spark, sf_dir):
 @register("dedup_first_seen")
 def q_dedup_first_seen(spark, sf_dir):
     """First-seen winner per URL over both crawls."""
-    return (dedup.dedup_first_seen(_passed(spark, sf_dir))
+    return (dedup.dedup_first_seen(written(_passed(spark, sf_dir), "passed"))
             .select(*KEYS, "crawl_rank", "surt_url", "timestamp", cdxf.meta("url").alias("url")))
 
 
@@ -130,7 +130,7 @@ def q_dedup_stats(spark, sf_dir):
 @register("dedup_latest")
 def q_dedup_latest(spark, sf_dir):
     """Most recent capture per URL."""
-    return (dedup.dedup_latest(_passed(spark, sf_dir))
+    return (dedup.dedup_latest(written(_passed(spark, sf_dir), "passed"))
             .select(*KEYS, "crawl_rank", "surt_url", "timestamp"))
 
 
@@ -138,7 +138,7 @@ def q_dedup_latest(spark, sf_dir):
 def q_dedup_incremental(spark, sf_dir):
     """D3: run 1 = crawl rank 0 (its keys become the seen table);
     run 2 = crawl rank 1 minus seen keys, then D1."""
-    passed = _passed(spark, sf_dir)
+    passed = written(_passed(spark, sf_dir), "passed")
     seen = dedup.seen_keys(passed.where("crawl_rank = 0"))
     run2 = dedup.dedup_incremental(passed.where("crawl_rank = 1"), seen)
     return run2.select(*KEYS, "surt_url", "timestamp")
@@ -151,7 +151,7 @@ def _kept_table(spark, sf_dir) -> DataFrame:
     branches of B1 (rows, block counts, offsets) are pruned scans instead of
     three evaluations of the dedup aggregation (same as ``jobs.run_batcher``)."""
     path = scratch_path(spark, "kept")
-    dedup.dedup_first_seen(_passed(spark, sf_dir)).write.mode("overwrite").parquet(path)
+    dedup.dedup_first_seen(written(_passed(spark, sf_dir), "passed")).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -244,6 +244,14 @@ def q_extract_main_text_strict(spark, sf_dir):
     return extract.main_text_strict(_pages(spark, sf_dir), id_cols=("page_id",), html="html", out="text")
 
 
+@register("extract_strict_dedup")
+def q_extract_strict_dedup(spark, sf_dir):
+    """P7 with duplicates removed over the corpus: blocks of 20 characters or more
+    that more than two pages hold are dropped from all pages."""
+    texts = extract.main_text_strict(_pages(spark, sf_dir), id_cols=("page_id",), html="html", out="text")
+    return extract.drop_repeated_blocks(texts, least_chars=20, most_pages=2)
+
+
 @register("http_body_split")
 def q_http_body_split(spark, sf_dir):
     """Head / body of each page's HTTP response message."""
@@ -255,7 +263,7 @@ def q_http_body_split(spark, sf_dir):
 def kept_documents(spark, sf_dir, text_fn=None) -> DataFrame:
     """Worker chain over kept index entries: the entry's page (joined by
     URL) -> flat text -> non-blank -> length filter -> record columns."""
-    kept = dedup.dedup_first_seen(_passed(spark, sf_dir))
+    kept = dedup.dedup_first_seen(written(_passed(spark, sf_dir), "passed"))
     entries = kept.select("surt_url", "timestamp", cdxf.meta("url").alias("url"),
                           cdxf.meta("filename").alias("filename"))
     pages = _pages(spark, sf_dir).select("url", "html")
@@ -498,9 +506,9 @@ def q_resume_pending_blocks(spark, sf_dir):
 
 @register("crawl_progress")
 def q_crawl_progress(spark, sf_dir):
-    """Done / total blocks per crawl."""
+    """Done / total blocks per crawl, and the batches its kept entries make."""
     index, led = _ledger_run(spark, sf_dir)
-    return ledger.crawl_progress(index, led)
+    return ledger.crawl_progress(index, led, _b1(spark, sf_dir).select("crawl", "batch_no"))
 
 
 def _crawl_status(spark, sf_dir) -> DataFrame:
@@ -538,7 +546,7 @@ def _batches_with_archive_ranges(spark, sf_dir):
     archive records Spark wrote for their pages (S5 fixture)."""
     warc_root = scratch_path(spark, "warc")
     manifest = fixtures.write_warc(_pages(spark, sf_dir), warc_root)
-    kept = dedup.dedup_first_seen(_passed(spark, sf_dir)).withColumn("url", cdxf.meta("url"))
+    kept = dedup.dedup_first_seen(written(_passed(spark, sf_dir), "passed")).withColumn("url", cdxf.meta("url"))
     ranges = (_pages(spark, sf_dir).select("page_id", "url").join(manifest, "page_id")
               .select("url", "filename", "offset", "length"))
     moved = ["filename", "offset", "length"]
@@ -640,9 +648,9 @@ def q_batch_times(spark, sf_dir):
 
 @register("stream_dedup")
 def q_stream_dedup(spark, sf_dir):
-    """T5: the index stage as a stream over files that arrive per crawl
-    (crawl 30 first, then crawl 33, the stream restarted on its checkpoint
-    in between), deduplicated per micro-batch against the seen keys."""
+    """T5: the index stage as a stream over seven arrivals in crawl and block order
+    (the stream restarted on its checkpoint between crawls), deduplicated against
+    the keyed state of all arrivals before."""
     from crawlsieve.streaming import worker
     lines_dir = scratch_path(spark, "lines")
     lines = fixtures.cdx_from_dir(spark, sf_dir)
@@ -652,9 +660,12 @@ def q_stream_dedup(spark, sf_dir):
         return (index_stage.parsed_lines(df).where("outcome = 'pass'")
                 .select(*index_stage.LINEAGE, "surt_url", "timestamp", "metadata"))
 
-    for c in fixtures.CRAWLS:  # arrival order = crawl order
-        lines.where(F.col("crawl") == c).write.mode("append").parquet(lines_dir)
-        q = worker.start_index_dedup(spark, lines_dir, out, seen, ckpt, parse, max_files_per_trigger=None)
+    lines = lines.withColumn("part", F.col("block_id") * 4 / (lines.agg(F.max("block_id")).first()[0] + 1))
+    for c in fixtures.CRAWLS:  # arrival order = crawl order, then blocks
+        for part in range(4):
+            arrival = lines.where((F.col("crawl") == c) & (F.floor("part") == part)).drop("part")
+            arrival.coalesce(1).write.mode("append").parquet(lines_dir)       # one file is one micro-batch
+        q = worker.start_index_dedup(spark, lines_dir, out, seen, ckpt, parse, max_files_per_trigger=1)
         _await(q)
     return (spark.read.parquet(out)
             .select(*KEYS, "crawl_rank", "surt_url", "timestamp", cdxf.meta("url").alias("url")))
@@ -753,3 +764,6 @@ def q_worker_job(spark, sf_dir):
     return (sinks.read_documents(spark, out)
             .select("url", "timestamp", "full_text", "char_count", "filename",
                     (F.col("token_count") == F.size("tokens")).alias("token_count_ok")))
+
+
+from crawlsieve.plans import run_queries  # noqa: E402,F401 - registers its queries here

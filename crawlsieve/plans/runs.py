@@ -6,6 +6,9 @@ died half-way is invisible and can be repeated under its id.  Commits carry a
 monotone sequence number; "later" always means that number, never a clock or a
 name.  A reset is a commit of its own: rows of a crawl from before its latest
 reset no longer count.
+
+Sinks are audited (A10): `audited` notes every try of a sink before and after it
+in the ``outcomes`` table, which counts whether or not the run commits.
 """
 
 from __future__ import annotations
@@ -13,12 +16,16 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from crawlsieve.files import exists
+from crawlsieve.files import claim, exists
 
 COMMIT = "seq long, kind string, at timestamp"
+OUTCOME = "sink string, attempt string, status string, rows long, error string, at timestamp"
 
 
 class RunStore:
@@ -65,11 +72,60 @@ class RunStore:
         if done.where(F.col("run_id") == self.run_id).limit(1).count():
             raise ValueError(f"run {self.run_id!r} is already committed")
         seq = (done.agg(F.max("seq")).first()[0] or 0) + 1
+        while not claim(self.spark, f"{self.root}/claims/{seq}", self.run_id):   # taken by a run that ends just now
+            seq += 1
         (self.spark.range(1).select(F.lit(seq).cast("long").alias("seq"), F.lit(kind).alias("kind"),
                                     F.current_timestamp().alias("at"))
              .write.mode("overwrite").parquet(self.path("commits")))
         return seq
 
+    def _note(self, sink: str, attempt: str, status: str, rows: int | None = None, error: str | None = None) -> None:
+        (self.spark.createDataFrame([(sink, attempt, status, rows, error)], "sink string, attempt string, status string, rows long, error string")
+             .withColumn("at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(self.path("outcomes")))
+
+    def audited(self, sink: str, df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+        """Run ``write(df)`` between two notes; returns the rows written.  A try that
+        was killed leaves only the first note."""
+        attempt = uuid.uuid4().hex
+        self._note(sink, attempt, "attempt")
+        seen = Observation(f"{sink}_{attempt}")
+        try:
+            write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+        except Exception as e:
+            self._note(sink, attempt, "failed", error=type(e).__name__)
+            raise
+        rows = observed_rows(seen)
+        self._note(sink, attempt, "ok", rows)
+        return rows
+
+
+def observed_rows(seen: Observation) -> int:
+    """The count `rows` of a finished write.  Where adaptive execution found a stage empty
+    and cut the rest of the plan, nothing is reported: no row was written."""
+    try:
+        return int(seen.get["rows"])
+    except Py4JJavaError as e:
+        if "AssertionError" not in str(e):
+            raise
+        return 0
+
+
+def sink_outcomes(spark: SparkSession, root: str) -> DataFrame:
+    """A10: per run and sink: tries, retries, how they ended, and the rows written.
+    ``lost`` tries have no second note (killed, or still at work)."""
+    path = f"{root.rstrip('/')}/outcomes"
+    notes = (spark.read.schema(f"{OUTCOME}, run_id string").parquet(path) if exists(spark, path)
+             else spark.createDataFrame([], f"{OUTCOME}, run_id string"))
+
+    def n(status: str):
+        return F.count_if(F.col("status") == status).cast("bigint")
+
+    return (notes.groupBy("run_id", "sink").agg(
+        n("attempt").alias("attempts"), n("ok").alias("ok"), n("failed").alias("failed"),
+        F.coalesce(F.sum(F.when(F.col("status") == "ok", F.col("rows"))), F.lit(0)).cast("bigint").alias("rows"))
+        .withColumn("lost", F.col("attempts") - F.col("ok") - F.col("failed"))
+        .withColumn("retries", F.greatest(F.col("attempts") - 1, F.lit(0)).cast("bigint")))
+
 
 def since_reset(df: DataFrame, resets: DataFrame) -> DataFrame:
     """Rows (crawl, seq) that are newer than the latest reset (crawl, reset_seq) of their crawl."""

@@ -145,3 +145,11 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared root."""
     return f"{shared_root(spark)}/crawlsieve/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df, name: str = "table"):
+    """`df` written below the shared root and read back: computed once, and its
+    lineage is files that survive lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -91,14 +91,29 @@ def _bare_prefix(path: str) -> str:
     return re.sub(_SCHEME_AUTHORITY, "", path)
 
 
+def _crawl_depth(template: str, base: str) -> int | None:
+    """Place of the crawl's folder in an absolute path, where it is a folder of its own."""
+    import re
+    bare = re.sub(_SCHEME_AUTHORITY, "", template.format(base=base, crawl="\0"))
+    parts = [x for x in bare.split("/") if x]
+    return parts.index("\0") if bare.startswith("/") and parts.count("\0") == 1 else None
+
+
 def _tagged(spark: SparkSession, crawls, template: str, base: str, sep: str = "tab") -> DataFrame:
     """One read over every crawl's index, each row tagged (crawl, crawl_rank)."""
     pairs = [(c, i, template.format(base=base, crawl=c)) for i, c in enumerate(crawl_names(crawls))]
     paths = [p for _, _, p in pairs]
     raw = _read_raw(spark, paths, sep)
-    # Map file -> crawl with a tiny broadcast table (one row per crawl named
-    # by the caller, so its size is bounded by the argument list).  Both
-    # sides are compared as bare paths (no scheme, no authority), and a
+    depth = _crawl_depth(template, base)
+    if depth is not None:       # the crawl is a folder: an equi-join on its name
+        parts = F.split(F.col("_file"), "/")
+        # scheme and authority are the first three parts of scheme://authority/..., else the scheme alone
+        name = F.get(parts, F.when(F.contains("_file", F.lit("://")), 3).otherwise(1) + depth)
+        named = spark.createDataFrame([(c, r) for c, r, _ in pairs], "crawl string, crawl_rank int")
+        return raw.withColumn("crawl", name).drop("_file").join(named, "crawl")
+    # Otherwise map file -> crawl by prefix with a tiny broadcast table (one row
+    # per crawl named by the caller, so its size is bounded by the argument list).
+    # Both sides are compared as bare paths (no scheme, no authority), and a
     # template prefix ends at its first glob character.
     prefixes = spark.createDataFrame(
         [(c, r, _bare_prefix(p).rstrip("/"), not any(ch in p for ch in "*?[{")) for c, r, p in pairs],

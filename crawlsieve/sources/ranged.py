@@ -1,9 +1,9 @@
 """Byte-range reads of gzip members as Spark jobs.
 
-The unit of work is one manifest row ``(file, offset, length)``.  The
-manifest is range-partitioned by ``(file, offset)`` so a task reads a
-contiguous, sorted run of ranges of few files (one open per file per
-task) and a big file can still spread over several tasks.  Each task
+The unit of work is one manifest row ``(file, offset, length)``.  Rows are
+dealt to tasks by bytes, neighbouring ranges are one request (``sources.ranges``),
+so a task reads a contiguous, sorted run of ranges of few files (one open per
+file per task) and a big file can still spread over several tasks.  Each task
 streams Arrow batches through ``mapInArrow``; output batches are capped
 by bytes so a task never holds more than a few MB of decoded text.
 
@@ -19,8 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crawlsieve.files import UnknownStore, open_path, qualified
+from crawlsieve.files import open_path, qualified
 from crawlsieve.schemas import ARCHIVE_RECORD, BLOCK_TEXT
+from crawlsieve.sources import ranges
 
 OUT_BATCH_BYTES = 32 * 1024 * 1024
 
@@ -73,9 +74,8 @@ def work_partitions(spark) -> int:
         return shuffle
 
 
-def _plan_ranges(manifest: DataFrame, path_col: str, offset_col: str, num_partitions: int | None) -> DataFrame:
-    n = num_partitions or work_partitions(manifest.sparkSession)
-    return manifest.repartitionByRange(n, path_col, offset_col).sortWithinPartitions(path_col, offset_col)
+def _plan_ranges(manifest: DataFrame, path: str, offset: str, length: str, num_partitions: int | None) -> DataFrame:
+    return ranges.planned(manifest, path, offset, length, num_partitions or work_partitions(manifest.sparkSession))
 
 
 # --- S3/S4: index blocks --------------------------------------------------------
@@ -92,7 +92,7 @@ def read_blocks(index: DataFrame, path_template: str, base: str = "",
                            F.col("crawl"), F.col("cdx_filename"))
     manifest = index.select("crawl", "block_id", "cdx_filename", "cdx_offset", "cdx_length",
                             qualified(index.sparkSession, path).alias("_path"))
-    planned = _plan_ranges(manifest, "_path", "cdx_offset", num_partitions)
+    planned = _plan_ranges(manifest, "_path", "cdx_offset", "cdx_length", num_partitions)
     schema = BLOCK_TEXT
     names = [f.name for f in schema.fields]
 
@@ -113,26 +113,21 @@ def read_blocks(index: DataFrame, path_template: str, base: str = "",
             size = 0
             return out
 
-        for b in batches:
-            d = b.to_pydict()
-            for i in range(b.num_rows):
-                text, err = None, None
+        for row, raw, failure in ranges.fetched(batches, reader, "_path", "cdx_offset", "cdx_length"):
+            text = None
+            if failure is None:
                 try:
-                    raw = reader.read(d["_path"][i], int(d["cdx_offset"][i]), int(d["cdx_length"][i]))
                     text = gzip.decompress(raw).decode("utf-8", errors="replace")
-                except UnknownStore:
-                    raise
                 except Exception as e:  # noqa: BLE001 - one failed block never fails the task
-                    err = _error_label(e)
-                    reader.close()
-                for n in ("crawl", "block_id", "cdx_filename", "cdx_offset", "cdx_length"):
-                    buf[n].append(d[n][i])
-                buf["text"].append(text)
-                buf["n_bytes"].append(len(text.encode("utf-8")) if text is not None else None)
-                buf["error"].append(err)
-                size += len(text) if text else 0
-                if size >= OUT_BATCH_BYTES:
-                    yield flush()
+                    failure = e
+            for n in ("crawl", "block_id", "cdx_filename", "cdx_offset", "cdx_length"):
+                buf[n].append(row[n])
+            buf["text"].append(text)
+            buf["n_bytes"].append(len(text.encode("utf-8")) if text is not None else None)
+            buf["error"].append(None if failure is None else _error_label(failure))
+            size += len(text) if text else 0
+            if size >= OUT_BATCH_BYTES:
+                yield flush()
         reader.close()
         if buf["crawl"]:
             yield flush()
@@ -259,7 +254,7 @@ def read_archive_records(manifest: DataFrame, path_template: str = "{file}", bas
     m = manifest.select(*carry, F.col(filename).alias("filename"), F.col(offset).cast("bigint").alias("offset"),
                         F.col(length).cast("bigint").alias("length"),
                         qualified(manifest.sparkSession, path).alias("_path"))
-    planned = _plan_ranges(m, "_path", "offset", num_partitions)
+    planned = _plan_ranges(m, "_path", "offset", "length", num_partitions)
     schema = T.StructType([m.schema[c] for c in carry] + ARCHIVE_SCHEMA.fields)
     names = [f.name for f in schema.fields]
 
@@ -285,37 +280,34 @@ def read_archive_records(manifest: DataFrame, path_template: str = "{file}", bas
             size = 0
             return out
 
-        for b in batches:
-            d = b.to_pydict()
-            for i in range(b.num_rows):
-                key = {c: d[c][i] for c in carry}
-                key.update(filename=d["filename"][i], offset=d["offset"][i], length=d["length"][i])
+        for row, raw, failure in ranges.fetched(batches, reader, "_path", "offset", "length"):
+            key = {c: row[c] for c in (*carry, "filename", "offset", "length")}
+            if failure is None:
                 try:
-                    data = gzip.decompress(reader.read(d["_path"][i], int(key["offset"]), int(key["length"])))
-                except UnknownStore:
-                    raise
+                    data = gzip.decompress(raw)
                 except Exception as e:  # noqa: BLE001
-                    reader.close()
-                    add(**key, record_no=-1, error=_error_label(e))
-                    continue
-                rec_no = 0
-                try:
-                    for wtype, uri, clen, payload in parse_warc(data):
-                        head = body = err = None
-                        if wtype == "response":
-                            h, bd = split_http(payload)
-                            if h is None:
-                                err = "no_body"
-                            else:
-                                head = h.decode("utf-8", errors="replace")
-                                body = decode_http_body(h, bd)
-                        add(**key, record_no=rec_no, warc_type=wtype, target_uri=uri, content_length=clen,
-                            http_head=head, body=body, n_bytes=len(data) if rec_no == 0 else 0, error=err)
-                        rec_no += 1
-                except ValueError as e:
-                    add(**key, record_no=rec_no, error=f"bad_record:{e}")
-                if size >= OUT_BATCH_BYTES:
-                    yield flush()
+                    failure = e
+            if failure is not None:
+                add(**key, record_no=-1, error=_error_label(failure))
+                continue
+            rec_no = 0
+            try:
+                for wtype, uri, clen, payload in parse_warc(data):
+                    head = body = err = None
+                    if wtype == "response":
+                        h, bd = split_http(payload)
+                        if h is None:
+                            err = "no_body"
+                        else:
+                            head = h.decode("utf-8", errors="replace")
+                            body = decode_http_body(h, bd)
+                    add(**key, record_no=rec_no, warc_type=wtype, target_uri=uri, content_length=clen,
+                        http_head=head, body=body, n_bytes=len(data) if rec_no == 0 else 0, error=err)
+                    rec_no += 1
+            except ValueError as e:
+                add(**key, record_no=rec_no, error=f"bad_record:{e}")
+            if size >= OUT_BATCH_BYTES:
+                yield flush()
         reader.close()
         if buf["filename"]:
             yield flush()

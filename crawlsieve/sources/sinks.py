@@ -39,18 +39,34 @@ def by_day(df: DataFrame, date_from: str | None = "timestamp") -> DataFrame:
     return with_date_parts(df, date_from).hint("rebalance", *DATE_PARTS).drop(*DATE_PARTS)
 
 
+def write_uploads(df: DataFrame, path: str, batch: str = "upload_batch_no", above=(), mode: str = "append") -> None:
+    """K1 with thresholds: ``df`` has date parts and the number of its upload batch.
+    The number is a physical key: a batch goes to one task, which writes it as one
+    file in a folder of its own, so no file exceeds what closes a batch by more than
+    a document.  ``above``: columns whose folders lie above the date."""
+    keys = [*above, *DATE_PARTS, batch]
+    (df.repartition(*keys).sortWithinPartitions(*keys).write.mode(mode).partitionBy(*keys)
+       .option("compression", "gzip").option("maxRecordsPerFile", 0).parquet(path))
+
+
 def write_documents(df: DataFrame, path: str, date_from: str | None = "timestamp",
-                    max_records_per_file: int = 10000, mode: str = "append") -> None:
-    """K1: gzip Parquet, partitioned by date; empty input writes nothing."""
+                    max_records_per_file: int = 10000, mode: str = "append", above=()) -> None:
+    """K1: gzip Parquet, partitioned by date (below the folders of ``above``);
+    empty input writes nothing."""
     out = with_date_parts(df, date_from)
-    (out.write.mode(mode).partitionBy(*DATE_PARTS)
+    (out.write.mode(mode).partitionBy(*above, *DATE_PARTS)
         .option("compression", "gzip").option("maxRecordsPerFile", max_records_per_file)
         .parquet(path))
 
 
-def read_documents(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT, runs: bool = False) -> DataFrame:
-    """Documents below a folder; ``runs``: with the run folder they lie in."""
-    parts = ("run_id", *DATE_PARTS) if runs else DATE_PARTS
+ORIGIN = ("source_run", "crawl")     # what a document came from: stage-1 run and crawl
+
+
+def read_documents(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT, runs: bool = False,
+                   run: str = "run_id") -> DataFrame:
+    """Documents below a folder; ``runs``: with the run folder they lie in and
+    their origin."""
+    parts = (run, *ORIGIN, *DATE_PARTS) if runs else DATE_PARTS
     full = T.StructType(list(schema.fields) + [T.StructField(c, T.StringType()) for c in parts])
     return spark.read.schema(full).parquet(path)
 
