@@ -15,10 +15,11 @@ the component of links each document belongs to.
    pair of members passes the bitmap filter (1,024-bit signatures differ in no more
    bits than the sets in shingles) and is verified on the whole sets.
 4. Only components are asked for, so pairs that are connected already need no
-   look.  First every group of a list meets the list's `HUBS` hubs (its first groups
-   by hash), which covers short lists whole.  Longer lists get one more hub outside
+   look.  First every group of a list meets the list's hub (its first group by
+   hash), which covers lists of two whole.  Longer lists get `ROUNDS` more hubs, each outside
    their largest component; then pairs are drawn only between *different*
-   components, what lies outside the largest one against the list.  A group of thousands of near copies
+   components, what lies outside the largest one against the list; in lists of many
+   components the bitmap filter is part of that join.  A group of thousands of near copies
    thus costs rows in proportion to its size, and no link between different
    components is lost.  Sets too small to link with any other set are not posted.
 
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlsieve.llm.common import register, slices, squeeze, stored, table, unsqueeze
@@ -46,11 +47,13 @@ from crawlsieve.llm.words import distinct_shingles, mix64, split_words
 
 SKETCH_BITS = 20
 PAGE = 4096
-HUBS = 3
+ROUNDS = 2
 SALT = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))   # two streams of a 128-bit set id
 SLICE = 4 << 20
 SIGNATURE = 16            # 64-bit words of a set's bitmap
-BROADCAST_ROWS = 1 << 20  # ids that may be broadcast (8 MB); beyond, a shuffle join
+FEW = 8                   # components of a list that meet without their bitmaps
+BROADCAST_BYTES = 8 << 20
+ASKED_BYTES = 64          # of a row (id, set id, document id) that is broadcast
 
 
 def _buckets(h: np.ndarray, bits: int) -> np.ndarray:
@@ -95,10 +98,11 @@ def _set_ids(h: np.ndarray, starts: np.ndarray) -> list[bytes]:
 
 
 def _signatures(h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """One bit per shingle in SIGNATURE * 64 bits, as n x SIGNATURE numbers."""
-    bits = np.zeros((n, SIGNATURE * 64), bool)
-    bits[doc, (mix64(h ^ SALT[0]) % np.uint64(SIGNATURE * 64)).astype(np.int64)] = True
-    return np.packbits(bits, axis=1).view("<i8")
+    """Parities of the shingles in each of SIGNATURE * 64 cells, as n x SIGNATURE numbers.
+    Every shingle that one of two sets has alone turns one bit."""
+    cell = doc * (SIGNATURE * 64) + (mix64(h ^ SALT[0]) % np.uint64(SIGNATURE * 64)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=n * SIGNATURE * 64) & 1).astype(bool).reshape(n, SIGNATURE * 64)
+    return np.packbits(odd, axis=1).view("<i8")
 
 
 def prefix_length(n, percent: int):
@@ -190,15 +194,12 @@ class _Join:
                   .select("group", "n", "size", F.posexplode("prefix").alias("pos", "token")))
         # a set with one shingle more or less than n must be able to link
         posted = posted.where(f"100 * n >= {percent} * (n + 1) or 100 * (n - 1) >= {percent} * n")
-        here = Window.partitionBy("token")
-        whole = (here.orderBy(F.xxhash64("group"), "group")
-                 .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        one = F.struct("group", "n", "pos")
-        self.postings = stored(
-            posted.withColumn("all", F.sum("size").over(here)).withColumn("most", F.max("size").over(here)).where("all > 1")
-            .withColumn("hubs", F.array(*(F.nth_value(one, i + 1).over(whole) for i in range(HUBS))))
-            .select("token", "group", "n", "pos", "size", "hubs",
-                    ((F.col("all") > HUBS + 1) | (F.col("most") > 1)).alias("open")), "postings")
+        # per token: how many nodes, and its hub; partial sums go first, so a frequent token is not one task's work
+        lists = stored(posted.groupBy("token").agg(
+            F.sum("size").alias("all"), F.max("size").alias("most"), F.min(F.struct(F.xxhash64("group").alias("h"), "group", "n", "pos")).alias("hub"))
+            .where("all > 1").select("token", F.struct("hub.group", "hub.n", "hub.pos").alias("hub"),
+                                     ((F.col("all") > 2) | (F.col("most") > 1)).alias("open")), "lists")
+        self.postings = stored(posted.join(lists, "token").select("token", "group", "n", "pos", "size", "hub", "open"), "postings")
         self.links = None
         self.labels = self.nodes.select("id", F.col("id").alias("component"))
 
@@ -208,19 +209,23 @@ class _Join:
         return F.expr(f"100 * least({a}n, {b}n) >= {p} * greatest({a}n, {b}n) and "
                       f"{q} * (1 + least({a}n - {a}pos - 1, {b}n - {b}pos - 1)) >= {p} * ({a}n + {b}n)")
 
+    def _close(self, s: str, t: str, n_s: str, n_t: str):
+        """Bitmap filter: q * |a and b| >= p * (x + y), and 2 * |a and b| = x + y - |a xor b|."""
+        p, q = self.percent, 100 + self.percent
+        differ = " + ".join(f"bit_count({s}[{i}] ^ {t}[{i}])" for i in range(SIGNATURE))
+        return F.expr(f"{q} * ({n_s} + {n_t} - ({differ})) >= {2 * p} * ({n_s} + {n_t})")
+
     def _verify(self, pairs: DataFrame) -> DataFrame:
         """(u, v) of the pairs of nodes that link."""
         p, q = self.percent, 100 + self.percent
         one, other = (self.nodes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(s),
                                         F.struct("id", "set_id", F.col("doc_id").alias("of")).alias(f"at_{x}"))
                       for x, s in (("u", "s"), ("v", "t")))
-        differ = F.expr("aggregate(zip_with(s, t, (a, b) -> bit_count(a ^ b)), 0, (a, b) -> a + b)")
-        # q * |a and b| >= p * (x + y), and 2 * |a and b| = x + y - |a xor b|
         total = F.col("n_u") + F.col("n_v")
-        close = stored(pairs.join(one, "u").join(other, "v").where(q * (total - differ) >= 2 * p * total)
+        close = stored(pairs.join(one, "u").join(other, "v").where(self._close("s", "t", "n_u", "n_v"))
                        .select("u", "v", total.alias("total"), "at_u", "at_v"), "close")
         asked = stored(close.select("at_u.*").unionByName(close.select("at_v.*")).distinct(), "asked")
-        if asked.count() <= BROADCAST_ROWS:
+        if asked.count() * ASKED_BYTES <= BROADCAST_BYTES:
             asked = F.broadcast(asked)
         # a repeated id may bring other texts along; the set id tells them
         texts = self.docs.select("doc_id", "text").join(asked, F.col("doc_id").eqNullSafe(F.col("of"))).select("text", "id", "set_id")
@@ -239,12 +244,9 @@ class _Join:
                              .select("id", F.coalesce("component", "id").alias("component")), "labels")
 
     def star(self) -> None:
-        """All groups of a list against its hubs, and all members of a group
+        """All groups of a list against its hub, and all members of a group
         against its first one."""
-        hub = F.explode("hubs").alias("h")
-        met = (self.postings.select("group", "n", "pos", hub).where("h is not null and group <> h.group")
-               .select("group", "n", "pos", F.col("h.group").alias("u"), F.struct("h.n", "h.pos").alias("h"))
-               .where(self._fits("", "h.")).select("group", "u"))
+        met = self.postings.where("group <> hub.group").where(self._fits("", "hub.")).select("group", F.col("hub.group").alias("u"))
         own = self.nodes.where("size > 1 and id <> group").select(F.col("group").alias("u"), F.col("id").alias("v"))
         members = self.nodes.select("group", F.col("id").alias("v"))
         pairs = met.distinct().join(members, "group").select("u", "v").unionByName(own)
@@ -252,14 +254,14 @@ class _Join:
 
     def _entities(self) -> tuple[DataFrame, DataFrame]:
         """Members (id, group, component); postings of long lists per (group,
-        component), with whether it is the list's largest component, for lists that
-        still hold more than one."""
+        component), with whether it is the list's largest component and how many
+        components the list holds, for lists that still hold more than one."""
         members = stored(self.nodes.select("id", "group").join(self.labels, "id").select("id", "group", "component"), "members")
         of = members.groupBy("group", "component").agg(F.min("id").alias("first"))
         entities = self.postings.where("open").select("token", "group", "n", "pos").join(of, "group")
         sizes = entities.groupBy("token", "component").agg(F.count("*").alias("k"))
         lists = (sizes.groupBy("token").agg(F.max(F.struct("k", "component")).alias("top"), F.count("*").alias("parts"))
-                 .where("parts > 1").select("token", F.col("top.component").alias("top")))
+                 .where("parts > 1").select("token", F.col("top.component").alias("top"), "parts"))
         return members, stored(entities.join(lists, "token").withColumn("main", F.col("component") == F.col("top")).drop("top"),
                                "entities")
 
@@ -277,16 +279,25 @@ class _Join:
 
     def rest(self) -> None:
         """All remaining pairs between different components of a long list: what lies
-        outside the largest component against all of the list."""
+        outside the largest component against all of the list.  A list of few components
+        gives pairs of groups; in one of many, members meet with their bitmaps."""
         members, entities = self._entities()
+        many = entities.where(F.col("parts") > FEW)
+        known = self.nodes.select("id", "signature")
+        many = many.join(members, ["group", "component"]).join(known, "id").select("token", "id", "n", "pos", "signature", "component", "main")
+        a_b = F.expr("a.component <> b.component and (b.main or a.component < b.component)")
+        met_many = (many.where("not main").alias("a").join(many.alias("b"), F.expr("a.token = b.token") & a_b & self._fits("a.", "b.")
+                                                           & self._close("a.signature", "b.signature", "a.n", "b.n"))
+                    .select(F.col("a.id").alias("u"), F.col("b.id").alias("v")))
+        entities = entities.where(F.col("parts") <= FEW)
         met = (entities.where("not main").alias("a").join(entities.alias("b"), "token")
-               .where("a.component <> b.component and (b.main or a.component < b.component)").where(self._fits("a.", "b."))
+               .where(a_b).where(self._fits("a.", "b."))
                .select(F.col("a.group").alias("p"), F.col("a.component").alias("left"),
                        F.col("b.group").alias("q"), F.col("b.component").alias("right")).distinct())
         one = members.select(F.col("id").alias("u"), F.col("group").alias("p"), F.col("component").alias("left"))
         other = members.select(F.col("id").alias("v"), F.col("group").alias("q"), F.col("component").alias("right"))
-        self._add(self._verify(met.join(one, ["p", "left"]).join(other, ["q", "right"])
-                               .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
+        pairs = met.join(one, ["p", "left"]).join(other, ["q", "right"]).select("u", "v").unionByName(met_many)
+        self._add(self._verify(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()))
 
     def result(self) -> DataFrame:
         """doc_id, row, n_shingles, component_id, component per row; component is null
@@ -309,7 +320,8 @@ def _components(docs: DataFrame, key: str, text: str, row: str | None, k: int, p
                        (F.col(row).cast("long") if row else F.monotonically_increasing_id()).alias("row"))
     join = _Join(rows, k, percent, bits)
     join.star()
-    join.peel()
+    for _ in range(ROUNDS):
+        join.peel()
     join.rest()
     return join.result()
 

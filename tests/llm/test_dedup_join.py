@@ -98,10 +98,12 @@ def test_join_empty_table(empty):
     assert nj.jaccard_components(empty, bits=8).collect() == []
 
 
-@pytest.mark.parametrize("hubs", [1, 3])
-def test_many_near_copies_of_one_text(spark, monkeypatch, hubs):
-    """Lists that all copies share, and links that no hub has."""
-    monkeypatch.setattr(nj, "HUBS", hubs)
+@pytest.mark.parametrize("rounds,few", [(0, 0), (0, 1000), (2, 8)])
+def test_many_near_copies_of_one_text(spark, monkeypatch, rounds, few):
+    """Lists that all copies share, and links that no hub has; the pairs left over
+    with their bitmaps and without."""
+    monkeypatch.setattr(nj, "ROUNDS", rounds)
+    monkeypatch.setattr(nj, "FEW", few)
     rng = random.Random(9)
     base = [f"w{i}" for i in range(80)]
     rows = []
