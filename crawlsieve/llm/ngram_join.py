@@ -47,7 +47,7 @@ from crawlsieve.llm.words import distinct_shingles, mix64, split_words
 
 SKETCH_BITS = 20
 PAGE = 4096
-ROUNDS = 2
+ROUNDS = 1
 SALT = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))   # two streams of a 128-bit set id
 SLICE = 4 << 20
 SIGNATURE = 16            # 64-bit words of a set's bitmap
@@ -194,11 +194,13 @@ class _Join:
                   .select("group", "n", "size", F.posexplode("prefix").alias("pos", "token")))
         # a set with one shingle more or less than n must be able to link
         posted = posted.where(f"100 * n >= {percent} * (n + 1) or 100 * (n - 1) >= {percent} * n")
-        # per token: how many nodes, and its hub; partial sums go first, so a frequent token is not one task's work
-        lists = stored(posted.groupBy("token").agg(
+        # per token: how many nodes, and its hub.  Postings are dealt by token once, for this and for the
+        # join with it; both stream, so a frequent token is long work for one task but never held there
+        posted = posted.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "token")
+        lists = (posted.groupBy("token").agg(
             F.sum("size").alias("all"), F.max("size").alias("most"), F.min(F.struct(F.xxhash64("group").alias("h"), "group", "n", "pos")).alias("hub"))
             .where("all > 1").select("token", F.struct("hub.group", "hub.n", "hub.pos").alias("hub"),
-                                     ((F.col("all") > 2) | (F.col("most") > 1)).alias("open")), "lists")
+                                     ((F.col("all") > 2) | (F.col("most") > 1)).alias("open")))
         self.postings = stored(posted.join(lists, "token").select("token", "group", "n", "pos", "size", "hub", "open"), "postings")
         self.links = None
         self.labels = self.nodes.select("id", F.col("id").alias("component"))
