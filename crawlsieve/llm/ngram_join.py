@@ -49,7 +49,7 @@ SKETCH_BITS = 20
 PAGE = 4096
 ROUNDS = 1
 SALT = (np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344))   # two streams of a 128-bit set id
-SLICE = 4 << 20
+SLICE = 2 << 20
 SIGNATURE = 16            # 64-bit words of a set's bitmap
 FEW = 8                   # components of a list that meet without their bitmaps
 BROADCAST_BYTES = 8 << 20
