@@ -486,7 +486,6 @@ SELECT outcome, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT CASE length(p.url) % 5 WHEN 1 THEN 'EOFError' WHEN 2 THEN 'FileNotFoundError'
               ELSE CASE WHEN p.page_id % 41 = 2 THEN 'no_body' ELSE 'ok' END END AS outcome
   FROM kept k JOIN pages p ON p.url = json_extract_string(k.js, '$.url')) GROUP BY outcome""")
-ORACLE["batch_times"] = "SELECT true AS has_batches, true AS all_timed, true AS one_each"
 
 
 ORACLE["extract_strict_dedup"] = "WITH t AS (" + ORACLE["extract_main_text_strict"] + """),
@@ -522,6 +521,10 @@ SELECT crawl, substr(day, 1, 4) AS year, substr(day, 5, 2) AS month, substr(day,
        CAST(sum(len * 1.5) AS DOUBLE) AS est_bytes, min(url) AS first_url
 FROM f GROUP BY crawl, f.day, batch_no"""
 
+ORACLE["batch_times"] = _UPLOADS + """
+SELECT CAST(count(o.url) AS BIGINT) AS rows, true AS timed
+FROM (""" + with_cdx("SELECT DISTINCT crawl FROM kept") + """) c LEFT JOIN o ON o.crawl = c.crawl GROUP BY c.crawl"""
+
 ORACLE["sink_outcomes"] = with_cdx("""
 , n AS (SELECT crawl, ceil(count(*) / 50.0) AS n FROM kept GROUP BY crawl)
 SELECT * FROM (

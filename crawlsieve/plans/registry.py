@@ -638,12 +638,15 @@ def q_worker_job_twice(spark, sf_dir):
 
 @register("batch_times")
 def q_batch_times(spark, sf_dir):
-    """Every micro-batch of the worker stream has its time in the audit table."""
+    """The worker stream over one batch file per crawl, a file per micro-batch:
+    the rows of each micro-batch, and that it was timed."""
     from crawlsieve.streaming import worker
-    out = _run_worker(spark, sf_dir)
-    return worker.batch_times(spark, f"{out}_audit").agg(
-        (F.count(F.lit(1)) >= 1).alias("has_batches"), (F.min("ms") >= 0).alias("all_timed"),
-        (F.count(F.lit(1)) == F.count_distinct("batch_id")).alias("one_each"))
+    batches_dir, warc_root = _batches_with_archive_ranges(spark, sf_dir)
+    by_crawl, out = scratch_path(spark, "batches"), scratch_path(spark, "worker_out")
+    sinks.write_batches(sinks.read_batches(spark, batches_dir).repartition("crawl"), by_crawl)
+    _await(worker.start_worker(spark, by_crawl, out, scratch_path(spark, "worker_ckpt"), fixtures.WARC_TEMPLATE, warc_root, None,
+                               max_files_per_trigger=1))
+    return worker.batch_times(spark, f"{out}_audit").select("rows", (F.col("ms") > 0).alias("timed"))
 
 
 @register("stream_dedup")

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from crawlsieve.files import exists
 from crawlsieve.operators import dedup, ledger
+from crawlsieve.operators.batching import lane_of
 from crawlsieve.plans.runs import COMMIT, RunStore, observed_rows, since_reset
 from crawlsieve.sources import index as ixsrc
 from crawlsieve.sources import sinks
@@ -52,12 +53,14 @@ def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint
                  archive_template: str, archive_base: str, vocab: list[str] | None = None,
                  max_files_per_trigger: int | None = None, trigger: str | None = "availableNow",
                  audit_dir: str | None = None, query_name: str = "worker", text_mode: str = "flat",
-                 batches_format: str = "json"):
+                 batches_format: str = "json", upload_lanes: int | None = None):
     """Start the worker stream; returns the StreamingQuery.
 
     T2: at most ``max_files_per_trigger`` batch files per micro-batch
     (default: one per task slot, i.e. one in-flight message per core); of
-    stage-1 runs, that many commits (default: one).
+    stage-1 runs, that many commits (default: one).  With ``upload_lanes``
+    references to the documents are published below ``<out_dir>_state/refs`` for the
+    upload stream (T3, ``streaming.uploads``).
     """
     from crawlsieve.plans import jobs
     source = jobs.stage_one_root(spark, batches_dir)
@@ -96,6 +99,10 @@ def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint
             n = observed_rows(written)
             files = (sinks.read_documents(spark, target).select(F.input_file_name().alias("f"))
                           .agg(F.count_distinct("f")).first()[0]) if n else 0
+            if n and upload_lanes:
+                from crawlsieve.streaming import uploads
+                uploads.publish_refs(sinks.read_documents(spark, target), f"{out_dir}_state/refs", str(batch_id),
+                                     lane=lane_of(F.col("url"), upload_lanes), source=F.lit(batch_id), key=document_id(), chars=F.col("char_count"))
         except Exception:
             note(batch_id, attempt, "failed", ms=round(1000 * (time.monotonic() - began)))
             raise
@@ -107,6 +114,19 @@ def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint
     return _start(writer, trigger)
 
 
+def document_id():
+    """What names a document inside a micro-batch."""
+    return F.concat_ws(" ", "url", "timestamp")
+
+
+def documents_of_batches(spark: SparkSession, out_dir: str):
+    """For ``uploads.start_uploads``: the documents of the micro-batches named, with ``source`` and ``id``."""
+    def read(sources: list[str]) -> DataFrame:
+        docs = read_worker_output(spark, out_dir).where(F.col("run").isin(sources))
+        return docs.withColumn("source", F.col("run")).withColumn("id", document_id()).drop("run")
+    return read
+
+
 def _batches_of_commits(spark: SparkSession, source: str, commits: DataFrame, batches_format: str) -> DataFrame:
     """Batch messages of the runs that these commits end, without those of crawls reset since."""
     store = RunStore(spark, source)

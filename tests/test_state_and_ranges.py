@@ -90,6 +90,21 @@ def test_timer_closes_batches_and_files_are_batches(spark):
     assert files.where("files > 1").count() == 0 and files.agg(F.sum("n")).first()[0] == 100
 
 
+def test_worker_stream_feeds_upload_batches(spark):
+    from crawlsieve.plans.registry import _batches_with_archive_ranges
+    batches_dir, warc_root = _batches_with_archive_ranges(spark, SF001)
+    out, up = scratch_path(spark, "wo"), scratch_path(spark, "up")
+    worker.start_worker(spark, batches_dir, out, scratch_path(spark, "wc"), fixtures.WARC_TEMPLATE, warc_root, None, upload_lanes=2).awaitTermination()
+    refs = f"{out}_state/refs"
+    uploads.publish_flush(spark, refs, "flush")
+    q = uploads.start_uploads(spark, refs, up, scratch_path(spark, "c"), max_docs=4, max_bytes=1e9, trigger="200 milliseconds",
+                              documents=worker.documents_of_batches(spark, out))
+    uploads.drain(spark, q, refs, up, 120)
+    docs, files = worker.read_worker_output(spark, out), spark.read.parquet(f"{up}/uploads")
+    assert files.count() == docs.count() == files.select("url").distinct().count() > 8
+    assert files.groupBy(F.input_file_name()).count().where("count > 4").count() == 0
+
+
 # --- S3, S5 ----------------------------------------------------------------------
 
 def test_tasks_read_near_equal_bytes_and_requests_merge(spark):
