@@ -179,17 +179,18 @@ def write_ids(docs: DataFrame, folder: str, file: str, key: str = "doc_id", text
             .sortWithinPartitions(F.asc_nulls_first("doc_id"), "text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, first = TaskContext.get().partitionId(), next(slices(batches, 1), None)
+        part, cut = TaskContext.get().partitionId(), slices(batches, 1)
+        first = next(cut, None)
         if first is None:
             return
         counts = []
 
         def fill(out):
-            writer, enc, batch, rest = PlaneWriter(out, unit, block_ids), encoder(file), first, slices(batches, 1)
+            writer, enc, batch = PlaneWriter(out, unit, block_ids), encoder(file), first
             while batch is not None:
                 t = with_end(enc.encode(batch.column(1)), end_id)
                 writer.add(batch.column(0), t.ids, np.diff(t.bounds))
-                batch = next(rest, None)
+                batch = next(cut, None)       # the same cut: `first` may be one slice of many of its batch
             counts.append(writer.close())
 
         uri = f"{folder}/ids-{part:06d}.planes"

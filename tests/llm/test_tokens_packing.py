@@ -70,6 +70,22 @@ def test_file_holds_chunks_and_documents(unit):
     assert reader.doc_null.tolist() == [False, True, False, False] * 7
 
 
+def test_a_first_batch_of_many_slices_is_written_whole(spark, library):
+    """Six texts of 3 MB in one task: their one Arrow batch is cut into slices."""
+    df = spark.createDataFrame([(i, f"text {i} " * 400_000) for i in range(6)], "doc_id long, text string")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        files = token_planes.write_ids(df, shared_folder(spark), tokenizer_file())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert [f["docs"] for f in files] == [6]
+    got = token_planes.read_ids(spark, files).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == list(range(6))
+    want = [len(ids_of(library, f"text {i} " * 400_000)) + 1 for i in range(6)]
+    assert [r["n_tokens"] for r in got] == want and [r["start"] for r in got] == [sum(want[:i]) for i in range(6)]
+
+
 def test_written_files_read_back(spark, docs, rows, library):
     files = token_planes.write_ids(docs, shared_folder(spark), tokenizer_file())
     got = [tuple(r) for r in token_planes.read_ids(spark, files).orderBy("start").collect()]
