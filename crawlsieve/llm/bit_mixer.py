@@ -57,9 +57,7 @@ class BitMixer:
     def refresh(self, places) -> None:
         """Stretched probability of the slots whose counts have changed."""
         for at in places:
-            n = np.take(self.counts, at, axis=0) if isinstance(at, np.ndarray) else self.counts[at]
-            n = n.astype(np.float32) + np.float32(0.4)
-            self.stretched[at] = np.log(n[:, 1] / n[:, 0])
+            self.stretched[at] = self.stretch(np.take(self.counts, at, axis=0) if isinstance(at, np.ndarray) else self.counts[at])
         level = squash(np.linspace(-8.0, 8.0, LEVELS))
         self.refined = (self.map[:, :, 1] + 16.0 * level) / (self.map.sum(axis=2) + 16.0)
 
@@ -150,6 +148,31 @@ class BitMixer:
         """Running sum of one page."""
         return unsqueeze(raw, "<f8" if page < 0 else "<u4").astype(float if page < 0 else np.int64) + (0 if total is None else total)
 
+    @staticmethod
+    def stretch(counts: np.ndarray) -> np.ndarray:
+        """Stretched probabilities of slots, from their (zeros, ones)."""
+        n = counts.reshape(-1, 2).astype(np.float32) + np.float32(0.4)
+        return np.log(n[:, 1] / n[:, 0])
+
+    def _load_small(self, s: np.ndarray) -> None:
+        if s[0] > 0:
+            w = self.weights.size
+            self.seen = float(s[0])
+            self.weights = (s[1:1 + w] / s[0]).reshape(self.weights.shape)
+            self.map = np.rint(s[1 + w:]).astype(np.int64).reshape(self.map.shape)
+
+    def load_stretched(self, pages) -> "BitMixer":
+        """This state becomes the merged one for scoring, from pages of `stretch` and
+        the sums of weights and map (page -1); its counts stay empty."""
+        self.stretched = np.zeros(self.starts[-1], np.float16)
+        for p, s in pages:
+            if p < 0:
+                self._load_small(s)
+            else:
+                self.stretched[p * self.PAGE:(p + 1) * self.PAGE] = s
+        self.refresh([])
+        return self
+
     def load(self, sums: dict[int, np.ndarray]) -> "BitMixer":
         """This state becomes the merged one."""
         self.counts = np.zeros(self.counts.shape, np.int64)      # of all tasks
@@ -157,10 +180,7 @@ class BitMixer:
         for p, s in sums.items():
             if p >= 0:
                 pages[p] = s
-        if -1 in sums and sums[-1][0] > 0:
-            s, w = sums[-1], self.weights.size
-            self.seen = float(s[0])
-            self.weights = (s[1:1 + w] / s[0]).reshape(self.weights.shape)
-            self.map = np.rint(s[1 + w:]).astype(np.int64).reshape(self.map.shape)
+        if -1 in sums:
+            self._load_small(sums[-1])
         self.refresh(slice(p * self.PAGE, (p + 1) * self.PAGE) for p in sums if p >= 0)
         return self

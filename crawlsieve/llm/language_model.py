@@ -5,8 +5,11 @@ A text is a sequence of words and an end.  Its probability is made of bits:
 * The `HEAD` most frequent training words, the end and the `CLASSES` most frequent
   beginnings (three bytes) of all other, rare words have a Huffman code, and so
   has one symbol for rare words that begin otherwise.  Each code bit is predicted
-  from several hashed contexts (none, the last symbol, the last two, the last
-  letters of the word before), mixed by gated weights and refined (`bit_mixer`).
+  from several hashed contexts (none, the last symbol, the last letters of the
+  word before), mixed by gated weights and refined (`bit_mixer`).
+* Behind the last two symbols a symbol has the probability
+  `(max(c - PAIR_D, 0) + PAIR_D * V * mixed) / C`, from exact training counts: its own, the pair's
+  C and the V distinct symbols that follow it; `mixed` is the product of its bits.
 * A rare word behind its class has the probability
   `(max(c - D, 0) + D * V * spelling) / C`: its training count, discounted, among the
   class's C tokens and V distinct words; the discounted share goes to a second mixer
@@ -16,10 +19,11 @@ All counts cover every training document.  Word counts are a Spark aggregation
 that grows with the input; each rare word of a document meets its count in a
 join, whose keys cannot be hot, because frequent words are in the head (at
 most `HEAD` words, collected and broadcast).  Mixers learn online in every task over
-all its training rows, with as many slots as the training rows have contexts (`slot_bits`;
-not so the predictor of the last two symbols, whose slots are fixed);
+all its training rows, with as many slots as the training rows have contexts (`slot_bits`,
+bounded by the symbols and endings, not by rows);
 their states are summed in Spark, and every worker holds the sum when scoring.  Scoring is one
-more scan, whose per-document sums are joined by row number.
+more scan, whose per-document sums are joined by row number.  It deals every symbol, with its
+mixed probability, by its last two to a task that counts them all (`behind_pairs`).
 
 `base_score` is the add-one unigram of the contract.
 
@@ -55,6 +59,8 @@ SLICE = 1 << 20
 SAMPLE = 64                # one hash in so many is counted to size the predictors
 HELD_OUT = "coalesce(crc32(cast(cast({key} as string) as binary)), 0) % 7 = 2"
 LOG10_2 = math.log10(2.0)
+PAIR_D = 0.75              # discount of counts behind two symbols
+PAIR_TOKENS = 4_000_000    # training tokens a task counts behind pairs
 
 
 @dataclass
@@ -112,7 +118,7 @@ def gather(bounds: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class HeadBits:
     """Symbols of texts and the contexts, gates and bits of their codes."""
 
-    CONTEXTS, GATES = 4, GATE_DEPTH
+    CONTEXTS, GATES = 3, GATE_DEPTH
 
     def __init__(self, code: Code):
         self.code = code
@@ -146,21 +152,26 @@ class HeadBits:
             tail[inner] = hash_words(ends.dictionary)[ends.indices.to_numpy(zero_copy_only=False)][w.codes]
         return symbol, np.repeat(np.arange(n), sizes + 1), word, tail
 
+    def last_two(self, symbol: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The last symbol of its text before each token and the one before that."""
+        at = np.arange(len(symbol))
+        first = np.searchsorted(text, text)
+        head = np.maximum.accumulate(np.where(symbol > 1, at, -1)) if len(at) else at
+        before = np.concatenate([[-1], head[:-1]]) if len(at) else at
+        start = len(self.code.counts)
+        inside = before >= first
+        earlier = np.where(inside, before[np.maximum(before, 0)], -1)
+        return (np.where(inside, symbol[before], start),
+                np.where(earlier >= first, symbol[np.maximum(earlier, 0)], start))
+
     def bits(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray, mixer: BitMixer):
         """(slots, gate, bit, token) of all code bits."""
         n = len(symbol)
-        at = np.arange(n)
         first = np.searchsorted(text, text)
-        head = np.maximum.accumulate(np.where(symbol > 1, at, -1)) if n else at
-        before = np.concatenate([[-1], head[:-1]]) if n else at
         start = np.uint64(len(self.code.counts))
-        inside = before >= first
-        last = np.where(inside, symbol[before].astype(np.uint64), start)
-        earlier = np.where(inside, before[np.maximum(before, 0)], -1)
-        last2 = np.where(earlier >= first, symbol[np.maximum(earlier, 0)].astype(np.uint64), start)
-        ending = np.where(at > first, np.concatenate([[np.uint64(0)], tail[:-1]]) if n else tail, start)
-        one = mix64(last * GOLDEN + np.uint64(1))
-        contexts = [np.zeros(n, np.uint64), one, mix64(one + last2 * GOLDEN), mix64(ending + np.uint64(3))]
+        last = self.last_two(symbol, text)[0].astype(np.uint64)
+        ending = np.where(np.arange(n) > first, np.concatenate([[np.uint64(0)], tail[:-1]]) if n else tail, start)
+        contexts = [np.zeros(n, np.uint64), mix64(last * GOLDEN + np.uint64(1)), mix64(ending + np.uint64(3))]
         token, place = gather(self.code.bounds, symbol)
         node = np.take(self.nodes, place)
         gate = np.take(self.depths, place)
@@ -242,18 +253,19 @@ def make_code(counts: DataFrame, head: int = HEAD, classes: int = CLASSES) -> Co
 
 
 def merged(spark, rows: DataFrame, mixer: BitMixer) -> BitMixer:
-    """Sums the states that tasks have emitted as (page, data); the sums have the
-    size of one state."""
+    """Sums the states that tasks have emitted as (page, data).  Tasks turn the sums
+    into what scoring needs, two bytes a slot, and only that comes to the driver."""
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for page, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 sums[page] = BitMixer.add(page, raw, sums.get(page))
         for page, s in sums.items():
-            yield pa.RecordBatch.from_pydict({"page": [page], "data": [squeeze(s.astype("<f8"))]})
+            data = s.astype("<f8") if page < 0 else BitMixer.stretch(s).astype("<f2")
+            yield pa.RecordBatch.from_pydict({"page": [page], "data": [squeeze(data)]})
 
     out = rows.repartition("page").mapInArrow(merge, "page long, data binary").collect()
-    return mixer.load({r["page"]: unsqueeze(r["data"], "<f8") for r in out})
+    return mixer.load_stretched((r["page"], unsqueeze(r["data"], "<f8" if r["page"] < 0 else "<f2")) for r in out)
 
 
 class Hashed:
@@ -288,10 +300,7 @@ def train_head(docs: DataFrame, code: Code) -> BitMixer:
             yield head.bits(symbol, text, tail, Hashed)[0]
 
     texts = docs.where("train").select("text")
-    # The last two symbols have too many pairs for a worker's memory (2^27 slots on
-    # 0.1 GB): their predictor keeps a fixed size, see README.
-    none, last, _, ending = slot_bits(texts, hashes, HeadBits.CONTEXTS)
-    sizes = (none, last, SLOT_BITS, ending)
+    sizes = slot_bits(texts, hashes, HeadBits.CONTEXTS)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, mixer = HeadBits(code), BitMixer(HeadBits.CONTEXTS, HeadBits.GATES, sizes)
@@ -362,9 +371,72 @@ def rare_words(rare: DataFrame, code: Code, mixer: BitMixer) -> DataFrame:
 RARE = pa.struct([("word", pa.string()), ("n", pa.int64())])
 
 
+DEALT = "part int, row long, docs boolean, data binary"
+SCORED = ("doc_id long, row long, held_out boolean, n_bytes long, n_tokens long, n_known long, base double, own double, "
+          "rare array<struct<word:string,n:long>>, data binary")
+
+
+def columns(*arrays: np.ndarray) -> bytes:
+    """Arrays of 4 and 8 bytes a value as compressed bytes, like bytes side by side."""
+    return squeeze(np.concatenate([np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).ravel() for a in arrays]))
+
+
+def uncolumns(data: bytes, *kinds: str) -> list[np.ndarray]:
+    raw, sizes = unsqueeze(data, "u1"), [np.dtype(k).itemsize for k in kinds]
+    n, at, out = len(raw) // sum(sizes), 0, []
+    for kind, size in zip(kinds, sizes):
+        out.append(np.ascontiguousarray(raw[at:at + n * size].reshape(size, n).T).view(kind).ravel())
+        at += n * size
+    return out
+
+
+def packed(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def dealt(part: np.ndarray, key: np.ndarray, of: np.ndarray, lp: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(part, data) of the tokens: key, row in the slice and training mark, log10 probability."""
+    order = np.argsort(key, kind="stable")
+    order = order[np.argsort(part[order], kind="stable")]
+    part, key, of, lp = part[order], key[order], of[order].astype("<u4"), lp[order].astype("<f4")
+    edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+    for a, b in zip(edges, edges[1:]):
+        yield int(part[a]), columns(np.diff(key[a:b], prepend=0).astype("<i8"), of[a:b], lp[a:b])
+
+
+def behind_pairs(held: list[tuple[int, bytes]], symbols: int) -> Iterator[tuple[int, bytes]]:
+    """(first row, data) of each slice: its texts, and by how much the counts behind
+    the last two symbols change their log10 probability.  `held` has all tokens
+    of its pairs."""
+    pieces = [uncolumns(data, "<i8", "<u4", "<f4") for _, data in held]
+    key, inverse = np.unique(np.concatenate([np.cumsum(p[0]) for p in pieces]), return_inverse=True)
+    of, lp = (np.concatenate([p[i] for p in pieces]) for i in (1, 2))
+    c = np.bincount(inverse, of & 1, len(key))
+    pair = key // symbols
+    first = np.flatnonzero(np.diff(pair, prepend=-1))
+    sizes = np.diff(first, append=len(key))
+    total = np.repeat(np.add.reduceat(c, first), sizes)
+    free = np.where(total > 0, PAIR_D * np.repeat(np.add.reduceat((c > 0).astype(float), first), sizes) / np.maximum(total, 1.0), 1.0)
+    direct = np.maximum(c - PAIR_D, 0.0) / np.maximum(total, 1.0)
+    at = 0
+    for (row, _), p in zip(held, pieces):
+        part = slice(at, at := at + len(p[0]))
+        old, k = lp[part].astype(float), inverse[part]
+        change = np.log10(direct[k] + free[k] * 10.0 ** old) - old
+        texts, which = np.unique(of[part] >> 1, return_inverse=True)
+        yield row, columns(texts.astype("<u4"), np.bincount(which, change, len(texts)).astype("<f4"))
+
+
 def head_scores(docs: DataFrame, code: Code, mixer: BitMixer) -> DataFrame:
-    """Per row: sums over its head symbols, and its distinct rare words."""
-    sent = docs.sparkSession.sparkContext.broadcast((code, mixer))   # grows with the contexts
+    """Per row: sums over its head symbols, and its distinct rare words.  Further
+    rows have `data`, see `behind_pairs`."""
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast((code, mixer))   # grows with the contexts
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + code.total // PAIR_TOKENS)
+    symbols = len(code.counts) + 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, mixer = sent.value
@@ -374,7 +446,7 @@ def head_scores(docs: DataFrame, code: Code, mixer: BitMixer) -> DataFrame:
             n, w = batch.num_rows, split_words(batch.column(3))
             symbol, text, word, tail = head.symbols(w)
             slots, gate, bit, token = head.bits(symbol, text, tail, mixer)
-            own = log10_of_bits(mixer.probability(slots, gate), bit, text[token], n)
+            lp = log10_of_bits(mixer.probability(slots, gate), bit, token, len(symbol))
             frequent = (symbol > 0) & (symbol < code.first_class)
             known = frequent & (code.counts[symbol] > 0)
             base = np.bincount(text, np.where(frequent, unigram[symbol], 0.0), n)
@@ -384,15 +456,61 @@ def head_scores(docs: DataFrame, code: Code, mixer: BitMixer) -> DataFrame:
             bounds = np.searchsorted(of, np.arange(n + 1)).astype(np.int32)
             words = pa.StructArray.from_arrays([w.vocab.cast(pa.string()).take(pa.array(which)), pa.array(times.astype(np.int64))],
                                                fields=list(RARE))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(3)), pc.binary_length(batch.column(3)).cast(pa.int64()), pa.array(np.bincount(text, minlength=n).astype(np.int64)),
-                 pa.array(np.bincount(text, known, n).astype(np.int64)), pa.array(base), pa.array(own),
-                 pa.ListArray.from_arrays(pa.array(bounds), words)],
-                names=["doc_id", "row", "held_out", "n_bytes", "n_tokens", "n_known", "base", "own", "rare"])
+            row = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+            docs = pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(3)),
+                 pc.binary_length(batch.column(3)).cast(pa.int64()), pa.array(np.bincount(text, minlength=n).astype(np.int64)),
+                 pa.array(np.bincount(text, known, n).astype(np.int64)), pa.array(base), pa.array(np.bincount(text, lp, n)),
+                 pa.ListArray.from_arrays(pa.array(bounds), words), pa.nulls(n, pa.binary())],
+                names=["doc_id", "row", "held_out", "n_bytes", "n_tokens", "n_known", "base", "own", "rare", "data"])
+            last, last2 = head.last_two(symbol, text)
+            before = last2 * symbols + last
+            train = ~batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            where = (mix64(before.astype(np.uint64) * GOLDEN) % np.uint64(parts)).astype(np.int32)
+            at, data = zip(*dealt(where, before * symbols + symbol, 2 * (row - row[0])[text] + train[text], lp))
+            yield pa.RecordBatch.from_pydict({"part": pa.array([int(row[0]) % parts, *at], pa.int32()), "row": [int(row[0])] * (len(at) + 1),
+                                              "docs": [True] + [False] * len(at), "data": [packed(docs), *data]})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            for row, docs, data in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                if docs:
+                    yield from pa.ipc.open_stream(data)
+                else:
+                    held.append((row, data))
+        if held:
+            for row, data in behind_pairs(held, symbols):
+                given = {"row": pa.array([row], pa.int64()), "data": pa.array([data], pa.binary())}
+                yield pa.RecordBatch.from_arrays([given.get(n, pa.nulls(1, t)) for n, t in kinds], names=[n for n, _ in kinds])
+
+    kinds = [("doc_id", pa.int64()), ("row", pa.int64()), ("held_out", pa.bool_()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()),
+             ("n_known", pa.int64()), ("base", pa.float64()), ("own", pa.float64()), ("rare", pa.list_(RARE)), ("data", pa.binary())]
+    rows = docs.select("doc_id", "row", F.expr("not train").alias("held_out"), "text").mapInArrow(score, DEALT)
+    return rows.repartitionById(parts, F.col("part")).mapInArrow(count, SCORED)
+
+
+def changes(scored: DataFrame) -> DataFrame:
+    """(row, own): what the counts behind the last two symbols add to each row."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            text, which = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
+            own = np.bincount(which, np.concatenate([v for _, v in held]), len(text))
+            return pa.RecordBatch.from_arrays([pa.array(text.astype(np.int64) + now), pa.array(own)], names=["row", "own"])
+
+        now, held = None, []
+        for batch in batches:
+            for row, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if row != now and held:
+                    yield out()
+                    held = []
+                now = row
+                held.append(uncolumns(data, "<u4", "<f4"))
+        if held:
+            yield out()
 
-    return docs.select("doc_id", "row", F.expr("not train").alias("held_out"), "text").mapInArrow(
-        score, "doc_id long, row long, held_out boolean, n_bytes long, n_tokens long, n_known long, base double, own double, "
-               "rare array<struct<word:string,n:long>>")
+    rows = scored.where("data is not null").select("row", "data")
+    return rows.repartition("row").sortWithinPartitions("row").mapInArrow(add, "row long, own double")
 
 
 def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
@@ -406,10 +524,13 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", head:
     rare = counts.join(F.broadcast(few), "word", "left_anti")
     spelling = train_spelling(rare, code)
     mixer = train_head(rows, code)
-    scored = stored(head_scores(rows, code, mixer), "head")
+    both = stored(head_scores(rows, code, mixer), "head")
+    scored = both.where("data is null").drop("data")
     words = rare_words(rare, code, spelling)
     used = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
-    sums = (used.join(words, "word").groupBy("row")
+    found = used.join(words, "word").select("row", "n", "known", "own", "base").unionByName(
+        changes(both).select("row", F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("known"), "own", F.lit(0.0).alias("base")))
+    sums = (found.groupBy("row")
             .agg(F.sum(F.col("n") * F.col("known")).alias("rare_known"), F.sum(F.col("n") * F.col("own")).alias("rare_own"),
                  F.sum(F.col("n") * F.col("base")).alias("rare_base")))
     zero = F.lit(0)

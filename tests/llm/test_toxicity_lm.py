@@ -165,6 +165,54 @@ def test_base_scores_and_counts(docs, rows):
         assert g["score"] < 0 and math.isfinite(g["score"]) and g["bits_per_byte"] > 0
 
 
+def test_counts_behind_the_last_two_symbols_are_exact(spark, docs, rows):
+    """Every pair of symbols has counts of its own, over the slices of all tasks."""
+    spread = docs.repartition(5).select("doc_id", F.monotonically_increasing_id().alias("row"),
+                                        F.coalesce("text", F.lit("")).alias("text"),
+                                        F.expr(f"not ({lm.HELD_OUT.format(key='doc_id')})").alias("train"))
+    code = lm.make_code(lm.word_counts(spread), head=40)
+    mixer = lm.train_head(spread, code)
+    both = lm.head_scores(spread, code, mixer).cache()
+    got = {r["row"]: r["own"] for r in lm.changes(both).collect()}
+    head, tokens, c, total, kinds = lm.HeadBits(code), [], Counter(), Counter(), Counter()
+    for r in spread.collect():
+        symbol, text, _, tail = head.symbols(split_words(pa.array([r["text"]])))
+        slots, gate, bit, token = head.bits(symbol, text, tail, mixer)
+        p = 10 ** lm.log10_of_bits(mixer.probability(slots, gate), bit, token, len(symbol))
+        known, pairs = [code.first_class + 10_000] * 2, []
+        for s in symbol.tolist():
+            pairs.append((tuple(known[-2:]), s))
+            known += [s] if s > 1 else []
+        tokens.append((r["row"], pairs, p))
+        if r["train"]:
+            c.update(pairs)
+    for (pair, _), n in c.items():
+        total[pair] += n
+        kinds[pair] += 1
+    want = {}
+    for row, pairs, p in tokens:
+        for (pair, s), q in zip(pairs, p.tolist()):
+            n = total[pair]
+            new = (max(c[pair, s] - lm.PAIR_D, 0) + lm.PAIR_D * kinds[pair] * q) / n if n else q
+            want[row] = want.get(row, 0.0) + math.log10(new / q)
+    assert got.keys() == want.keys() and len(got) == len(rows)
+    assert all(got[r] == pytest.approx(want[r], rel=1e-4, abs=1e-4) for r in got)
+    assert both.where("data is null").count() == len(rows)
+
+
+def test_states_for_scoring_are_those_of_the_merged_counts():
+    m = BitMixer(2, 1, slot_bits=12)
+    rng = np.random.default_rng(4)
+    slots, bit = [rng.integers(0, 1 << 12, 5_000) for _ in range(2)], rng.integers(0, 2, 5_000)
+    m.learn(slots, np.zeros(5_000, np.int64), bit)
+    sums = {p: BitMixer.add(p, raw, None) for p, raw in m.rows()}
+    whole = BitMixer(2, 1, slot_bits=12).load(sums)
+    sent = BitMixer(2, 1, slot_bits=12).load_stretched((p, s if p < 0 else BitMixer.stretch(s).astype("<f2")) for p, s in sums.items())
+    assert (sent.stretched == whole.stretched.astype(np.float16)).all() and not sent.counts.any()
+    gate = np.zeros(5_000, np.int64)
+    assert np.allclose(sent.probability(slots, gate), whole.probability(slots, gate), atol=1e-3)
+
+
 def test_lm_without_rows(spark, empty):
     assert lm.score_texts(empty).collect() == []
     held = [i for i in range(100) if plain.fold(i, 7) == 2][:3]
