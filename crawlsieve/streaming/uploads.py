@@ -169,6 +169,22 @@ def start_uploads(spark: SparkSession, refs_dir: str, out_dir: str, checkpoint:
         spark.conf.set(PROVIDER, before)
 
 
+def await_taken(query, offset: int, seconds: float = 600) -> None:
+    """Wait until a micro-batch has ended that took what was published at ``offset`` (0, 1, ...).
+    Where every publication waits for the one before, each is one micro-batch."""
+    until = time.monotonic() + seconds
+    while True:
+        progress = query.lastProgress
+        end = json.loads(progress.json)["sources"][0]["endOffset"] if progress else None
+        if end and end["logOffset"] >= offset:
+            return
+        if query.exception() is not None:
+            raise query.exception()
+        if time.monotonic() > until:
+            raise TimeoutError(f"publication {offset} was not taken within {seconds} seconds")
+        time.sleep(0.1)
+
+
 def drain(spark: SparkSession, query, refs_dir: str, out_dir: str, seconds: float = 600) -> None:
     """Wait until every published reference is in a closed batch (after a flush), then stop."""
     until = time.monotonic() + seconds

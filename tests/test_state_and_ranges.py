@@ -90,6 +90,40 @@ def test_timer_closes_batches_and_files_are_batches(spark):
     assert files.where("files > 1").count() == 0 and files.agg(F.sum("n")).first()[0] == 100
 
 
+def test_arrivals_of_many_files_are_one_micro_batch_each(spark, monkeypatch):
+    """worker_stream_batches: many tasks read and publish an arrival; batches are those of its order."""
+    from crawlsieve.plans import run_queries
+    tasks, arrivals, publish = [], [], uploads.publish_refs
+    rng = random.Random(8)
+    rows = [(i, i % 4, rng.randrange(500, 9000)) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, lane long, n int").select("doc_id", "lane", F.expr("repeat('x', n)").alias("text"))
+    monkeypatch.setattr(run_queries, "_lanes", lambda *a: docs.repartition(6))
+
+    def publish_refs(df, folder, name, *a):
+        tasks.append(df.rdd.getNumPartitions())
+        arrivals.append(df.count())
+        return publish(df, folder, name, *a)
+
+    monkeypatch.setattr(uploads, "publish_refs", publish_refs)
+    opened = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))       # a task for each file
+    try:
+        got = run_queries.q_worker_stream_batches(spark, SF001).collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", opened)
+    assert arrivals == [120] * 5 and min(tasks) > 1
+    want = []
+    for lane in range(4):
+        sizes = [n for _, of, n in rows if of == lane]
+        b = uploads.OpenBatch(10, 40000, 1 << 60, None)
+        b.add([["documents", str(i), n] for i, n in enumerate(sizes)], 0)
+        b.flush()
+        for number in range(b.number):
+            of = [c for c in b.closed if c[0] == number]
+            want.append((lane, number, of[0][1], len(of), sum(c[4] for c in of) * 1.5))
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_worker_stream_feeds_upload_batches(spark):
     from crawlsieve.plans.registry import _batches_with_archive_ranges
     batches_dir, warc_root = _batches_with_archive_ranges(spark, SF001)
