@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crawlsieve.sources.ranged import work_partitions
+
 # Special tokens, and the single characters every vocabulary holds.
 SPECIAL_TOKENS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
 BASE_CHARS = list("abcdefghijklmnopqrstuvwxyz0123456789") + list(".,;:!?'\"-()[]{}/&%$#@*+=<>_|~^`\\")
@@ -37,7 +39,9 @@ def vocab_from_words(words: list[str]) -> list[str]:
 
 def fit_vocab(df: DataFrame, text: str = "text", size: int = 8000) -> list[str]:
     """Top ``size`` lower-cased words by count (ties: word ascending)."""
-    words = (df.select(F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+")).alias("w"))
+    # dealt out first: a file of one row group would be split by one task alone
+    texts = df.select(F.col(text).alias("text")).repartition(work_partitions(df.sparkSession))
+    words = (texts.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("w"))
                .where(F.length("w") > 1)
                .groupBy("w").count()
                .orderBy(F.desc("count"), F.asc("w"))

@@ -97,8 +97,7 @@ def start_worker(spark: SparkSession, batches_dir: str, out_dir: str, checkpoint
             docs = jobs.documents_of(records, vocab, keep=sinks.ORIGIN).observe(written, F.count(F.lit(1)).alias("rows"))
             sinks.write_documents(sinks.by_day(docs), target, mode="overwrite", above=sinks.ORIGIN)
             n = observed_rows(written)
-            files = (sinks.read_documents(spark, target).select(F.input_file_name().alias("f"))
-                          .agg(F.count_distinct("f")).first()[0]) if n else 0
+            files = len(sinks.read_documents(spark, target).inputFiles()) if n else 0     # listed, not opened
             if n and upload_lanes:
                 from crawlsieve.streaming import uploads
                 uploads.publish_refs(sinks.read_documents(spark, target), f"{out_dir}_state/refs", str(batch_id),
