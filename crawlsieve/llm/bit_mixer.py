@@ -26,10 +26,24 @@ STEP = 1 << 16            # bits per weight update
 CONSTANT = 0.3            # input of the bias weight
 
 
+
 def squash(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-x))
 
 
+@dataclass
+class Shared:
+    """Slots of one predictor that many bits share: the bit that each codes and how many times,
+    and the place of each bit's slot among them."""
+    slots: np.ndarray
+    at: np.ndarray
+    bit: np.ndarray
+    times: np.ndarray
+
+
+Slots = np.ndarray | Shared    # of one predictor; an array has the slot of each bit
+
+
 @dataclass
 class BitMixer:
     contexts: int
@@ -51,13 +65,18 @@ class BitMixer:
         if self.map is None:
             self.map = np.zeros((self.gates, LEVELS, 2), np.int64)
         self.slopes = np.full_like(self.weights, 1e-4)
-        self.stretched = np.zeros(self.starts[-1], np.float32)
-        self.refresh([])
-
-    def refresh(self, places) -> None:
-        """Stretched probability of the slots whose counts have changed."""
-        for at in places:
-            self.stretched[at] = self.stretch(np.take(self.counts, at, axis=0) if isinstance(at, np.ndarray) else self.counts[at])
+        self.known = None        # stretched probabilities of all slots; None: those of the counts
+        self.refresh()
+
+    @property
+    def stretched(self) -> np.ndarray:
+        """Stretched probability of each slot."""
+        if self.known is None:
+            self.known = np.concatenate([self.stretch(self.counts[a:a + STEP]) for a in range(0, len(self.counts), STEP)])
+        return self.known
+
+    def refresh(self) -> None:
+        """The final map as counted."""
         level = squash(np.linspace(-8.0, 8.0, LEVELS))
         self.refined = (self.map[:, :, 1] + 16.0 * level) / (self.map.sum(axis=2) + 16.0)
 
@@ -73,8 +92,17 @@ class BitMixer:
         h *= np.uint32(0xC2B2AE35)
         return h.astype(np.int64)
 
-    def _inputs(self, slots: list[np.ndarray]) -> list[np.ndarray]:
-        return [np.take(self.stretched[a:], s, mode="clip") for a, s in zip(self.starts, slots)]
+    def _values(self, slots: list[Slots], counted: bool) -> list[tuple[np.ndarray, np.ndarray | None]]:
+        """Per predictor, stretched probabilities and the place of each bit's among them (none: one a
+        bit); `counted`: from the counts, without those of all slots."""
+        each = [(s.slots, s.at) if isinstance(s, Shared) else (s, None) for s in slots]
+        if counted:
+            return [(self.stretch(np.take(self.counts, s + a, axis=0)), at) for a, (s, at) in zip(self.starts, each)]
+        return [(np.take(self.stretched[a:], s, mode="clip"), at) for a, (s, at) in zip(self.starts, each)]
+
+    @staticmethod
+    def _inputs(values: list[tuple[np.ndarray, np.ndarray | None]], part: slice) -> list[np.ndarray]:
+        return [v[part] if at is None else np.take(v, at[part], mode="clip") for v, at in values]
 
     def _mix(self, inputs: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
         w = np.ascontiguousarray(self.weights.T, np.float32)
@@ -91,23 +119,23 @@ class BitMixer:
         mapped = np.take(flat, low, mode="clip") * (1.0 - part) + np.take(flat, low + 1, mode="clip") * part
         return np.clip(0.5 * (squash(x) + mapped), LIMIT, 1.0 - LIMIT)
 
-    def probability(self, slots: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
+    def probability(self, slots: list[Slots], gate: np.ndarray) -> np.ndarray:
         """Probability that each bit is one."""
-        out = np.empty(len(gate))
+        out, values = np.empty(len(gate)), self._values(slots, False)
         for a in range(0, len(gate), STEP):
             part = slice(a, a + STEP)
-            out[part] = self._refine(self._mix(self._inputs([s[part] for s in slots]), gate[part]), gate[part])
+            out[part] = self._refine(self._mix(self._inputs(values, part), gate[part]), gate[part])
         return out
 
-    def learn(self, slots: list[np.ndarray], gate: np.ndarray, bit: np.ndarray, rate: float = 0.02) -> None:
+    def learn(self, slots: list[Slots], gate: np.ndarray, bit: np.ndarray, rate: float = 0.02) -> None:
         """One pass over bits in order: mix, correct the weights, then count."""
         n = len(bit)
         if not n:
             return
-        places = np.zeros(self.map.size, np.int64)
+        places, values = np.zeros(self.map.size, np.int64), self._values(slots, True)
         for a in range(0, n, STEP):
             part = slice(a, min(n, a + STEP))
-            g, b, inputs = gate[part], bit[part], self._inputs([s[part] for s in slots])
+            g, b, inputs = gate[part], bit[part], self._inputs(values, part)
             x = self._mix(inputs, g)
             error = b - squash(x)
             share = np.maximum(np.bincount(g, minlength=self.gates), 1)
@@ -118,11 +146,15 @@ class BitMixer:
             level = np.clip(x * np.float32((LEVELS - 1) / 16.0) + np.float32((LEVELS - 1) / 2 + 0.5), 0, LEVELS - 1).astype(np.int64)
             places += np.bincount((g * LEVELS + level) * 2 + b, minlength=self.map.size)
         self.map += places.reshape(self.map.shape)
-        flat, one = self.counts.reshape(-1), self.counts.dtype.type(1)
+        flat, kind = self.counts.reshape(-1), self.counts.dtype
         for a, s in zip(self.starts, slots):
-            np.add.at(flat, (s + a) * 2 + bit, one)
+            if isinstance(s, Shared):
+                np.add.at(flat, (s.slots + a) * 2 + s.bit, s.times.astype(kind))
+            else:
+                np.add.at(flat, (s + a) * 2 + bit, kind.type(1))
         self.seen += n
-        self.refresh(s + a for a, s in zip(self.starts, slots))
+        self.known = None
+        self.refresh()
 
     # states as rows, so that Spark can merge those of many tasks
 
@@ -131,10 +163,10 @@ class BitMixer:
     def __getstate__(self) -> dict:
         """What scoring needs: a state that is sent can predict, not learn."""
         return {"contexts": self.contexts, "gates": self.gates, "slot_bits": self.slot_bits, "starts": self.starts, "weights": self.weights,
-                "refined": self.refined, "stretched": self.stretched.astype(np.float16)}
+                "refined": self.refined, "known": self.stretched.astype(np.float16)}
 
     def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state, stretched=state["stretched"].astype(np.float32))
+        self.__dict__.update(state, known=state["known"].astype(np.float32))
 
     def rows(self) -> list[tuple[int, bytes]]:
         """(page, bytes): non-empty pages of counts, then weights and map."""
@@ -164,13 +196,13 @@ class BitMixer:
     def load_stretched(self, pages) -> "BitMixer":
         """This state becomes the merged one for scoring, from pages of `stretch` and
         the sums of weights and map (page -1); its counts stay empty."""
-        self.stretched = np.zeros(self.starts[-1], np.float16)
+        self.known = np.zeros(self.starts[-1], np.float16)
         for p, s in pages:
             if p < 0:
                 self._load_small(s)
             else:
-                self.stretched[p * self.PAGE:(p + 1) * self.PAGE] = s
-        self.refresh([])
+                self.known[p * self.PAGE:(p + 1) * self.PAGE] = s
+        self.refresh()
         return self
 
     def load(self, sums: dict[int, np.ndarray]) -> "BitMixer":
@@ -182,5 +214,6 @@ class BitMixer:
                 pages[p] = s
         if -1 in sums:
             self._load_small(sums[-1])
-        self.refresh(slice(p * self.PAGE, (p + 1) * self.PAGE) for p in sums if p >= 0)
+        self.known = None
+        self.refresh()
         return self

@@ -16,9 +16,9 @@ A text is a sequence of words and an end.  Its probability is made of bits:
   that spells words byte by byte from hashed letter contexts.
 
 All counts cover every training document.  Word counts are a Spark aggregation
-that grows with the input; each rare word of a document meets its count in a
-join, whose keys cannot be hot, because frequent words are in the head (at
-most `HEAD` words, collected and broadcast).  Mixers learn online in every task over
+that grows with the input; each rare word of a document is dealt by its hash to a task
+that counts and spells it (`behind_classes`).  Its keys cannot be hot, because frequent
+words are in the head (at most `HEAD` words, collected and broadcast).  Mixers learn online in every task over
 all its training rows, with as many slots as the training rows have contexts (`slot_bits`,
 bounded by the symbols and endings, not by rows);
 their states are summed in Spark, and every worker holds the sum when scoring.  Scoring is one
@@ -41,12 +41,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlsieve.llm.bit_mixer import SLOT_BITS, BitMixer
+from crawlsieve.llm.bit_mixer import SLOT_BITS, BitMixer, Shared
 from crawlsieve.llm.common import register, slices, squeeze, stored, table, unsqueeze
 from crawlsieve.llm.words import GOLDEN, Words, hash_words, mix64, split_words
 
@@ -56,6 +57,7 @@ BEGIN = 3                  # bytes of a beginning
 END = "\n"                 # no word holds a blank
 GATE_DEPTH = 12
 SLICE = 1 << 20
+BLOCK = 1 << 12            # symbols scored at once
 SAMPLE = 64                # one hash in so many is counted to size the predictors
 HELD_OUT = "coalesce(crc32(cast(cast({key} as string) as binary)), 0) % 7 = 2"
 LOG10_2 = math.log10(2.0)
@@ -115,6 +117,61 @@ def gather(bounds: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.repeat(bounds[of] - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+def pairs(bounds: np.ndarray, nodes: np.ndarray, symbol: np.ndarray, contexts: list[np.ndarray], mixer):
+    """Per predictor: the different (context, symbol) pair of each token, where each
+    pair's code bits begin; of all pairs' code bits, the pair, the place in the code and the slot."""
+    n = len(bounds) - 1
+    for i, context in enumerate(contexts):
+        pair, kinds = pd.factorize(context.astype(np.int64) * n + symbol)
+        of = kinds % n
+        owner, place = gather(bounds, of)
+        sizes = bounds[of + 1] - bounds[of]
+        yield pair, np.cumsum(sizes) - sizes, owner, place, mixer.slots((kinds // n).astype(np.uint32)[owner], nodes[place], i)
+
+
+def shared(bounds: np.ndarray, nodes: np.ndarray, bits: np.ndarray, symbol: np.ndarray, contexts: list[np.ndarray], mixer: BitMixer):
+    """(slots, token, place in the code) of all code bits.  Equal (context, symbol) pairs share their slots."""
+    token, place = gather(bounds, symbol)
+    sizes = bounds[symbol + 1] - bounds[symbol]
+    nth, begin, out = np.arange(len(token), dtype=np.int32), np.cumsum(sizes) - sizes, []
+    for pair, first, owner, at, slots in pairs(bounds, nodes, symbol, contexts, mixer):
+        out.append(Shared(slots, np.repeat((first[pair] - begin).astype(np.int32), sizes) + nth, bits[at],
+                          np.bincount(pair, minlength=len(first))[owner]))
+    return out, token, place
+
+
+def each_bit(slots: list[Shared]) -> list[np.ndarray]:
+    return [s.slots[s.at] for s in slots]
+
+
+def different(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each row among the different ones, a place of each of those)."""
+    at = np.zeros(len(keys[0]), np.int64)
+    for key in keys:      # below 2^32
+        at = pd.factorize((at << 32) + key.astype(np.int64))[0]
+    place = np.zeros(int(at.max()) + 1 if len(at) else 0, np.int64)
+    place[at] = np.arange(len(at))
+    return at, place
+
+
+def log10_of_codes(bounds: np.ndarray, nodes: np.ndarray, bits: np.ndarray, depths: np.ndarray, symbol: np.ndarray,
+                   contexts: list[np.ndarray], mixer: BitMixer) -> np.ndarray:
+    """log10 probability of each symbol in its contexts, a block at a time."""
+    out = np.empty(len(symbol))
+    for a in range(0, len(symbol), BLOCK):
+        part = slice(a, a + BLOCK)
+        owner, place = gather(bounds, symbol[part])
+        node = nodes[place]
+        slots = [mixer.slots(c[part][owner], node, i) for i, c in enumerate(contexts)]
+        out[part] = log10_of_bits(mixer.probability(slots, depths[place]), bits[place], owner, len(out[part]))
+    return out
+
+
+def first_of(text: np.ndarray) -> np.ndarray:
+    """The first place of the same number, of ascending numbers."""
+    return np.maximum.accumulate(np.where(np.diff(text, prepend=-1) != 0, np.arange(len(text)), 0))
+
+
 class HeadBits:
     """Symbols of texts and the contexts, gates and bits of their codes."""
 
@@ -155,7 +212,7 @@ class HeadBits:
     def last_two(self, symbol: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The last symbol of its text before each token and the one before that."""
         at = np.arange(len(symbol))
-        first = np.searchsorted(text, text)
+        first = first_of(text)
         head = np.maximum.accumulate(np.where(symbol > 1, at, -1)) if len(at) else at
         before = np.concatenate([[-1], head[:-1]]) if len(at) else at
         start = len(self.code.counts)
@@ -164,18 +221,34 @@ class HeadBits:
         return (np.where(inside, symbol[before], start),
                 np.where(earlier >= first, symbol[np.maximum(earlier, 0)], start))
 
-    def bits(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray, mixer: BitMixer):
-        """(slots, gate, bit, token) of all code bits."""
+    def contexts(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray) -> list[np.ndarray]:
         n = len(symbol)
-        first = np.searchsorted(text, text)
+        first = first_of(text)
         start = np.uint64(len(self.code.counts))
         last = self.last_two(symbol, text)[0].astype(np.uint64)
         ending = np.where(np.arange(n) > first, np.concatenate([[np.uint64(0)], tail[:-1]]) if n else tail, start)
-        contexts = [np.zeros(n, np.uint64), mix64(last * GOLDEN + np.uint64(1)), mix64(ending + np.uint64(3))]
-        token, place = gather(self.code.bounds, symbol)
-        node = np.take(self.nodes, place)
-        gate = np.take(self.depths, place)
-        return [mixer.slots(low32(c)[token], node, i) for i, c in enumerate(contexts)], gate, np.take(self.code.bits, place), token
+        return [low32(c) for c in (np.zeros(n, np.uint64), mix64(last * GOLDEN + np.uint64(1)), mix64(ending + np.uint64(3)))]
+
+    def hashes(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray) -> list[np.ndarray]:
+        """Whole hashes of the code bits of each predictor's different pairs of context and symbol."""
+        return [h for *_, h in pairs(self.code.bounds, self.nodes, symbol, self.contexts(symbol, text, tail), Hashed)]
+
+    def log10(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray, mixer: BitMixer) -> np.ndarray:
+        """log10 probability of each token; equal symbols in equal contexts are scored once."""
+        contexts = self.contexts(symbol, text, tail)
+        at, place = different(symbol, *contexts[1:])
+        return log10_of_codes(self.code.bounds, self.nodes, self.code.bits, self.depths, symbol[place],
+                              [c[place] for c in contexts], mixer)[at]
+
+    def shared_bits(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray, mixer: BitMixer):
+        """(slots, gate, bit, token) of all code bits; see `bit_mixer.Shared`."""
+        slots, token, place = shared(self.code.bounds, self.nodes, self.code.bits, symbol, self.contexts(symbol, text, tail), mixer)
+        return slots, np.take(self.depths, place), np.take(self.code.bits, place), token
+
+    def bits(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray, mixer: BitMixer):
+        """As `shared_bits`, with the slot of each bit."""
+        slots, *rest = self.shared_bits(symbol, text, tail, mixer)
+        return each_bit(slots), *rest
 
 
 def low32(h: np.ndarray) -> np.ndarray:
@@ -197,24 +270,46 @@ class Spelling:
         sizes = np.diff(self.bounds)
         self.depths = np.minimum(np.arange(len(nodes)) - np.repeat(self.bounds[:-1], sizes), GATE_DEPTH - 1)
 
-    def bits(self, words: list[bytes], mixer: BitMixer):
-        """(slots, gate, bit, word, byte of the word) of all code bits."""
+    def letters(self, words: list[bytes]):
+        """(byte, contexts, word, byte of the word, the four bytes before) of all bytes."""
         sizes = np.array([len(w) + 1 for w in words], np.int64)
         raw = np.frombuffer(b"".join(w + b"\0" for w in words), np.uint8)
         data = raw.astype(np.uint64)
         word = np.repeat(np.arange(len(words)), sizes)
         nth = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        owner, place = gather(self.bounds, raw.astype(np.int64))
-        node = np.take(self.nodes, place)
-        slots, h = [], np.full(len(data), np.uint64(11))
+        contexts, h, behind = [], np.full(len(data), np.uint64(11)), np.zeros(len(data), np.uint64)
         for back in range(1, 5):   # the last one to four bytes
             before = np.zeros(len(data), np.uint64)
             before[back:] = data[:-back] + np.uint64(1)
             before[nth < back] = 0
             h = mix64(h * GOLDEN + before)
-            slots.append(mixer.slots(low32(h)[owner], node, back - 1))
+            contexts.append(low32(h))
+            behind = behind << np.uint64(9) | before
+        return raw.astype(np.int64), contexts, word, nth, behind
+
+    def hashes(self, words: list[bytes]) -> list[np.ndarray]:
+        """Whole hashes of the code bits of each predictor's different pairs of context and byte."""
+        letter, contexts, *_ = self.letters(words)
+        return [h for *_, h in pairs(self.bounds, self.nodes, letter, contexts, Hashed)]
+
+    def log10(self, words: list[bytes], mixer: BitMixer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log10 probability, word, byte of the word) of all bytes; equal bytes behind equal ones are scored once."""
+        letter, contexts, word, nth, behind = self.letters(words)
+        at, place = different(letter, behind >> np.uint64(18), behind & np.uint64((1 << 18) - 1))
+        lp = log10_of_codes(self.bounds, self.nodes, self.coded, self.depths, letter[place], [c[place] for c in contexts], mixer)
+        return lp[at], word, nth
+
+    def shared_bits(self, words: list[bytes], mixer: BitMixer):
+        """(slots, gate, bit, word, byte of the word) of all code bits; see `bit_mixer.Shared`."""
+        letter, contexts, word, nth, _ = self.letters(words)
+        slots, owner, place = shared(self.bounds, self.nodes, self.coded, letter, contexts, mixer)
         return slots, np.take(self.depths, place), np.take(self.coded, place), word[owner], nth[owner]
 
+    def bits(self, words: list[bytes], mixer: BitMixer):
+        """As `shared_bits`, with the slot of each bit."""
+        slots, *rest = self.shared_bits(words, mixer)
+        return each_bit(slots), *rest
+
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) of all words of all rows (text, train); c counts training rows' only."""
@@ -297,7 +392,7 @@ def train_head(docs: DataFrame, code: Code) -> BitMixer:
         head = HeadBits(code)
         for batch in slices(batches, 0, SLICE):
             symbol, text, _, tail = head.symbols(split_words(batch.column(0)))
-            yield head.bits(symbol, text, tail, Hashed)[0]
+            yield head.hashes(symbol, text, tail)
 
     texts = docs.where("train").select("text")
     sizes = slot_bits(texts, hashes, HeadBits.CONTEXTS)
@@ -306,7 +401,7 @@ def train_head(docs: DataFrame, code: Code) -> BitMixer:
         head, mixer = HeadBits(code), BitMixer(HeadBits.CONTEXTS, HeadBits.GATES, sizes)
         for batch in slices(batches, 0, SLICE):
             symbol, text, _, tail = head.symbols(split_words(batch.column(0)))
-            slots, gate, bit, _ = head.bits(symbol, text, tail, mixer)
+            slots, gate, bit, _ = head.shared_bits(symbol, text, tail, mixer)
             mixer.learn(slots, gate, bit)
         if mixer.seen:
             pages, data = zip(*mixer.rows())
@@ -321,7 +416,7 @@ def train_spelling(rare: DataFrame, code: Code) -> BitMixer:
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         spelling = Spelling(code)
         for batch in slices(batches, 0, SLICE // 4):
-            yield spelling.bits([w.encode() for w in batch.column(0).to_pylist()], Hashed)[0]
+            yield spelling.hashes([w.encode() for w in batch.column(0).to_pylist()])
 
     words = rare.where("c > 0").select("word")
     sizes = slot_bits(words, hashes, Spelling.CONTEXTS)
@@ -329,7 +424,7 @@ def train_spelling(rare: DataFrame, code: Code) -> BitMixer:
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelling, mixer = Spelling(code), BitMixer(Spelling.CONTEXTS, Spelling.GATES, sizes)
         for batch in slices(batches, 0, SLICE // 4):
-            slots, gate, bit, *_ = spelling.bits([w.encode() for w in batch.column(0).to_pylist()], mixer)
+            slots, gate, bit, *_ = spelling.shared_bits([w.encode() for w in batch.column(0).to_pylist()], mixer)
             mixer.learn(slots, gate, bit)
         if mixer.seen:
             pages, data = zip(*mixer.rows())
@@ -340,40 +435,42 @@ def train_spelling(rare: DataFrame, code: Code) -> BitMixer:
 
 
 def log10_of_bits(p: np.ndarray, bit: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
-    return np.bincount(of, np.log10(np.where(bit == 1, p, 1.0 - p)), n)
+    return np.bincount(of, np.log(np.where(bit == 1, p, 1.0 - p)), n) / math.log(10.0)
 
 
-def rare_words(rare: DataFrame, code: Code, mixer: BitMixer) -> DataFrame:
-    """(word, known, own, base): log10 probability of each rare word behind its
+def spelled(words: pa.Array, c: np.ndarray, code: Code, mixer: BitMixer, head: HeadBits, spelling: Spelling) -> tuple[np.ndarray, np.ndarray]:
+    """(own, base): log10 probability of rare words with training counts `c` behind their
     class, and by the add-one unigram."""
+    n, kind = len(words), head.classes(words.cast(pa.string()))
+    lp, word, nth = spelling.log10(words.cast(pa.binary()).to_pylist(), mixer)
+    given = (kind[word] > 0) & (nth < BEGIN)       # the class tells these bytes
+    letters = np.bincount(word, np.where(given, 0.0, lp), n)
+    tokens, free = np.maximum(code.counts[kind], 1), code.discount * np.maximum(code.types[kind], 1)
+    unseen = np.log10(np.minimum(free / tokens, 1.0)) + letters
+    seen = np.log10((np.maximum(c - code.discount, 1e-9) + free * 10.0 ** letters) / tokens)
+    return np.where(c > 0, seen, unseen), np.log10((c + 1.0) / (code.total + code.distinct + 1.0))
+
+
+def rare_words(rare: DataFrame, code: Code, mixer: BitMixer) -> DataFrame:
+    """(word, known, own, base) of each rare word, see `spelled`."""
     sent = rare.sparkSession.sparkContext.broadcast((code, mixer))     # grows with the contexts
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, mixer = sent.value
-        head, spelled = HeadBits(code), Spelling(code)
+        head, spelling = HeadBits(code), Spelling(code)
         for batch in slices(batches, 0, SLICE // 4):
-            n, c = batch.num_rows, batch.column(1).to_numpy(zero_copy_only=False).astype(float)
-            kind = head.classes(batch.column(0).cast(pa.string()))
-            slots, gate, bit, word, nth = spelled.bits([w.encode() for w in batch.column(0).to_pylist()], mixer)
-            lp = np.log10(np.where(bit == 1, p := mixer.probability(slots, gate), 1.0 - p))
-            given = (kind[word] > 0) & (nth < BEGIN)       # the class tells these bytes
-            spelling = np.bincount(word, np.where(given, 0.0, lp), n)
-            tokens, free = np.maximum(code.counts[kind], 1), code.discount * np.maximum(code.types[kind], 1)
-            unseen = np.log10(np.minimum(free / tokens, 1.0)) + spelling
-            seen = np.log10((np.maximum(c - code.discount, 1e-9) + free * 10.0 ** spelling) / tokens)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array((c > 0).astype(np.int64)), pa.array(np.where(c > 0, seen, unseen)),
-                 pa.array(np.log10((c + 1.0) / (code.total + code.distinct + 1.0)))], names=["word", "known", "own", "base"])
+            c = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
+            own, base = spelled(batch.column(0), c, code, mixer, head, spelling)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array((c > 0).astype(np.int64)), pa.array(own), pa.array(base)],
+                                             names=["word", "known", "own", "base"])
 
     return rare.select("word", "c").mapInArrow(spell, "word string, known long, own double, base double")
 
 
-RARE = pa.struct([("word", pa.string()), ("n", pa.int64())])
-
-
-DEALT = "part int, row long, docs boolean, data binary"
+DOCS, SYMBOLS, WORDS = 0, 1, 2      # kinds of rows that are dealt
+DEALT = "part int, row long, kind int, data binary"
 SCORED = ("doc_id long, row long, held_out boolean, n_bytes long, n_tokens long, n_known long, base double, own double, "
-          "rare array<struct<word:string,n:long>>, data binary")
+          "kind int, data binary")
 
 
 def columns(*arrays: np.ndarray) -> bytes:
@@ -430,11 +527,56 @@ def behind_pairs(held: list[tuple[int, bytes]], symbols: int) -> Iterator[tuple[
         yield row, columns(texts.astype("<u4"), np.bincount(which, change, len(texts)).astype("<f4"))
 
 
-def head_scores(docs: DataFrame, code: Code, mixer: BitMixer) -> DataFrame:
-    """Per row: sums over its head symbols, and its distinct rare words.  Further
-    rows have `data`, see `behind_pairs`."""
+def dealt_words(part: np.ndarray, words: pa.Array, of: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(part, data) of rare words: row in the slice and training mark, times in the text, word."""
+    order = np.argsort(part, kind="stable")
+    part, of, n = part[order], of[order].astype("<u4"), n[order].astype("<u4")
+    words = words.take(pa.array(order))
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype("<u4")
+    ends, raw = np.cumsum(sizes, dtype=np.int64), words.to_numpy(zero_copy_only=False)
+    edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+    for a, b in zip(edges, edges[1:]):
+        letters = np.frombuffer(b"".join(raw[a:b]), np.uint8)
+        yield int(part[a]), columns(np.array([b - a], "<u4"), of[a:b], n[a:b], sizes[a:b], letters)
+
+
+def undealt_words(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(words, row and mark, times) of `dealt_words`."""
+    raw = unsqueeze(data, "u1")
+    n = int(raw[:4].view("<u4")[0])
+    of, times, sizes = (np.ascontiguousarray(raw[4 + 4 * n * i:4 + 4 * n * (i + 1)].reshape(4, n).T).view("<u4").ravel() for i in range(3))
+    bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(raw[4 + 12 * n:].tobytes())])
+    return words, of, times
+
+
+def behind_classes(held: list[tuple[int, bytes]], code: Code, mixer: BitMixer) -> Iterator[tuple[int, bytes]]:
+    """(first row, data) of each slice: its texts, and of their rare words the sums of log10
+    probabilities, of those by the add-one unigram, and how many are known.  `held` has
+    all tokens of its words."""
+    pieces = [undealt_words(data) for _, data in held]
+    coded = pa.concat_arrays([p[0] for p in pieces]).dictionary_encode()
+    word, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+    of, n = (np.concatenate([p[i] for p in pieces]) for i in (1, 2))
+    c = np.bincount(word, n * (of & 1), len(words))
+    head, spelling, own, base, at = HeadBits(code), Spelling(code), np.zeros(len(words)), np.zeros(len(words)), 0
+    for batch in slices([pa.RecordBatch.from_arrays([words], names=["word"])], 0, SLICE // 4):
+        part = slice(at, at := at + batch.num_rows)
+        own[part], base[part] = spelled(batch.column(0), c[part], code, mixer, head, spelling)
+    at = 0
+    for (row, _), (_, of, n) in zip(held, pieces):
+        k = word[at:(at := at + len(of))]
+        texts, which = np.unique(of >> 1, return_inverse=True)
+        own_sum, base_sum, known = (np.bincount(which, n * x, len(texts)) for x in (own[k], base[k], c[k] > 0))
+        yield row, columns(texts.astype("<u4"), own_sum.astype("<f8"), base_sum.astype("<f8"), known.astype("<u4"))
+
+
+def head_scores(docs: DataFrame, code: Code, mixer: BitMixer, spelling: BitMixer | None = None) -> DataFrame:
+    """Per row: sums over its head symbols.  Further rows have `data`, see `behind_pairs` and,
+    of rare words, where the mixer that spells them is given, `behind_classes`."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast((code, mixer))   # grows with the contexts
+    sent_spelling = spark.sparkContext.broadcast((code, spelling))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + code.total // PAIR_TOKENS)
     symbols = len(code.counts) + 1
 
@@ -445,72 +587,81 @@ def head_scores(docs: DataFrame, code: Code, mixer: BitMixer) -> DataFrame:
         for batch in slices(batches, 3, SLICE):
             n, w = batch.num_rows, split_words(batch.column(3))
             symbol, text, word, tail = head.symbols(w)
-            slots, gate, bit, token = head.bits(symbol, text, tail, mixer)
-            lp = log10_of_bits(mixer.probability(slots, gate), bit, token, len(symbol))
+            lp = head.log10(symbol, text, tail, mixer)
             frequent = (symbol > 0) & (symbol < code.first_class)
             known = frequent & (code.counts[symbol] > 0)
             base = np.bincount(text, np.where(frequent, unigram[symbol], 0.0), n)
             rare = np.flatnonzero(~frequent)
             pair, times = np.unique(text[rare] * max(1, len(w.vocab)) + word[rare], return_counts=True)
             of, which = pair // max(1, len(w.vocab)), pair % max(1, len(w.vocab))
-            bounds = np.searchsorted(of, np.arange(n + 1)).astype(np.int32)
-            words = pa.StructArray.from_arrays([w.vocab.cast(pa.string()).take(pa.array(which)), pa.array(times.astype(np.int64))],
-                                               fields=list(RARE))
             row = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             docs = pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(3)),
                  pc.binary_length(batch.column(3)).cast(pa.int64()), pa.array(np.bincount(text, minlength=n).astype(np.int64)),
                  pa.array(np.bincount(text, known, n).astype(np.int64)), pa.array(base), pa.array(np.bincount(text, lp, n)),
-                 pa.ListArray.from_arrays(pa.array(bounds), words), pa.nulls(n, pa.binary())],
-                names=["doc_id", "row", "held_out", "n_bytes", "n_tokens", "n_known", "base", "own", "rare", "data"])
+                 pa.array(np.full(n, DOCS, np.int32)), pa.nulls(n, pa.binary())], names=[n for n, _ in kinds])
             last, last2 = head.last_two(symbol, text)
             before = last2 * symbols + last
             train = ~batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             where = (mix64(before.astype(np.uint64) * GOLDEN) % np.uint64(parts)).astype(np.int32)
-            at, data = zip(*dealt(where, before * symbols + symbol, 2 * (row - row[0])[text] + train[text], lp))
-            yield pa.RecordBatch.from_pydict({"part": pa.array([int(row[0]) % parts, *at], pa.int32()), "row": [int(row[0])] * (len(at) + 1),
-                                              "docs": [True] + [False] * len(at), "data": [packed(docs), *data]})
+            marked = 2 * (row - row[0]) + train
+            out = [(int(row[0]) % parts, DOCS, packed(docs))]
+            out += [(at, SYMBOLS, data) for at, data in dealt(where, before * symbols + symbol, marked[text], lp)]
+            if sent_spelling.value[1] is not None and len(which):
+                to = (hash_words(w.vocab) % np.uint64(parts)).astype(np.int32)[which]
+                out += [(at, WORDS, data) for at, data in dealt_words(to, w.vocab.cast(pa.binary()).take(pa.array(which)), marked[of], times)]
+            at, kind, data = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([int(row[0])] * len(at), pa.int64()),
+                                              pa.array(kind, pa.int32()), pa.array(data, pa.binary())], names=["part", "row", "kind", "data"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        held: dict[int, list[tuple[int, bytes]]] = {SYMBOLS: [], WORDS: []}
         for batch in batches:
-            for row, docs, data in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                if docs:
+            for row, kind, data in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                if kind == DOCS:
                     yield from pa.ipc.open_stream(data)
                 else:
-                    held.append((row, data))
-        if held:
-            for row, data in behind_pairs(held, symbols):
-                given = {"row": pa.array([row], pa.int64()), "data": pa.array([data], pa.binary())}
-                yield pa.RecordBatch.from_arrays([given.get(n, pa.nulls(1, t)) for n, t in kinds], names=[n for n, _ in kinds])
+                    held[kind].append((row, data))
+        for kind, given in held.items():
+            if given:
+                for row, data in behind_pairs(given, symbols) if kind == SYMBOLS else behind_classes(given, *sent_spelling.value):
+                    has = {"row": pa.array([row], pa.int64()), "kind": pa.array([kind], pa.int32()), "data": pa.array([data], pa.binary())}
+                    yield pa.RecordBatch.from_arrays([has.get(n, pa.nulls(1, t)) for n, t in kinds], names=[n for n, _ in kinds])
+                given.clear()
 
     kinds = [("doc_id", pa.int64()), ("row", pa.int64()), ("held_out", pa.bool_()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()),
-             ("n_known", pa.int64()), ("base", pa.float64()), ("own", pa.float64()), ("rare", pa.list_(RARE)), ("data", pa.binary())]
+             ("n_known", pa.int64()), ("base", pa.float64()), ("own", pa.float64()), ("kind", pa.int32()), ("data", pa.binary())]
     rows = docs.select("doc_id", "row", F.expr("not train").alias("held_out"), "text").mapInArrow(score, DEALT)
     return rows.repartitionById(parts, F.col("part")).mapInArrow(count, SCORED)
 
 
 def changes(scored: DataFrame) -> DataFrame:
-    """(row, own): what the counts behind the last two symbols add to each row."""
+    """(row, own, base, known): what the counts behind the last two symbols add to each row, and its
+    rare words."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
-            text, which = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
-            own = np.bincount(which, np.concatenate([v for _, v in held]), len(text))
-            return pa.RecordBatch.from_arrays([pa.array(text.astype(np.int64) + now), pa.array(own)], names=["row", "own"])
+            text, which = np.unique(np.concatenate([p[0] for p in held]), return_inverse=True)
+            sums = [np.bincount(which, np.concatenate([p[i] for p in held]), len(text)) for i in (1, 2, 3)]
+            return pa.RecordBatch.from_arrays([pa.array(text.astype(np.int64) + now), *map(pa.array, sums[:2]), pa.array(sums[2].astype(np.int64))],
+                                              names=["row", "own", "base", "known"])
 
         now, held = None, []
         for batch in batches:
-            for row, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for row, kind, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if row != now and held:
                     yield out()
                     held = []
                 now = row
-                held.append(uncolumns(data, "<u4", "<f4"))
+                if kind == WORDS:
+                    held.append(uncolumns(data, "<u4", "<f8", "<f8", "<u4"))
+                else:
+                    text, own = uncolumns(data, "<u4", "<f4")
+                    held.append([text, own, np.zeros(len(text)), np.zeros(len(text))])
         if held:
             yield out()
 
-    rows = scored.where("data is not null").select("row", "data")
-    return rows.repartition("row").sortWithinPartitions("row").mapInArrow(add, "row long, own double")
+    rows = scored.where("data is not null").select("row", "kind", "data")
+    return rows.repartition("row").sortWithinPartitions("row").mapInArrow(add, "row long, own double, base double, known long")
 
 
 def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", head: int = HEAD) -> DataFrame:
@@ -524,20 +675,12 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", head:
     rare = counts.join(F.broadcast(few), "word", "left_anti")
     spelling = train_spelling(rare, code)
     mixer = train_head(rows, code)
-    both = stored(head_scores(rows, code, mixer), "head")
-    scored = both.where("data is null").drop("data")
-    words = rare_words(rare, code, spelling)
-    used = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
-    found = used.join(words, "word").select("row", "n", "known", "own", "base").unionByName(
-        changes(both).select("row", F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("known"), "own", F.lit(0.0).alias("base")))
-    sums = (found.groupBy("row")
-            .agg(F.sum(F.col("n") * F.col("known")).alias("rare_known"), F.sum(F.col("n") * F.col("own")).alias("rare_own"),
-                 F.sum(F.col("n") * F.col("base")).alias("rare_base")))
-    zero = F.lit(0)
-    score = F.col("own") + F.coalesce("rare_own", F.lit(0.0))
-    out = scored.drop("rare").join(sums, "row", "left")
+    both = stored(head_scores(rows, code, mixer, spelling), "head")
+    sums = changes(both).select("row", F.col("own").alias("more"), F.col("base").alias("rare_base"), "known")
+    score = F.col("own") + F.coalesce("more", F.lit(0.0))
+    out = both.where("data is null").join(sums, "row", "left")
     return out.select(F.col("doc_id").alias(key), "held_out", "n_tokens",
-                      (F.col("n_known") + F.coalesce("rare_known", zero)).alias("n_known"),
+                      (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
                       F.lit(code.total).cast("long").alias("train_tokens"),
                       (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"),
                       score.alias("score"), (-score / LOG10_2 / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"))

@@ -245,3 +245,55 @@ def test_words_of_a_batch():
     w = split_words(pa.array(texts))
     vocab = w.vocab.to_pylist()
     assert [[vocab[c] for c in w.codes[a:b]] for a, b in zip(w.bounds, w.bounds[1:])] == [plain.words(t) for t in texts]
+
+
+def test_shared_slots_learn_and_predict_as_one_slot_a_bit():
+    code = small_code(["a", "b", "c", "d"])
+    head, rng = lm.HeadBits(code), np.random.default_rng(6)
+    given = pa.array([" ".join(rng.choice(["a", "b", "c", "d", "e"], 300)) for _ in range(20)])
+    symbol, text, _, tail = head.symbols(split_words(given))
+    one, many = (BitMixer(lm.HeadBits.CONTEXTS, lm.HeadBits.GATES, slot_bits=12) for _ in range(2))
+    for _ in range(2):
+        slots, gate, bit, token = head.bits(symbol, text, tail, one)
+        one.learn(slots, gate, bit)
+        many.learn(*head.shared_bits(symbol, text, tail, many)[:3])
+    assert (one.counts == many.counts).all() and (one.weights == many.weights).all() and (one.stretched == many.stretched).all()
+    assert sum(len(s.slots) for s in head.shared_bits(symbol, text, tail, many)[0]) < len(bit)
+    plainly = lm.log10_of_bits(one.probability(slots, gate), bit, token, len(symbol))
+    assert np.allclose(head.log10(symbol, text, tail, many), plainly, rtol=1e-12)
+    words = [b"abc", b"abd", b"", b"\xc3\xa9abc", b"abc"]
+    spelling, mixer = lm.Spelling(code), BitMixer(lm.Spelling.CONTEXTS, lm.Spelling.GATES)
+    mixer.learn(*spelling.shared_bits(words, mixer)[:3])
+    slots, gate, bit, word, _ = spelling.bits(words, mixer)
+    lp, of, nth = spelling.log10(words, mixer)
+    assert nth.tolist() == [i for w in words for i in range(len(w) + 1)]
+    assert np.allclose(np.bincount(of, lp), lm.log10_of_bits(mixer.probability(slots, gate), bit, word, len(words)), rtol=1e-12)
+
+
+def test_rare_words_are_counted_where_they_are_dealt(docs, rows):
+    """Sums over the rare words of each row, of all tasks' slices, against plain counting."""
+    spread = docs.repartition(5).select("doc_id", F.monotonically_increasing_id().alias("row"),
+                                        F.coalesce("text", F.lit("")).alias("text"),
+                                        F.expr(f"not ({lm.HELD_OUT.format(key='doc_id')})").alias("train"))
+    counts = lm.word_counts(spread).cache()
+    code = lm.make_code(counts, head=5)
+    rare = counts.where(~F.col("word").isin([lm.END, *code.words]))
+    spelling, mixer = lm.train_spelling(rare, code), lm.train_head(spread, code)
+    alone = {r["row"]: r["own"] for r in lm.changes(lm.head_scores(spread, code, mixer)).collect()}
+    got = {r["row"]: r for r in lm.changes(lm.head_scores(spread, code, mixer, spelling)).collect()}
+    of = {r["word"]: r for r in lm.rare_words(rare, code, spelling).collect()}
+    c = {r["word"]: r["c"] for r in rare.collect()}
+    assert len(got) == len(rows) and any(n == 0 for n in c.values()) and any(n > 1 for n in c.values())
+    for r in spread.collect():
+        words = [w for w in plain.words(r["text"]) if w in of]
+        g = got[r["row"]]
+        assert g["known"] == sum(c[w] > 0 for w in words)
+        assert g["base"] == pytest.approx(sum(math.log10((c[w] + 1) / (code.total + code.distinct + 1)) for w in words), abs=1e-6)
+        assert g["own"] - alone[r["row"]] == pytest.approx(sum(of[w]["own"] for w in words), rel=1e-6, abs=1e-4)
+
+
+def test_packed_words_come_back():
+    words = pa.array([b"x", "é😀".encode(), b"yy", b"", b"zz"], pa.binary())
+    part, of, n = np.array([3, 1, 3, 1, 0]), np.array([0, 3, 70_000, 5, 1]), np.array([1, 300, 2, 1, 9])
+    got = [(at, *x) for at, data in lm.dealt_words(part, words, of, n) for x in zip(*(c.tolist() for c in lm.undealt_words(data)))]
+    assert sorted(got) == sorted(zip(part.tolist(), words.to_pylist(), of.tolist(), n.tolist()))
