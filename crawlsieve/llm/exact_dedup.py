@@ -38,7 +38,8 @@ from crawlsieve.llm.common import BLANKS, register, slices, stored, table
 PRIME = np.uint64((1 << 31) - 1)
 BASES = (1_103_515_245, 1_540_483_477, 1_812_433_253, 2_046_999_881)
 CHUNK = 1 << 16           # bytes; a sum of CHUNK products below 2^40 fits in 64 bits
-WINDOW_BYTES = 24 << 20   # texts a task holds while it collapses copies
+WINDOW_BYTES = 6 << 20    # texts a task holds while it collapses copies; as strings, as the batch sent and in the JVM
+SLICE = 1 << 20           # bytes of texts hashed at once, which takes 32 times as many
 WINDOW_ROWS = 20_000
 
 MEMBER = pa.struct([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("row", pa.int64())])
@@ -158,7 +159,7 @@ def _collapse(rows: DataFrame, bases, prime: int) -> DataFrame:
                  pa.array(texts, pa.string()), pa.array(shas, pa.string()), pa.array(members, pa.list_(MEMBER))],
                 schema=COLLAPSED)
 
-        for batch in slices(batches, 4):
+        for batch in slices(batches, 4, SLICE):
             doc_ids, n_chars, nth, sha256 = (batch.column(i).to_pylist() for i in range(4))
             column = batch.column(4)
             for i, (text, mark) in enumerate(zip(column.to_pylist(), hasher.of(column))):
@@ -190,7 +191,7 @@ def _variants(collapsed: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark, kept = None, []
-        for batch in slices(batches, 2):
+        for batch in slices(batches, 2, SLICE):
             variant, sizes = [], []
             for fingerprint, text, n in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(),
                                             pc.list_value_length(batch.column(4)).to_pylist()):

@@ -138,3 +138,20 @@ def test_components_of_chains_and_stars(spark):
     got = {r["id"]: r["component"] for r in comp.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}, 200: 200, 300: 200}
     assert comp.components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_a_window_of_distinct_texts_stays_small():
+    """What a task holds, and sends on at once, does not grow with its input."""
+    class Rows:
+        def mapInArrow(self, f, ddl):
+            return f
+
+    collapse = ed._collapse(Rows(), ed.BASES, int(ed.PRIME))
+    texts = [f"{i} " + "abcdefg " * 6_000 for i in range(400)]          # 19 MB
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([len(t)]), pa.array([i]), pa.array([hashlib.sha256(t.encode()).hexdigest()]),
+                                           pa.array([t])], names=["doc_id", "n_chars", "row", "text_sha256", "text"])
+               for i, t in enumerate([*texts, texts[-1]])]
+    out = list(collapse(iter(batches)))
+    assert max(b.nbytes for b in out) < 8 << 20
+    members = [m["row"] for b in out for ms in b.column(4).to_pylist() for m in ms]
+    assert sorted(members) == list(range(401)) and sum(b.num_rows for b in out) == 400
