@@ -31,12 +31,51 @@ def squash(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-x))
 
 
+class Spread:
+    """A value of each code bit, made for some bits at a time: its token's `first` plus the place of
+    the bit in the token's code, or what `table` has there."""
+
+    def __init__(self, sizes: np.ndarray, first: np.ndarray, table: np.ndarray | None = None):
+        self.sizes, self.ends, self.first, self.table = sizes, np.cumsum(sizes), first, table
+
+    def __len__(self) -> int:
+        return int(self.ends[-1]) if len(self.ends) else 0
+
+    def at(self, token: np.ndarray, nth: np.ndarray) -> np.ndarray:
+        out = np.take(self.first, token, mode="clip") + nth
+        return out if self.table is None else np.take(self.table, out, mode="clip")
+
+    def __getitem__(self, part: slice) -> np.ndarray:
+        """In the order of the tokens."""
+        token = np.repeat(np.arange(len(self.sizes)), self.sizes)[part]
+        return self.at(token, np.arange(len(self))[part] - (self.ends - self.sizes)[token])
+
+    def by_depth(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """(token, place in its code) of the bits a..b: first bits of codes first."""
+        low, high = np.searchsorted(self.ends, a, "right"), np.searchsorted(self.ends, b, "left") + 1
+        sizes = self.sizes[low:high].copy()
+        begin = self.ends[low:high] - sizes
+        sizes[-1] = min(sizes[-1], b - begin[-1])
+        return by_depth(sizes, low, a - int(begin[0]))
+
+
+def by_depth(sizes: np.ndarray, low: int = 0, skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(token, place in its code) of all bits, first bits of codes first; tokens are counted from
+    `low`, the first `skip` bits of the first one are left out."""
+    left, out = np.arange(len(sizes)), []
+    for depth in range(int(sizes.max(initial=0))):
+        left = left[sizes[left] > depth]
+        out.append(left[1:] if depth < skip and left[0] == 0 else left)
+    token = np.concatenate(out) if out else left[:0]
+    return token + low, np.repeat(np.arange(len(out)), [len(x) for x in out])
+
+
 @dataclass
 class Shared:
     """Slots of one predictor that many bits share: the bit that each codes and how many times,
     and the place of each bit's slot among them."""
     slots: np.ndarray
-    at: np.ndarray
+    at: Spread
     bit: np.ndarray
     times: np.ndarray
 
@@ -82,7 +121,7 @@ class BitMixer:
 
     def slots(self, context: np.ndarray, node: np.ndarray, predictor: int = 0) -> np.ndarray:
         """Slots of (32-bit context hash, code node) pairs."""
-        return self.hashes(context, node) >> (32 - self.slot_bits[predictor])
+        return (self.hashes(context, node) >> np.uint32(32 - self.slot_bits[predictor])).astype(np.int64)
 
     @staticmethod
     def hashes(context: np.ndarray, node: np.ndarray) -> np.ndarray:
@@ -90,7 +129,7 @@ class BitMixer:
         h *= np.uint32(0x85EBCA6B)
         h ^= h >> np.uint32(15)
         h *= np.uint32(0xC2B2AE35)
-        return h.astype(np.int64)
+        return h
 
     def _values(self, slots: list[Slots], counted: bool) -> list[tuple[np.ndarray, np.ndarray | None]]:
         """Per predictor, stretched probabilities and the place of each bit's among them (none: one a
@@ -100,15 +139,16 @@ class BitMixer:
             return [(self.stretch(np.take(self.counts, s + a, axis=0)), at) for a, (s, at) in zip(self.starts, each)]
         return [(np.take(self.stretched[a:], s, mode="clip"), at) for a, (s, at) in zip(self.starts, each)]
 
-    @staticmethod
-    def _inputs(values: list[tuple[np.ndarray, np.ndarray | None]], part: slice) -> list[np.ndarray]:
-        return [v[part] if at is None else np.take(v, at[part], mode="clip") for v, at in values]
+    def _ends(self, gate: np.ndarray) -> np.ndarray:
+        """Where each gate begins among ascending ones, and the end."""
+        return np.searchsorted(gate, np.arange(self.gates + 1))
 
-    def _mix(self, inputs: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
+    def _mix(self, inputs: list[np.ndarray], ends: np.ndarray) -> np.ndarray:
         w = np.ascontiguousarray(self.weights.T, np.float32)
-        x = np.take(w[-1] * np.float32(CONSTANT), gate, mode="clip")
-        for weight, value in zip(w, inputs):
-            x += np.take(weight, gate, mode="clip") * value
+        x = np.repeat(w[-1] * np.float32(CONSTANT), np.diff(ends))
+        for gate, (a, b) in enumerate(zip(ends, ends[1:])):
+            for weight, value in zip(w, inputs):
+                x[a:b] += weight[gate] * value[a:b]
         return np.clip(x, -11.0, 11.0, out=x)
 
     def _refine(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
@@ -124,23 +164,39 @@ class BitMixer:
         out, values = np.empty(len(gate)), self._values(slots, False)
         for a in range(0, len(gate), STEP):
             part = slice(a, a + STEP)
-            out[part] = self._refine(self._mix(self._inputs(values, part), gate[part]), gate[part])
+            order = np.argsort(gate[part], kind="stable")
+            g, inputs = gate[part][order], [v[part][order] if at is None else np.take(v, at[part][order]) for v, at in values]
+            out[part][order] = self._refine(self._mix(inputs, self._ends(g)), g)
         return out
 
-    def learn(self, slots: list[Slots], gate: np.ndarray, bit: np.ndarray, rate: float = 0.02) -> None:
-        """One pass over bits in order: mix, correct the weights, then count."""
+    def probability_by_gate(self, slots: list[np.ndarray], gate: np.ndarray) -> np.ndarray:
+        """As `probability`, of bits with ascending gates."""
+        return self._refine(self._mix([v for v, _ in self._values(slots, False)], self._ends(gate)), gate)
+
+    def _step(self, values: list[tuple[np.ndarray, Spread | None]], gate: np.ndarray | Spread, bit: np.ndarray | Spread, a: int, b: int):
+        """(gate, bit, inputs) of the bits a..b in the order of their gates; those of a `Spread` ascend along a code."""
+        if isinstance(bit, Spread):
+            token, nth = bit.by_depth(a, b)
+            return gate.at(token, nth), bit.at(token, nth), [np.take(v, at.at(token, nth), mode="clip") for v, at in values]
+        order = np.argsort(gate[a:b].astype(np.uint16), kind="stable")
+        return gate[a:b][order], bit[a:b][order], [v[a:b][order] for v, _ in values]
+
+    def learn(self, slots: list[Slots], gate: np.ndarray | Spread, bit: np.ndarray | Spread, rate: float = 0.02) -> None:
+        """One pass over bits in order, `STEP` at a time: mix, correct the weights, then count.
+        All of `slots` are `Shared` and `gate` and `bit` are `Spread`, or none."""
         n = len(bit)
         if not n:
             return
         places, values = np.zeros(self.map.size, np.int64), self._values(slots, True)
         for a in range(0, n, STEP):
-            part = slice(a, min(n, a + STEP))
-            g, b, inputs = gate[part], bit[part], self._inputs(values, part)
-            x = self._mix(inputs, g)
+            g, b, inputs = self._step(values, gate, bit, a, min(n, a + STEP))
+            ends = self._ends(g)
+            x = self._mix(inputs, ends)
             error = b - squash(x)
-            share = np.maximum(np.bincount(g, minlength=self.gates), 1)
-            for i, value in enumerate([*inputs, np.float32(CONSTANT)]):
-                slope = np.bincount(g, error * value, self.gates) / share
+            share = np.maximum(np.diff(ends), 1)
+            for i, value in enumerate([*inputs, None]):
+                slope = np.array([error[i:j].sum() * float(np.float32(CONSTANT)) if value is None else error[i:j] @ value[i:j]
+                                  for i, j in zip(ends, ends[1:])]) / share
                 self.slopes[:, i] += slope * slope
                 self.weights[:, i] += rate * slope / np.sqrt(self.slopes[:, i])
             level = np.clip(x * np.float32((LEVELS - 1) / 16.0) + np.float32((LEVELS - 1) / 2 + 0.5), 0, LEVELS - 1).astype(np.int64)
@@ -149,7 +205,7 @@ class BitMixer:
         flat, kind = self.counts.reshape(-1), self.counts.dtype
         for a, s in zip(self.starts, slots):
             if isinstance(s, Shared):
-                np.add.at(flat, (s.slots + a) * 2 + s.bit, s.times.astype(kind))
+                np.add.at(flat, (s.slots + a) * 2 + s.bit, s.times.astype(kind, copy=False))
             else:
                 np.add.at(flat, (s + a) * 2 + bit, kind.type(1))
         self.seen += n

@@ -47,8 +47,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crawlsieve.llm.bit_mixer import SLOT_BITS, BitMixer, Shared
-from crawlsieve.llm.common import register, slices, squeeze, stored, table, unsqueeze
+from crawlsieve.llm.bit_mixer import SLOT_BITS, BitMixer, Shared, Spread, by_depth
+from crawlsieve.llm.common import give_back, register, slices, squeeze, stored, table, unsqueeze
 from crawlsieve.llm.words import GOLDEN, Words, hash_words, mix64, split_words
 
 HEAD = 4094                # frequent words with a code of their own
@@ -63,6 +63,7 @@ HELD_OUT = "coalesce(crc32(cast(cast({key} as string) as binary)), 0) % 7 = 2"
 LOG10_2 = math.log10(2.0)
 PAIR_D = 0.75              # discount of counts behind two symbols
 PAIR_TOKENS = 4_000_000    # training tokens a task counts behind pairs
+BINS = 32                  # of pairs in such a task, counted one after another
 
 
 @dataclass
@@ -118,30 +119,32 @@ def gather(bounds: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pairs(bounds: np.ndarray, nodes: np.ndarray, symbol: np.ndarray, contexts: list[np.ndarray], mixer):
-    """Per predictor: the different (context, symbol) pair of each token, where each
-    pair's code bits begin; of all pairs' code bits, the pair, the place in the code and the slot."""
+    """Per predictor: the different (context, symbol) pair of each token, the symbol of each pair;
+    of all pairs' code bits, the place in the code and the slot, made a block at a time."""
     n = len(bounds) - 1
     for i, context in enumerate(contexts):
         pair, kinds = pd.factorize(context.astype(np.int64) * n + symbol)
-        of = kinds % n
-        owner, place = gather(bounds, of)
-        sizes = bounds[of + 1] - bounds[of]
-        yield pair, np.cumsum(sizes) - sizes, owner, place, mixer.slots((kinds // n).astype(np.uint32)[owner], nodes[place], i)
+        of, context = kinds % n, (kinds // n).astype(np.uint32)
+        places, slots = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for a in range(0, len(of), BLOCK):
+            owner, place = gather(bounds, of[a:a + BLOCK])
+            places.append(place.astype(np.int32))
+            slots.append(mixer.slots(np.take(context[a:a + BLOCK], owner), np.take(nodes, place), i))
+        yield pair, of, np.concatenate(places), np.concatenate(slots)
 
 
 def shared(bounds: np.ndarray, nodes: np.ndarray, bits: np.ndarray, symbol: np.ndarray, contexts: list[np.ndarray], mixer: BitMixer):
-    """(slots, token, place in the code) of all code bits.  Equal (context, symbol) pairs share their slots."""
-    token, place = gather(bounds, symbol)
-    sizes = bounds[symbol + 1] - bounds[symbol]
-    nth, begin, out = np.arange(len(token), dtype=np.int32), np.cumsum(sizes) - sizes, []
-    for pair, first, owner, at, slots in pairs(bounds, nodes, symbol, contexts, mixer):
-        out.append(Shared(slots, np.repeat((first[pair] - begin).astype(np.int32), sizes) + nth, bits[at],
-                          np.bincount(pair, minlength=len(first))[owner]))
-    return out, token, place
+    """(slots, bits of each token's code) of all code bits.  Equal (context, symbol) pairs share their slots."""
+    sizes, out = bounds[symbol + 1] - bounds[symbol], []
+    for pair, of, place, slots in pairs(bounds, nodes, symbol, contexts, mixer):
+        each = bounds[of + 1] - bounds[of]
+        out.append(Shared(slots, Spread(sizes, (np.cumsum(each) - each)[pair]), np.take(bits.astype(np.int8), place),
+                          np.repeat(np.bincount(pair, minlength=len(of)).astype(np.uint32), each)))
+    return out, sizes
 
 
 def each_bit(slots: list[Shared]) -> list[np.ndarray]:
-    return [s.slots[s.at] for s in slots]
+    return [s.slots[s.at[:]] for s in slots]
 
 
 def different(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -157,14 +160,19 @@ def different(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def log10_of_codes(bounds: np.ndarray, nodes: np.ndarray, bits: np.ndarray, depths: np.ndarray, symbol: np.ndarray,
                    contexts: list[np.ndarray], mixer: BitMixer) -> np.ndarray:
     """log10 probability of each symbol in its contexts, a block at a time."""
-    out = np.empty(len(symbol))
+    out = np.ones(len(symbol))
     for a in range(0, len(symbol), BLOCK):
-        part = slice(a, a + BLOCK)
-        owner, place = gather(bounds, symbol[part])
-        node = nodes[place]
-        slots = [mixer.slots(c[part][owner], node, i) for i, c in enumerate(contexts)]
-        out[part] = log10_of_bits(mixer.probability(slots, depths[place]), bits[place], owner, len(out[part]))
-    return out
+        begin, of = bounds[symbol[a:a + BLOCK]], out[a:a + BLOCK]
+        token, nth = by_depth(bounds[symbol[a:a + BLOCK] + 1] - begin)
+        place = begin[token] + nth
+        node = np.take(nodes, place)
+        slots = [mixer.slots(np.take(c[a:a + BLOCK], token), node, i) for i, c in enumerate(contexts)]
+        p = mixer.probability_by_gate(slots, np.take(depths, place))
+        p = np.where(np.take(bits, place) == 1, p, 1.0 - p)
+        ends = np.cumsum(np.bincount(nth))
+        for x, y in zip([0, *ends], ends):        # a token once
+            of[token[x:y]] *= p[x:y]
+    return np.log(out) / math.log(10.0)
 
 
 def first_of(text: np.ndarray) -> np.ndarray:
@@ -230,7 +238,7 @@ class HeadBits:
         return [low32(c) for c in (np.zeros(n, np.uint64), mix64(last * GOLDEN + np.uint64(1)), mix64(ending + np.uint64(3)))]
 
     def hashes(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray) -> list[np.ndarray]:
-        """Whole hashes of the code bits of each predictor's different pairs of context and symbol."""
+        """Hashes that `slot_bits` counts, of the code bits of each predictor's different pairs of context and symbol."""
         return [h for *_, h in pairs(self.code.bounds, self.nodes, symbol, self.contexts(symbol, text, tail), Hashed)]
 
     def log10(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray, mixer: BitMixer) -> np.ndarray:
@@ -241,14 +249,15 @@ class HeadBits:
                               [c[place] for c in contexts], mixer)[at]
 
     def shared_bits(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray, mixer: BitMixer):
-        """(slots, gate, bit, token) of all code bits; see `bit_mixer.Shared`."""
-        slots, token, place = shared(self.code.bounds, self.nodes, self.code.bits, symbol, self.contexts(symbol, text, tail), mixer)
-        return slots, np.take(self.depths, place), np.take(self.code.bits, place), token
+        """(slots, gate, bit, code lengths of the tokens) of all code bits; see `bit_mixer.Shared` and `Spread`."""
+        slots, sizes = shared(self.code.bounds, self.nodes, self.code.bits, symbol, self.contexts(symbol, text, tail), mixer)
+        begin = self.code.bounds[symbol]
+        return slots, Spread(sizes, begin, self.depths), Spread(sizes, begin, self.code.bits), sizes
 
     def bits(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray, mixer: BitMixer):
-        """As `shared_bits`, with the slot of each bit."""
-        slots, *rest = self.shared_bits(symbol, text, tail, mixer)
-        return each_bit(slots), *rest
+        """(slots, gate, bit, token) of each code bit."""
+        slots, gate, bit, sizes = self.shared_bits(symbol, text, tail, mixer)
+        return each_bit(slots), gate[:], bit[:], np.repeat(np.arange(len(sizes)), sizes)
 
 
 def low32(h: np.ndarray) -> np.ndarray:
@@ -270,12 +279,19 @@ class Spelling:
         sizes = np.diff(self.bounds)
         self.depths = np.minimum(np.arange(len(nodes)) - np.repeat(self.bounds[:-1], sizes), GATE_DEPTH - 1)
 
-    def letters(self, words: list[bytes]):
+    def letters(self, words: pa.Array | list[bytes]):
         """(byte, contexts, word, byte of the word, the four bytes before) of all bytes."""
-        sizes = np.array([len(w) + 1 for w in words], np.int64)
-        raw = np.frombuffer(b"".join(w + b"\0" for w in words), np.uint8)
-        data = raw.astype(np.uint64)
+        words = words if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+        sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1
         word = np.repeat(np.arange(len(words)), sizes)
+        raw = np.zeros(len(word), np.uint8)
+        _, ends, joined = words.buffers()
+        if joined is not None:
+            first = int(np.frombuffer(ends, np.int32)[words.offset])
+            within = np.ones(len(raw), bool)
+            within[np.cumsum(sizes) - 1] = False
+            raw[within] = np.frombuffer(joined, np.uint8)[first:first + len(raw) - len(words)]
+        data = raw.astype(np.uint64)
         nth = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         contexts, h, behind = [], np.full(len(data), np.uint64(11)), np.zeros(len(data), np.uint64)
         for back in range(1, 5):   # the last one to four bytes
@@ -287,28 +303,29 @@ class Spelling:
             behind = behind << np.uint64(9) | before
         return raw.astype(np.int64), contexts, word, nth, behind
 
-    def hashes(self, words: list[bytes]) -> list[np.ndarray]:
-        """Whole hashes of the code bits of each predictor's different pairs of context and byte."""
+    def hashes(self, words: pa.Array | list[bytes]) -> list[np.ndarray]:
+        """Hashes that `slot_bits` counts, of the code bits of each predictor's different pairs of context and byte."""
         letter, contexts, *_ = self.letters(words)
         return [h for *_, h in pairs(self.bounds, self.nodes, letter, contexts, Hashed)]
 
-    def log10(self, words: list[bytes], mixer: BitMixer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def log10(self, words: pa.Array | list[bytes], mixer: BitMixer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(log10 probability, word, byte of the word) of all bytes; equal bytes behind equal ones are scored once."""
         letter, contexts, word, nth, behind = self.letters(words)
         at, place = different(letter, behind >> np.uint64(18), behind & np.uint64((1 << 18) - 1))
         lp = log10_of_codes(self.bounds, self.nodes, self.coded, self.depths, letter[place], [c[place] for c in contexts], mixer)
         return lp[at], word, nth
 
-    def shared_bits(self, words: list[bytes], mixer: BitMixer):
-        """(slots, gate, bit, word, byte of the word) of all code bits; see `bit_mixer.Shared`."""
+    def shared_bits(self, words: pa.Array | list[bytes], mixer: BitMixer):
+        """(slots, gate, bit, word, byte of the word) of all code bits; see `bit_mixer.Shared` and `Spread`."""
         letter, contexts, word, nth, _ = self.letters(words)
-        slots, owner, place = shared(self.bounds, self.nodes, self.coded, letter, contexts, mixer)
-        return slots, np.take(self.depths, place), np.take(self.coded, place), word[owner], nth[owner]
+        slots, sizes = shared(self.bounds, self.nodes, self.coded, letter, contexts, mixer)
+        begin = self.bounds[letter]
+        return slots, Spread(sizes, begin, self.depths), Spread(sizes, begin, self.coded), np.repeat(word, sizes), np.repeat(nth, sizes)
 
-    def bits(self, words: list[bytes], mixer: BitMixer):
-        """As `shared_bits`, with the slot of each bit."""
-        slots, *rest = self.shared_bits(words, mixer)
-        return each_bit(slots), *rest
+    def bits(self, words: pa.Array | list[bytes], mixer: BitMixer):
+        """As `shared_bits`, with the slot, gate and bit of each bit."""
+        slots, gate, bit, *rest = self.shared_bits(words, mixer)
+        return each_bit(slots), gate[:], bit[:], *rest
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -364,11 +381,12 @@ def merged(spark, rows: DataFrame, mixer: BitMixer) -> BitMixer:
 
 
 class Hashed:
-    """In place of a mixer: whole 32-bit hashes for slots."""
+    """In place of a mixer: whole 32-bit hashes for slots, those that `slot_bits` counts."""
 
     @staticmethod
     def slots(context: np.ndarray, node: np.ndarray, predictor: int) -> np.ndarray:
-        return BitMixer.hashes(context, node)
+        h = BitMixer.hashes(context, node)
+        return h[(h & np.uint32(SAMPLE - 1)) == 0].astype(np.int64)
 
 
 def slot_bits(rows: DataFrame, slots, contexts: int) -> tuple[int, ...]:
@@ -398,6 +416,7 @@ def train_head(docs: DataFrame, code: Code) -> BitMixer:
     sizes = slot_bits(texts, hashes, HeadBits.CONTEXTS)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         head, mixer = HeadBits(code), BitMixer(HeadBits.CONTEXTS, HeadBits.GATES, sizes)
         for batch in slices(batches, 0, SLICE):
             symbol, text, _, tail = head.symbols(split_words(batch.column(0)))
@@ -411,21 +430,38 @@ def train_head(docs: DataFrame, code: Code) -> BitMixer:
     return merged(docs.sparkSession, rows, BitMixer(HeadBits.CONTEXTS, HeadBits.GATES, sizes))
 
 
+def runs(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[list[pa.Array]]:
+    """Words of some batches that follow each other, about `most` bytes together."""
+    held, size = [], 0
+    for batch in slices(batches, column, most):
+        words = batch.column(column).cast(pa.binary())
+        held.append(words)
+        size += pc.sum(pc.binary_length(words)).as_py()
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def train_spelling(rare: DataFrame, code: Code) -> BitMixer:
     """Learns spelling from the distinct rare training words."""
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         spelling = Spelling(code)
-        for batch in slices(batches, 0, SLICE // 4):
-            yield spelling.hashes([w.encode() for w in batch.column(0).to_pylist()])
+        for some in runs(batches, 0, SLICE // 16):
+            yield spelling.hashes(pa.concat_arrays(some))
 
     words = rare.where("c > 0").select("word")
     sizes = slot_bits(words, hashes, Spelling.CONTEXTS)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         spelling, mixer = Spelling(code), BitMixer(Spelling.CONTEXTS, Spelling.GATES, sizes)
-        for batch in slices(batches, 0, SLICE // 4):
-            slots, gate, bit, *_ = spelling.shared_bits([w.encode() for w in batch.column(0).to_pylist()], mixer)
-            mixer.learn(slots, gate, bit)
+        for some in runs(batches, 0, SLICE // 16):      # counts follow each batch
+            slots, gate, bit, word, _ = spelling.bits(pa.concat_arrays(some), mixer)
+            ends = np.searchsorted(word, np.cumsum([0, *map(len, some)])).tolist()
+            for a, b in zip(ends, ends[1:]):
+                mixer.learn([s[a:b] for s in slots], gate[a:b], bit[a:b])
         if mixer.seen:
             pages, data = zip(*mixer.rows())
             yield pa.RecordBatch.from_pydict({"page": list(pages), "data": list(data)})
@@ -442,7 +478,7 @@ def spelled(words: pa.Array, c: np.ndarray, code: Code, mixer: BitMixer, head: H
     """(own, base): log10 probability of rare words with training counts `c` behind their
     class, and by the add-one unigram."""
     n, kind = len(words), head.classes(words.cast(pa.string()))
-    lp, word, nth = spelling.log10(words.cast(pa.binary()).to_pylist(), mixer)
+    lp, word, nth = spelling.log10(words.cast(pa.binary()), mixer)
     given = (kind[word] > 0) & (nth < BEGIN)       # the class tells these bytes
     letters = np.bincount(word, np.where(given, 0.0, lp), n)
     tokens, free = np.maximum(code.counts[kind], 1), code.discount * np.maximum(code.types[kind], 1)
@@ -507,24 +543,51 @@ def dealt(part: np.ndarray, key: np.ndarray, of: np.ndarray, lp: np.ndarray) ->
 def behind_pairs(held: list[tuple[int, bytes]], symbols: int) -> Iterator[tuple[int, bytes]]:
     """(first row, data) of each slice: its texts, and by how much the counts behind
     the last two symbols change their log10 probability.  `held` has all tokens
-    of its pairs."""
-    pieces = [uncolumns(data, "<i8", "<u4", "<f4") for _, data in held]
-    key, inverse = np.unique(np.concatenate([np.cumsum(p[0]) for p in pieces]), return_inverse=True)
-    of, lp = (np.concatenate([p[i] for p in pieces]) for i in (1, 2))
-    c = np.bincount(inverse, of & 1, len(key))
-    pair = key // symbols
-    first = np.flatnonzero(np.diff(pair, prepend=-1))
+    of its pairs, and is emptied.  Pairs are counted a bin of them at a time."""
+    rows, keys, ofs, lps, bins = [row for row, _ in held], [], [], [], []
+    for i, (_, data) in enumerate(held):
+        key, of, lp = uncolumns(data, "<i8", "<u4", "<f4")
+        held[i] = None
+        keys.append(np.cumsum(key))
+        ofs.append(of)
+        lps.append(lp)
+        bins.append((mix64((keys[-1] // symbols).astype(np.uint64)) % np.uint64(BINS)).astype(np.uint8))
+    held.clear()
+    sizes = [len(k) for k in keys]
+    bins = np.concatenate(bins)
+    order, ends = np.argsort(bins, kind="stable").astype(np.uint32), np.cumsum(np.bincount(bins, minlength=BINS))
+    del bins
+    keys, ofs, lps = (joined(x) for x in (keys, ofs, lps))
+    change = np.empty(len(keys))
+    for a, b in zip([0, *ends], ends):
+        if a < b:
+            which = order[a:b]
+            change[which] = changed(keys[which], ofs[which] & 1, lps[which].astype(float), symbols)
+    del keys, lps, order
+    at = 0
+    for row, size in zip(rows, sizes):
+        part = slice(at, at := at + size)
+        texts, which = np.unique(ofs[part] >> 1, return_inverse=True)
+        yield row, columns(texts.astype("<u4"), np.bincount(which, change[part], len(texts)).astype("<f4"))
+
+
+def joined(pieces: list[np.ndarray]) -> np.ndarray:
+    """The pieces one after another; the list is emptied."""
+    out = np.concatenate(pieces)
+    pieces.clear()
+    return out
+
+
+def changed(key: np.ndarray, train: np.ndarray, old: np.ndarray, symbols: int) -> np.ndarray:
+    """By how much the counts of (pair, symbol) keys change the log10 probabilities `old`."""
+    key, k = np.unique(key, return_inverse=True)
+    c = np.bincount(k, train, len(key))
+    first = np.flatnonzero(np.diff(key // symbols, prepend=-1))
     sizes = np.diff(first, append=len(key))
     total = np.repeat(np.add.reduceat(c, first), sizes)
     free = np.where(total > 0, PAIR_D * np.repeat(np.add.reduceat((c > 0).astype(float), first), sizes) / np.maximum(total, 1.0), 1.0)
     direct = np.maximum(c - PAIR_D, 0.0) / np.maximum(total, 1.0)
-    at = 0
-    for (row, _), p in zip(held, pieces):
-        part = slice(at, at := at + len(p[0]))
-        old, k = lp[part].astype(float), inverse[part]
-        change = np.log10(direct[k] + free[k] * 10.0 ** old) - old
-        texts, which = np.unique(of[part] >> 1, return_inverse=True)
-        yield row, columns(texts.astype("<u4"), np.bincount(which, change, len(texts)).astype("<f4"))
+    return np.log10(direct[k] + free[k] * 10.0 ** old) - old
 
 
 def dealt_words(part: np.ndarray, words: pa.Array, of: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, bytes]]:
@@ -581,6 +644,7 @@ def head_scores(docs: DataFrame, code: Code, mixer: BitMixer, spelling: BitMixer
     symbols = len(code.counts) + 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         code, mixer = sent.value
         head = HeadBits(code)
         unigram = np.log10((code.counts + 1.0) / (code.total + code.distinct + 1.0))
@@ -615,6 +679,7 @@ def head_scores(docs: DataFrame, code: Code, mixer: BitMixer, spelling: BitMixer
                                               pa.array(kind, pa.int32()), pa.array(data, pa.binary())], names=["part", "row", "kind", "data"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         held: dict[int, list[tuple[int, bytes]]] = {SYMBOLS: [], WORDS: []}
         for batch in batches:
             for row, kind, data in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
@@ -624,6 +689,7 @@ def head_scores(docs: DataFrame, code: Code, mixer: BitMixer, spelling: BitMixer
                     held[kind].append((row, data))
         for kind, given in held.items():
             if given:
+                give_back()
                 for row, data in behind_pairs(given, symbols) if kind == SYMBOLS else behind_classes(given, *sent_spelling.value):
                     has = {"row": pa.array([row], pa.int64()), "kind": pa.array([kind], pa.int32()), "data": pa.array([data], pa.binary())}
                     yield pa.RecordBatch.from_arrays([has.get(n, pa.nulls(1, t)) for n, t in kinds], names=[n for n, _ in kinds])

@@ -1,6 +1,7 @@
 """Toxicity (6), language model (8)."""
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -297,3 +298,50 @@ def test_packed_words_come_back():
     part, of, n = np.array([3, 1, 3, 1, 0]), np.array([0, 3, 70_000, 5, 1]), np.array([1, 300, 2, 1, 9])
     got = [(at, *x) for at, data in lm.dealt_words(part, words, of, n) for x in zip(*(c.tolist() for c in lm.undealt_words(data)))]
     assert sorted(got) == sorted(zip(part.tolist(), words.to_pylist(), of.tolist(), n.tolist()))
+
+
+def held_bytes(work) -> int:
+    """Most bytes that a call holds at once."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_counting_behind_pairs_holds_few_bytes_a_token():
+    rng, n, symbols = np.random.default_rng(8), 50_000, 5_000
+    def slice_of(row):
+        key = rng.integers(0, 300, n) * symbols + rng.zipf(1.3, n) % symbols
+        return [(row, data) for _, data in lm.dealt(np.zeros(n, np.int32), key, rng.integers(0, 600, n), -3 * rng.random(n))]
+    held = [x for i in range(8) for x in slice_of(1000 * i)]
+    tokens = [(row, *lm.uncolumns(data, "<i8", "<u4", "<f4")) for row, data in held]
+    got, given = [], list(held)
+    assert held_bytes(lambda: got.extend(lm.behind_pairs(given, symbols))) < 60 * 8 * n
+    assert not given and [r for r, _ in got] == [r for r, _ in held]
+    keys = [np.cumsum(t[1]).tolist() for t in tokens]
+    c, total, kinds = Counter(), Counter(), Counter()
+    for key, (_, _, of, _) in zip(keys, tokens):
+        c.update(k for k, o in zip(key, of.tolist()) if o & 1)
+    for k, m in c.items():
+        total[k // symbols] += m
+        kinds[k // symbols] += 1
+    for key, (_, _, of, lp), (_, data) in zip(keys, tokens, got):
+        want = Counter()
+        for k, o, q in zip(key, of.tolist(), lp.tolist()):
+            t = total[k // symbols]
+            want[o >> 1] += math.log10((max(c[k] - lm.PAIR_D, 0) + lm.PAIR_D * kinds[k // symbols] * 10 ** q) / t) - q if t else 0.0
+        texts, change = lm.uncolumns(data, "<u4", "<f4")
+        assert change.tolist() == pytest.approx([want[t] for t in texts.tolist()], rel=1e-4, abs=1e-4)
+
+
+def test_learning_holds_few_bytes_a_bit():
+    words = [f"w{i}" for i in range(400)]
+    code, rng = small_code(words), np.random.default_rng(9)
+    head, mixer = lm.HeadBits(code), BitMixer(lm.HeadBits.CONTEXTS, lm.HeadBits.GATES, slot_bits=12)
+    given = pa.array([" ".join(rng.choice(words[:60], 500)) for _ in range(400)])
+    symbol, text, _, tail = head.symbols(split_words(given))
+    bits = int(np.diff(code.bounds)[symbol].sum())
+    most = held_bytes(lambda: mixer.learn(*head.shared_bits(symbol, text, tail, mixer)[:3]))
+    assert bits > 1_000_000 and most < 40 * bits
