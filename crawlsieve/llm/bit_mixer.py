@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
-from crawlsieve.llm.common import squeeze, unsqueeze
+from crawlsieve.llm.common import columns, squeeze, uncolumns, unsqueeze
 
 SLOT_BITS = 18            # least, see `language_model.slot_bits`
 LEVELS = 33               # levels of the final map, over stretch(p) in -8..8
@@ -137,7 +137,7 @@ class BitMixer:
         each = [(s.slots, s.at) if isinstance(s, Shared) else (s, None) for s in slots]
         if counted:
             return [(self.stretch(np.take(self.counts, s + a, axis=0)), at) for a, (s, at) in zip(self.starts, each)]
-        return [(np.take(self.stretched[a:], s, mode="clip"), at) for a, (s, at) in zip(self.starts, each)]
+        return [(np.take(self.stretched[a:], s, mode="clip").astype(np.float32), at) for a, (s, at) in zip(self.starts, each)]
 
     def _ends(self, gate: np.ndarray) -> np.ndarray:
         """Where each gate begins among ascending ones, and the end."""
@@ -219,22 +219,20 @@ class BitMixer:
     def __getstate__(self) -> dict:
         """What scoring needs: a state that is sent can predict, not learn."""
         return {"contexts": self.contexts, "gates": self.gates, "slot_bits": self.slot_bits, "starts": self.starts, "weights": self.weights,
-                "refined": self.refined, "known": self.stretched.astype(np.float16)}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state, known=state["known"].astype(np.float32))
+                "refined": self.refined, "known": self.stretched.astype(np.float16, copy=False)}
 
     def rows(self) -> list[tuple[int, bytes]]:
         """(page, bytes): non-empty pages of counts, then weights and map."""
         pages = self.counts.reshape(-1, 2 * self.PAGE)
-        out = [(int(p), squeeze(np.minimum(pages[p], 0xFFFFFFFF).astype("<u4"))) for p in np.flatnonzero(pages.any(axis=1))]
+        out = [(int(p), columns(np.minimum(pages[p], 0xFFFFFFFF).astype("<u4"))) for p in np.flatnonzero(pages.any(axis=1))]
         small = np.concatenate([[self.seen], (self.weights * self.seen).ravel(), self.map.ravel()])
         return [*out, (-1, squeeze(small.astype("<f8")))]
 
     @staticmethod
     def add(page: int, raw: bytes, total):
         """Running sum of one page."""
-        return unsqueeze(raw, "<f8" if page < 0 else "<u4").astype(float if page < 0 else np.int64) + (0 if total is None else total)
+        given = unsqueeze(raw, "<f8") if page < 0 else uncolumns(raw, "<u4")[0].astype(np.int64)
+        return given + (0 if total is None else total)
 
     @staticmethod
     def stretch(counts: np.ndarray) -> np.ndarray:

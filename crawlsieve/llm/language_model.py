@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crawlsieve.llm.bit_mixer import SLOT_BITS, BitMixer, Shared, Spread, by_depth
-from crawlsieve.llm.common import give_back, register, slices, squeeze, stored, table, unsqueeze
+from crawlsieve.llm.common import columns, give_back, register, slices, squeeze, stored, table, uncolumns, unsqueeze
 from crawlsieve.llm.words import GOLDEN, Words, hash_words, mix64, split_words
 
 HEAD = 4094                # frequent words with a code of their own
@@ -158,15 +158,16 @@ def different(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def log10_of_codes(bounds: np.ndarray, nodes: np.ndarray, bits: np.ndarray, depths: np.ndarray, symbol: np.ndarray,
-                   contexts: list[np.ndarray], mixer: BitMixer) -> np.ndarray:
-    """log10 probability of each symbol in its contexts, a block at a time."""
+                   contexts: list[np.ndarray | None], mixer: BitMixer) -> np.ndarray:
+    """log10 probability of each symbol in its contexts (None: 0 everywhere), a block at a time."""
     out = np.ones(len(symbol))
+    alone = [mixer.slots(np.zeros(len(nodes), np.uint32), nodes, i) if c is None else None for i, c in enumerate(contexts)]
     for a in range(0, len(symbol), BLOCK):
         begin, of = bounds[symbol[a:a + BLOCK]], out[a:a + BLOCK]
         token, nth = by_depth(bounds[symbol[a:a + BLOCK] + 1] - begin)
         place = begin[token] + nth
         node = np.take(nodes, place)
-        slots = [mixer.slots(np.take(c[a:a + BLOCK], token), node, i) for i, c in enumerate(contexts)]
+        slots = [np.take(alone[i], place) if c is None else mixer.slots(np.take(c[a:a + BLOCK], token), node, i) for i, c in enumerate(contexts)]
         p = mixer.probability_by_gate(slots, np.take(depths, place))
         p = np.where(np.take(bits, place) == 1, p, 1.0 - p)
         ends = np.cumsum(np.bincount(nth))
@@ -246,7 +247,7 @@ class HeadBits:
         contexts = self.contexts(symbol, text, tail)
         at, place = different(symbol, *contexts[1:])
         return log10_of_codes(self.code.bounds, self.nodes, self.code.bits, self.depths, symbol[place],
-                              [c[place] for c in contexts], mixer)[at]
+                              [None, *(c[place] for c in contexts[1:])], mixer)[at]
 
     def shared_bits(self, symbol: np.ndarray, text: np.ndarray, tail: np.ndarray, mixer: BitMixer):
         """(slots, gate, bit, code lengths of the tokens) of all code bits; see `bit_mixer.Shared` and `Spread`."""
@@ -509,20 +510,6 @@ SCORED = ("doc_id long, row long, held_out boolean, n_bytes long, n_tokens long,
           "kind int, data binary")
 
 
-def columns(*arrays: np.ndarray) -> bytes:
-    """Arrays of 4 and 8 bytes a value as compressed bytes, like bytes side by side."""
-    return squeeze(np.concatenate([np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).ravel() for a in arrays]))
-
-
-def uncolumns(data: bytes, *kinds: str) -> list[np.ndarray]:
-    raw, sizes = unsqueeze(data, "u1"), [np.dtype(k).itemsize for k in kinds]
-    n, at, out = len(raw) // sum(sizes), 0, []
-    for kind, size in zip(kinds, sizes):
-        out.append(np.ascontiguousarray(raw[at:at + n * size].reshape(size, n).T).view(kind).ravel())
-        at += n * size
-    return out
-
-
 def packed(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:

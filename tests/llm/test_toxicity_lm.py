@@ -345,3 +345,14 @@ def test_learning_holds_few_bytes_a_bit():
     bits = int(np.diff(code.bounds)[symbol].sum())
     most = held_bytes(lambda: mixer.learn(*head.shared_bits(symbol, text, tail, mixer)[:3]))
     assert bits > 1_000_000 and most < 40 * bits
+
+
+def test_states_are_sent_as_planes_of_bytes():
+    rng, m = np.random.default_rng(10), BitMixer(1, 1, slot_bits=16)
+    for _ in range(3):
+        n = 60_000
+        m.learn([rng.zipf(1.2, n) % (1 << 16)], np.zeros(n, np.int64), rng.integers(0, 2, n))
+    rows = [(p, raw) for p, raw in m.rows() if p >= 0]
+    pages = m.counts.reshape(-1, 2 * BitMixer.PAGE)
+    assert all((BitMixer.add(p, raw, None) == pages[p]).all() for p, raw in rows)
+    assert sum(len(raw) for _, raw in rows) < 0.85 * sum(len(lm.squeeze(pages[p])) for p, _ in rows)
