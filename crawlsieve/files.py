@@ -28,6 +28,36 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
 
 
+def folder_keys(spark: SparkSession, path: str) -> list[str]:
+    """The keys of the ``key=value`` folders that the first file found below a folder lies in."""
+    sc = spark.sparkContext
+    system = sc._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def below(folder) -> list[str] | None:
+        entries = system.listStatusIterator(folder)
+        while entries.hasNext():
+            entry = entries.next()
+            name = entry.getPath().getName()
+            if name.startswith((".", "_")):
+                continue
+            keys = below(entry.getPath()) if entry.isDirectory() else []
+            if keys is not None:
+                return [*([name.partition("=")[0]] if entry.isDirectory() and "=" in name else []), *keys]
+        return None
+
+    top = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return (below(top) or []) if system.exists(top) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all that is in it, if it is there."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    system = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not system.delete(p, True) and system.exists(p):
+        raise OSError(f"could not delete {path!r}")
+
+
 def claim(spark: SparkSession, path: str, owner: str) -> bool:
     """Create a file that must not exist; False where another owner has it.  One
     creator wins on file systems whose create is atomic (HDFS, local disks)."""
@@ -79,14 +109,20 @@ def write_whole(uri: str, write) -> None:
     """Create one file: `write(stream)` fills a temporary name, which a move
     then puts in place, so that a reader or a second attempt of the task never
     sees half a file."""
+    put_whole(*open_path(uri), write)
+
+
+def put_whole(system, path: str, write) -> None:
+    """`write_whole` in a file system that is open already.  The temporary name begins
+    with a dot, so readers of the folder pass over what a killed task left."""
     import uuid
 
     from pyarrow import fs
 
-    system, path = open_path(uri)
     if isinstance(system, fs.LocalFileSystem) or system.type_name == "hdfs":
-        system.create_dir(path.rpartition("/")[0], recursive=True)
-        part = f"{path}.{uuid.uuid4().hex}.part"
+        folder, _, name = path.rpartition("/")
+        system.create_dir(folder, recursive=True)
+        part = f"{folder}/.{name}.{uuid.uuid4().hex}.part"
         with system.open_output_stream(part, compression=None) as out:
             write(out)
         system.move(part, path)

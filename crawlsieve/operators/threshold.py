@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crawlsieve.session import written
+from crawlsieve.sources.ranged import work_partitions
 
 BLOCK_ROWS = 1 << 14
 MOST_DOCS = 1 << 22     # a block holds a batch's worth of (length, id) pairs
@@ -219,7 +220,8 @@ def batch_numbers(rows: DataFrame, lane: str, order, length, max_docs: int, max_
     narrow = rows.select(F.col(lane).alias("_lane"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                          F.coalesce(length.cast("bigint"), F.lit(0)).alias("_length"), F.col(row_id).alias("_id"))
     spread = _positions(narrow, block_rows)
-    blocks = written(spread.repartition("lane_id", "block").sortWithinPartitions("lane_id", "block", "at")
+    # a given number of tasks: what a block costs is not its bytes
+    blocks = written(spread.repartition(work_partitions(rows.sparkSession), "lane_id", "block").sortWithinPartitions("lane_id", "block", "at")
                      .select("lane_id", "block", "length", "id").mapInArrow(_to_blocks(max_docs, need), BLOCK), "blocks")
     ends = blocks.select("lane_id", (F.col("block") + 1).alias("block"), "docs", "sizes")
     nothing = F.unhex(F.lit("00" * 8))

@@ -313,7 +313,7 @@ def worker_documents(spark: SparkSession, out_dir: str) -> DataFrame:
     """Documents of committed runs; those from before a reset of their crawl do not count."""
     store = RunStore(spark, f"{out_dir}_state")
     ids = [r["run_id"] for r in store.commits().select("run_id").collect()]
-    docs = sinks.read_documents(spark, out_dir, runs=True).where(F.col("run_id").isin(ids))
+    docs = sinks.read_documents(spark, out_dir, runs=True, only=ids)
     sources = [r["root"] for r in store.rows("source", "root string").select("root").distinct().collect()]
     return still_valid(spark, docs, sources[0] if sources else None)
 

@@ -121,7 +121,7 @@ def document_id():
 def documents_of_batches(spark: SparkSession, out_dir: str):
     """For ``uploads.start_uploads``: the documents of the micro-batches named, with ``source`` and ``id``."""
     def read(sources: list[str]) -> DataFrame:
-        docs = read_worker_output(spark, out_dir).where(F.col("run").isin(sources))
+        docs = read_worker_output(spark, out_dir, sources)
         return docs.withColumn("source", F.col("run")).withColumn("id", document_id()).drop("run")
     return read
 
@@ -136,10 +136,11 @@ def _batches_of_commits(spark: SparkSession, source: str, commits: DataFrame, ba
     return since_reset(messages.join(runs, "run_id"), ledger.latest_resets(store.rows("status", STATUS)))
 
 
-def read_worker_output(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Documents of the stream; those from before a reset of their crawl do not count."""
+def read_worker_output(spark: SparkSession, out_dir: str, only: list[str] | None = None) -> DataFrame:
+    """Documents of the stream (or of the micro-batches named); those from before a reset
+    of their crawl do not count."""
     from crawlsieve.plans import jobs
-    docs = sinks.read_documents(spark, out_dir, runs=True, run="run")
+    docs = sinks.read_documents(spark, out_dir, runs=True, run="run", only=only)
     state = f"{out_dir}_state/source"
     if not exists(spark, state):
         return docs
